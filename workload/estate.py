@@ -8,6 +8,7 @@ of the permissions belongs to one group, as skewed estates do.
 from __future__ import annotations
 
 import re
+import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -197,12 +198,19 @@ class Estate:
         self.sf_dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.table(self._view(name))
+
+    def _view(self, name: str) -> str:
+        """Temporary view of one file, so that its footer is read once per session."""
+        view = f"estate_{zlib.crc32(self.sf_dir.encode())}_{name}"
+        if not self.spark.catalog.tableExists(view):
+            self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet").createTempView(view)
+        return view
 
     def sql(self, sql: str) -> DataFrame:
-        files = tuple(
-            f"{t} AS (SELECT * FROM parquet.`{self.sf_dir}/{t}.parquet`)" for t in TABLES
-        )
+        query = with_clause(sql)
+        read = [t for t in TABLES if re.search(rf"\b(?:FROM|JOIN)\s+{t}\b", query)]
+        files = tuple(f"{t} AS (SELECT * FROM {self._view(t)})" for t in read)
         return self.spark.sql(with_clause(sql, files))
 
     def __getattr__(self, name: str) -> DataFrame:
