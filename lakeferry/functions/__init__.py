@@ -1,5 +1,5 @@
 from lakeferry.functions.information import information_value
-from lakeferry.functions.json_objects import as_object, keep_keys, strip_object, to_variant_json
+from lakeferry.functions.json_objects import as_object, keep_keys, mentions_any, strip_object
 from lakeferry.functions.names import quote, quote_if_needed, quoted_literal, sql_text
 from lakeferry.functions.paths import contains_pairs, path_prefixes
 
@@ -8,11 +8,11 @@ __all__ = [
     "contains_pairs",
     "information_value",
     "keep_keys",
+    "mentions_any",
     "path_prefixes",
     "quote",
     "quote_if_needed",
     "quoted_literal",
     "sql_text",
     "strip_object",
-    "to_variant_json",
 ]

@@ -7,6 +7,7 @@ numbers, booleans and nulls keep their kind.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,8 +20,9 @@ def as_object(json_text: Column) -> Column:
     return F.from_json(json_text, _OBJECT)
 
 
-def to_variant_json(fields: Column) -> Column:
-    return F.to_json(fields)
+def mentions_any(json_text: Column, keys: Sequence[str]) -> Column:
+    """Whether any key occurs in the text at all; cheap enough to guard a full parse."""
+    return reduce(lambda a, b: a | b, [F.contains(json_text, F.lit(key)) for key in keys])
 
 
 def keep_keys(fields: Column, drop: Sequence[str]) -> Column:

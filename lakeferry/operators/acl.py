@@ -267,7 +267,7 @@ def permission_status(permissions: DataFrame, responses: DataFrame) -> DataFrame
     permission_level, status_code, content); a row without a response keeps its status."""
     keys = ["artifact_type", "id", "new_group_names", "permission_level"]
     answered = responses.groupBy(*keys).agg(
-        F.max_by(F.struct("status_code", "content"), "status_code").alias("response")
+        F.max(F.struct("status_code", "content")).alias("response")
     )
     code, content = F.col("response.status_code"), F.col("response.content")
     status = (

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType
 
-from lakeferry.functions import as_object, keep_keys, strip_object
+from lakeferry.functions import as_object, keep_keys, mentions_any, strip_object
 
 # Settings of the old proxy user, removed at every object level.
 PROXY_USER_KEYS = ("HADOOP_USER_NAME", "HADOOP_PROXY_USER")
@@ -43,13 +43,15 @@ def eligible(df: DataFrame) -> DataFrame:
 def strip_keys(df: DataFrame, column: str, keys: Sequence[str], depth: int = 8) -> DataFrame:
     """Remove ``keys`` from every object level of a column, lists left alone.
 
-    A string column is JSON text; struct and map columns are walked along their type.
+    A string column is JSON text, parsed only where it mentions a key; struct and map columns are
+    walked along their type.
     """
     kind = df.schema[column].dataType
     if isinstance(kind, (StructType, MapType)):
         return df.withColumn(column, _strip_typed(F.col(column), kind, list(keys)))
-    stripped = F.to_json(strip_object(as_object(F.col(column)), keys, depth))
-    return df.withColumn(column, stripped)
+    text = F.col(column)
+    stripped = F.to_json(strip_object(as_object(text), keys, depth))
+    return df.withColumn(column, F.when(mentions_any(text, keys), stripped).otherwise(text))
 
 
 def _strip_typed(value: Column, kind, keys: list[str]) -> Column:
@@ -92,7 +94,8 @@ def upgrade_payload(
     """(job_id, payload): cluster with the new version, ``conf`` in place of its spark_conf and
     the new access mode, proxy-user keys removed. A job without a job cluster has none."""
     replaced = ["spark_version", "spark_conf", "data_security_mode"]
-    cluster = as_object(F.col("cluster"))
+    parsed = df.select("job_id", "cluster", as_object(F.col("cluster")).alias("fields"))
+    cluster = F.col("fields")
     new_cluster = F.try_variant_get(cluster["new_cluster"], "$", "map<string,variant>")
     settings = F.create_map(
         F.lit("spark_version"),
@@ -109,8 +112,10 @@ def upgrade_payload(
             F.to_variant_object(F.map_concat(keep_keys(new_cluster, replaced), settings)),
         ),
     )
-    body = F.to_json(strip_object(edited, drop, depth))
-    return df.select("job_id", _update_body(F.col("job_id"), body).alias("payload"))
+    body = F.when(
+        mentions_any(F.col("cluster"), drop), F.to_json(strip_object(edited, drop, depth))
+    ).otherwise(F.to_json(edited))
+    return parsed.select("job_id", _update_body(F.col("job_id"), body).alias("payload"))
 
 
 def job_backups(df: DataFrame) -> DataFrame:
@@ -123,7 +128,7 @@ def job_backups(df: DataFrame) -> DataFrame:
 def upgrade_outcome(jobs: DataFrame, responses: DataFrame) -> DataFrame:
     """(job_id, outcome) from jobs (job_id, cluster) and responses (job_id, status_code, content)."""
     answered = responses.groupBy("job_id").agg(
-        F.max_by(F.struct("status_code", "content"), "status_code").alias("response")
+        F.max(F.struct("status_code", "content")).alias("response")
     )
     outcome = (
         F.when(F.col("cluster").isNull(), F.lit(NO_CLUSTER))

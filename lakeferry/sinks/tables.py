@@ -15,6 +15,7 @@ from lakeferry.schemas import PERMISSIONS
 from lakeferry.session import ensure_checkpoints
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+_COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
 
 __all__ = [
     "append_backups",
@@ -27,10 +28,24 @@ __all__ = [
 ]
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def write_inventory(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Inventory as Parquet with one directory per database; a second write fails."""
+    """Inventory as Parquet with one directory per database; a second write fails.
+
+    The cost is opening files, not bytes, so small partitions are not merged into fewer tasks.
+    """
     rows = df.hint("rebalance", F.col("database"))
-    rows.write.mode(mode).partitionBy("database").parquet(path)
+    with _setting(df.sparkSession, _COALESCE, "false"):
+        rows.write.mode(mode).partitionBy("database").parquet(path)
 
 
 def write_grants(
@@ -43,16 +58,6 @@ def write_grants(
     writer.saveAsTable(table)
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession):
-    before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, before)
-
-
 def write_permissions(df: DataFrame, table: str, path: str | None = None) -> None:
     """Permission table partitioned by artifact type; replaces only the types present in ``df``."""
     spark = df.sparkSession
@@ -63,7 +68,7 @@ def write_permissions(df: DataFrame, table: str, path: str | None = None) -> Non
             writer = writer.option("path", path)
         writer.saveAsTable(table)
         return
-    with _dynamic_overwrite(spark):
+    with _setting(spark, _OVERWRITE_MODE, "dynamic"):
         rows.write.mode("overwrite").insertInto(table)
 
 
