@@ -1,4 +1,5 @@
 from lakeferry.functions.information import information_value
+from lakeferry.functions.joins import grouped_lookup, lookup
 from lakeferry.functions.json_objects import as_object, keep_keys, mentions_any, strip_object
 from lakeferry.functions.names import quote, quote_if_needed, quoted_literal, sql_text
 from lakeferry.functions.paths import contains_pairs, path_prefixes
@@ -6,8 +7,10 @@ from lakeferry.functions.paths import contains_pairs, path_prefixes
 __all__ = [
     "as_object",
     "contains_pairs",
+    "grouped_lookup",
     "information_value",
     "keep_keys",
+    "lookup",
     "mentions_any",
     "path_prefixes",
     "quote",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeferry.functions.joins import lookup
+
 
 def contains_pairs(longer: DataFrame, shorter: DataFrame) -> DataFrame:
     """Distinct pairs (longer, shorter) where the longer text contains the shorter one.
@@ -16,7 +18,9 @@ def contains_pairs(longer: DataFrame, shorter: DataFrame) -> DataFrame:
     the matches, not the product of the two sides. The list of shapes is bounded by the longest
     path, not by the number of rows.
     """
-    shorter = shorter.select(F.col("text").alias("shorter")).where("shorter is not null").distinct()
+    shorter = lookup(
+        shorter.select(F.col("text").alias("shorter")).where("shorter is not null"), "shorter"
+    )
     longer = longer.select(F.col("text").alias("longer")).where("longer is not null").distinct()
     shapes = shorter.agg(
         F.collect_set(

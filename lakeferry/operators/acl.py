@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from lakeferry.functions import lookup
 from lakeferry.schemas import ACL_ENTRIES, PERMISSIONS, SECRET_ACL_ENTRIES
 
 
@@ -218,9 +219,10 @@ def permission_table(flat: DataFrame, group_rows: DataFrame) -> DataFrame:
     """Which group holds which permission on which object, with the status still open.
 
     The join carries no hint: the group side is broadcast when its measured size allows it,
-    and otherwise a group that holds most rows is split by adaptive execution.
+    and otherwise a group that holds most rows is split by adaptive execution. A group that
+    overlapping pages list twice counts once.
     """
-    joined = flat.join(group_rows.select("group_name", "uc_group_name"), "group_name")
+    joined = flat.join(lookup(group_rows, "group_name", "uc_group_name"), "group_name")
     return joined.select(
         "name",
         "id",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeferry.functions import lookup
 from lakeferry.operators.inventory import with_database_column
 
 
@@ -20,7 +21,7 @@ def externalize_plan(
         if root is None
         else F.concat(F.lit(root.rstrip("/") + "/"), "database", F.lit("/"), "tableName")
     )
-    chosen = with_database_column(databases).select("database")
+    chosen = lookup(with_database_column(databases), "database")
     return (
         with_database_column(inventory)
         .where(F.col("Type") == "MANAGED")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeferry.functions import quote, quoted_literal, sql_text
+from lakeferry.functions import grouped_lookup, lookup, quote, quoted_literal, sql_text
 from lakeferry.operators.inventory import with_database_column
 from lakeferry.schemas import GRANTS, GRANTS_WITH_ERROR
 
@@ -27,7 +27,9 @@ def _sentinels(databases: DataFrame, object_type: str, error: Column) -> DataFra
 
 
 def _errors(errors: DataFrame) -> DataFrame:
-    return with_database_column(errors).groupBy("database").agg(F.min("message").alias("message"))
+    return grouped_lookup(
+        with_database_column(errors), ["database"], F.min("message").alias("message")
+    )
 
 
 def database_grants(databases: DataFrame, grants: DataFrame, errors: DataFrame) -> DataFrame:
@@ -36,11 +38,13 @@ def database_grants(databases: DataFrame, grants: DataFrame, errors: DataFrame)
     ``errors`` has (database, message). The grant rows stay on the streamed side of semi joins,
     so one database owning most of them can be split; only database names are sentinels' input.
     """
-    databases = with_database_column(databases).select("database").distinct()
+    databases = lookup(with_database_column(databases), "database")
     errors = _errors(errors)
     readable = databases.join(errors, "database", "left_anti")
     granted = grants.join(
-        readable.withColumnRenamed("database", "ObjectName"), "ObjectName", "left_semi"
+        lookup(readable.withColumnRenamed("database", "ObjectName"), "ObjectName"),
+        "ObjectName",
+        "left_semi",
     ).select(*GRANTS.names, F.lit("").alias("Error"))
     owners = grants.select(F.col("ObjectName").alias("database")).distinct()
     silent = readable.join(owners, "database", "left_anti")
@@ -59,11 +63,11 @@ def table_grants(
     gives no row. ``per_table=True`` keeps the rows of the other tables; ``errors`` then names
     the table that failed as well.
     """
-    databases = with_database_column(databases).select("database").distinct()
+    databases = lookup(with_database_column(databases), "database")
     grants = with_database_column(grants)
     if per_table:
         good = grants.join(
-            with_database_column(errors).select("database", "tableName").distinct(),
+            lookup(with_database_column(errors), "database", "tableName"),
             ["database", "tableName"],
             "left_anti",
         )
@@ -93,7 +97,9 @@ def _planned(grants: DataFrame, types: Sequence[str], strict_types: bool) -> Dat
     rows = grants.where(F.col("Principal") != "")
     if strict_types:
         return rows.where(F.col("ObjectType").isin(list(types)))
-    return rows.join(securables(grants, types), "ObjectName", "left_semi")
+    return rows.join(
+        lookup(securables(grants, types), "ObjectName"), "ObjectName", "left_semi"
+    )
 
 
 def _grant_statement(catalog: str) -> Column:
@@ -156,8 +162,9 @@ def replay_grants(
 
     ``principals`` is a list, or a DataFrame with a ``Principal`` column when there are many.
     """
+    grants = grants.where(F.col("Principal") != "")
     if isinstance(principals, DataFrame):
-        chosen = grants.join(principals.select("Principal"), "Principal", "left_semi")
+        chosen = grants.join(lookup(principals, "Principal"), "Principal", "left_semi")
     else:
         chosen = grants.where(F.col("Principal").isin(list(principals)))
     return _planned(chosen, types, strict_types).select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeferry.functions import quote, quoted_literal, sql_text
+from lakeferry.functions import lookup, quote, quoted_literal, sql_text
 from lakeferry.operators.inventory import EMPTY_DATABASE, with_database_column, without_match
 from lakeferry.schemas import STATUS
 
@@ -74,7 +74,8 @@ def with_target(databases: DataFrame) -> DataFrame:
     databases = with_database_column(databases)
     named = "target_database" in databases.columns
     target = F.coalesce("target_database", "database") if named else F.col("database")
-    return databases.select("database", target.alias("target_schema")).distinct()
+    named_target = databases.select("database", target.alias("target_schema"))
+    return lookup(named_target, "database", "target_schema")
 
 
 def marker_status(

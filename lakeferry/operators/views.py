@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeferry.functions import quote, quote_if_needed, quoted_literal, sql_text
+from lakeferry.functions import (
+    grouped_lookup,
+    lookup,
+    quote,
+    quote_if_needed,
+    quoted_literal,
+    sql_text,
+)
 from lakeferry.operators.inventory import with_database_column
 from lakeferry.operators.sync import marker_status, numbered_statements, with_target
 
@@ -39,13 +46,15 @@ def upgraded_schemas(tables_index: DataFrame) -> DataFrame:
     )
 
 
-def _rewrite_pieces(views: DataFrame, pieces: Column, name: Column, lookup, replacement) -> DataFrame:
+def _rewrite_pieces(
+    views: DataFrame, pieces: Column, name: Column, targets: DataFrame, replacement: Column
+) -> DataFrame:
     """Cut each text into pieces that start at a candidate name, look the names up with one
     equi-join and put the pieces of a view back in order. A group is the text of one view."""
     cut = views.select("database", "viewName", F.posexplode(pieces).alias("at", "piece"))
     named = cut.withColumn("name", name)
     return (
-        lookup(named)
+        named.join(targets, "name", "left")
         .select("database", "viewName", "at", replacement.alias("piece"))
         .groupBy("database", "viewName")
         .agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("pieces"))
@@ -76,7 +85,7 @@ def rewrite_views(
     opening = F.regexp_extract("piece", rf"^({_IDENTIFIER})\.", 1)
     # The first piece of a text is a candidate only when the text may open with a schema name.
     candidate = opening if boundaries == "all" else F.when(F.col("at") > 0, opening)
-    upgraded = schemas.select(F.col("table_schema").alias("name")).distinct()
+    upgraded = lookup(schemas.select(F.col("table_schema").alias("name")), "name")
     hit = upgraded.withColumn("upgraded", F.lit(True))
     prefixed = F.concat(
         quote_if_needed(F.lit(catalog)),
@@ -88,7 +97,7 @@ def rewrite_views(
         views,
         pieces,
         _bare(candidate),
-        lambda named: named.join(hit, "name", "left"),
+        hit,
         F.when(F.col("upgraded"), prefixed).otherwise(F.col("piece")),
     )
 
@@ -102,7 +111,9 @@ def rewrite_views_mapped(views: DataFrame, mapping: DataFrame, catalog: str) ->
     pieces = F.split("view_text", rf"(?={legacy}{_IDENTIFIER})(?<![\w`.])")
     opening = F.regexp_extract("piece", rf"^({legacy}{_IDENTIFIER})", 1)
     name = _bare(F.regexp_extract("piece", rf"^{legacy}({_IDENTIFIER})", 1))
-    targets = mapping.groupBy(F.col("src").alias("name")).agg(F.min("dst").alias("dst"))
+    targets = grouped_lookup(
+        mapping.withColumnRenamed("src", "name"), ["name"], F.min("dst").alias("dst")
+    )
     own = F.when(F.col("name") == F.col("database"), F.col("name"))
     target = F.coalesce(own, F.col("dst"))
     replaced = F.concat(
@@ -114,7 +125,7 @@ def rewrite_views_mapped(views: DataFrame, mapping: DataFrame, catalog: str) ->
         views,
         pieces,
         name,
-        lambda named: named.join(targets, "name", "left"),
+        targets,
         F.when((F.col("name") != "") & target.isNotNull(), replaced).otherwise(F.col("piece")),
     )
 

@@ -8,11 +8,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Adaptive execution sizes shuffles, turns small join sides into broadcasts by their measured
-# size and splits skewed join partitions; the operators carry no hints that would override it.
+# size and splits skewed join partitions, even where that costs one more shuffle afterwards. The
+# operators carry no join hints that would override it.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeferry.functions import lookup
 from lakeferry.operators.acl import permission_status
 from lakeferry.operators.externalize import externalize as externalize_table
 from lakeferry.operators.jobs import job_backups
@@ -78,7 +79,7 @@ def update_permissions(spark: SparkSession, table: str, responses: DataFrame) ->
     The new rows are checkpointed first, because a table cannot be replaced while it is read.
     """
     ensure_checkpoints(spark)
-    answered = responses.select("artifact_type").distinct()
+    answered = lookup(responses, "artifact_type")
     stored = spark.table(table).join(answered, "artifact_type", "left_semi")
     rows = permission_status(stored, responses).checkpoint()
     write_permissions(rows, table)

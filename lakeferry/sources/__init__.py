@@ -3,7 +3,15 @@ from lakeferry.sources.landed import (
     json_documents,
     json_pages,
     permissions_of,
+    stored_inventory,
     table_snapshot,
 )
 
-__all__ = ["grants_table", "json_documents", "json_pages", "permissions_of", "table_snapshot"]
+__all__ = [
+    "grants_table",
+    "json_documents",
+    "json_pages",
+    "permissions_of",
+    "stored_inventory",
+    "table_snapshot",
+]

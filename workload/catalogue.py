@@ -9,10 +9,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry import sinks
+from lakeferry import sinks, sources
 from lakeferry.operators import acl, externalize, grants, inventory, jobs, locations, sync, views
 from lakeferry.plans import migration, permissions
-from lakeferry.session import scratch_path
+from lakeferry.session import configure, scratch_path
 from workload.estate import KIND_LABELS, PAGES, Estate, with_clause
 
 CATALOG = "cat"
@@ -26,7 +26,7 @@ ORACLES: dict[str, str] = {}
 
 
 def register(key: str, query: Callable[[Estate], DataFrame], oracle: str) -> None:
-    QUERIES[key] = lambda spark, sf_dir: query(Estate(spark, sf_dir))
+    QUERIES[key] = lambda spark, sf_dir: query(Estate(configure(spark), sf_dir))
     ORACLES[key] = with_clause(oracle.strip())
 
 
@@ -43,7 +43,7 @@ WHERE database NOT IN (SELECT database FROM tables_base)"""
 def _stored_inventory(e: Estate) -> DataFrame:
     path = scratch_path(e.spark, "inventory")
     sinks.write_inventory(inventory.metastore_inventory(e.databases, e.tables_raw), path)
-    return e.spark.read.parquet(path).withColumn("database", F.col("database").cast("string"))
+    return sources.stored_inventory(e.spark, path)
 
 
 register("inventory_parse", lambda e: inventory.parse_information(e.tables_raw), _INVENTORY)
