@@ -29,13 +29,20 @@ def test_no_products_no_python_no_single_task(spark, key):
 
 
 def test_scan_reads_only_the_columns_of_the_query(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     text = plan(QUERIES["flatten_jobs"](spark, SF_DIR))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     lineitem = re.search(r"ReadSchema: struct<(l_[^>]*)>", text).group(1)
     assert {c.split(":")[0] for c in lineitem.split(",")} == {
+        "l_orderkey",
         "l_partkey",
         "l_suppkey",
+        "l_linenumber",
         "l_quantity",
+        "l_discount",
+        "l_tax",
         "l_returnflag",
+        "l_linestatus",
     }
 
 

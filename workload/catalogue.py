@@ -380,11 +380,10 @@ _LISTED = {
     "Secrets": "SELECT 's' || p_partkey AS name, 's' || p_partkey AS id FROM part",
 }
 _NAMES = {
-    "Jobs": "CASE WHEN k % 5 = 0 THEN 'x [RUNNER] ' || k ELSE p_name END",
-    "Clusters": "CASE WHEN k % 5 = 0 THEN 'job-' || k ELSE p_name END",
+    "Jobs": "CASE WHEN line = 2 THEN 'x [RUNNER] ' || k ELSE name END",
+    "Clusters": "CASE WHEN line = 2 THEN 'job-' || k ELSE name END",
 }
-_KEPT = {"Jobs": "WHERE k % 5 <> 0", "Clusters": "WHERE k % 5 <> 0"}
-_PERMISSION_COLUMNS = "name, id, old_group_names, new_group_names, permission_level, permission_update_status, artifact_type"
+_KEPT = {"Jobs": "WHERE line <> 2", "Clusters": "WHERE line <> 2"}
 _GROUP_FILTER = "displayName NOT IN ('admins', 'users') AND displayName NOT LIKE 'uc_%'"
 
 
@@ -397,7 +396,7 @@ def _flat(e: Estate, kind: str) -> DataFrame:
     if kind == acl.SECRETS:
         return acl.flatten_acl(e.secret_documents(), kind)
     spec = acl.KINDS[kind]
-    name = _NAMES.get(kind, "p_name")
+    name = _NAMES.get(kind, "name")
     return acl.flatten_acl(e.acl_documents(name, spec.id_column, spec.perms_column), kind)
 
 
@@ -405,11 +404,11 @@ def _flat_oracle(kind: str) -> str:
     label = acl.KINDS[kind].label
     if kind == acl.SECRETS:
         return f"""
-SELECT 's' || k AS name, 's' || k AS id, group_name, permission AS permissions, 'Secret' AS artifact_type
-FROM (SELECT DISTINCT k, group_name, permission FROM acl_base) b
-UNION ALL SELECT 's' || p_partkey, 's' || p_partkey, NULL, NULL, 'Secret' FROM part WHERE p_size = 50"""
+SELECT id AS name, id, group1 AS group_name, permission1 AS permissions, 'Secret' AS artifact_type FROM acl_objects WHERE state = 'read'
+UNION ALL SELECT id, id, group2, permission2, 'Secret' FROM acl_objects WHERE state = 'read'
+UNION ALL SELECT id, id, NULL, NULL, 'Secret' FROM acl_objects WHERE state = 'unread'"""
     return f"""
-SELECT p_name AS name, '' || k AS id, group_name, permission AS permissions, '{label}' AS artifact_type
+SELECT name, id, group_name, permission AS permissions, '{label}' AS artifact_type
 FROM acl_base {_KEPT.get(kind, '')}"""
 
 
@@ -522,7 +521,7 @@ def _landed_oracle() -> str:
 register("permissions_from_landed", _landed_permissions, _landed_oracle())
 
 _STORED = f"""
-SELECT name, id, old_group_names, new_group_names, permission_level, NULL AS permission_update_status, artifact_type
+SELECT name, id, old_group_names, new_group_names, permission_level, CAST(NULL AS VARCHAR) AS permission_update_status, artifact_type
 FROM permissions_stored"""
 
 
@@ -548,9 +547,9 @@ def _updated_permissions(e: Estate) -> DataFrame:
 
 
 _STATUS = """
-SELECT name, id, old_group_names, new_group_names, permission_level,
+SELECT name, id, group_name AS old_group_names, group_name AS new_group_names, permission AS permission_level,
   CASE WHEN label = 'Repo' THEN NULL WHEN k % 9 = 0 THEN 'Error: denied ' || k ELSE 'Permission set Successfully' END AS permission_update_status, label AS artifact_type
-FROM (SELECT p_name AS name, '' || k AS id, k, label, group_name AS old_group_names, group_name AS new_group_names, permission AS permission_level FROM acl_base) b"""
+FROM acl_base"""
 register("write_permissions", _stored_permissions, _STORED)
 register("update_permissions", _updated_permissions, _STATUS)
 _URI_CASE = " ".join(f"WHEN '{s.label}' THEN '{s.uri}'" for s in acl.KINDS.values())

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 import zlib
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = ("part", "supplier", "customer", "orders", "lineitem")
@@ -31,6 +31,15 @@ KIND_LABELS = (
 )
 _LABEL_CASE = " ".join(f"WHEN {n} THEN '{label}'" for n, label in enumerate(KIND_LABELS))
 
+
+def _group(number: str) -> str:
+    """Group name of a supplier number, the same as in groups_raw."""
+    return (
+        f"CASE {number} WHEN 0 THEN 'admins' WHEN 1 THEN 'users' WHEN 2 THEN 'uc_team' WHEN 3 THEN 'ucab'"
+        f" ELSE 'Supplier#' || lpad('' || {number}, 9, '0') END"
+    )
+
+
 RELATIONS = {
     "tables_named": """
 SELECT p_partkey AS k, p_size AS size, p_brand AS brand,
@@ -113,23 +122,28 @@ FROM grants_raw WHERE ActionType = 'OWN'""",
     "view_outcomes": """
 SELECT database, viewName, CASE WHEN brand = 'Brand#5' THEN 'boom ' || viewName ELSE NULL END AS message
 FROM views_named""",
-    "groups_raw": """
-SELECT s_suppkey AS id, CASE s_suppkey WHEN 0 THEN 'admins' WHEN 1 THEN 'users' WHEN 2 THEN 'uc_team' WHEN 3 THEN 'ucab' ELSE s_name END AS displayName
-FROM supplier""",
+    "groups_raw": f"""
+SELECT s_suppkey AS id, {_group("s_suppkey")} AS displayName FROM supplier""",
     "group_pages": """
 SELECT '{"Resources":[{"id":"' || id || '","displayName":"' || displayName || '","entitlements":[{"value":"x"}]}]}' AS page
 FROM groups_raw""",
-    "acl_base": f"""
-SELECT DISTINCT p.p_partkey AS k, p.p_name AS p_name, CASE p.p_partkey % 11 {_LABEL_CASE} END AS label, g.displayName AS group_name,
-  CASE l.l_returnflag WHEN 'A' THEN 'CAN_VIEW' WHEN 'N' THEN 'CAN_RUN' ELSE 'CAN_MANAGE' END AS permission
-FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
-JOIN groups_raw g ON g.id = CASE WHEN l.l_quantity <= 17 THEN 5 ELSE l.l_suppkey END
-WHERE p.p_size < 50""",
+    "acl_objects": f"""
+SELECT l_orderkey AS k, l_orderkey || '-' || l_linenumber AS id, 'object ' || l_partkey AS name, l_linenumber AS line,
+  CASE l_partkey % 11 {_LABEL_CASE} END AS label,
+  {_group("CASE WHEN l_quantity <= 17 THEN 5 ELSE l_suppkey END")} AS group1, {_group("l_orderkey % 10")} AS group2,
+  CASE l_returnflag WHEN 'A' THEN 'CAN_VIEW' WHEN 'N' THEN 'CAN_RUN' ELSE 'CAN_MANAGE' END AS permission1,
+  CASE l_linestatus WHEN 'F' THEN 'IS_OWNER' ELSE 'CAN_USE' END AS permission2,
+  CASE WHEN l_tax = 0.08 THEN 'unread' WHEN l_discount = 0.1 THEN 'missing' ELSE 'read' END AS state
+FROM lineitem""",
+    "acl_base": """
+SELECT k, id, name, line, label, group1 AS group_name, permission1 AS permission FROM acl_objects WHERE state = 'read'
+UNION ALL SELECT k, id, name, line, label, group1, permission2 FROM acl_objects WHERE state = 'read'
+UNION ALL SELECT k, id, name, line, label, group2, 'CAN_VIEW' FROM acl_objects WHERE state = 'read' AND line <> 1""",
     "permissions_stored": """
-SELECT p_name AS name, '' || k AS id, group_name AS old_group_names, group_name AS new_group_names, permission AS permission_level, label AS artifact_type
+SELECT name, id, group_name AS old_group_names, group_name AS new_group_names, permission AS permission_level, label AS artifact_type
 FROM acl_base""",
     "responses": """
-SELECT label AS artifact_type, '' || k AS id, group_name AS new_group_names, permission AS permission_level,
+SELECT label AS artifact_type, id, group_name AS new_group_names, permission AS permission_level,
   CASE WHEN k % 9 = 0 THEN 403 ELSE 200 END AS status_code, CASE WHEN k % 9 = 0 THEN 'denied ' || k ELSE '' END AS content
 FROM acl_base WHERE label <> 'Repo'""",
     "jobs_raw": """
@@ -185,11 +199,6 @@ def with_clause(sql: str, extra: tuple[str, ...] = ()) -> str:
     return f"WITH {', '.join(ctes)} {sql}" if ctes else sql
 
 
-def null_entry(entries: DataFrame, column: str) -> Column:
-    element = entries.schema[column].dataType.elementType
-    return F.array(F.lit(None).cast(element)).alias(column)
-
-
 class Estate:
     """The estate of one data folder as Spark DataFrames."""
 
@@ -222,37 +231,27 @@ class Estate:
         return self.sql(f"SELECT '{kind}' AS kind, {PAGES[kind]} AS page FROM part")
 
     def acl_documents(self, name: str, id_column: str, perms_column: str) -> DataFrame:
-        """Every part as an object with its nested ACL; parts of size 50 have a null entry.
-
-        ``name`` is an SQL expression over p_name and k.
-        """
-        entries = (
-            self.acl_base.groupBy("k", "p_name", "group_name")
-            .agg(F.collect_set("permission").alias("permissions"))
-            .groupBy("k", "p_name")
-            .agg(F.collect_list(F.struct("group_name", "permissions")).alias("perms"))
-        )
-        unread = self.sql("SELECT p_partkey AS k, p_name FROM part WHERE p_size = 50").select(
-            "k", "p_name", null_entry(entries, "perms")
-        )
-        return entries.unionByName(unread).select(
-            F.expr(name).alias("name"),
-            F.col("k").cast("string").alias(id_column),
-            F.col("perms").alias(perms_column),
+        """Every line item as an object with its nested ACL: two groups, or a null entry after a
+        failed read, or no list. ``name`` is an SQL expression over the columns of acl_objects."""
+        perms = """CASE state
+            WHEN 'read' THEN array(
+              named_struct('group_name', group1, 'permissions', array(permission1, permission2)),
+              named_struct('group_name', group2, 'permissions',
+                CASE WHEN line = 1 THEN CAST(array() AS array<string>) ELSE array('CAN_VIEW') END))
+            WHEN 'unread' THEN array(NULL) END"""
+        return self.acl_objects.select(
+            F.expr(name).alias("name"), F.col("id").alias(id_column), F.expr(perms).alias(perms_column)
         )
 
     def secret_documents(self) -> DataFrame:
-        entries = self.acl_base.groupBy("k").agg(
-            F.collect_list(F.struct("group_name", F.col("permission").alias("permissions"))).alias(
-                "scope_perms"
-            )
-        )
-        unread = self.sql("SELECT p_partkey AS k FROM part WHERE p_size = 50").select(
-            "k", null_entry(entries, "scope_perms")
-        )
-        scope = F.concat(F.lit("s"), F.col("k"))
-        return entries.unionByName(unread).select(
-            scope.alias("id"), scope.alias("name"), "scope_perms"
+        """Every line item as a secret scope; a permission is a single string here."""
+        perms = """CASE state
+            WHEN 'read' THEN array(
+              named_struct('group_name', group1, 'permissions', permission1),
+              named_struct('group_name', group2, 'permissions', permission2))
+            WHEN 'unread' THEN array(NULL) END"""
+        return self.acl_objects.select(
+            "id", F.col("id").alias("name"), F.expr(perms).alias("scope_perms")
         )
 
     def permission_rows(self) -> DataFrame:
