@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution sizes shuffles, turns small join sides into broadcasts by their measured
 # size and splits skewed join partitions, even where that costs one more shuffle afterwards. The
@@ -45,7 +45,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoints(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable without moving a folder the cluster already chose."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(scratch_root(spark))
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """The frame written to the shared folder and read back: its lineage ends there, and a lost
+    executor recomputes nothing before it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,5 +1,5 @@
 from lakeferry.sinks.tables import (
-    append_backups,
+    backup_configs,
     externalize_table,
     status_documents,
     update_permissions,
@@ -9,7 +9,7 @@ from lakeferry.sinks.tables import (
 )
 
 __all__ = [
-    "append_backups",
+    "backup_configs",
     "externalize_table",
     "status_documents",
     "update_permissions",

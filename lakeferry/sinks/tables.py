@@ -13,13 +13,13 @@ from lakeferry.operators.acl import permission_status
 from lakeferry.operators.externalize import externalize as externalize_table
 from lakeferry.operators.jobs import job_backups
 from lakeferry.schemas import PERMISSIONS
-from lakeferry.session import ensure_checkpoints
+from lakeferry.session import staged
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 _COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
 
 __all__ = [
-    "append_backups",
+    "backup_configs",
     "externalize_table",
     "status_documents",
     "update_permissions",
@@ -76,16 +76,14 @@ def write_permissions(df: DataFrame, table: str, path: str | None = None) -> Non
 def update_permissions(spark: SparkSession, table: str, responses: DataFrame) -> None:
     """Write response statuses back into the partitions of the stored table that they belong to.
 
-    The new rows are checkpointed first, because a table cannot be replaced while it is read.
+    The new rows are staged first, because a table cannot be replaced while it is read.
     """
-    ensure_checkpoints(spark)
     answered = lookup(responses, "artifact_type")
     stored = spark.table(table).join(answered, "artifact_type", "left_semi")
-    rows = permission_status(stored, responses).checkpoint()
-    write_permissions(rows, table)
+    write_permissions(staged(permission_status(stored, responses), "statuses"), table)
 
 
-def append_backups(jobs: DataFrame, table: str, path: str | None = None) -> None:
+def backup_configs(jobs: DataFrame, table: str, path: str | None = None) -> None:
     """Append the present job-cluster configuration of every job to the backup table."""
     rows = job_backups(jobs).withColumn("recorded_at", F.current_timestamp())
     writer = rows.write.mode("append").format("parquet")

@@ -12,10 +12,10 @@ from lakeferry.operators.inventory import with_database_column
 from lakeferry.schemas import INVENTORY
 
 
-def json_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Response pages, one whole file per row in ``page``; folders like ``kind=Jobs`` become a
-    partition column, so reading one kind lists and reads only its own files."""
-    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "page")
+def json_pages(spark: SparkSession, path: str, page_per_line: bool = False) -> DataFrame:
+    """Response pages in ``page``, one per file or one per line; folders like ``kind=Jobs`` become
+    a partition column, so reading one kind lists and reads only its own files."""
+    return spark.read.text(path, wholetext=not page_per_line).withColumnRenamed("value", "page")
 
 
 def json_documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

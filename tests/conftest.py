@@ -21,5 +21,11 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    yield configure(session)
+    configure(session)
+    if os.environ.get("TEST_NO_BROADCAST"):
+        session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        session.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        session.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "50KB")
+        session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "50KB")
+    yield session
     session.stop()

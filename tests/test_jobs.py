@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lakeferry.operators import jobs
 from lakeferry.schemas import JOB_BACKUP
-from lakeferry.sinks import append_backups
+from lakeferry.sinks import backup_configs
 
 
 def cluster(version):
@@ -120,8 +120,8 @@ def test_outcomes(spark):
 def test_backup_then_restore(spark):
     clusters = jobs.job_clusters(documents(spark, job(cluster("10.4")), job(cluster("7.3")), job()))
     assert jobs.job_backups(clusters).schema == JOB_BACKUP
-    append_backups(clusters, "job_config")
-    append_backups(clusters.where("job_id = 0").withColumn("cluster", F.lit('{"newer":true}')), "job_config")
+    backup_configs(clusters, "job_config")
+    backup_configs(clusters.where("job_id = 0").withColumn("cluster", F.lit('{"newer":true}')), "job_config")
     ids = spark.createDataFrame([(0,), (1,), (2,)], "job_id long")
     found = {r.job_id: r for r in jobs.restore_payload(spark.table("job_config"), ids).collect()}
     assert json.loads(found[0].payload)["new_settings"]["job_clusters"] == [{"newer": True}]

@@ -591,7 +591,7 @@ def _clusters(e: Estate) -> DataFrame:
 
 def _stored_backups(e: Estate) -> DataFrame:
     table = f"ferry_backups_{uuid.uuid4().hex}"
-    sinks.append_backups(_clusters(e), table, path=scratch_path(e.spark, "backups"))
+    sinks.backup_configs(_clusters(e), table, path=scratch_path(e.spark, "backups"))
     return e.spark.table(table).select("job_id", "cluster_config")
 
 
