@@ -12,39 +12,48 @@ def contains_pairs(longer: DataFrame, shorter: DataFrame) -> DataFrame:
     """Distinct pairs (longer, shorter) where the longer text contains the shorter one.
 
     Both inputs have one column ``text``. Every text of ``shorter`` has a shape: the offset of
-    its first ``/`` and its length. Where it occurs in a longer text, that slash lies on a slash,
-    so it is enough to cut each longer text once per slash and shape (once per position for
-    shapes without a slash) and to look the cuts up by equality. The work follows the texts and
-    the matches, not the product of the two sides. The list of shapes is bounded by the longest
-    path, not by the number of rows.
+    its first ``/``, the characters beside that slash, and its length. Where it occurs in a longer
+    text, that slash lies on a slash with the same neighbours, so it is enough to cut each longer
+    text once per such slash and shape (once per position for shapes without a slash) and to look
+    the cuts up by equality. A URI has one ``://``, so it is cut about once per length that
+    occurs. The work follows the texts and the matches, not the product of the two sides; the list
+    of shapes is bounded by the longest path, not by the number of rows.
     """
     shorter = lookup(
         shorter.select(F.col("text").alias("shorter")).where("shorter is not null"), "shorter"
     )
     longer = longer.select(F.col("text").alias("longer")).where("longer is not null").distinct()
+    slash = F.instr("shorter", "/")
+    lead = F.when(slash > 1, 1).otherwise(0)
+    beside = F.when(slash > 0, F.substr("shorter", slash - lead, lead + 2)).otherwise("")
     shapes = shorter.agg(
         F.collect_set(
-            F.struct(F.instr("shorter", "/").alias("slash"), F.length("shorter").alias("size"))
+            F.struct(
+                slash.alias("slash"),
+                lead.alias("lead"),
+                beside.alias("beside"),
+                F.length("shorter").alias("size"),
+            )
         )
     ).scalar()
-    positions = F.sequence(F.lit(1), F.length("longer") + 1)
-    slashes = F.filter(positions, lambda p: F.substr(F.col("longer"), p, F.lit(1)) == "/")
+    text, shape = F.col("longer"), F.col("shape")
+    positions = F.sequence(F.lit(1), F.length(text) + 1)
+    slashes = F.filter(
+        positions,
+        lambda p: (F.substr(text, p, F.lit(1)) == "/")
+        & (F.substr(text, p - shape["lead"], F.length(shape["beside"])) == shape["beside"]),
+    )
+    starts = F.when(
+        shape["slash"] > 0, F.transform(slashes, lambda p: p - shape["slash"] + 1)
+    ).otherwise(positions)
     cuts = (
         longer.withColumn("shape", F.explode(shapes))
-        .withColumn(
-            "start",
-            F.explode(
-                F.when(
-                    F.col("shape.slash") > 0,
-                    F.transform(slashes, lambda p: p - F.col("shape.slash") + 1),
-                ).otherwise(positions)
-            ),
-        )
+        .where(shape["size"] <= F.length(text))
+        .withColumn("start", F.explode(starts))
         .where(
-            (F.col("start") >= 1)
-            & (F.col("start") + F.col("shape.size") - 1 <= F.length("longer"))
+            (F.col("start") >= 1) & (F.col("start") + shape["size"] - 1 <= F.length(text))
         )
-        .select("longer", F.substr("longer", F.col("start"), F.col("shape.size")).alias("shorter"))
+        .select("longer", F.substr(text, F.col("start"), shape["size"]).alias("shorter"))
     )
     return cuts.join(shorter, "shorter").select("longer", "shorter").distinct()
 

@@ -10,16 +10,15 @@ from lakeferry.sinks import backup_configs
 
 def cluster(version):
     return {
-        "job_cluster_key": "Job_cluster",
+        "job_cluster_key": "main",
         "new_cluster": {
             "cluster_name": "",
             "spark_version": version,
             "spark_conf": {"initial.catalog": "dev", "HADOOP_PROXY_USER": "p"},
-            "aws_attributes": {"first_on_demand": 1, "availability": "SPOT_WITH_FALLBACK", "zone_id": "us-west-2a", "spot_bid_price_percent": 100, "ebs_volume_count": 0},
-            "node_type_id": "i3.xlarge",
+            "aws_attributes": {"on_demand": 1, "zone": "z1", "price": 0.25, "tags": {}},
+            "node_type_id": "node.large",
             "spark_env_vars": {"LD_LIBRARY_PATH": "/tmp/x/", "HADOOP_USER_NAME": "u"},
-            "data_security_mode": "LEGACY_SINGLE_USER_STANDARD",
-            "runtime_engine": "STANDARD",
+            "data_security_mode": "LEGACY",
             "num_workers": 1,
             "elastic": True,
             "note": None,
