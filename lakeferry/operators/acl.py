@@ -191,6 +191,22 @@ def flatten_acl(df: DataFrame, kind: str) -> DataFrame:
     return flat.withColumn("artifact_type", F.lit(spec.label))
 
 
+def flatten_attached(attached: DataFrame) -> DataFrame:
+    """All types but secrets at once, from ``attach_acl`` rows: the same rows as flattening each
+    type on its own, in one pass over the objects."""
+    keep = reduce(
+        lambda chain, k: chain.when(F.col("artifact_type") == k.label, ~F.col("name").like(k.drop_names)),
+        [k for k in KINDS.values() if k.drop_names is not None],
+        F,
+    ).otherwise(F.lit(True))
+    return (
+        attached.where(keep)
+        .select("name", "id", F.inline("perms"), "artifact_type")
+        .withColumn("permissions", F.explode("permissions"))
+        .select("name", "id", "group_name", "permissions", "artifact_type")
+    )
+
+
 def group_listing(pages: DataFrame, page: str = "page") -> DataFrame:
     """(id, displayName) from all landed pages of the group listing."""
     schema = "struct<Resources:array<struct<id:string,displayName:string>>>"

@@ -26,15 +26,17 @@ def all_listings(
 def flat_permissions(
     listings: dict[str, DataFrame], acl_documents: DataFrame, secret_documents: DataFrame
 ) -> DataFrame:
-    """Flattened ACLs of all kinds; documents carry (artifact_type, id, doc)."""
-    parsed = acl.parse_acl(acl_documents)
-    parsed_secrets = acl.parse_secret_acl(secret_documents)
-    flat = [
-        acl.flatten_acl(
-            acl.attach_acl(objects, parsed_secrets if kind == acl.SECRETS else parsed), kind
-        )
-        for kind, objects in listings.items()
-    ]
+    """Flattened ACLs of all kinds; documents carry (artifact_type, id, doc) and are parsed and
+    joined once for all kinds, secrets apart because their entries have another type."""
+    flat = []
+    plain = [objects for kind, objects in listings.items() if kind != acl.SECRETS]
+    if plain:
+        objects = reduce(DataFrame.unionByName, plain)
+        attached = acl.attach_acl(objects, acl.parse_acl(acl_documents))
+        flat.append(acl.flatten_attached(attached))
+    if acl.SECRETS in listings:
+        attached = acl.attach_acl(listings[acl.SECRETS], acl.parse_secret_acl(secret_documents))
+        flat.append(acl.flatten_acl(attached, acl.SECRETS))
     return reduce(DataFrame.unionByName, flat)
 
 

@@ -1,4 +1,7 @@
+from functools import reduce
+
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeferry import schemas
@@ -129,6 +132,19 @@ def test_flatten(spark, kind):
     assert {r.artifact_type for r in out.collect()} == {spec.label}
 
 
+def test_flatten_of_all_types_equals_one_by_one(spark):
+    kinds = [k for k in acl.KINDS if k != "Secrets"]
+    single = [acl.flatten_acl(flat_input(spark, "id", "perms"), k) for k in kinds]
+    mixed = [
+        flat_input(spark, "id", "perms").withColumn("artifact_type", F.lit(acl.KINDS[k].label))
+        for k in kinds
+    ]
+    union = lambda frames: reduce(DataFrame.unionByName, frames)
+    together = acl.flatten_attached(union(mixed))
+    assert together.columns == single[0].columns
+    assert rows(together) == rows(union(single))
+
+
 def test_flatten_secrets_explodes_once_and_keeps_null_entries(spark):
     df = spark.createDataFrame(
         [("s", "s", [("g", "READ")]), ("t", "t", [None])],
