@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from lakeferry import schemas
 from lakeferry.operators import inventory, sync
 from lakeferry.sinks import write_inventory
+from lakeferry.sources import stored_inventory, table_snapshot
 
 INFO = (
     "Database: d\nTable: t\nType: MANAGED\nProvider: delta\nLocation: file:/w/d/t\n"
@@ -54,6 +55,12 @@ def test_database_column_names(spark, name):
     assert inventory.listings(df, "database").collect() == [("d",)]
 
 
+def test_landed_snapshot_with_namespace_column(spark, tmp_path):
+    path = str(tmp_path / "snapshot")
+    listing(spark, ("d", "t", False, INFO)).withColumnRenamed("database", "namespace").write.parquet(path)
+    assert inventory.parse_information(table_snapshot(spark, path)).first()["Type"] == "MANAGED"
+
+
 def test_listing_kinds(spark):
     df = listing(
         spark, ("d", "t", False, INFO), ("d", "v", False, INFO.replace("MANAGED", "VIEW"))
@@ -120,6 +127,8 @@ def test_inventory_write_is_one_folder_per_database_and_fails_twice(spark, tmp_p
     assert spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == before
     folders = sorted(p.name for p in (tmp_path / "inventory").iterdir() if p.is_dir())
     assert folders == ["database=d", "database=e"]
+    assert stored_inventory(spark, path).schema == schemas.INVENTORY
+    assert set(stored_inventory(spark, path).collect()) == set(df.collect())
     with pytest.raises(Exception, match="(?i)exist"):
         write_inventory(df, path)
 

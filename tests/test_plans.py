@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeferry.operators import acl, grants, views
 from lakeferry.session import SETTINGS
+from lakeferry.sinks import write_permissions
 from workload.catalogue import QUERIES
 from workload.estate import Estate
 
@@ -129,6 +130,21 @@ def test_hot_schema_in_view_texts_is_split(spark, no_broadcast):
     assert df.where("view_text LIKE '% (cat.hot.u)%' AND view_text LIKE '% FROM cat.%'").count() == 20000
 
 
+def test_hot_partition_is_written_by_several_tasks(spark, no_broadcast, tmp_path):
+    rows = hot(spark).select(
+        F.lit("d").alias("name"),
+        F.sha2(F.col("id").cast("string"), 256).alias("id"),
+        F.lit("g").alias("old_group_names"),
+        F.lit("g").alias("new_group_names"),
+        F.lit("A").alias("permission_level"),
+        F.lit(None).cast("string").alias("permission_update_status"),
+        F.when(F.col("id") % 3 == 0, "Job").otherwise(F.concat(F.lit("T"), F.col("id") % 40)).alias("artifact_type"),
+    )
+    write_permissions(rows, "hot_permissions", str(tmp_path / "hot"))
+    assert len(list((tmp_path / "hot" / "artifact_type=Job").glob("*.parquet"))) > 4
+    assert spark.table("hot_permissions").count() == 60000
+
+
 def test_settings_are_on(spark):
     for key, value in SETTINGS.items():
         assert spark.conf.get(key) == value

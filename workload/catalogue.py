@@ -147,7 +147,7 @@ def _status_round_trip(e: Estate) -> DataFrame:
     path = scratch_path(e.spark, "status")
     status = migration.table_sync(e.databases, e.tables_raw, e.target_tables, CATALOG)
     sinks.status_documents(status, path)
-    return e.spark.read.schema(status.schema).json(path)
+    return sources.json_documents(e.spark, path, status.schema)
 
 
 register("write_status", _status_round_trip, _sync_oracle("SUCCESS"))
