@@ -3,18 +3,62 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeferry.llm import packing, token_files
+from lakeferry.llm import bitsliced, jaccard, lang_cnn, licences, mixing, packing, string_kernel, token_files
 from lakeferry.llm.common import table
 from lakeferry.session import scratch_path, staged
 
 
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in all lines of all documents."""
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+def op4_bitsliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 20 integer inner products of every twentieth vector against all others."""
+    return bitsliced.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> string_kernel.Model | None:
+    learn = F.crc32(F.col("doc_id").cast("string")) % 3 != 1
+    return string_kernel.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; rows whose crc32 leaves 1 are held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = string_kernel.predict(docs, toxicity_model(spark, sf_dir))
+    return scored.select(
+        "doc_id",
+        (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"),
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document and its place in a sequence of 1024 tokens."""
     pieces = staged(packing.pieces(table(spark, sf_dir, "documents")), "packing-pieces")
     return packing.pack(pieces)
 
 
+def language_model(spark: SparkSession, sf_dir: str) -> lang_cnn.Model | None:
+    learn = F.crc32(F.col("doc_id").cast("string")) % 4 != 2
+    return lang_cnn.fit(table(spark, sf_dir, "documents"), learn)
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; rows whose crc32 leaves 2 are held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lang_cnn.predict(docs, language_model(spark, sf_dir)).select(
+        "doc_id",
+        (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out"),
+        "lang_pred",
+        "score",
+    )
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, written and read back."""
     path = scratch_path(spark, "token-files")
@@ -22,8 +66,79 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.documents(spark, path)
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose five-word shingles are alike to three quarters."""
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slot of every document when sources mix by square roots of their sizes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).drop("text")
+
+
+TOXIC = 0.7
+
+OP4_SQL = """
+WITH q AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+         CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+  FROM q a JOIN q b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+OP9_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(
+    string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE
+    WHEN len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+  END AS s
+  FROM words
+), postings AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM postings a JOIN postings b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+  HAVING 100 * count(*) >= 75 * (min(a.n) + min(b.n) - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM documents
+  UNION
+  SELECT l.y, reach.r FROM reach JOIN links l ON l.x = reach.doc_id
+)
+SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(r) AS component_id
+FROM sets JOIN reach ON reach.doc_id = sets.doc_id
+GROUP BY sets.doc_id, len(s)
+"""
+
 QUERIES = {
+    "op2_licences": op2_licences,
+    "op4_bitsliced": op4_bitsliced,
+    "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
+    "op7_language": op7_language,
     "op8_token_files": op8_token_files,
+    "op9_jaccard": op9_jaccard,
+    "op10_mixing": op10_mixing,
+}
+ORACLES: dict[str, str] = {
+    "op4_bitsliced": OP4_SQL,
+    "op9_jaccard": OP9_SQL,
+    "op2_licences": licences.sql(),
+    "op10_mixing": mixing.SQL,
 }
-ORACLES: dict[str, str] = {}

@@ -34,7 +34,7 @@ def _byte_alphabet() -> dict[int, str]:
 class _Ragged(dict):
     """Text → index of an id list; the lists lie in one flat buffer."""
 
-    def __init__(self, encode) -> None:
+    def __init__(self, encode=None) -> None:
         super().__init__()
         self.encode = encode
         self.reset()
@@ -51,6 +51,14 @@ class _Ragged(dict):
         self.flat.extend(ids)
         return index
 
+    def extend(self, keys: list[str], ids: np.ndarray, lens: np.ndarray) -> None:
+        """New keys with their lists in a row."""
+        base = len(self.flat)
+        self.update(zip(keys, range(len(self.lens), len(self.lens) + len(keys)), strict=True))
+        self.starts.frombytes((base + np.cumsum(lens) - lens).astype(np.int64).tobytes())
+        self.lens.frombytes(lens.astype(np.int64).tobytes())
+        self.flat.frombytes(ids.astype(np.uint32).tobytes())
+
     def gather(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The lists at ``index`` in a row, and their lengths."""
         lens = np.frombuffer(self.lens, np.int64)[index]
@@ -61,12 +69,14 @@ class _Ragged(dict):
         return np.frombuffer(self.flat, np.uint32)[at], lens
 
 
-class _Odd(Exception):
-    """A text whose blanks are not all single and between non-blanks."""
+_ODD = -1  # a piece that is empty or begins or ends with white space
 
 
 class PieceEncoder:
-    def __init__(self, path: str, limit: int = 300_000) -> None:
+    """Pieces are kept by their text without the blank before them; the first piece of a text, which
+    has none, is kept with a blank put before it, as no other key has one."""
+
+    def __init__(self, path: str, limit: int = 400_000) -> None:
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
@@ -75,77 +85,75 @@ class PieceEncoder:
         self._model = Tokenizer.from_file(path).model
         self._split = regex.compile(public_tokenizers.PATTERN).findall
         self._alphabet = _byte_alphabet()
-        self._pretokens: dict[str, list[int]] = {}
-        self._pieces = _Ragged(self._piece)
-        self._texts = _Ragged(self._whole)
+        self._pretokens = _Ragged(self._pretoken)
+        self._pieces = _Ragged()
 
     def _pretoken(self, text: str) -> list[int]:
-        ids = self._pretokens.get(text)
-        if ids is None:
-            written = text.encode("utf-8", "surrogatepass").decode("latin1").translate(self._alphabet)
-            ids = self._pretokens[text] = [t.id for t in self._model.tokenize(written)]
-        return ids
-
-    def _whole(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self._pretoken, self._split(text))))
-
-    def _piece(self, piece: str) -> list[int]:
-        """Ids of a piece and the blank before it."""
-        if not piece or piece[0].isspace() or piece[-1].isspace():
-            raise _Odd
-        return self._whole(" " + piece)
+        written = text.encode("utf-8", "surrogatepass").decode("latin1").translate(self._alphabet)
+        return [t.id for t in self._model.tokenize(written)]
+
+    def _whole(self, text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """Ids of a text in a row, the length of each pretoken's part, and the pretokens."""
+        pretokens = self._split(text)
+        look = map(self._pretokens.__getitem__, pretokens)
+        ids, lens = self._pretokens.gather(np.fromiter(look, np.int64, len(pretokens)))
+        return ids, lens, pretokens
+
+    def _learn(self, new: set[str]) -> None:
+        whole: list[str] = []
+        for piece in new:
+            if piece[:1] == " ":  # the first of a text
+                if len(piece) == 1 or piece[-1].isspace():
+                    self._pieces[piece] = _ODD
+                else:
+                    ids, lens, _ = self._whole(piece[1:])
+                    self._pieces.extend([piece], ids, np.array([len(ids)]))
+            elif not piece or piece[0].isspace() or piece[-1].isspace():
+                self._pieces[piece] = _ODD
+            else:
+                whole.append(piece)
+        if whole:
+            ids, lens, pretokens = self._whole(" " + " ".join(whole))
+            begins = np.flatnonzero(np.fromiter((t[0] == " " for t in pretokens), bool, len(pretokens)))
+            self._pieces.extend(whole, ids, np.add.reduceat(lens, begins))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row (uint32), and the number of ids of each text."""
-        if len(self._pieces) > self.limit:
-            self._pieces.reset()
-        if len(self._pretokens) > self.limit:
-            self._pretokens.clear()
-        parts, counts = [], np.zeros(len(texts), np.int64)
-        index: list[np.ndarray] = []
-        sizes: list[int] = []
+        for memo in (self._pieces, self._pretokens):
+            if len(memo) > self.limit:
+                memo.reset()
+        split = [(" " + t).split(" ")[1:] if t else [] for t in texts]
+        for pieces in split:
+            if pieces:
+                pieces[0] = " " + pieces[0]
+        new = set().union(*split) - self._pieces.keys()
+        if new:
+            self._learn(new)
         look = self._pieces.__getitem__
-
-        def flush(until: int) -> None:
-            if index:
-                ids, lens = self._pieces.gather(np.concatenate(index))
-                ends = np.cumsum(sizes)
-                sums = np.concatenate(([0], np.cumsum(lens)))[ends]
-                counts[until - len(sizes) : until] = np.diff(sums, prepend=0)
+        index = [np.fromiter(map(look, pieces), np.int64, len(pieces)) for pieces in split]
+        parts: list[np.ndarray] = []
+        counts = np.zeros(len(texts), np.int64)
+        run: list[int] = []
+
+        def flush() -> None:
+            if run:
+                ids, lens = self._pieces.gather(np.concatenate([index[i] for i in run]))
+                sums = np.concatenate(([0], np.cumsum(lens)))
+                counts[run] = np.diff(sums[np.cumsum([0] + [len(index[i]) for i in run])])
                 parts.append(ids)
-                index.clear()
-                sizes.clear()
-
-        for i, text in enumerate(texts):
-            pieces = (text or "").split(" ")
-            try:
-                if not text or pieces[0] == "" or pieces[0][-1].isspace():
-                    raise _Odd
-                rest = np.fromiter(map(look, pieces[1:]), np.int64, len(pieces) - 1)
-            except _Odd:
-                flush(i)
-                ids = np.array(self._whole(text or ""), np.uint32)
+                run.clear()
+
+        for i, own in enumerate(index):
+            if len(own) and own.min() == _ODD:
+                flush()
+                ids, _, _ = self._whole(texts[i])
                 parts.append(ids)
                 counts[i] = len(ids)
-                continue
-            # the first piece has no blank before it: it is kept under a key no piece can have
-            first = self._pieces.get(" " + pieces[0])
-            if first is None:
-                first = self._first(pieces[0])
-            index.append(np.concatenate(([first], rest)))
-            sizes.append(len(pieces))
-        flush(len(texts))
+            elif len(own):
+                run.append(i)
+        flush()
         return (np.concatenate(parts) if parts else np.zeros(0, np.uint32)), counts
 
-    def _first(self, piece: str) -> int:
-        store = self._pieces
-        ids = self._whole(piece)
-        index = store[" " + piece] = len(store.lens)
-        store.starts.append(len(store.flat))
-        store.lens.append(len(ids))
-        store.flat.extend(ids)
-        return index
-
 
 def encoder(path: str) -> PieceEncoder:
     """One encoder per worker process and vocabulary file."""
