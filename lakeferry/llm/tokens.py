@@ -1,17 +1,17 @@
 """Byte-level BPE ids of whole texts, memoised per space-delimited piece.
 
 The byte-level pre-tokenizer splits a text at every single blank between two non-blanks, whatever
-stands around it, so the ids of a text are the ids of its pieces in a row. A piece is split by the
-tokenizer's own pattern and encoded by the ``tokenizers`` model when it is first seen; both memos
-are emptied at a fixed number of entries, so memory is bounded. The result equals
-``Tokenizer.encode(text, add_special_tokens=False)`` with ``encode_special_tokens`` on, which the
-tests check.
+stands around it, so the ids of a text are the ids of its pieces in a row. Pieces not seen before are
+encoded by the ``tokenizers`` library, many in one call; the memo is emptied at a fixed number of
+entries, so memory is bounded. The result equals ``Tokenizer.encode(text, add_special_tokens=False)``
+with ``encode_special_tokens`` on (the texts of special tokens are ordinary text), which the tests
+check.
 """
 
 from __future__ import annotations
 
+import os
 from array import array
-from itertools import chain
 
 import numpy as np
 
@@ -24,135 +24,109 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _byte_alphabet() -> dict[int, str]:
-    """Byte-level BPE writes a byte as a printable character: itself, or one from 256 upwards."""
-    keep = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    rest = [b for b in range(256) if b not in keep]
-    return {b: chr(b) if b in keep else chr(256 + rest.index(b)) for b in range(256)}
+class _Memo(dict):
+    """Piece → number, in the order in which pieces are first asked for."""
 
-
-class _Ragged(dict):
-    """Text → index of an id list; the lists lie in one flat buffer."""
-
-    def __init__(self, encode=None) -> None:
+    def __init__(self) -> None:
         super().__init__()
-        self.encode = encode
-        self.reset()
-
-    def reset(self) -> None:
-        self.clear()
-        self.flat, self.starts, self.lens = array("I"), array("q"), array("q")
-
-    def __missing__(self, key: str) -> int:
-        ids = self.encode(key)
-        index = self[key] = len(self.lens)
-        self.starts.append(len(self.flat))
-        self.lens.append(len(ids))
-        self.flat.extend(ids)
-        return index
-
-    def extend(self, keys: list[str], ids: np.ndarray, lens: np.ndarray) -> None:
-        """New keys with their lists in a row."""
-        base = len(self.flat)
-        self.update(zip(keys, range(len(self.lens), len(self.lens) + len(keys)), strict=True))
-        self.starts.frombytes((base + np.cumsum(lens) - lens).astype(np.int64).tobytes())
-        self.lens.frombytes(lens.astype(np.int64).tobytes())
-        self.flat.frombytes(ids.astype(np.uint32).tobytes())
-
-    def gather(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The lists at ``index`` in a row, and their lengths."""
-        lens = np.frombuffer(self.lens, np.int64)[index]
-        starts = np.frombuffer(self.starts, np.int64)[index]
-        ends = np.cumsum(lens)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.arange(total) + np.repeat(starts - (ends - lens), lens)
-        return np.frombuffer(self.flat, np.uint32)[at], lens
+        self.new: list[str] = []
 
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        self.new.append(piece)
+        return number
 
-_ODD = -1  # a piece that is empty or begins or ends with white space
+
+_ODD = -1  # length of a piece that is empty or begins or ends with white space
 
 
 class PieceEncoder:
     """Pieces are kept by their text without the blank before them; the first piece of a text, which
     has none, is kept with a blank put before it, as no other key has one."""
 
-    def __init__(self, path: str, limit: int = 400_000) -> None:
-        import public_tokenizers
-        import regex
+    def __init__(self, path: str, limit: int = 600_000) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.limit = limit
-        self._model = Tokenizer.from_file(path).model
-        self._split = regex.compile(public_tokenizers.PATTERN).findall
-        self._alphabet = _byte_alphabet()
-        self._pretokens = _Ragged(self._pretoken)
-        self._pieces = _Ragged()
-
-    def _pretoken(self, text: str) -> list[int]:
-        written = text.encode("utf-8", "surrogatepass").decode("latin1").translate(self._alphabet)
-        return [t.id for t in self._model.tokenize(written)]
-
-    def _whole(self, text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """Ids of a text in a row, the length of each pretoken's part, and the pretokens."""
-        pretokens = self._split(text)
-        look = map(self._pretokens.__getitem__, pretokens)
-        ids, lens = self._pretokens.gather(np.fromiter(look, np.int64, len(pretokens)))
-        return ids, lens, pretokens
-
-    def _learn(self, new: set[str]) -> None:
-        whole: list[str] = []
-        for piece in new:
-            if piece[:1] == " ":  # the first of a text
-                if len(piece) == 1 or piece[-1].isspace():
-                    self._pieces[piece] = _ODD
-                else:
-                    ids, lens, _ = self._whole(piece[1:])
-                    self._pieces.extend([piece], ids, np.array([len(ids)]))
-            elif not piece or piece[0].isspace() or piece[-1].isspace():
-                self._pieces[piece] = _ODD
-            else:
-                whole.append(piece)
-        if whole:
-            ids, lens, pretokens = self._whole(" " + " ".join(whole))
-            begins = np.flatnonzero(np.fromiter((t[0] == " " for t in pretokens), bool, len(pretokens)))
-            self._pieces.extend(whole, ids, np.add.reduceat(lens, begins))
+        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer.encode_special_tokens = True
+        vocabulary = self._tokenizer.get_vocab()
+        self._blank = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._blank[[i for t, i in vocabulary.items() if t[0] == "\u0120"]] = True
+        self._reset()
+
+    def _reset(self) -> None:
+        self._memo = _Memo()
+        self._flat, self._starts, self._lens = array("I"), array("q"), array("q")
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        done = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in done]
+
+    def _learn(self) -> None:
+        new, self._memo.new = self._memo.new, []
+        lens, starts = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        firsts, others = [], []
+        for i, piece in enumerate(new):
+            if piece[:1] == " ":
+                if len(piece) > 1 and not piece[-1].isspace():
+                    firsts.append(i)
+                    continue
+            elif piece and not piece[0].isspace() and not piece[-1].isspace():
+                others.append(i)
+                continue
+            lens[i] = _ODD
+        at = len(self._flat)
+        if others:
+            # a token with a blank in it begins a piece: pieces hold no other blanks
+            (ids,) = self._ids([" " + " ".join([new[i] for i in others])])
+            begins = np.flatnonzero(self._blank[ids])
+            starts[others] = at + begins
+            lens[others] = np.diff(begins, append=len(ids))
+            self._flat.frombytes(ids.tobytes())
+            at += len(ids)
+        for i, ids in zip(firsts, self._ids([new[i][1:] for i in firsts]), strict=True):
+            starts[i], lens[i] = at, len(ids)
+            self._flat.frombytes(ids.tobytes())
+            at += len(ids)
+        self._starts.frombytes(starts.tobytes())
+        self._lens.frombytes(lens.tobytes())
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row (uint32), and the number of ids of each text."""
-        for memo in (self._pieces, self._pretokens):
-            if len(memo) > self.limit:
-                memo.reset()
-        split = [(" " + t).split(" ")[1:] if t else [] for t in texts]
-        for pieces in split:
+        if len(self._memo) > self.limit:
+            self._reset()
+        look = self._memo.__getitem__
+        index = []
+        for text in texts:
+            pieces = text.split(" ") if text else []
             if pieces:
                 pieces[0] = " " + pieces[0]
-        new = set().union(*split) - self._pieces.keys()
-        if new:
-            self._learn(new)
-        look = self._pieces.__getitem__
-        index = [np.fromiter(map(look, pieces), np.int64, len(pieces)) for pieces in split]
-        parts: list[np.ndarray] = []
-        counts = np.zeros(len(texts), np.int64)
-        run: list[int] = []
-
-        def flush() -> None:
-            if run:
-                ids, lens = self._pieces.gather(np.concatenate([index[i] for i in run]))
-                sums = np.concatenate(([0], np.cumsum(lens)))
-                counts[run] = np.diff(sums[np.cumsum([0] + [len(index[i]) for i in run])])
-                parts.append(ids)
-                run.clear()
-
-        for i, own in enumerate(index):
-            if len(own) and own.min() == _ODD:
-                flush()
-                ids, _, _ = self._whole(texts[i])
-                parts.append(ids)
-                counts[i] = len(ids)
-            elif len(own):
-                run.append(i)
-        flush()
-        return (np.concatenate(parts) if parts else np.zeros(0, np.uint32)), counts
+            index.append(np.fromiter(map(look, pieces), np.int64, len(pieces)))
+        self._learn()
+        every = np.concatenate(index) if index else np.zeros(0, np.int64)
+        cuts = np.cumsum([0] + [len(i) for i in index])
+        lens = np.frombuffer(self._lens, np.int64)[every]
+        starts = np.frombuffer(self._starts, np.int64)[every]
+        odd = np.concatenate(([0], np.cumsum(lens == _ODD)))
+        odd_texts = np.flatnonzero(odd[cuts[1:]] > odd[cuts[:-1]])
+        for i in odd_texts.tolist():
+            lens[cuts[i] : cuts[i + 1]] = 0
+        ends = np.cumsum(lens)
+        total = int(ends[-1]) if len(ends) else 0
+        at = np.arange(total) + np.repeat(starts - (ends - lens), lens)
+        ids = np.frombuffer(self._flat, np.uint32)[at]
+        sums = np.concatenate(([0], ends))[cuts]
+        counts = np.diff(sums)
+        if len(odd_texts):
+            parts, done = [], 0
+            for i, own in zip(odd_texts.tolist(), self._ids([texts[i] for i in odd_texts]), strict=True):
+                parts += [ids[done : sums[i]], own]
+                done = sums[i]
+                counts[i] = len(own)
+            ids = np.concatenate([*parts, ids[done:]])
+        return ids, counts
 
 
 def encoder(path: str) -> PieceEncoder:
