@@ -4,10 +4,11 @@ Two words are similar by the letter triples they share as gapped subsequences: a
 ``s`` letters counts ``decay ** s`` (spans up to 7), so insults with left-out, swapped or inserted
 characters stay close to the plain word. The kernel is the normalised dot product of these weights
 to the power ``sharpness``, which is a kernel too. Landmark words are chosen from the training rows
-(those that tell the classes apart best, and the most frequent others); a text's view is the largest
-kernel value of its words to each landmark, mapped by the Nyström factor of the landmarks' own kernel
-matrix. A linear support vector machine is trained on these views, and its margin is turned into a
-probability by a logistic fit.
+(those that occur far more often in toxic texts than chance explains); a word's view is its kernel
+values to the landmarks, mapped by the Nyström factor of the landmarks' own kernel matrix. A linear
+support vector machine separates words. Labels belong to texts, so it is trained on witnesses: each
+labelled text is represented by its words nearest to a landmark, which together weigh one. A text's margin is the largest of its words', which a long
+harmless text does not raise by its length; a logistic fit makes it a probability.
 
 Words are the lower-cased runs between white space, stripped of everything but letters; runs of
 single letters ("i d i o t") count as one word too, and a word longer than 16 letters is read in
@@ -16,7 +17,7 @@ overlapping windows of 16. Values under ``floor`` count as 0. All words of all o
 Trained in numpy on the driver on a bounded sample of labelled rows (about ``per_class`` rows a
 class, chosen by a hash of the id), with a fixed seed.
 
-Defined results: null or empty texts have an all-zero view and the score that belongs to it; without
+Defined results: null or empty texts have the score of a word without a view; without
 rows of both classes every score is 0; repeated rows score alike; extra columns are kept.
 """
 
@@ -76,9 +77,9 @@ class Kernel:
     """Kernel values of words to the landmarks."""
 
     landmarks: list[str]
-    decay: float = 0.7
-    sharpness: int = 4
-    floor: float = 0.1
+    decay: float = 0.85
+    sharpness: int = 2
+    floor: float = 0.2
     table: np.ndarray = field(init=False)
     used: np.ndarray = field(init=False)
 
@@ -126,44 +127,40 @@ class Kernel:
 
 
 class Views:
-    """Views of texts, with a bounded memo from raw word to its row of kernel values."""
+    """Kernel values of raw words, with a bounded memo from raw word to the number of its row; row 0
+    is that of words without any similarity."""
 
-    def __init__(self, kernel: Kernel, limit: int = 300_000) -> None:
+    def __init__(self, kernel: Kernel, limit: int = 400_000) -> None:
         self.kernel, self.limit = kernel, limit
         self._reset()
 
     def _reset(self) -> None:
         self._row: dict[str, int] = {}
-        self._rows = np.zeros((1, len(self.kernel.landmarks)), np.float32)  # row 0: no similarity
+        self.rows = np.zeros((1, len(self.kernel.landmarks)), np.float32)
 
     def _learn(self, raw: set[str]) -> None:
         words = list(raw)
         cut = [_cut(letters(w)) for w in words]
-        flat = [c for own in cut for c in own]
-        values = self.kernel.values(flat)
+        values = self.kernel.values([c for own in cut for c in own])
         ends = np.cumsum([len(c) for c in cut])
         best = np.maximum.reduceat(values, np.concatenate(([0], ends[:-1])), axis=0)
         hit = best.any(axis=1)
         index = np.zeros(len(words), np.int64)
-        index[hit] = len(self._rows) + np.arange(int(hit.sum()))
-        self._rows = np.concatenate((self._rows, best[hit]))
+        index[hit] = len(self.rows) + np.arange(int(hit.sum()))
+        self.rows = np.concatenate((self.rows, best[hit]))
         self._row.update(zip(words, index.tolist(), strict=True))
 
-    def of(self, texts: list[str | None]) -> np.ndarray:
+    def of(self, texts: list[str | None]) -> list[list[int]]:
+        """Numbers of the rows of each text's words, 0 always among them. They hold until the next
+        call."""
         if len(self._row) > self.limit:
             self._reset()
         split = [_words(t) for t in texts]
-        new = set().union(*map(set, split)) - self._row.keys()
+        new = set().union(*split) - self._row.keys()
         if new:
             self._learn(new)
-        out = np.zeros((len(texts), len(self.kernel.landmarks)), np.float32)
         look = self._row.__getitem__
-        for i, words in enumerate(split):
-            rows = {*map(look, words)}
-            rows.discard(0)
-            if rows:
-                out[i] = self._rows[list(rows)].max(axis=0)
-        return out
+        return [list({0, *map(look, words)}) for words in split]
 
 
 def _words(text: str | None) -> list[str]:
@@ -191,12 +188,17 @@ class Model:
     slope: float
     shift: float
 
-    def scores(self, views: np.ndarray) -> np.ndarray:
-        margin = views @ (self.factor @ self.weights) + self.bias
-        return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30)))
+    def margins(self, rows: np.ndarray) -> np.ndarray:
+        return rows @ (self.factor @ self.weights) + self.bias
+
+    def scores(self, views: Views, texts: list[str | None]) -> np.ndarray:
+        found = views.of(texts)
+        margin = self.margins(views.rows)
+        best = np.array([margin[own].max() for own in found])
+        return 1 / (1 + np.exp(-np.clip(self.slope * best + self.shift, -30, 30)))
 
 
-def _landmarks(rows: list[tuple[str, int]], count: int) -> list[str]:
+def _landmarks(rows: list[tuple[str, int]], count: int, surprise: float = 4.5) -> list[str]:
     seen: dict[int, Counter[str]] = {0: Counter(), 1: Counter()}
     sizes = Counter(y for _, y in rows)
     for text, y in rows:
@@ -210,15 +212,19 @@ def _landmarks(rows: list[tuple[str, int]], count: int) -> list[str]:
         spread = np.sqrt(p * (1 - p) * (1 / sizes[0] + 1 / sizes[1])) or 1.0
         return (a / sizes[1] - b / sizes[0]) / spread
 
-    strong = sorted(words, key=lambda w: (-contrast(w), w))[: count // 2]
-    rest = sorted(set(words) - set(strong), key=lambda w: (-seen[0][w], w))
-    return strong + rest[: count - len(strong)]
+    ranked = sorted(words, key=lambda w: (-contrast(w), w))[:count]
+    least = max(surprise, contrast(ranked[0]) / 2) if ranked else surprise
+    return [w for w in ranked if seen[1][w] > 2 and contrast(w) >= least] or ranked[:8]
 
 
 def train(
-    rows: list[tuple[str, int]], *, landmarks: int = 32, rounds: int = 400, ridge: float = 1e-3
+    rows: list[tuple[str, int]],
+    *,
+    landmarks: int = 32,
+    rounds: int = 1000,
+    ridge: float = 1e-3,
 ) -> Model | None:
-    """Squared-hinge machine by gradient steps with momentum; None unless both classes are there."""
+    """None unless both classes are there."""
     if {y for _, y in rows} != {0, 1}:
         return None
     chosen = _landmarks(rows, landmarks)
@@ -229,24 +235,36 @@ def train(
     own = (own + own.T) / 2 + 1e-6 * np.eye(len(own))
     values, vectors = np.linalg.eigh(own)
     factor = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
-    view = Views(kernel)
-    x = np.concatenate([view.of([t for t, _ in rows[i : i + 64]]) for i in range(0, len(rows), 64)])
-    z = x.astype(float) @ factor
+    view = Views(kernel, limit=1 << 62)
+    bags = [own for i in range(0, len(rows), 64) for own in view.of([t for t, _ in rows[i : i + 64]])]
+    mapped = view.rows.astype(float) @ factor
     y = np.array([y for _, y in rows])
+    closest = view.rows.max(axis=1)
+    picked = [[r for r in own if closest[r] >= 0.9 * closest[own].max()] for own in bags]
+    share = np.concatenate([np.full(len(p), 1 / len(p)) for p in picked])
+    truth = np.repeat(y, [len(p) for p in picked])
+    w, b = _separate(mapped[np.concatenate(picked)], truth, share, rounds, ridge)
+    margin = mapped @ w + b
+    margin = np.array([margin[own].max() for own in bags])
+    slope, shift = _logistic(margin, y)
+    return Model(kernel, factor, w, b, slope, shift)
+
+
+def _separate(
+    z: np.ndarray, y: np.ndarray, share: np.ndarray, rounds: int, ridge: float
+) -> tuple[np.ndarray, float]:
+    """Squared-hinge machine, classes weighing the same, by gradient steps with momentum."""
     sign = np.where(y == 1, 1.0, -1.0)
-    # each class weighs the same
-    weight = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())
+    weight = share * np.where(y == 1, 0.5 / share[y == 1].sum(), 0.5 / share[y == 0].sum())
     w, b = np.zeros(z.shape[1]), 0.0
-    rate = 0.5 / (2 * float((weight[:, None] * (z**2)).sum()) + 2 + ridge)
+    rate = 0.5 / (2 * float((weight[:, None] * z**2).sum()) + 2 + ridge)
     move, move_b = np.zeros_like(w), 0.0
     for _ in range(rounds):
         slack = np.maximum(0, 1 - sign * (z @ w + b)) * weight * sign
         move = 0.9 * move + rate * (2 * slack @ z - ridge * w)
         move_b = 0.9 * move_b + rate * 2 * slack.sum()
         w, b = w + move, b + move_b
-    margin = z @ w + b
-    slope, shift = _logistic(margin, y)
-    return Model(kernel, factor, w, b, slope, shift)
+    return w, b
 
 
 def _logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -310,7 +328,7 @@ def predict(docs: DataFrame, model: Model | None, column: str = "score") -> Data
             keep = [n for n in batch.schema.names if n != column]
             for part in slices(batch, "text"):
                 texts = part.column("text").to_pylist()
-                scores = machine.scores(view.of(texts)) if machine else np.zeros(len(texts))
+                scores = machine.scores(view, texts) if machine else np.zeros(len(texts))
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(part.schema.names.index(n)) for n in keep], pa.array(scores, pa.float64())],
                     names=[*keep, column],
