@@ -108,13 +108,8 @@ def scan(
         .where(F.col("_words").isNotNull() & (F.size("_words") - 1 >= low))
         .select("doc_id", (F.col("_at") - 1).alias("line"), _bigrams(F.col("_words")).alias("_g"))
         .where((F.size("_g") >= low) & (F.size("_g") <= high))
-        .select(
-            F.monotonically_increasing_id().alias("_unit"),
-            "doc_id",
-            "line",
-            F.size("_g").alias("a"),
-            F.explode("_g").alias("bigram"),
-        )
+        .select(F.monotonically_increasing_id().alias("_unit"), "doc_id", "line", "_g")
+        .select("_unit", "doc_id", "line", F.size("_g").alias("a"), F.explode("_g").alias("bigram"))
     )
     t = F.lit(threshold)
     shared = (
