@@ -1,21 +1,28 @@
 from lakeferry.functions.information import information_value
-from lakeferry.functions.joins import grouped_lookup, lookup
-from lakeferry.functions.json_objects import as_object, keep_keys, mentions_any, strip_object
+from lakeferry.functions.joins import grouped_lookup, last_answer, lookup
+from lakeferry.functions.json_objects import drop_keys, is_object, replace_members
 from lakeferry.functions.names import quote, quote_if_needed, quoted_literal, sql_text
-from lakeferry.functions.paths import contains_pairs, path_prefixes
+from lakeferry.functions.paths import (
+    contained_texts,
+    containing_texts,
+    contains_pairs,
+    path_prefixes,
+)
 
 __all__ = [
-    "as_object",
+    "contained_texts",
+    "containing_texts",
     "contains_pairs",
+    "drop_keys",
     "grouped_lookup",
     "information_value",
-    "keep_keys",
+    "is_object",
+    "last_answer",
     "lookup",
-    "mentions_any",
     "path_prefixes",
     "quote",
     "quote_if_needed",
     "quoted_literal",
+    "replace_members",
     "sql_text",
-    "strip_object",
 ]

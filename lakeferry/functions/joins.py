@@ -22,3 +22,13 @@ def lookup(df: DataFrame, *keys: str) -> DataFrame:
 def grouped_lookup(df: DataFrame, keys: list[str], *values: Column) -> DataFrame:
     """One row per ``keys`` with aggregated values."""
     return df.groupBy(*keys, F.hash(*keys).alias(_SPREAD)).agg(*values).drop(_SPREAD)
+
+
+def last_answer(rows: DataFrame, keys: list[str], *values: str, time: str = "answered_at") -> DataFrame:
+    """One row per ``keys`` with ``answer``, the values of the latest row by ``time``.
+
+    Rows without the column count as equally old; of equally old rows the largest values stay.
+    """
+    value = F.struct(*values)
+    age = F.col(time) if time in rows.columns else F.lit(0)
+    return grouped_lookup(rows, keys, F.max_by(value, F.struct(age, value)).alias("answer"))

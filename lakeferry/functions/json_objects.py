@@ -1,53 +1,120 @@
-"""Editing JSON objects without a fixed schema.
+"""Editing JSON text token by token.
 
-Documents are read as ``map<string, variant>``, so keys nobody declared survive an edit and
-numbers, booleans and nulls keep their kind.
+A document is split into its tokens and folded once with a stack of the containers that are open.
+Members are left out, everything else is written as it stood, so numbers, escapes and order survive
+and there is no limit to the depth. Objects inside lists are left alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_OBJECT = "map<string,variant>"
+_TOKENS = r'"(?:[^"\\]|\\.)*"|[{}\[\]:,]|[^\s{}\[\]:,"]+|\s+'
 
 
-def as_object(json_text: Column) -> Column:
-    """JSON text to a one-level map; null when the text is not an object."""
-    return F.from_json(json_text, _OBJECT)
+def is_object(json_text: Column) -> Column:
+    """Whether a text is one JSON object and nothing else (null for a null text)."""
+    opens = F.ltrim(json_text).startswith("{")
+    # the parser stops after the first value, the edit notices what follows it
+    return opens & F.try_parse_json(json_text).isNotNull() & _fold(json_text, lambda *_: "false", {}).isNotNull()
 
 
 def mentions_any(json_text: Column, keys: Sequence[str]) -> Column:
-    """Whether any key occurs in the text at all; cheap enough to guard a full parse."""
-    return reduce(lambda a, b: a | b, [F.contains(json_text, F.lit(key)) for key in keys])
+    """Whether a key can occur in the text, spelled out or with an escape; guards the edit."""
+    plain = [F.contains(json_text, F.lit(key)) for key in keys]
+    return reduce(lambda a, b: a | b, plain, F.contains(json_text, F.lit("\\")))
 
 
-def keep_keys(fields: Column, drop: Sequence[str]) -> Column:
-    names = list(drop)
-    return F.map_filter(fields, lambda key, _: ~key.isin(names))
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
-def strip_object(fields: Column, drop: Sequence[str], depth: int = 8) -> Column:
-    """Remove ``drop`` from an object and from every object nested in it, but not inside lists.
+def _names(keys: Sequence[str]) -> str:
+    return ", ".join(_quoted(k) for k in keys)
 
-    A document nested deeper than ``depth`` fails the query instead of passing half edited.
+
+def _fold(
+    json_text: Column, drop: Callable[[str, str, str], str], insert: Mapping[str, str]
+) -> Column:
+    """The edited text; null unless tokens cover the text and make up one closed object.
+
+    ``drop`` gives a condition on a member from its decoded name, its level (1 for members of the
+    document) and the name of the level-1 member it is in. ``insert`` maps a level-1 member to the
+    text of members that are put at the end of its object.
     """
-    kept = keep_keys(fields, drop)
-    if depth == 0:
-        too_deep = F.raise_error(F.lit("object nested too deep: pass a larger depth"))
-        return F.transform_values(
-            kept,
-            lambda _, v: F.when(
-                F.try_variant_get(v, "$", _OBJECT).isNotNull(), too_deep.cast("variant")
-            ).otherwise(v),
+    # stack: o an object nothing was kept of yet, O one with kept members, a a list
+    last, level, in_list = "right(s.stack, 1)", "length(s.stack)", "instr(s.stack, 'a') > 0"
+    is_key = f"s.key AND s.skip < 0 AND {last} IN ('o', 'O') AND t LIKE '\"%'"
+    name = "if(instr(t, '\\\\') > 0, get_json_object(concat('[', t, ']'), '$[0]'), substring(t, 2, length(t) - 2))"
+    dropped = f"({is_key} AND NOT ({in_list}) AND ({drop(name, level, 's.top')}))"
+    free_comma = f"(t = ',' AND {last} IN ('o', 'O') AND NOT ({in_list}))"
+    added = "''"
+    for member, text in insert.items():
+        added = (
+            f"if({level} = 2 AND s.top = {_quoted(member)} AND {last} IN ('o', 'O'),"
+            f" concat(if({last} = 'O', ',', ''), {_quoted(text)}), {added})"
         )
-    return F.transform_values(
-        kept,
-        lambda _, v: F.coalesce(
-            F.to_variant_object(strip_object(F.try_variant_get(v, "$", _OBJECT), drop, depth - 1)),
-            v,
-        ),
-    )
+    ends_skip = f"s.skip = {level} AND t IN ('}}', ',')"
+    step = f"""struct(
+      CASE
+        WHEN t = '{{' THEN concat(s.stack, 'o')
+        WHEN t = '[' THEN concat(s.stack, 'a')
+        WHEN t = '}}' THEN if({last} IN ('o', 'O'), left(s.stack, {level} - 1), concat(s.stack, 'x'))
+        WHEN t = ']' THEN if({last} = 'a', left(s.stack, {level} - 1), concat(s.stack, 'x'))
+        WHEN {is_key} AND NOT {dropped} THEN concat(left(s.stack, {level} - 1), 'O')
+        ELSE s.stack END AS stack,
+      CASE WHEN {dropped} THEN {level} WHEN {ends_skip} THEN -1 ELSE s.skip END AS skip,
+      CASE
+        WHEN s.skip >= 0 AND NOT ({ends_skip}) THEN ''
+        WHEN {free_comma} THEN if({last} = 'O', ',', '')
+        WHEN t RLIKE '^\\\\s' AND s.held <> '' THEN concat(s.held, t)
+        WHEN {dropped} THEN s.held
+        ELSE '' END AS held,
+      CASE WHEN t = '{{' THEN true WHEN t = ',' THEN {last} IN ('o', 'O')
+        WHEN t RLIKE '^\\\\s' THEN s.key ELSE false END AS key,
+      if({is_key} AND {level} = 1, {name}, s.top) AS top,
+      s.roots + if({level} = 0 AND t NOT RLIKE '^\\\\s', 1, 0) AS roots,
+      CASE
+        WHEN s.skip >= 0 AND NOT ({ends_skip}) OR {dropped} OR {free_comma} THEN s.out
+        WHEN t RLIKE '^\\\\s' AND s.held <> '' THEN s.out
+        WHEN t = '}}' THEN concat(s.out, {added}, t)
+        ELSE concat(s.out, s.held, t) END AS out)"""
+    start = "struct('' AS stack, -1 AS skip, '' AS held, false AS key, '' AS top, 0 AS roots, '' AS out)"
+    tokens = F.regexp_extract_all(json_text, F.lit(_TOKENS), F.lit(0))
+    whole = F.array_join(tokens, "") == json_text
+    end = F.call_function("aggregate", tokens, F.expr(start), F.expr(f"(s, t) -> {step}"))
+    # a field of the state is read through a one-element transform, so that the fold runs once
+    text = F.transform(
+        F.array(end),
+        lambda s: F.when((s["stack"] == "") & (s["roots"] == 1) & (s["skip"] < 0), s["out"]),
+    )[0]
+    return F.when(whole, text)
+
+
+def drop_keys(json_text: Column, keys: Sequence[str]) -> Column:
+    """Remove ``keys`` from an object and from every object nested in it, but not inside lists.
+
+    A text that is no JSON object comes back as it is.
+    """
+    edited = _fold(json_text, lambda name, level, top: f"{name} IN ({_names(keys)})", {})
+    return F.when(mentions_any(json_text, keys) & is_object(json_text), edited).otherwise(json_text)
+
+
+def replace_members(
+    json_text: Column, member: str, values: Mapping[str, str], drop: Sequence[str] = ()
+) -> Column:
+    """Set members of the object ``member`` of a JSON object to ``values`` (JSON texts) and remove
+    the keys ``drop`` everywhere but inside lists; null when the text is no JSON object."""
+
+    def gone(name: str, level: str, top: str) -> str:
+        anywhere = f"{name} IN ({_names(drop)}) OR " if drop else ""
+        return f"{anywhere}({level} = 2 AND {top} = {_quoted(member)} AND {name} IN ({_names(list(values))}))"
+
+    added = ",".join(f"{json.dumps(k)}:{v}" for k, v in values.items())
+    return F.when(is_object(json_text), _fold(json_text, gone, {member: added}))

@@ -19,6 +19,25 @@ def contains_pairs(longer: DataFrame, shorter: DataFrame) -> DataFrame:
     occurs. The work follows the texts and the matches, not the product of the two sides; the list
     of shapes is bounded by the longest path, not by the number of rows.
     """
+    cuts, shorter = _cuts(longer, shorter)
+    return cuts.join(shorter, "shorter").select("longer", "shorter").distinct()
+
+
+def contained_texts(longer: DataFrame, shorter: DataFrame) -> DataFrame:
+    """Texts of ``shorter`` that some longer text contains, as ``text``; no pairs are formed."""
+    cuts, shorter = _cuts(longer, shorter)
+    found = shorter.join(lookup(cuts, "shorter"), "shorter", "left_semi")
+    return found.select(F.col("shorter").alias("text"))
+
+
+def containing_texts(longer: DataFrame, shorter: DataFrame) -> DataFrame:
+    """Texts of ``longer`` that contain some text of ``shorter``, as ``text``."""
+    cuts, shorter = _cuts(longer, shorter)
+    return cuts.join(shorter, "shorter", "left_semi").select(F.col("longer").alias("text")).distinct()
+
+
+def _cuts(longer: DataFrame, shorter: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(longer, shorter) candidates cut out of the longer texts, and the distinct shorter texts."""
     shorter = lookup(
         shorter.select(F.col("text").alias("shorter")).where("shorter is not null"), "shorter"
     )
@@ -55,13 +74,15 @@ def contains_pairs(longer: DataFrame, shorter: DataFrame) -> DataFrame:
         )
         .select("longer", F.substr(text, F.col("start"), shape["size"]).alias("shorter"))
     )
-    return cuts.join(shorter, "shorter").select("longer", "shorter").distinct()
+    return cuts, shorter
 
 
 def path_prefixes(path: Column) -> Column:
-    """All prefixes of a path that end on a segment boundary, the path itself included."""
+    """All prefixes of a path that end on a segment boundary, the path itself included. Those of a
+    URI start after its authority: no location is only a scheme."""
     parts = F.split(F.rtrim(path, F.lit("/")), "/")
+    first = F.when(F.contains(path, F.lit("://")), F.least(F.lit(3), F.size(parts))).otherwise(1)
     return F.transform(
-        F.sequence(F.lit(1), F.size(parts)),
+        F.sequence(first, F.size(parts)),
         lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"),
     )

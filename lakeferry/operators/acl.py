@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from lakeferry.functions import lookup
+from lakeferry.functions import grouped_lookup, last_answer, lookup
 from lakeferry.schemas import ACL_ENTRIES, PERMISSIONS, SECRET_ACL_ENTRIES
 
 
@@ -87,50 +87,102 @@ MIGRATED_GROUPS = "uc_%"
 PERMISSION_SET = "Permission set Successfully"
 
 
-def listing(pages: DataFrame, kind: str, ids: DataFrame | None = None, page: str = "page") -> DataFrame:
-    """(artifact_type, name, id) of every object on landed listing pages, one page per row.
+def _page_schema(kinds: Sequence[str]) -> str:
+    """One schema that holds the list fields of all the kinds."""
+    lists: dict[str, dict[str, str]] = {}
+    for kind in kinds:
+        spec = KINDS[kind]
+        fields = lists.setdefault(spec.listing, {})
+        outer, _, inner = spec.name.partition(".")
+        fields[outer] = f"struct<{inner}:string>" if inner else "string"
+        fields[spec.id] = "string"
+        if spec.object_type:
+            fields["object_type"] = "string"
+    columns = (
+        f"{name}:array<struct<{','.join(f'{n}:{t}' for n, t in fields.items())}>>"
+        for name, fields in lists.items()
+    )
+    return f"struct<{','.join(columns)}>"
 
-    Registered models list names only; ``ids`` (name, model_id) supplies theirs. A page that is
-    not valid JSON fails the query, because a skipped page would lose objects.
-    """
+
+def _listed(document: Column, kind: str) -> Column:
+    """The objects of one kind on a page as (artifact_type, name, id)."""
     spec = KINDS[kind]
-    fields = {spec.name.split(".")[0]: "string", spec.id: "string"}
-    if "." in spec.name:
-        outer, inner = spec.name.split(".")
-        fields[outer] = f"struct<{inner}:string>"
+    items = document[spec.listing]
     if spec.object_type:
-        fields["object_type"] = "string"
-    element = ",".join(f"{n}:{t}" for n, t in fields.items())
-    schema = f"struct<{spec.listing}:array<struct<{element}>>>"
-    document = F.from_json(F.col(page), schema, {"mode": "FAILFAST"})
-    items = pages.select(F.explode(document[spec.listing]).alias("item"))
-    if spec.object_type:
-        items = items.where(
-            (F.col("item.object_type") == spec.object_type)
-            & ~F.col("item.path").startswith(REPOS_ROOT)
+        items = F.filter(
+            items,
+            lambda i: (i["object_type"] == spec.object_type) & ~i["path"].startswith(REPOS_ROOT),
+        )
+
+    def named(item: Column) -> Column:
+        name = item
+        for part in spec.name.split("."):
+            name = name[part]
+        return F.struct(
+            F.lit(spec.label).alias("artifact_type"), name.alias("name"), item[spec.id].alias("id")
         )
-    found = items.select(
-        F.lit(spec.label).alias("artifact_type"),
-        F.col(f"item.{spec.name}").alias("name"),
-        F.col(f"item.{spec.id}").alias("id"),
+
+    return F.coalesce(
+        F.transform(items, named), F.array().cast("array<struct<artifact_type:string,name:string,id:string>>")
     )
+
+
+def _one_row_per_object(found: DataFrame, ids: DataFrame | None) -> DataFrame:
+    """Overlapping pages list an object twice: it stays once. Registered models are listed by name
+    and get the id that ``ids`` has for it; a model without one keeps a null id."""
+    found = found.dropDuplicates(["artifact_type", "name", "id"])
     if ids is None:
         return found
-    return found.drop("id").join(
-        ids.select("name", F.col(spec.id_column).cast("string").alias("id")), "name"
-    ).select("artifact_type", "name", "id")
+    model = KINDS["MLFlow_Models"]
+    known = grouped_lookup(
+        ids.select("name", F.col(model.id_column).cast("string").alias("model_id")),
+        ["name"],
+        F.min("model_id").alias("model_id"),
+    )
+    is_model = F.col("artifact_type") == model.label
+    return found.join(known, "name", "left").select(
+        "artifact_type", "name", F.when(is_model, F.col("model_id")).otherwise(F.col("id")).alias("id")
+    )
+
+
+def listing(pages: DataFrame, kind: str, ids: DataFrame | None = None, page: str = "page") -> DataFrame:
+    """(artifact_type, name, id) of every object on landed listing pages, one page per row.
+
+    Registered models list names only; ``ids`` (name, model_id) supplies theirs. A page that is
+    not valid JSON fails the query, because a skipped page would lose objects.
+    """
+    document = F.from_json(F.col(page), _page_schema([kind]), {"mode": "FAILFAST"})
+    return _one_row_per_object(pages.select(F.inline(_listed(document, kind))), ids)
+
+
+def all_listings(
+    pages: DataFrame,
+    ids: DataFrame | None = None,
+    kinds: Sequence[str] = tuple(KINDS),
+    page: str = "page",
+) -> DataFrame:
+    """The listings of many kinds at once from pages with a ``kind`` column: each page is read and
+    parsed once, and gives the objects of its own kind."""
+    chosen = pages.where(F.col("kind").isin(list(kinds)))
+    parsed = chosen.select("kind", F.from_json(F.col(page), _page_schema(kinds), {"mode": "FAILFAST"}).alias("doc"))
+    objects = reduce(
+        lambda chain, kind: chain.when(F.col("kind") == kind, _listed(F.col("doc"), kind)), kinds, F
+    )
+    return _one_row_per_object(parsed.select(F.inline(objects)), ids)
 
 
 def parse_acl(df: DataFrame, doc: str = "doc") -> DataFrame:
     """ACL documents to ``perms``: entries of groups with their permission levels.
 
-    A document without a list gives one null entry.
+    A JSON document without a list gives one null entry. A document that is not JSON, such as a
+    truncated one, fails the query: read as "no list", its grants would vanish.
     """
     schema = (
         "struct<access_control_list:array<struct<group_name:string,"
         "all_permissions:array<struct<permission_level:string>>>>>"
     )
-    entries = F.from_json(F.col(doc), schema)["access_control_list"]
+    entries = F.from_json(F.col(doc), schema, {"mode": "FAILFAST"})["access_control_list"]
     groups = F.transform(
         F.filter(entries, lambda e: e["group_name"].isNotNull()),
         lambda e: F.struct(
@@ -163,12 +215,12 @@ def _null_entry(entries: ArrayType) -> Column:
 def attach_acl(objects: DataFrame, acls: DataFrame) -> DataFrame:
     """Objects with their parsed ACL by (artifact_type, id); one without an ACL has a null entry.
 
-    Secrets and the other types keep different entry types, so attach them in separate calls.
+    Secrets and the other types keep different entry types, so attach them in separate calls. Of
+    documents that landed twice for an object one counts (the largest, if they differ).
     """
     entries = acls.schema["perms"].dataType
-    joined = objects.join(
-        acls.select("artifact_type", "id", "perms"), ["artifact_type", "id"], "left"
-    )
+    keys = ["artifact_type", "id"]
+    joined = objects.join(grouped_lookup(acls, keys, F.max("perms").alias("perms")), keys, "left")
     return joined.select(
         "artifact_type", "name", "id", F.coalesce("perms", _null_entry(entries)).alias("perms")
     )
@@ -282,14 +334,13 @@ def permission_requests(permissions: DataFrame, host: str) -> DataFrame:
 
 def permission_status(permissions: DataFrame, responses: DataFrame) -> DataFrame:
     """Permission rows with the status of their response (artifact_type, id, new_group_names,
-    permission_level, status_code, content); a row without a response keeps its status."""
+    permission_level, status_code, content, answered_at). The last answer counts, so a retry that
+    succeeded does; a row without a response keeps its status."""
     keys = ["artifact_type", "id", "new_group_names", "permission_level"]
-    answered = responses.groupBy(*keys).agg(
-        F.max(F.struct("status_code", "content")).alias("response")
-    )
-    code, content = F.col("response.status_code"), F.col("response.content")
+    answered = last_answer(responses, keys, "status_code", "content")
+    code, content = F.col("answer.status_code"), F.col("answer.content")
     status = (
-        F.when(F.col("response").isNull(), F.col("permission_update_status"))
+        F.when(F.col("answer").isNull(), F.col("permission_update_status"))
         .when(code == 200, F.lit(PERMISSION_SET))
         .otherwise(F.concat(F.lit("Error: "), F.coalesce(content, F.lit(""))))
     )
@@ -300,7 +351,8 @@ def permission_status(permissions: DataFrame, responses: DataFrame) -> DataFrame
     )
 
 
-def artifact_counts(listings: Iterable[DataFrame]) -> DataFrame:
+def artifact_counts(listings: DataFrame | Iterable[DataFrame]) -> DataFrame:
     """Objects per type over listings that carry ``artifact_type``."""
-    rows = reduce(DataFrame.unionByName, [one.select("artifact_type") for one in listings])
-    return rows.groupBy("artifact_type").agg(F.count("*").alias("objects"))
+    if not isinstance(listings, DataFrame):
+        listings = reduce(DataFrame.unionByName, [one.select("artifact_type") for one in listings])
+    return listings.groupBy("artifact_type").agg(F.count("*").alias("objects"))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeferry.functions import lookup
-from lakeferry.operators.inventory import with_database_column
+from lakeferry.operators.inventory import DETAIL_MARKER, with_database_column
 
 
 def externalize_plan(
@@ -36,24 +39,58 @@ def externalize_plan(
     )
 
 
+def _description(spark: SparkSession, table: str) -> dict[str, str]:
+    """Label → value of the table's detail rows."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    at = next(i for i, r in enumerate(rows) if r["col_name"] == DETAIL_MARKER)
+    return {r["col_name"]: r["data_type"] for r in rows[at + 1 :]}
+
+
+def external_definition(spark: SparkSession, table: str, name: str, path: str) -> str:
+    """CREATE statement of an external table on ``path`` that is otherwise like ``table``: provider,
+    columns with their types (char and varchar included) and comments, partition columns, buckets,
+    options, table comment and properties."""
+    text = spark.sql(f"SHOW CREATE TABLE {table}").first()[0]
+    head, _, body = text.partition("(")
+    if not head.upper().startswith("CREATE TABLE"):
+        raise ValueError(f"{table} is not a managed data source table: {head.strip()}")
+    clause, found = re.subn(r"(?m)^USING (\S+)$", lambda m: f"{m[0]}\nLOCATION {quoted_text(path)}", body, count=1)
+    if not found:
+        raise ValueError(f"no provider in the definition of {table}")
+    return f"CREATE TABLE {name} ({clause}"
+
+
+def quoted_text(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def externalize(
-    spark: SparkSession, table: str, path: str, target: str | None = None, fmt: str = "parquet"
+    spark: SparkSession, table: str, path: str, target: str | None = None
 ) -> str:
-    """Copy a managed table onto ``path`` and register the copy as an external table.
+    """Copy a managed table onto ``path`` and register the copy as an external table with the same
+    definition.
 
-    The copy fails if ``path`` exists. Without ``target`` the copy takes over the table's name;
-    the managed table is dropped only after the copy is complete.
+    The copy fails if ``path`` exists. Without ``target`` the copy takes over the table's name by two
+    renames after the row counts agree; at no time is there no table with the data, and the managed
+    table is dropped last.
     """
-    partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    writer = spark.table(table).write.mode("errorifexists").format(fmt)
-    if partitions:
-        writer = writer.partitionBy(*partitions)
+    if _description(spark, table).get("Type") != "MANAGED":
+        raise ValueError(f"{table} is not a managed table")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        raise ValueError(f"{path} exists already")
+    tag = uuid.uuid4().hex[:12]
+    name = target or f"{table}_copy_{tag}"
+    spark.sql(external_definition(spark, table, name, path))
+    rows = spark.table(table)
+    rows.select(*spark.table(name).columns).write.mode("append").insertInto(name)
+    if spark.table(name).count() != rows.count():
+        raise RuntimeError(f"{name} and {table} differ in rows; {table} is unchanged")
     if target is not None:
-        writer.option("path", path).saveAsTable(target)
         return target
-    writer.save(path)
-    spark.sql(f"DROP TABLE {table}")
-    spark.catalog.createTable(table, path=path, source=fmt)
-    if partitions:
-        spark.catalog.recoverPartitions(table)
+    old = f"{table}_managed_{tag}"
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {name} RENAME TO {table}")
+    spark.sql(f"DROP TABLE {old}")
     return table

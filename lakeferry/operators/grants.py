@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeferry.functions import grouped_lookup, lookup, quote, quoted_literal, sql_text
+from lakeferry.functions import grouped_lookup, last_answer, lookup, quote, quoted_literal, sql_text
 from lakeferry.operators.inventory import with_database_column
 from lakeferry.schemas import GRANTS, GRANTS_WITH_ERROR
 
@@ -173,9 +173,9 @@ def replay_grants(
 
 
 def grant_results(plan: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Planned grants with the message of a failed one (outcomes: the planned Principal,
-    ActionType, ObjectType, ObjectName and message), ``''`` on success."""
-    failed = outcomes.groupBy(*GRANTS.names).agg(F.min("message").alias("message"))
-    return plan.join(failed, GRANTS.names, "left").select(
-        *GRANTS.names, F.coalesce("message", F.lit("")).alias("Error")
-    )
+    """Planned grants with ``step`` and the last outcome of each (outcomes: the planned Principal,
+    ActionType, ObjectType, ObjectName, a message or null, answered_at): ``''`` on success, the
+    message of a failure, null where no outcome tells that the statement ran."""
+    last = last_answer(outcomes, GRANTS.names, "message")
+    error = F.when(F.col("answer").isNotNull(), F.coalesce("answer.message", F.lit("")))
+    return plan.join(last, GRANTS.names, "left").select(*GRANTS.names, "step", error.alias("Error"))

@@ -65,7 +65,8 @@ def metastore_inventory(databases: DataFrame, tables: DataFrame) -> DataFrame:
 
 def table_details(describe_rows: DataFrame, errors: DataFrame | None = None) -> DataFrame:
     """One row per table from its description rows (database, tableName, ordinal, col_name,
-    data_type), reading only rows below the detail marker; the first row of a label wins.
+    data_type), reading only rows below the detail marker; the first row of a label wins. A table
+    whose description has no marker is read from its first row; one without labels has nulls.
 
     ``errors`` (database, tableName, error) adds the tables that could not be described.
     The list kept per table holds its property rows only, so it is bounded by the table's width.
@@ -73,19 +74,15 @@ def table_details(describe_rows: DataFrame, errors: DataFrame | None = None) ->
     rows = with_database_column(describe_rows)
     labels = list(DETAIL_KEYS.values())
     found = (
-        rows.where(F.col("col_name").isin([DETAIL_MARKER, *labels]))
-        .groupBy("database", "tableName")
+        rows.groupBy("database", "tableName")
         .agg(
             F.min(F.when(F.col("col_name") == DETAIL_MARKER, F.col("ordinal"))).alias("marker"),
             F.collect_list(
-                F.when(
-                    F.col("col_name") != DETAIL_MARKER,
-                    F.struct("ordinal", "col_name", "data_type"),
-                )
+                F.when(F.col("col_name").isin(labels), F.struct("ordinal", "col_name", "data_type"))
             ).alias("rows"),
         )
     )
-    below = F.filter("rows", lambda r: r["ordinal"] > F.col("marker"))
+    below = F.filter("rows", lambda r: F.col("marker").isNull() | (r["ordinal"] > F.col("marker")))
 
     def first(label: str):
         matches = F.filter(below, lambda r: r["col_name"] == label)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType
 
-from lakeferry.functions import as_object, keep_keys, mentions_any, strip_object
+from lakeferry.functions import drop_keys, is_object, last_answer, replace_members
 
 # Settings of the old proxy user, removed at every object level.
 PROXY_USER_KEYS = ("HADOOP_USER_NAME", "HADOOP_PROXY_USER")
@@ -19,6 +20,9 @@ NOT_ELIGIBLE = "not eligible"
 NO_CLUSTER = "no job cluster"
 NO_RESPONSE = "no response"
 NO_BACKUP = "no backup"
+UNREADABLE_BACKUP = "unreadable backup"
+NO_NEW_CLUSTER = "no new_cluster"
+UNREADABLE_CLUSTER = "unreadable cluster"
 
 
 def job_clusters(df: DataFrame, doc: str = "job_json") -> DataFrame:
@@ -40,18 +44,16 @@ def eligible(df: DataFrame) -> DataFrame:
     return df.withColumn("eligible", is_eligible(F.col("cluster")))
 
 
-def strip_keys(df: DataFrame, column: str, keys: Sequence[str], depth: int = 8) -> DataFrame:
+def strip_keys(df: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:
     """Remove ``keys`` from every object level of a column, lists left alone.
 
-    A string column is JSON text, parsed only where it mentions a key; struct and map columns are
-    walked along their type.
+    A string column is JSON text: its other members stay as they are written, and a text that is no
+    JSON object comes back unchanged. Struct and map columns are walked along their type.
     """
     kind = df.schema[column].dataType
     if isinstance(kind, (StructType, MapType)):
         return df.withColumn(column, _strip_typed(F.col(column), kind, list(keys)))
-    text = F.col(column)
-    stripped = F.to_json(strip_object(as_object(text), keys, depth))
-    return df.withColumn(column, F.when(mentions_any(text, keys), stripped).otherwise(text))
+    return df.withColumn(column, drop_keys(F.col(column), keys))
 
 
 def _strip_typed(value: Column, kind, keys: list[str]) -> Column:
@@ -89,33 +91,31 @@ def upgrade_payload(
     conf: Mapping[str, str],
     mode: str,
     drop: Sequence[str] = PROXY_USER_KEYS,
-    depth: int = 8,
 ) -> DataFrame:
-    """(job_id, payload): cluster with the new version, ``conf`` in place of its spark_conf and
-    the new access mode, proxy-user keys removed. A job without a job cluster has none."""
-    replaced = ["spark_version", "spark_conf", "data_security_mode"]
-    parsed = df.select("job_id", "cluster", as_object(F.col("cluster")).alias("fields"))
-    cluster = F.col("fields")
-    new_cluster = F.try_variant_get(cluster["new_cluster"], "$", "map<string,variant>")
-    settings = F.create_map(
-        F.lit("spark_version"),
-        F.lit(version).cast("variant"),
-        F.lit("spark_conf"),
-        F.to_variant_object(F.create_map(*[F.lit(t) for kv in conf.items() for t in kv])),
-        F.lit("data_security_mode"),
-        F.lit(mode).cast("variant"),
+    """(job_id, payload, message): cluster with the new version, ``conf`` in place of its spark_conf
+    and the new access mode, proxy-user keys removed.
+
+    A cluster that cannot be read, or has no ``new_cluster`` object, gives a message and no payload.
+    """
+    settings = {
+        "spark_version": json.dumps(version),
+        "spark_conf": json.dumps(dict(conf), separators=(",", ":")),
+        "data_security_mode": json.dumps(mode),
+    }
+    cluster = F.col("cluster")
+    inner = F.get_json_object(cluster, "$.new_cluster")
+    message = (
+        F.when(cluster.isNull(), F.lit(NO_CLUSTER))
+        .when(~is_object(cluster), F.lit(UNREADABLE_CLUSTER))
+        .when(~F.coalesce(F.ltrim(inner).startswith("{"), F.lit(False)), F.lit(NO_NEW_CLUSTER))
+        .otherwise(F.lit(""))
     )
-    edited = F.map_concat(
-        keep_keys(cluster, ["new_cluster"]),
-        F.create_map(
-            F.lit("new_cluster"),
-            F.to_variant_object(F.map_concat(keep_keys(new_cluster, replaced), settings)),
-        ),
+    body = replace_members(cluster, "new_cluster", settings, drop)
+    return df.select("job_id", "cluster", message.alias("message")).select(
+        "job_id",
+        F.when(F.col("message") == "", _update_body(F.col("job_id"), body)).alias("payload"),
+        "message",
     )
-    body = F.when(
-        mentions_any(F.col("cluster"), drop), F.to_json(strip_object(edited, drop, depth))
-    ).otherwise(F.to_json(edited))
-    return parsed.select("job_id", _update_body(F.col("job_id"), body).alias("payload"))
 
 
 def job_backups(df: DataFrame) -> DataFrame:
@@ -126,18 +126,15 @@ def job_backups(df: DataFrame) -> DataFrame:
 
 
 def upgrade_outcome(jobs: DataFrame, responses: DataFrame) -> DataFrame:
-    """(job_id, outcome) from jobs (job_id, cluster) and responses (job_id, status_code, content)."""
-    answered = responses.groupBy("job_id").agg(
-        F.max(F.struct("status_code", "content")).alias("response")
-    )
+    """(job_id, outcome) from jobs (job_id, cluster) and responses (job_id, status_code, content,
+    answered_at); the last answer of a job counts."""
+    answered = last_answer(responses, ["job_id"], "status_code", "content")
     outcome = (
         F.when(F.col("cluster").isNull(), F.lit(NO_CLUSTER))
         .when(~F.col("eligible"), F.lit(NOT_ELIGIBLE))
-        .when(F.col("response").isNull(), F.lit(NO_RESPONSE))
-        .when(F.col("response.status_code") == 200, F.lit(UPDATED))
-        .otherwise(
-            F.concat(F.lit("error: "), F.coalesce(F.col("response.content"), F.lit("")))
-        )
+        .when(F.col("answer").isNull(), F.lit(NO_RESPONSE))
+        .when(F.col("answer.status_code") == 200, F.lit(UPDATED))
+        .otherwise(F.concat(F.lit("error: "), F.coalesce(F.col("answer.content"), F.lit(""))))
     )
     return (
         eligible(jobs.select("job_id", "cluster"))
@@ -147,25 +144,26 @@ def upgrade_outcome(jobs: DataFrame, responses: DataFrame) -> DataFrame:
 
 
 def restore_payload(backups: DataFrame, job_ids: DataFrame) -> DataFrame:
-    """(job_id, payload, message): update document from the newest readable backup of each job.
+    """(job_id, payload, message): update document from the newest backup of each job.
 
-    Backups without ``recorded_at`` count as equally old; the largest text decides then.
+    A newest backup that is no JSON object gives a message and no payload; an older one never takes
+    its place. Backups without ``recorded_at`` count as equally old; the largest text decides then.
     """
-    age = F.col("recorded_at") if "recorded_at" in backups.columns else F.lit(0)
-    readable = backups.where(as_object(F.col("cluster_config")).isNotNull())
-    newest = readable.groupBy("job_id").agg(
-        F.max_by("cluster_config", F.struct(age, "cluster_config")).alias("cluster_config")
+    newest = last_answer(backups, ["job_id"], "cluster_config", time="recorded_at")
+    config = F.col("answer.cluster_config")
+    message = (
+        F.when(F.col("answer").isNull(), F.lit(NO_BACKUP))
+        .when(~F.coalesce(is_object(config), F.lit(False)), F.lit(UNREADABLE_BACKUP))
+        .otherwise(F.lit(""))
     )
-    body = _update_body(F.col("job_id"), F.col("cluster_config"))
     return (
         job_ids.select("job_id")
         .distinct()
         .join(newest, "job_id", "left")
+        .select("job_id", config.alias("config"), message.alias("message"))
         .select(
             "job_id",
-            body.alias("payload"),
-            F.when(F.col("cluster_config").isNull(), F.lit(NO_BACKUP))
-            .otherwise(F.lit(""))
-            .alias("message"),
+            F.when(F.col("message") == "", _update_body(F.col("job_id"), F.col("config"))).alias("payload"),
+            "message",
         )
     )

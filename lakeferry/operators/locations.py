@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeferry.functions import (
+    contained_texts,
+    containing_texts,
     contains_pairs,
     information_value,
     path_prefixes,
@@ -67,6 +69,16 @@ def match_locations(roots: DataFrame, ext_locations: DataFrame, prefix: bool = F
     return inside.unionByName(around).distinct().join(named, "url").select("Location", "name", "url")
 
 
+def matched_names(roots: DataFrame, ext_locations: DataFrame) -> DataFrame:
+    """Names of the external locations that match any root, without forming the pairs: semi-joins
+    of the urls with the distinct cuts of the roots, and of the urls' cuts with the roots."""
+    named = ext_locations.select("name", F.col("url").alias("text"))
+    locations = roots.select(F.col("Location").alias("text"))
+    inside = named.join(contained_texts(locations, named.select("text")), "text", "left_semi")
+    around = named.join(containing_texts(named.select("text"), locations), "text", "left_semi")
+    return inside.select("name").unionByName(around.select("name")).distinct()
+
+
 def executor_grants(
     source_catalog: str,
     source_databases: DataFrame,
@@ -75,7 +87,9 @@ def executor_grants(
     matches: DataFrame,
     principal: str,
 ) -> DataFrame:
-    """Statements that let one account read the source, write the target and use its storage."""
+    """Statements that let one account read the source, write the target and use its storage.
+
+    ``matches`` holds the names of the storage (``matched_names``, or rows of ``match_locations``)."""
     to = f" TO {quoted_literal(principal)} ;"
 
     def on_catalog(catalog: str) -> DataFrame:

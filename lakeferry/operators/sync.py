@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeferry.functions import lookup, quote, quoted_literal, sql_text
+from lakeferry.functions import grouped_lookup, last_answer, lookup, quote, quoted_literal, sql_text
 from lakeferry.operators.inventory import EMPTY_DATABASE, with_database_column, without_match
 from lakeferry.schemas import STATUS
 
-# Our own status codes, next to SUCCESS and Error.
+# Our own status codes, next to those that outcomes bring.
 DRY_RUN = "DRY_RUN"
+NO_OUTCOME = "NO_OUTCOME"
 MISSING_LOCATION = "MISSING_LOCATION"
 
 
@@ -27,34 +28,46 @@ def sync_status(
     source_tables: DataFrame,
     target_tables: DataFrame,
     catalog: str,
+    outcomes: DataFrame | None = None,
     dry_run: bool = False,
 ) -> DataFrame:
     """Status row per source table against the target catalog.
 
-    Tables carry (database, tableName, Type, Location), targets (database, tableName, Location).
-    ``databases`` may carry ``target_database``; the source name is the default.
+    Tables carry (database, tableName, Type, Location), targets (database, tableName, Location);
+    a table listed twice counts once. ``outcomes`` (database, tableName, status_code, message,
+    answered_at) are the landed results of the sync; the last one of a table is its status, and a
+    table without one has ``NO_OUTCOME``: the listings say what there is to do, not that it was done.
+    ``dry_run`` states the plan only. ``databases`` may carry ``target_database``.
     """
     databases = with_target(databases)
     keys = ["target_schema", "tableName"]
-    source = with_database_column(source_tables).join(databases, "database")
-    target = with_database_column(target_tables).select(
-        F.col("database").alias("target_schema"),
-        "tableName",
-        F.coalesce("Location", F.lit("")).alias("target_location"),
+    once = ["database", "tableName"]
+    listed = with_database_column(source_tables)
+    source = grouped_lookup(
+        listed, once, F.min(F.struct("Type", "Location")).alias("_listed")
+    ).select(*once, "_listed.Type", "_listed.Location")
+    target = grouped_lookup(
+        with_database_column(target_tables).withColumnRenamed("database", "target_schema"),
+        keys,
+        F.min(F.coalesce("Location", F.lit(""))).alias("target_location"),
     )
-    joined = source.join(target, keys, "left")
+    joined = source.join(databases, "database").join(target, keys, "left")
     no_location = F.coalesce(F.col("Location"), F.lit("")) == ""
-    code = (
-        F.when(no_location, F.lit(MISSING_LOCATION))
-        .when(F.lit(dry_run), F.lit(DRY_RUN))
-        .otherwise(F.lit("SUCCESS"))
-    )
-    description = (
+    planned = (
         F.when(no_location, F.lit("No storage location to sync"))
         .when(F.col("target_location").isNull(), F.lit("Create table"))
         .when(F.col("target_location") == F.col("Location"), F.lit("Already in target"))
         .otherwise(F.lit("Replace table: location differs"))
     )
+    missing = F.when(no_location, F.lit(MISSING_LOCATION))
+    if dry_run or outcomes is None:
+        code = missing.otherwise(F.lit(DRY_RUN if dry_run else NO_OUTCOME))
+        description = planned
+    else:
+        last = last_answer(with_database_column(outcomes), once, "status_code", "message")
+        joined = joined.join(last, once, "left")
+        code = F.coalesce("answer.status_code", missing.otherwise(F.lit(NO_OUTCOME)))
+        description = F.coalesce("answer.message", planned)
     rows = joined.select(
         F.col("database").alias("source_schema"),
         F.col("tableName").alias("source_name"),

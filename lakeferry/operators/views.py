@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeferry.functions import (
     grouped_lookup,
+    last_answer,
     lookup,
     quote,
     quote_if_needed,
@@ -14,7 +15,7 @@ from lakeferry.functions import (
     sql_text,
 )
 from lakeferry.operators.inventory import with_database_column
-from lakeferry.operators.sync import marker_status, numbered_statements, with_target
+from lakeferry.operators.sync import NO_OUTCOME, marker_status, numbered_statements, with_target
 
 # The legacy catalog, the schema every catalog owns, the label of a view's text.
 LEGACY_CATALOG = "hive_metastore"
@@ -22,6 +23,7 @@ INFORMATION_SCHEMA = "information_schema"
 VIEW_TEXT = "View Text"
 CREATED = "VIEW CREATED SUCCESSFULLY"
 NO_VIEWS = "No Views Found"
+NO_OUTCOME_TEXT = "no outcome"
 
 _IDENTIFIER = r"(?:`[^`]+`|`?\w+`?)"
 
@@ -50,63 +52,100 @@ def _rewrite_pieces(
     views: DataFrame, pieces: Column, name: Column, targets: DataFrame, replacement: Column
 ) -> DataFrame:
     """Cut each text into pieces that start at a candidate name, look the names up with one
-    equi-join and put the pieces of a view back in order. A group is the text of one view."""
-    cut = views.select("database", "viewName", F.posexplode(pieces).alias("at", "piece"))
-    named = cut.withColumn("name", name)
+    equi-join and put the pieces of a text back in order.
+
+    Pieces without a name stay out of the join. A row that repeats a text counts once, different
+    texts of one view stay apart, and a null text stays null.
+    """
+    keys = ["database", "viewName", "_text"]
+    cut = (
+        views.distinct()
+        .withColumn("_text", F.xxhash64("view_text"))
+        .select("*", F.posexplode_outer(pieces).alias("at", "piece"))
+        .withColumn("name", F.nullif(name, F.lit("")))
+    )
+    found = cut.where("name is not null").join(targets, "name", "left")
+    put = found.select(*keys, "at", replacement.alias("piece")).unionByName(
+        cut.where("name is null").select(*keys, "at", "piece")
+    )
+    text = F.array_join(F.transform("pieces", lambda p: p["piece"]), "")
     return (
-        named.join(targets, "name", "left")
-        .select("database", "viewName", "at", replacement.alias("piece"))
-        .groupBy("database", "viewName")
+        put.groupBy(*keys)
         .agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("pieces"))
         .select(
             "database",
             "viewName",
-            F.array_join(F.transform("pieces", lambda p: p["piece"]), "").alias("view_text"),
+            F.when(F.get("pieces", F.lit(0))["at"].isNotNull(), text).alias("view_text"),
         )
     )
 
 
+def _schema_targets(databases: DataFrame | None) -> DataFrame | None:
+    return None if databases is None else with_target(databases)
+
+
 def _bare(identifier: Column) -> Column:
     return F.replace(identifier, F.lit("`"), F.lit(""))
 
 
 def rewrite_views(
-    views: DataFrame, schemas: DataFrame, catalog: str, boundaries: str = "all"
+    views: DataFrame,
+    schemas: DataFrame,
+    catalog: str,
+    boundaries: str = "all",
+    databases: DataFrame | None = None,
 ) -> DataFrame:
     """Drop the legacy catalog from view SQL, then prefix upgraded schemas with ``catalog``.
 
-    ``views`` holds (database, viewName, view_text), one row per view; ``schemas`` the column
-    ``table_schema``. A schema counts where it follows a blank, ``(`` or ``,`` or opens the
+    ``views`` holds (database, viewName, view_text); ``schemas`` the column ``table_schema``;
+    ``databases`` may name a ``target_database`` that an upgraded schema is called by from then on. A schema counts where it follows a blank, ``(`` or ``,`` or opens the
     text; ``boundaries="blank"`` accepts a single space only.
     """
     before = r"^|(?<=[\s(,])" if boundaries == "all" else "(?<= )"
-    text = F.regexp_replace("view_text", rf"`?{LEGACY_CATALOG}`?\.", "")
+    text = F.regexp_replace("view_text", rf"(?<![\w`.])`?{LEGACY_CATALOG}`?\.", "")
     pieces = F.split(text, rf"(?:{before})(?={_IDENTIFIER}\.)")
     opening = F.regexp_extract("piece", rf"^({_IDENTIFIER})\.", 1)
     # The first piece of a text is a candidate only when the text may open with a schema name.
     candidate = opening if boundaries == "all" else F.when(F.col("at") > 0, opening)
     upgraded = lookup(schemas.select(F.col("table_schema").alias("name")), "name")
-    hit = upgraded.withColumn("upgraded", F.lit(True))
+    targets = _schema_targets(databases)
+    if targets is None:
+        hit = upgraded.withColumn("target", F.col("name"))
+    else:
+        renamed = targets.select(F.col("database").alias("name"), "target_schema")
+        hit = upgraded.join(renamed, "name", "left").select(
+            "name", F.coalesce("target_schema", "name").alias("target")
+        )
     prefixed = F.concat(
         quote_if_needed(F.lit(catalog)),
         F.lit("."),
-        quote_if_needed(F.col("name")),
+        quote_if_needed(F.col("target")),
         F.substr(F.col("piece"), F.length(opening) + 1),
     )
     return _rewrite_pieces(
-        views,
+        views.select("database", "viewName", "view_text"),
         pieces,
         _bare(candidate),
         hit,
-        F.when(F.col("upgraded"), prefixed).otherwise(F.col("piece")),
+        F.when(F.col("target").isNotNull(), prefixed).otherwise(F.col("piece")),
     )
 
 
-def rewrite_views_mapped(views: DataFrame, mapping: DataFrame, catalog: str) -> DataFrame:
+def rewrite_views_mapped(
+    views: DataFrame, mapping: DataFrame, catalog: str, databases: DataFrame | None = None
+) -> DataFrame:
     """Replace ``hive_metastore.src`` by the quoted target of ``mapping`` (src, dst).
 
-    A view's own database keeps its name in the target catalog whatever the mapping says.
+    A view's own database becomes its ``target_database`` in ``databases``, or keeps its name,
+    whatever the mapping says.
     """
+    own_targets = _schema_targets(databases)
+    if own_targets is None:
+        placed = views.select("database", "viewName", "view_text", F.col("database").alias("_own"))
+    else:
+        placed = views.join(own_targets, "database", "left").select(
+            "database", "viewName", "view_text", F.coalesce("target_schema", "database").alias("_own")
+        )
     legacy = rf"`?{LEGACY_CATALOG}`?\."
     pieces = F.split("view_text", rf"(?={legacy}{_IDENTIFIER})(?<![\w`.])")
     opening = F.regexp_extract("piece", rf"^({legacy}{_IDENTIFIER})", 1)
@@ -114,7 +153,7 @@ def rewrite_views_mapped(views: DataFrame, mapping: DataFrame, catalog: str) ->
     targets = grouped_lookup(
         mapping.withColumnRenamed("src", "name"), ["name"], F.min("dst").alias("dst")
     )
-    own = F.when(F.col("name") == F.col("database"), F.col("name"))
+    own = F.when(F.col("name") == F.col("database"), F.col("_own"))
     target = F.coalesce(own, F.col("dst"))
     replaced = F.concat(
         F.lit(f"{quoted_literal(catalog)}."),
@@ -122,11 +161,11 @@ def rewrite_views_mapped(views: DataFrame, mapping: DataFrame, catalog: str) ->
         F.substr(F.col("piece"), F.length(opening) + 1),
     )
     return _rewrite_pieces(
-        views,
+        placed,
         pieces,
         name,
         targets,
-        F.when((F.col("name") != "") & target.isNotNull(), replaced).otherwise(F.col("piece")),
+        F.when(target.isNotNull(), replaced).otherwise(F.col("piece")),
     )
 
 
@@ -136,11 +175,19 @@ def view_statements(
     owner: str | None = None,
     privilege: str | None = None,
     principal: str | None = None,
+    databases: DataFrame | None = None,
 ) -> DataFrame:
-    """Create, owner and grant statements per rewritten view, the last two only when asked for."""
-    view = sql_text(
-        f"{quoted_literal(catalog)}.", quote(F.col("database")), ".", quote(F.col("viewName"))
-    )
+    """Create, owner and grant statements per rewritten view, the last two only when asked for.
+
+    A view is created in the ``target_database`` of its database, as ``view_status`` reports it. A
+    view without text gets no create statement.
+    """
+    schema = F.col("database")
+    targets = _schema_targets(databases)
+    if targets is not None:
+        rewritten = rewritten.join(targets, "database", "left")
+        schema = F.coalesce("target_schema", "database")
+    view = sql_text(f"{quoted_literal(catalog)}.", quote(schema), ".", quote(F.col("viewName")))
     no_statement = F.lit(None).cast("string")
     readable = privilege is not None and ("SELECT" in privilege or "ALL PRIVILEGES" in privilege)
     return numbered_statements(
@@ -161,15 +208,16 @@ def view_statements(
 def view_status(
     databases: DataFrame, views: DataFrame, outcomes: DataFrame, catalog: str
 ) -> DataFrame:
-    """Status row per view; outcomes (database, viewName, message) hold a message on failure."""
+    """Status row per view; the last of its outcomes (database, viewName, message, answered_at)
+    decides: no message is success, no outcome row is ``NO_OUTCOME``."""
     databases = with_target(databases)
     keys = ["database", "viewName"]
-    failed = (
-        outcomes.where("message is not null").groupBy(*keys).agg(F.min("message").alias("message"))
-    )
+    last = last_answer(outcomes, keys, "message")
+    message = F.col("answer.message")
     rows = (
-        views.join(databases, "database")
-        .join(failed, keys, "left")
+        lookup(views, *keys)
+        .join(databases, "database")
+        .join(last, keys, "left")
         .select(
             F.col("database").alias("source_schema"),
             F.col("viewName").alias("source_name"),
@@ -177,8 +225,13 @@ def view_status(
             F.lit(catalog).alias("target_catalog"),
             "target_schema",
             F.col("viewName").alias("target_name"),
-            F.when(F.col("message").isNull(), "SUCCESS").otherwise("Error").alias("status_code"),
-            F.coalesce("message", F.lit(CREATED)).alias("description"),
+            F.when(F.col("answer").isNull(), NO_OUTCOME)
+            .when(message.isNull(), "SUCCESS")
+            .otherwise("Error")
+            .alias("status_code"),
+            F.when(F.col("answer").isNull(), NO_OUTCOME_TEXT)
+            .otherwise(F.coalesce(message, F.lit(CREATED)))
+            .alias("description"),
         )
     )
     return rows.unionByName(marker_status(databases, views, catalog, NO_VIEWS))

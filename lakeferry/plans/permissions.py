@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,33 +10,15 @@ from pyspark.sql import functions as F
 from lakeferry.operators import acl
 
 
-def all_listings(
-    pages: DataFrame, model_ids: DataFrame, kinds: Sequence[str] = tuple(acl.KINDS)
-) -> dict[str, DataFrame]:
-    """Listing of each kind from pages (kind, page)."""
-    return {
-        kind: acl.listing(
-            pages.where(F.col("kind") == kind), kind, model_ids if kind == "MLFlow_Models" else None
-        )
-        for kind in kinds
-    }
-
-
 def flat_permissions(
-    listings: dict[str, DataFrame], acl_documents: DataFrame, secret_documents: DataFrame
+    listings: DataFrame, acl_documents: DataFrame, secret_documents: DataFrame
 ) -> DataFrame:
     """Flattened ACLs of all kinds; documents carry (artifact_type, id, doc) and are parsed and
     joined once for all kinds, secrets apart because their entries have another type."""
-    flat = []
-    plain = [objects for kind, objects in listings.items() if kind != acl.SECRETS]
-    if plain:
-        objects = reduce(DataFrame.unionByName, plain)
-        attached = acl.attach_acl(objects, acl.parse_acl(acl_documents))
-        flat.append(acl.flatten_attached(attached))
-    if acl.SECRETS in listings:
-        attached = acl.attach_acl(listings[acl.SECRETS], acl.parse_secret_acl(secret_documents))
-        flat.append(acl.flatten_acl(attached, acl.SECRETS))
-    return reduce(DataFrame.unionByName, flat)
+    secret = F.col("artifact_type") == acl.KINDS[acl.SECRETS].label
+    plain = acl.attach_acl(listings.where(~secret), acl.parse_acl(acl_documents))
+    scopes = acl.attach_acl(listings.where(secret), acl.parse_secret_acl(secret_documents))
+    return acl.flatten_attached(plain).unionByName(acl.flatten_acl(scopes, acl.SECRETS))
 
 
 def permission_table(
@@ -49,7 +30,7 @@ def permission_table(
     kinds: Sequence[str] = tuple(acl.KINDS),
     of_interest: str | Sequence[str] | None = None,
 ) -> DataFrame:
-    listings = all_listings(pages, model_ids, kinds)
+    listings = acl.all_listings(pages, model_ids, kinds)
     flat = flat_permissions(listings, acl_documents, secret_documents)
     group_rows = acl.groups(acl.group_listing(group_pages), of_interest)
     return acl.permission_table(flat, group_rows)

@@ -3,8 +3,6 @@ a partition holding most rows is split over several tasks."""
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,15 +11,13 @@ from lakeferry.operators.acl import permission_status
 from lakeferry.operators.externalize import externalize as externalize_table
 from lakeferry.operators.jobs import job_backups
 from lakeferry.schemas import PERMISSIONS
-from lakeferry.session import staged
-
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-_COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
+from lakeferry.session import temporarily_staged
 
 __all__ = [
     "backup_configs",
     "externalize_table",
     "status_documents",
+    "table_location",
     "update_permissions",
     "write_grants",
     "write_inventory",
@@ -29,24 +25,9 @@ __all__ = [
 ]
 
 
-@contextmanager
-def _setting(spark: SparkSession, key: str, value: str):
-    before = spark.conf.get(key)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def write_inventory(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Inventory as Parquet with one directory per database; a second write fails.
-
-    The cost is opening files, not bytes, so small partitions are not merged into fewer tasks.
-    """
-    rows = df.hint("rebalance", F.col("database"))
-    with _setting(df.sparkSession, _COALESCE, "false"):
-        rows.write.mode(mode).partitionBy("database").parquet(path)
+    """Inventory as Parquet with one directory per database; a second write fails."""
+    df.hint("rebalance", F.col("database")).write.mode(mode).partitionBy("database").parquet(path)
 
 
 def write_grants(
@@ -60,27 +41,45 @@ def write_grants(
 
 
 def write_permissions(df: DataFrame, table: str, path: str | None = None) -> None:
-    """Permission table partitioned by artifact type; replaces only the types present in ``df``."""
+    """Permission table partitioned by artifact type; replaces only the types present in ``df``.
+
+    The overwrite mode belongs to this one write of the table's folder, the session keeps its
+    settings, so writers of different types can work at the same time.
+    """
     spark = df.sparkSession
-    rows = df.select(*PERMISSIONS.names).hint("rebalance", F.col("artifact_type"))
     if not spark.catalog.tableExists(table):
+        rows = df.select(*PERMISSIONS.names).hint("rebalance", F.col("artifact_type"))
         writer = rows.write.format("parquet").partitionBy("artifact_type")
         if path is not None:
             writer = writer.option("path", path)
         writer.saveAsTable(table)
         return
-    with _setting(spark, _OVERWRITE_MODE, "dynamic"):
-        rows.write.mode("overwrite").insertInto(table)
+    rows = df.select(*spark.table(table).columns).hint("rebalance", F.col("artifact_type"))
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("artifact_type")
+        .parquet(table_location(spark, table))
+    )
+    spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    return rows.where("col_name = 'Location'").first()["data_type"]
 
 
 def update_permissions(spark: SparkSession, table: str, responses: DataFrame) -> None:
     """Write response statuses back into the partitions of the stored table that they belong to.
 
-    The new rows are staged first, because a table cannot be replaced while it is read.
+    The new rows are staged first, because a table cannot be replaced while it is read; the staged
+    copy is removed after the write.
     """
     answered = lookup(responses, "artifact_type")
     stored = spark.table(table).join(answered, "artifact_type", "left_semi")
-    write_permissions(staged(permission_status(stored, responses), "statuses"), table)
+    with temporarily_staged(permission_status(stored, responses), "statuses") as rows:
+        write_permissions(rows, table)
 
 
 def backup_configs(jobs: DataFrame, table: str, path: str | None = None) -> None:

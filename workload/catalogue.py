@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from lakeferry import sinks, sources
 from lakeferry.operators import acl, externalize, grants, inventory, jobs, locations, sync, views
 from lakeferry.plans import migration, permissions
 from lakeferry.session import configure, scratch_path
-from workload.estate import KIND_LABELS, PAGES, Estate, with_clause
+from workload.estate import JOB_CLUSTER, KIND_LABELS, Estate, job_cluster, with_clause
 
 CATALOG = "cat"
 OWNER = "account users"
@@ -46,7 +45,15 @@ def _stored_inventory(e: Estate) -> DataFrame:
     return sources.stored_inventory(e.spark, path)
 
 
-register("inventory_parse", lambda e: inventory.parse_information(e.tables_raw), _INVENTORY)
+register(
+    "inventory_parse_untrimmed",
+    lambda e: inventory.parse_information(e.tables_raw, trim=False),
+    """
+SELECT database, tableName, 'false' AS isTemporary, ' ' || Type AS Type, ' ' || Provider AS Provider,
+  ' ' || Location AS Location, ' ' || Serde AS "Serde Library", '' AS Error FROM tables_base""",
+)
+register(
+    "inventory_all", lambda e: inventory.parse_information(e.tables_raw), _INVENTORY)
 register(
     "inventory_all",
     lambda e: inventory.metastore_inventory(e.databases, e.tables_raw),
@@ -59,6 +66,7 @@ register(
     """
 SELECT database, tableName, Location AS storage_location, Provider AS storage_format, Type AS table_type,
   CASE WHEN Type = 'MANAGED' THEN 'true' ELSE 'False' END AS managed, NULL AS error FROM tables_base
+UNION ALL SELECT database, tableName || '_bare', NULL, NULL, NULL, 'False', NULL FROM tables_base WHERE brand = 'Brand#15'
 UNION ALL SELECT database, tableName, NULL, NULL, NULL, 'False', error FROM describe_errors""",
 )
 register(
@@ -102,27 +110,45 @@ _STATUS_COLUMNS = (
 )
 
 
-def _sync_oracle(code: str) -> str:
+def _sync_oracle(code: str, description: str = "NULL") -> str:
     return f"""
 SELECT s.database AS source_schema, s.tableName AS source_name, s.Type AS source_type, 'cat' AS target_catalog,
   s.database AS target_schema, s.tableName AS target_name,
-  CASE WHEN s.Location IS NULL THEN 'MISSING_LOCATION' ELSE '{code}' END AS status_code,
-  CASE WHEN s.Location IS NULL THEN 'No storage location to sync' WHEN t.tableName IS NULL THEN 'Create table'
-    WHEN t.Location = s.Location THEN 'Already in target' ELSE 'Replace table: location differs' END AS description
+  CASE WHEN s.Location IS NULL THEN 'MISSING_LOCATION' ELSE {code} END AS status_code,
+  coalesce({description}, CASE WHEN s.Location IS NULL THEN 'No storage location to sync' WHEN t.tableName IS NULL THEN 'Create table'
+    WHEN t.Location = s.Location THEN 'Already in target' ELSE 'Replace table: location differs' END) AS description
 FROM tables_base s LEFT JOIN target_tables t ON t.database = s.database AND t.tableName = s.tableName
 UNION ALL SELECT database, '', '', 'cat', database, '', 'SUCCESS', 'Empty Database' FROM databases
 WHERE database NOT IN (SELECT database FROM tables_base)"""
 
 
-register(
-    "sync_status",
-    lambda e: migration.table_sync(e.databases, e.tables_raw, e.target_tables, CATALOG),
-    _sync_oracle("SUCCESS"),
+_SYNC_ORACLE = _sync_oracle(
+    "CASE brand WHEN 'Brand#9' THEN 'NO_OUTCOME' WHEN 'Brand#5' THEN 'FAILED' ELSE 'SUCCESS' END",
+    "CASE WHEN brand = 'Brand#5' AND s.Location IS NOT NULL THEN 'boom ' || k END",
 )
+
+
+def _synced(e: Estate) -> DataFrame:
+    return migration.table_sync(
+        e.databases, e.tables_raw, e.target_landed, CATALOG, e.sync_outcomes
+    )
+
+
+register("sync_status", _synced, _SYNC_ORACLE)
 register(
     "sync_status_dry_run",
-    lambda e: migration.table_sync(e.databases, e.tables_raw, e.target_tables, CATALOG, True),
-    _sync_oracle("DRY_RUN"),
+    lambda e: migration.table_sync(
+        e.databases, e.tables_raw, e.target_landed, CATALOG, dry_run=True
+    ),
+    _sync_oracle("'DRY_RUN'"),
+)
+register(
+    "sync_statements_older",
+    lambda e: sync.sync_statements(e.databases, CATALOG, OWNER, alter_owner=False),
+    """
+SELECT database, 1 AS step, 'CREATE CATALOG IF NOT EXISTS `cat`' AS statement FROM databases
+UNION ALL SELECT database, 2, 'CREATE DATABASE IF NOT EXISTS `cat`.`' || database || '`' FROM databases
+UNION ALL SELECT database, 3, 'SYNC SCHEMA `cat`.`' || database || '` FROM `hive_metastore`.`' || database || '` SET OWNER `account users`' FROM databases""",
 )
 register(
     "sync_statements",
@@ -145,12 +171,12 @@ UNION ALL SELECT database, tableName || '_b', NULL, NULL, NULL, NULL, 'Error', '
 
 def _status_round_trip(e: Estate) -> DataFrame:
     path = scratch_path(e.spark, "status")
-    status = migration.table_sync(e.databases, e.tables_raw, e.target_tables, CATALOG)
+    status = _synced(e)
     sinks.status_documents(status, path)
     return sources.json_documents(e.spark, path, status.schema)
 
 
-register("write_status", _status_round_trip, _sync_oracle("SUCCESS"))
+register("write_status", _status_round_trip, _SYNC_ORACLE)
 
 # ---- view migration ----
 
@@ -160,6 +186,14 @@ _REWRITTEN = f"""
 SELECT v.database, v.viewName,
   'SELECT a.k, ' || {_OWN} || '.f(b.k) FROM ' || {_OWN} || '.`t1` a JOIN ' || {_OTHER} || '.t2 b ON a.k = b.k JOIN (SELECT * FROM zz.' || v.other || ' x,' || {_OTHER} || '.t3) c' || chr(10) || 'JOIN (' || {_OTHER} || '.t4) d' AS view_text
 FROM views_named v LEFT JOIN upgraded o ON o.table_schema = v.database LEFT JOIN upgraded t ON t.table_schema = v.other"""
+_NO_TEXT = """
+UNION ALL SELECT database, 'nul_' || viewName, NULL FROM views_named WHERE viewName LIKE '%3'"""
+_MOVED = "CASE WHEN {0} LIKE '%00' AND {0} IN (SELECT database FROM databases) THEN {0} || '_moved' ELSE {0} END"
+
+
+def _landed_views(e: Estate) -> DataFrame:
+    """Definitions, some of them twice, and views whose text could not be read."""
+    return _definitions(e).unionByName(e.views_odd)
 
 
 def _definitions(e: Estate) -> DataFrame:
@@ -177,60 +211,109 @@ register(
 register(
     "rewrite_views",
     lambda e: views.rewrite_views(
-        _definitions(e), views.upgraded_schemas(e.tables_index), CATALOG
+        _landed_views(e), views.upgraded_schemas(e.tables_index), CATALOG
     ),
-    _REWRITTEN,
+    _REWRITTEN + _NO_TEXT,
+)
+register(
+    "rewrite_views_blank",
+    lambda e: views.rewrite_views(
+        _landed_views(e), views.upgraded_schemas(e.tables_index), CATALOG, boundaries="blank"
+    ),
+    f"""
+SELECT v.database, v.viewName,
+  'SELECT a.k, ' || {_OWN} || '.f(b.k) FROM ' || {_OWN} || '.`t1` a JOIN ' || {_OTHER} || '.t2 b ON a.k = b.k JOIN (SELECT * FROM zz.' || v.other || ' x,' || v.other || '.t3) c' || chr(10) || 'JOIN (' || v.other || '.t4) d' AS view_text
+FROM views_named v LEFT JOIN upgraded o ON o.table_schema = v.database LEFT JOIN upgraded t ON t.table_schema = v.other""" + _NO_TEXT,
 )
 register(
     "rewrite_views_mapped",
-    lambda e: views.rewrite_views_mapped(_definitions(e), e.schema_mapping, CATALOG),
-    """
+    lambda e: views.rewrite_views_mapped(
+        _landed_views(e), e.schema_mapping, CATALOG, e.renamed_databases
+    ),
+    f"""
 SELECT v.database, v.viewName,
-  'SELECT a.k, `' || v.database || '`.f(b.k) FROM `cat`.`' || v.database || '`.`t1` a JOIN ' ||
-  CASE WHEN v.other = v.database THEN '`cat`.`' || v.other || '`' WHEN m.dst IS NULL THEN 'hive_metastore.' || v.other ELSE '`cat`.`' || m.dst || '`' END
+  'SELECT a.k, `' || v.database || '`.f(b.k) FROM `cat`.`' || {_MOVED.format("v.database")} || '`.`t1` a JOIN ' ||
+  CASE WHEN v.other = v.database THEN '`cat`.`' || {_MOVED.format("v.other")} || '`' WHEN m.dst IS NULL THEN 'hive_metastore.' || v.other ELSE '`cat`.`' || m.dst || '`' END
   || '.t2 b ON a.k = b.k JOIN (SELECT * FROM zz.' || v.other || ' x,' || v.other || '.t3) c' || chr(10) || 'JOIN (' || v.other || '.t4) d' AS view_text
-FROM views_named v LEFT JOIN schema_mapping m ON m.src = v.other""",
+FROM views_named v LEFT JOIN schema_mapping m ON m.src = v.other""" + _NO_TEXT,
 )
 register(
     "view_statements",
-    lambda e: views.view_statements(_definitions(e), CATALOG, OWNER, "SELECT", "readers"),
-    """
-SELECT database, viewName, 1 AS step, 'CREATE OR REPLACE VIEW `cat`.`' || database || '`.`' || viewName || '` AS ' || view_text AS statement FROM views_raw
-UNION ALL SELECT database, viewName, 2, 'ALTER VIEW `cat`.`' || database || '`.`' || viewName || '` OWNER TO `account users`' FROM views_raw
-UNION ALL SELECT database, viewName, 3, 'GRANT SELECT ON VIEW `cat`.`' || database || '`.`' || viewName || '` TO `readers`' FROM views_raw""",
+    lambda e: views.view_statements(
+        _definitions(e), CATALOG, OWNER, "SELECT", "readers", e.renamed_databases
+    ),
+    f"""
+SELECT database, viewName, 1 AS step, 'CREATE OR REPLACE VIEW `cat`.`' || {_MOVED.format("database")} || '`.`' || viewName || '` AS ' || view_text AS statement FROM views_raw
+UNION ALL SELECT database, viewName, 2, 'ALTER VIEW `cat`.`' || {_MOVED.format("database")} || '`.`' || viewName || '` OWNER TO `account users`' FROM views_raw
+UNION ALL SELECT database, viewName, 3, 'GRANT SELECT ON VIEW `cat`.`' || {_MOVED.format("database")} || '`.`' || viewName || '` TO `readers`' FROM views_raw""",
 )
 register(
     "view_upgrade",
-    lambda e: migration.view_upgrade(e.describe_rows, e.tables_index, CATALOG, OWNER),
+    lambda e: migration.view_upgrade(
+        e.describe_rows, e.tables_index, CATALOG, OWNER, e.renamed_databases
+    ),
     f"""
-SELECT database, viewName, 1 AS step, 'CREATE OR REPLACE VIEW `cat`.`' || database || '`.`' || viewName || '` AS ' || view_text AS statement
-FROM ({_REWRITTEN}) r
-UNION ALL SELECT database, viewName, 2, 'ALTER VIEW `cat`.`' || database || '`.`' || viewName || '` OWNER TO `account users`' FROM views_named""",
+SELECT database, viewName, 1 AS step, 'CREATE OR REPLACE VIEW `cat`.`' || {_MOVED.format("database")} || '`.`' || viewName || '` AS ' || view_text AS statement
+FROM ({_REWRITTEN.replace("'cat.' || v.database", f"'cat.' || {_MOVED.format('v.database')}").replace("'cat.' || v.other", f"'cat.' || {_MOVED.format('v.other')}")}) r
+UNION ALL SELECT database, viewName, 2, 'ALTER VIEW `cat`.`' || {_MOVED.format("database")} || '`.`' || viewName || '` OWNER TO `account users`' FROM views_named""",
 )
 register(
     "view_status",
-    lambda e: views.view_status(e.databases, _definitions(e), e.view_outcomes, CATALOG),
+    lambda e: views.view_status(e.renamed_databases, _definitions(e), e.view_answers, CATALOG),
     f"""
-SELECT database AS source_schema, viewName AS source_name, 'VIEW' AS source_type, 'cat' AS target_catalog, database AS target_schema,
-  viewName AS target_name, CASE WHEN message IS NULL THEN 'SUCCESS' ELSE 'Error' END AS status_code,
-  coalesce(message, 'VIEW CREATED SUCCESSFULLY') AS description FROM view_outcomes
-UNION ALL SELECT database, '', '', 'cat', database, '', 'SUCCESS', 'No Views Found' FROM databases
+SELECT database AS source_schema, viewName AS source_name, 'VIEW' AS source_type, 'cat' AS target_catalog, {_MOVED.format("database")} AS target_schema,
+  viewName AS target_name, CASE WHEN brand = 'Brand#9' THEN 'NO_OUTCOME' WHEN message IS NULL THEN 'SUCCESS' ELSE 'Error' END AS status_code,
+  CASE WHEN brand = 'Brand#9' THEN 'no outcome' ELSE coalesce(message, 'VIEW CREATED SUCCESSFULLY') END AS description FROM view_outcomes
+UNION ALL SELECT database, '', '', 'cat', {_MOVED.format("database")}, '', 'SUCCESS', 'No Views Found' FROM databases
 WHERE database NOT IN (SELECT database FROM views_named)""",
 )
 
 # ---- managed to external ----
 
 
-def _externalized(e: Estate) -> DataFrame:
-    """Save ``part`` as a managed table of a database of its own, externalize it, read it back."""
+def _externalized(e: Estate, create: str) -> DataFrame:
+    """Fill a managed table of a database of its own from ``part``, externalize it and read what is
+    there afterwards: values, column types and definition as (kind, key, value) rows."""
     spark = e.spark
     database = f"ferry_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'managed')}'")
-    table = f"{database}.moved"
-    e.table("part").write.format("parquet").saveAsTable(table)
-    externalize.externalize(spark, table, scratch_path(spark, "external"))
-    kind = spark.catalog.getTable(table).tableType
-    return spark.table(table).withColumn("table_type", F.lit(kind))
+    table, path = f"{database}.moved", scratch_path(spark, "external")
+    spark.sql(create.format(table=table))
+    part = e.table("part").select(
+        F.col("p_partkey").cast("long"),
+        F.col("p_brand").alias("brand"),
+        F.lpad(F.col("p_size").cast("string"), 3, "0").alias("sz"),
+    )
+    part.write.insertInto(table)
+    externalize.externalize(spark, table, path)
+    found = spark.table(table)
+    text = spark.sql(f"SHOW CREATE TABLE {table}").first()[0]
+    facts = [("column", name, kind) for name, kind in found.dtypes] + [
+        ("table", label, str(words in text))
+        for label, words in {
+            "USING orc": "USING orc",
+            "USING parquet": "USING parquet",
+            "PARTITIONED BY (sz)": "PARTITIONED BY (sz)",
+            "VARCHAR(40)": "VARCHAR(40)",
+            " kept": "COMMENT 'kept'",
+            " owner": "'owner.team' = 'x'",
+        }.items()
+    ]
+    facts.append(("table", "type", spark.catalog.getTable(table).tableType))
+    provider = "orc" if "USING orc" in text else "parquet"
+    rows = spark.read.format(provider).schema(found.schema).load(path)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    values = rows.select(
+        F.lit("row").alias("kind"),
+        F.col("p_partkey").cast("string").alias("key"),
+        F.concat("brand", F.lit("|"), "sz").alias("value"),
+    )
+    listed = F.array(*[F.struct(*[F.lit(v) for v in fact]) for fact in facts])
+    told = spark.range(1).select(F.inline(listed)).toDF("kind", "key", "value")
+    return values.unionByName(told)
+
+
+_MOVED_ROWS = "SELECT 'row' AS kind, '' || p_partkey AS key, p_brand || '|' || lpad('' || p_size, 3, '0') AS value FROM part"
 
 
 register(
@@ -245,8 +328,25 @@ FROM tables_base WHERE Type = 'MANAGED' AND database IN (SELECT table_schema FRO
 )
 register(
     "externalize",
-    _externalized,
-    "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice, 'EXTERNAL' AS table_type FROM part",
+    lambda e: _externalized(
+        e, "CREATE TABLE {table} (p_partkey BIGINT, brand STRING, sz STRING) USING parquet"
+    ),
+    f"""{_MOVED_ROWS}
+UNION ALL VALUES ('column', 'p_partkey', 'bigint'), ('column', 'brand', 'string'), ('column', 'sz', 'string'), ('table', 'USING orc', 'False'),
+  ('table', 'USING parquet', 'True'), ('table', 'PARTITIONED BY (sz)', 'False'), ('table', 'VARCHAR(40)', 'False'), ('table', ' kept', 'False'),
+  ('table', ' owner', 'False'), ('table', 'type', 'EXTERNAL')""",
+)
+register(
+    "externalize_partitioned",
+    lambda e: _externalized(
+        e,
+        "CREATE TABLE {table} (p_partkey BIGINT, brand VARCHAR(40), sz STRING) USING orc PARTITIONED BY (sz)"
+        " COMMENT 'kept' TBLPROPERTIES ('owner.team' = 'x')",
+    ),
+    f"""{_MOVED_ROWS}
+UNION ALL VALUES ('column', 'p_partkey', 'bigint'), ('column', 'brand', 'string'), ('column', 'sz', 'string'), ('table', 'USING orc', 'True'),
+  ('table', 'USING parquet', 'False'), ('table', 'PARTITIONED BY (sz)', 'True'), ('table', 'VARCHAR(40)', 'True'), ('table', ' kept', 'True'),
+  ('table', ' owner', 'True'), ('table', 'type', 'EXTERNAL')""",
 )
 
 # ---- object grants ----
@@ -268,10 +368,28 @@ def _extract(e: Estate) -> DataFrame:
     return migration.grant_extract(e.databases, e.db_grants, e.tbl_grants, e.failed_databases)
 
 
+def _stored(e: Estate, label: str, fill: Callable[[str, str], None]) -> DataFrame:
+    """Let ``fill`` write an external table of this name and path, then read its files; the table
+    itself does not stay."""
+    table, path = f"ferry_{label}_{uuid.uuid4().hex}", scratch_path(e.spark, label)
+    fill(table, path)
+    rows = e.spark.read.schema(e.spark.table(table).schema).parquet(path)
+    e.spark.sql(f"DROP TABLE {table}")
+    return rows
+
+
 def _stored_grants(e: Estate) -> DataFrame:
-    table = f"ferry_grants_{uuid.uuid4().hex}"
-    sinks.write_grants(_extract(e), table, path=scratch_path(e.spark, "grants"))
-    return e.spark.table(table)
+    return _stored(e, "grants", lambda t, p: sinks.write_grants(_extract(e), t, path=p))
+
+
+def _appended_grants(e: Estate) -> DataFrame:
+    """The extract, and its rows with errors once more in append mode."""
+
+    def fill(table: str, path: str) -> None:
+        sinks.write_grants(_extract(e), table, path=path)
+        sinks.write_grants(_extract(e).where("Error <> ''"), table, mode="append", path=path)
+
+    return _stored(e, "grants", fill)
 
 
 register(
@@ -286,6 +404,11 @@ register(
 )
 register("consolidate_grants", _extract, _CONSOLIDATED)
 register("write_grants", _stored_grants, _CONSOLIDATED)
+register(
+    "append_grants",
+    _appended_grants,
+    f"{_CONSOLIDATED} UNION ALL SELECT * FROM ({_CONSOLIDATED}) f WHERE Error <> ''",
+)
 register(
     "securables",
     lambda e: grants.securables(e.grants_raw, ("DATABASE", "TABLE")),
@@ -315,15 +438,27 @@ FROM grants_raw WHERE Principal IN (SELECT Principal FROM chosen_principals)
 AND ObjectName IN (SELECT ObjectName FROM grants_raw WHERE ObjectType IN ('DATABASE', 'TABLE')
   AND Principal IN (SELECT Principal FROM chosen_principals))""",
 )
+_LISTED_PRINCIPALS = [f"Customer#{n:09d}" for n in range(1, 40)]
+_IN_LIST = "Principal IN (" + ", ".join(f"'{p}'" for p in _LISTED_PRINCIPALS) + ")"
+register(
+    "replay_grants_list",
+    lambda e: grants.replay_grants(e.grants_raw, "hive_metastore", _LISTED_PRINCIPALS),
+    f"""
+SELECT Principal, ActionType, ObjectType, ObjectName,
+  'GRANT ' || ActionType || ' ON ' || {_SECURABLE} || ' `hive_metastore`.' || ObjectName || ' TO `' || Principal || '`' AS statement
+FROM grants_raw WHERE {_IN_LIST}
+AND ObjectName IN (SELECT ObjectName FROM grants_raw WHERE ObjectType IN ('DATABASE', 'TABLE') AND {_IN_LIST})""",
+)
 register(
     "grant_results",
     lambda e: grants.grant_results(
-        migration.grant_migration(e.grants_raw, CATALOG, ("DATABASE", "TABLE")), e.outcomes
+        grants.plan_grants(e.grants_raw, CATALOG, ("DATABASE", "TABLE")), e.outcomes
     ),
     f"""
-SELECT Principal, {_ACTION} AS ActionType, ObjectType, ObjectName, CASE WHEN ActionType = 'OWN' THEN 'denied' ELSE '' END AS Error
+SELECT Principal, {_ACTION} AS ActionType, ObjectType, ObjectName, 2 AS step,
+  CASE ActionType WHEN 'OWN' THEN 'denied' WHEN 'CREATE_NAMED_FUNCTION' THEN NULL ELSE '' END AS Error
 FROM grants_raw WHERE Principal <> '' AND ObjectName IN (SELECT ObjectName FROM grants_raw WHERE ObjectType IN ('DATABASE', 'TABLE'))
-UNION ALL SELECT DISTINCT Principal, 'USE CATALOG', 'CATALOG', 'cat', '' FROM grants_raw
+UNION ALL SELECT DISTINCT Principal, 'USE CATALOG', 'CATALOG', 'cat', 1, NULL FROM grants_raw
 WHERE Principal <> '' AND ObjectName IN (SELECT ObjectName FROM grants_raw WHERE ObjectType IN ('DATABASE', 'TABLE'))""",
 )
 
@@ -340,6 +475,11 @@ def _matches(e: Estate) -> DataFrame:
 
 
 register("external_roots", lambda e: locations.external_table_roots(e.tables_raw), _ROOTS)
+register(
+    "external_roots_pattern",
+    lambda e: locations.external_table_roots(e.tables_raw, literal=False),
+    "SELECT DISTINCT replace(Location, tableName, '') AS Location FROM tables_base WHERE Type = 'EXTERNAL'",
+)
 register("match_locations", _matches, _MATCHES)
 register(
     "match_locations_prefix",
@@ -353,7 +493,12 @@ JOIN ext_locations x ON starts_with(r.Location, rtrim(x.url, '/') || '/') OR sta
 register(
     "executor_grants",
     lambda e: locations.executor_grants(
-        "hive_metastore", e.databases, CATALOG, e.databases, _matches(e), PRINCIPAL
+        "hive_metastore",
+        e.databases,
+        CATALOG,
+        e.databases,
+        locations.matched_names(locations.external_table_roots(e.tables_raw), e.ext_locations),
+        PRINCIPAL,
     ),
     f"""
 SELECT 'GRANT USE_CATALOG ON CATALOG `hive_metastore`{_TO}' AS statement
@@ -373,7 +518,7 @@ _LISTED = {
     "Pipelines": "SELECT 'd' || p_partkey AS name, '' || p_partkey AS id FROM part",
     "Pools": "SELECT 'i' || p_partkey AS name, '' || p_partkey AS id FROM part",
     "SQL_Warehouses": "SELECT 'w' || p_partkey AS name, '' || p_partkey AS id FROM part",
-    "MLFlow_Models": "SELECT 'm' || p_partkey AS name, 'id' || p_partkey AS id FROM part",
+    "MLFlow_Models": "SELECT 'm' || p_partkey AS name, CASE WHEN p_size = 49 THEN NULL ELSE 'id' || p_partkey END AS id FROM part",
     "Repos": "SELECT '/Repos/r' || p_partkey AS name, '' || p_partkey AS id FROM part",
     "Notebooks": "SELECT '/Users/n' || p_partkey AS name, '' || p_partkey AS id FROM part",
     "Directories": "SELECT '/Users/d' || p_partkey AS name, '' || p_partkey AS id FROM part",
@@ -453,7 +598,8 @@ def _acl_of(e: Estate, kinds: tuple[str, ...]) -> DataFrame:
         )
         for kind in kinds
     ]
-    return e.acl_json.select(F.inline(F.array(*ids)), "doc")
+    twice = e.acl_json.unionByName(e.acl_json.where("k % 10 = 0"))
+    return twice.select(F.inline(F.array(*ids)), "doc")
 
 
 register(
@@ -476,6 +622,18 @@ register(
 )
 
 
+register(
+    "groups_of_interest",
+    lambda e: acl.groups(e.groups_raw, [f"Supplier#{n:09d}" for n in range(4, 9)] + ["admins"]),
+    "SELECT '' || id AS id, displayName AS group_name, displayName AS uc_group_name FROM groups_raw WHERE id BETWEEN 4 AND 8",
+)
+register(
+    "group_by_name",
+    lambda e: acl.groups(acl.group_listing(e.group_pages), "Supplier#000000005"),
+    "SELECT '' || id AS id, displayName AS group_name, displayName AS uc_group_name FROM groups_raw WHERE id = 5",
+)
+
+
 def _groups(e: Estate) -> DataFrame:
     return acl.groups(e.groups_raw)
 
@@ -491,8 +649,16 @@ WHERE group_name IN (SELECT displayName FROM groups_raw WHERE {_GROUP_FILTER})""
 )
 
 
+def _all_pages(e: Estate) -> DataFrame:
+    """Listing pages of all kinds in one pass over their source, some of them landed twice."""
+    return e.all_pages().unionByName(e.all_pages().where("page LIKE '%77%'"))
+
+
 def _landed_permissions(e: Estate) -> DataFrame:
-    pages = reduce(DataFrame.unionByName, [e.pages(kind) for kind in PAGES])
+    """Pages are written as landed files, one folder a kind, and read back from them."""
+    path = scratch_path(e.spark, "pages")
+    _all_pages(e).write.partitionBy("kind").text(path)
+    pages = sources.json_pages(e.spark, path, page_per_line=True)
     plain = tuple(kind for kind in acl.KINDS if kind != acl.SECRETS)
     secrets = e.secret_acls.select(F.lit("Secret").alias("artifact_type"), "id", "doc")
     return permissions.permission_table(
@@ -514,6 +680,7 @@ def _landed_oracle() -> str:
             f"SELECT {name} AS name, {key} AS id, g.displayName AS old_group_names, g.displayName AS new_group_names,"
             f" v.l AS permission_level, CAST(NULL AS VARCHAR) AS permission_update_status, '{spec.label}' AS artifact_type"
             f" {_PART_GROUPS} CROSS JOIN {levels} WHERE p.p_size <> 50 AND {_GROUP_FILTER}"
+            + (" AND p.p_size <> 49" if kind == "MLFlow_Models" else "")
         )
     return " UNION ALL ".join(branches)
 
@@ -525,25 +692,30 @@ SELECT name, id, old_group_names, new_group_names, permission_level, CAST(NULL A
 FROM permissions_stored"""
 
 
-def _permission_table_name(e: Estate) -> str:
-    table = f"ferry_permissions_{uuid.uuid4().hex}"
-    sinks.write_permissions(
-        e.permission_rows(), table, path=scratch_path(e.spark, "permissions")
-    )
-    return table
-
-
 def _stored_permissions(e: Estate) -> DataFrame:
     """Two writes: the second replaces only the Job partition, with its own rows."""
-    table = _permission_table_name(e)
-    sinks.write_permissions(e.permission_rows().where("artifact_type = 'Job'"), table)
-    return e.spark.table(table)
+
+    def fill(table: str, path: str) -> None:
+        sinks.write_permissions(e.permission_rows(), table, path=path)
+        sinks.write_permissions(e.permission_rows().where("artifact_type = 'Job'"), table)
+
+    return _stored(e, "permissions", fill)
 
 
 def _updated_permissions(e: Estate) -> DataFrame:
-    table = _permission_table_name(e)
-    sinks.update_permissions(e.spark, table, e.responses)
-    return e.spark.table(table)
+    def fill(table: str, path: str) -> None:
+        sinks.write_permissions(e.permission_rows(), table, path=path)
+        sinks.update_permissions(e.spark, table, e.responses)
+
+    return _stored(e, "permissions", fill)
+
+
+def _some_permissions(e: Estate) -> DataFrame:
+    """Stored rows of two types; the table stays, for the query reads it."""
+    table = "ferry_permissions_read"
+    e.spark.sql(f"DROP TABLE IF EXISTS {table}")
+    sinks.write_permissions(e.permission_rows(), table, path=scratch_path(e.spark, "permissions"))
+    return sources.permissions_of(e.spark, table, ["Job", "Pool"])
 
 
 _STATUS = """
@@ -552,6 +724,11 @@ SELECT name, id, group_name AS old_group_names, group_name AS new_group_names, p
 FROM acl_base"""
 register("write_permissions", _stored_permissions, _STORED)
 register("update_permissions", _updated_permissions, _STATUS)
+register(
+    "stored_permissions_of",
+    _some_permissions,
+    f"SELECT * FROM ({_STORED}) s WHERE artifact_type IN ('Job', 'Pool')",
+)
 _URI_CASE = " ".join(f"WHEN '{s.label}' THEN '{s.uri}'" for s in acl.KINDS.values())
 register(
     "permission_requests",
@@ -568,7 +745,7 @@ register(
 )
 register(
     "artifact_counts",
-    lambda e: acl.artifact_counts([_listing(e, kind) for kind in acl.KINDS]),
+    lambda e: acl.artifact_counts(acl.all_listings(_all_pages(e), e.model_ids)),
     " UNION ALL ".join(
         f"SELECT '{spec.label}' AS artifact_type, count(*) AS objects FROM ({_LISTED[kind]}) l"
         for kind, spec in acl.KINDS.items()
@@ -577,12 +754,14 @@ register(
 
 # ---- job-cluster upgrade ----
 
-_VERSION = "CASE WHEN o_orderkey % 19 = 0 THEN 'custom:x' ELSE (6 + o_orderkey % 9) || '.' || (o_orderkey % 4) || '.x-scala2.12' END"
-_CLUSTER = f"""'{{"job_cluster_key":"main","new_cluster":{{"aws_attributes":{{"zone_id":"z","HADOOP_PROXY_USER":{{"a":1}}}},"data_security_mode":"LEGACY","init":[{{"HADOOP_USER_NAME":"kept"}}],"num_workers":' || (o_orderkey % 5) || ',"spark_conf":{{"a.b":"1","HADOOP_PROXY_USER":"p"}},"spark_env_vars":{{"HADOOP_USER_NAME":"u","LD_LIBRARY_PATH":"/tmp/x/"}},"spark_version":"' || {_VERSION} || '"}}}}'"""
-_STRIPPED = f"""'{{"job_cluster_key":"main","new_cluster":{{"aws_attributes":{{"zone_id":"z"}},"data_security_mode":"LEGACY","init":[{{"HADOOP_USER_NAME":"kept"}}],"num_workers":' || (o_orderkey % 5) || ',"spark_conf":{{"a.b":"1"}},"spark_env_vars":{{"LD_LIBRARY_PATH":"/tmp/x/"}},"spark_version":"' || {_VERSION} || '"}}}}'"""
-_UPGRADED = """'{"job_cluster_key":"main","new_cluster":{"aws_attributes":{"zone_id":"z"},"data_security_mode":"SINGLE_USER","init":[{"HADOOP_USER_NAME":"kept"}],"num_workers":' || (o_orderkey % 5) || ',"spark_conf":{"catalog.name":"cat"},"spark_env_vars":{"LD_LIBRARY_PATH":"/tmp/x/"},"spark_version":"12.2.x-scala2.12"}}'"""
+_SET = '"spark_version":"12.2.x-scala2.12","spark_conf":{"catalog.name":"cat"},"data_security_mode":"SINGLE_USER"'
+_BARE = "o_orderkey % 23 = 0"
+_SHARED = """'{"job_cluster_key":"shared"}'"""
+_CLUSTER = f"CASE WHEN {_BARE} THEN {_SHARED} ELSE {JOB_CLUSTER} END"
+_STRIPPED = f"CASE WHEN {_BARE} THEN {_SHARED} ELSE {job_cluster(stripped=True)} END"
+_UPGRADED = job_cluster(stripped=True, upgraded=_SET)
 _NO_CLUSTER = "o_orderkey % 17 = 0"
-_ELIGIBLE = "o_orderkey % 17 <> 0 AND o_orderkey % 19 <> 0 AND 6 + o_orderkey % 9 >= 10"
+_ELIGIBLE = "o_orderkey % 17 <> 0 AND o_orderkey % 23 <> 0 AND o_orderkey % 19 <> 0 AND 6 + o_orderkey % 9 >= 10"
 
 
 def _clusters(e: Estate) -> DataFrame:
@@ -590,9 +769,8 @@ def _clusters(e: Estate) -> DataFrame:
 
 
 def _stored_backups(e: Estate) -> DataFrame:
-    table = f"ferry_backups_{uuid.uuid4().hex}"
-    sinks.backup_configs(_clusters(e), table, path=scratch_path(e.spark, "backups"))
-    return e.spark.table(table).select("job_id", "cluster_config")
+    rows = _stored(e, "backups", lambda t, p: sinks.backup_configs(_clusters(e), t, path=p))
+    return rows.select("job_id", "cluster_config")
 
 
 register(
@@ -616,9 +794,16 @@ register(
         jobs.eligible(_clusters(e)).where("eligible"), **UPGRADE
     ),
     f"""
-SELECT o_orderkey AS job_id, '{{"job_id":' || o_orderkey || ',"new_settings":{{"job_clusters":[' || {_UPGRADED} || ']}}}}' AS payload
+SELECT o_orderkey AS job_id, '{{"job_id":' || o_orderkey || ',"new_settings":{{"job_clusters":[' || {_UPGRADED} || ']}}}}' AS payload, '' AS message
 FROM orders WHERE {_ELIGIBLE}""",
 )
+register(
+    "upgrade_messages",
+    lambda e: jobs.upgrade_payload(_clusters(e), **UPGRADE).select("job_id", "message"),
+    f"""
+SELECT o_orderkey AS job_id, CASE WHEN {_NO_CLUSTER} THEN 'no job cluster' WHEN {_BARE} THEN 'no new_cluster' ELSE '' END AS message
+FROM orders""",
+)
 register(
     "backup_configs",
     _stored_backups,
@@ -635,9 +820,10 @@ register(
     "restore_payload",
     lambda e: jobs.restore_payload(e.backups, e.jobs_raw),
     """
-SELECT o_orderkey AS job_id, CASE o_orderstatus WHEN 'P' THEN NULL WHEN 'F' THEN '{"job_id":' || o_orderkey || ',"new_settings":{"job_clusters":[{"job_cluster_key":"k' || o_orderkey || '"}]}}'
+SELECT o_orderkey AS job_id, CASE WHEN o_orderstatus = 'P' OR (o_orderstatus = 'F' AND o_orderkey % 2 = 0) THEN NULL
+  WHEN o_orderstatus = 'F' THEN '{"job_id":' || o_orderkey || ',"new_settings":{"job_clusters":[{"job_cluster_key":"k' || o_orderkey || '"}]}}'
   ELSE '{"job_id":' || o_orderkey || ',"new_settings":{"job_clusters":[{"job_cluster_key":"old"}]}}' END AS payload,
-  CASE o_orderstatus WHEN 'P' THEN 'no backup' ELSE '' END AS message
+  CASE WHEN o_orderstatus = 'P' THEN 'no backup' WHEN o_orderstatus = 'F' AND o_orderkey % 2 = 0 THEN 'unreadable backup' ELSE '' END AS message
 FROM orders""",
 )
 

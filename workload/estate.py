@@ -40,6 +40,37 @@ def _group(number: str) -> str:
     )
 
 
+# The job-cluster document as SQL text over ``orders``: proxy-user keys at several levels, thirty
+# levels down and inside a list, and a number whose spelling must survive.
+DEEP = 30
+VERSION = "CASE WHEN o_orderkey % 19 = 0 THEN 'custom:x' ELSE (6 + o_orderkey % 9) || '.' || (o_orderkey % 4) || '.x-scala2.12' END"
+
+
+def job_cluster(stripped: bool, upgraded: str | None = None) -> str:
+    """The document as it lands, without proxy-user keys, or upgraded (members put at the end)."""
+
+    def proxy(text: str) -> str:
+        return "" if stripped else text
+
+    deep = '{"in":' * DEEP + "{" + proxy('"HADOOP_USER_NAME":"deep",') + '"end":1}' + "}" * DEEP
+    members = [
+        '"driver":{"zone":"z","disk":{' + proxy('"HADOOP_PROXY_USER":{"a":1}') + "}}",
+        None if upgraded else '"data_security_mode":"LEGACY"',
+        '"steps":[{"HADOOP_USER_NAME":"kept"}]',
+        '"num_workers":\' || (o_orderkey % 5) || \'',
+        '"ratio":1.0',
+        None if upgraded else '"spark_conf":{"a.b":"1"' + proxy(',"HADOOP_PROXY_USER":"p"') + "}",
+        '"spark_env_vars":{' + proxy('"HADOOP_USER_NAME":"u",') + '"MODE":"batch"}',
+        f'"nested":{deep}',
+        None if upgraded else f'"spark_version":"\' || {VERSION} || \'"',
+        upgraded,
+    ]
+    body = ",".join(m for m in members if m)
+    return f"""'{{"job_cluster_key":"nightly","new_cluster":{{{body}}}}}'"""
+
+
+JOB_CLUSTER = job_cluster(stripped=False)
+
 RELATIONS = {
     "tables_named": """
 SELECT p_partkey AS k, p_size AS size, p_brand AS brand,
@@ -78,12 +109,18 @@ FROM tables_base WHERE Type = 'VIEW'""",
 SELECT database, viewName, other,
   'SELECT a.k, `' || database || '`.f(b.k) FROM `hive_metastore`.`' || database || '`.`t1` a JOIN hive_metastore.' || other || '.t2 b ON a.k = b.k JOIN (SELECT * FROM zz.' || other || ' x,' || other || '.t3) c' || chr(10) || 'JOIN (' || other || '.t4) d' AS view_text
 FROM views_named""",
+    "views_odd": """
+SELECT database, viewName, view_text FROM views_raw WHERE viewName LIKE '%7'
+UNION ALL SELECT database, 'nul_' || viewName, CAST(NULL AS STRING) FROM views_raw WHERE viewName LIKE '%3'""",
+    "renamed_databases": """
+SELECT database, CASE WHEN database LIKE '%00' THEN database || '_moved' ELSE CAST(NULL AS STRING) END AS target_database FROM databases""",
     "schema_mapping": """
 SELECT DISTINCT database AS src, database || '_new' AS dst FROM tables_base WHERE Provider = 'delta'""",
     "describe_rows": """
 SELECT database, tableName, 1 AS ordinal, 'Type' AS col_name, 'int' AS data_type FROM tables_base WHERE brand = 'Brand#7'
 UNION ALL SELECT database, tableName, 2, 'a', 'string' FROM tables_base
-UNION ALL SELECT database, tableName, 10, '# Detailed Table Information', '' FROM tables_base
+UNION ALL SELECT database, tableName, 10, '# Detailed Table Information', '' FROM tables_base WHERE brand <> 'Brand#13'
+UNION ALL SELECT database, tableName || '_bare', 1, 'a', 'string' FROM tables_base WHERE brand = 'Brand#15'
 UNION ALL SELECT database, tableName, 11, 'Type', Type FROM tables_base
 UNION ALL SELECT database, tableName, 12, 'Provider', Provider FROM tables_base WHERE Provider IS NOT NULL
 UNION ALL SELECT database, tableName, 13, 'Location', Location FROM tables_base WHERE Location IS NOT NULL
@@ -95,6 +132,14 @@ FROM tables_base WHERE brand = 'Brand#11'""",
     "target_tables": """
 SELECT database, tableName, CASE WHEN brand = 'Brand#3' THEN Location || '_old' ELSE Location END AS Location
 FROM tables_base WHERE Provider = 'delta'""",
+    "target_landed": """
+SELECT database, tableName, Location FROM target_tables
+UNION ALL SELECT database, tableName, Location FROM target_tables WHERE tableName LIKE '%5'""",
+    "sync_outcomes": """
+SELECT database, tableName, 'SUCCESS' AS status_code, CAST(NULL AS STRING) AS message, 2 AS answered_at
+FROM tables_base WHERE brand <> 'Brand#9' AND brand <> 'Brand#5' AND Location IS NOT NULL
+UNION ALL SELECT database, tableName, 'FAILED', 'boom ' || k, CASE WHEN brand = 'Brand#5' THEN 2 ELSE 1 END
+FROM tables_base WHERE brand <> 'Brand#9' AND (brand = 'Brand#5' OR k % 5 = 0) AND Location IS NOT NULL""",
     "status_json": """
 SELECT '[{"source_schema":"' || database || '","source_name":"' || tableName || '","source_type":"' || Type || '","target_catalog":"cat","target_schema":"' || database || '","target_name":"' || tableName || '","status_code":"SUCCESS","description":null},{"status_code":"Error","source_schema":"' || database || '","source_name":"' || tableName || '_b","description":"boom ' || k || '"}]' AS doc
 FROM tables_base""",
@@ -117,11 +162,16 @@ UNION ALL SELECT '', '', 'DATABASE', 'empty_' || s_suppkey FROM supplier""",
     "chosen_principals": """
 SELECT c_name AS Principal FROM customer WHERE c_mktsegment <> 'BUILDING'""",
     "outcomes": """
-SELECT Principal, 'ALL PRIVILEGES' AS ActionType, ObjectType, ObjectName, 'denied' AS message
-FROM grants_raw WHERE ActionType = 'OWN'""",
+SELECT Principal, CASE WHEN ActionType = 'OWN' THEN 'ALL PRIVILEGES' ELSE ActionType END AS ActionType, ObjectType, ObjectName,
+  CASE WHEN ActionType = 'OWN' THEN 'denied' ELSE CAST(NULL AS STRING) END AS message, 2 AS answered_at
+FROM grants_raw WHERE ActionType <> 'CREATE_NAMED_FUNCTION'
+UNION ALL SELECT Principal, ActionType, ObjectType, ObjectName, 'slow', 1 FROM grants_raw WHERE ActionType = 'SELECT'""",
     "view_outcomes": """
-SELECT database, viewName, CASE WHEN brand = 'Brand#5' THEN 'boom ' || viewName ELSE NULL END AS message
+SELECT database, viewName, brand, CASE WHEN brand = 'Brand#5' THEN 'boom ' || viewName ELSE CAST(NULL AS STRING) END AS message
 FROM views_named""",
+    "view_answers": """
+SELECT database, viewName, message, 2 AS answered_at FROM view_outcomes WHERE brand <> 'Brand#9'
+UNION ALL SELECT database, viewName, 'slow', 1 FROM view_outcomes WHERE brand = 'Brand#2'""",
     "groups_raw": f"""
 SELECT s_suppkey AS id, {_group("s_suppkey")} AS displayName FROM supplier""",
     "group_pages": """
@@ -144,17 +194,22 @@ SELECT name, id, group_name AS old_group_names, group_name AS new_group_names, p
 FROM acl_base""",
     "responses": """
 SELECT label AS artifact_type, id, group_name AS new_group_names, permission AS permission_level,
-  CASE WHEN k % 9 = 0 THEN 403 ELSE 200 END AS status_code, CASE WHEN k % 9 = 0 THEN 'denied ' || k ELSE '' END AS content
-FROM acl_base WHERE label <> 'Repo'""",
-    "jobs_raw": """
-SELECT o_orderkey AS job_id, CASE WHEN o_orderkey % 17 = 0 THEN '{"settings":{"name":"j","job_clusters":[]}}' ELSE '{"settings":{"name":"j","job_clusters":[{"job_cluster_key":"main","new_cluster":{"aws_attributes":{"zone_id":"z","HADOOP_PROXY_USER":{"a":1}},"data_security_mode":"LEGACY","init":[{"HADOOP_USER_NAME":"kept"}],"num_workers":' || (o_orderkey % 5) || ',"spark_conf":{"a.b":"1","HADOOP_PROXY_USER":"p"},"spark_env_vars":{"HADOOP_USER_NAME":"u","LD_LIBRARY_PATH":"/tmp/x/"},"spark_version":"' || CASE WHEN o_orderkey % 19 = 0 THEN 'custom:x' ELSE (6 + o_orderkey % 9) || '.' || (o_orderkey % 4) || '.x-scala2.12' END || '"}},{"job_cluster_key":"second"}]}}' END AS job_json
+  CASE WHEN k % 9 = 0 THEN 403 ELSE 200 END AS status_code, CASE WHEN k % 9 = 0 THEN 'denied ' || k ELSE '' END AS content, 2 AS answered_at
+FROM acl_base WHERE label <> 'Repo'
+UNION ALL SELECT label, id, group_name, permission, CASE WHEN k % 9 = 0 THEN 200 ELSE 429 END, 'slow', 1
+FROM acl_base WHERE label <> 'Repo' AND k % 4 = 0""",
+    "jobs_raw": f"""
+SELECT o_orderkey AS job_id, CASE WHEN o_orderkey % 17 = 0 THEN '{{"settings":{{"name":"j","job_clusters":[]}}}}'
+  WHEN o_orderkey % 23 = 0 THEN '{{"settings":{{"name":"j","job_clusters":[{{"job_cluster_key":"shared"}}]}}}}'
+  ELSE '{{"settings":{{"name":"j","job_clusters":[' || {JOB_CLUSTER} || ',{{"job_cluster_key":"second"}}]}}}}' END AS job_json
 FROM orders""",
     "job_responses": """
-SELECT job_id, CASE WHEN job_id % 5 = 0 THEN 500 ELSE 200 END AS status_code, 'fail ' || job_id AS content FROM jobs_raw""",
+SELECT job_id, CASE WHEN job_id % 5 = 0 THEN 500 ELSE 200 END AS status_code, 'fail ' || job_id AS content, 2 AS answered_at FROM jobs_raw
+UNION ALL SELECT job_id, CASE WHEN job_id % 5 = 0 THEN 200 ELSE 500 END, 'slow', 1 FROM jobs_raw WHERE job_id % 3 = 0""",
     "backups": """
 SELECT o_orderkey AS job_id, '{"job_cluster_key":"old"}' AS cluster_config, 1 AS recorded_at FROM orders WHERE o_orderstatus <> 'P'
 UNION ALL SELECT o_orderkey, '{"job_cluster_key":"k' || o_orderkey || '"}', 2 FROM orders WHERE o_orderstatus = 'F'
-UNION ALL SELECT o_orderkey, '{''not'': True}', 3 FROM orders WHERE o_orderstatus = 'F'""",
+UNION ALL SELECT o_orderkey, '{''not'': ''JSON''}', 3 FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 2 = 0""",
     "acl_json": """
 SELECT p_partkey AS k, CASE WHEN p_size = 50 THEN '{"error_code":"DENIED"}' ELSE '{"access_control_list":[{"group_name":"' || g.displayName || '","all_permissions":[{"permission_level":"CAN_VIEW"},{"permission_level":"CAN_RUN","inherited":true}]},{"user_name":"u' || p_partkey || '","all_permissions":[{"permission_level":"CAN_MANAGE"}]},{"group_name":"' || p_brand || '","all_permissions":[{"permission_level":"CAN_MANAGE"}]}]}' END AS doc
 FROM part JOIN groups_raw g ON g.id = p_partkey % 10""",
@@ -162,7 +217,8 @@ FROM part JOIN groups_raw g ON g.id = p_partkey % 10""",
 SELECT p_partkey AS k, 's' || p_partkey AS id, CASE WHEN p_size = 50 THEN 'no JSON' ELSE '{"items":[{"principal":"' || g.displayName || '","permission":"READ"},{"principal":"users","permission":"MANAGE"},{"permission":"WRITE"}]}' END AS doc
 FROM part JOIN groups_raw g ON g.id = p_partkey % 10""",
     "model_ids": """
-SELECT 'm' || p_partkey AS name, 'id' || p_partkey AS model_id FROM part""",
+SELECT 'm' || p_partkey AS name, 'id' || p_partkey AS model_id FROM part WHERE p_size <> 49
+UNION ALL SELECT 'm' || p_partkey, 'id' || p_partkey FROM part WHERE p_size = 48""",
 }
 
 # One page per part and kind; a page of jobs or workspace objects holds several objects.
@@ -210,18 +266,10 @@ class Estate:
         return self.spark.table(self._view(name))
 
     def _view(self, name: str) -> str:
-        """Temporary view of one file, so that its footer is read once per session.
-
-        Job documents come from ``orders``. With fewer splits than cores it is spread, so that
-        the JSON work is not left to one task; a large table has splits enough and keeps them.
-        """
+        """Temporary view of one file, so that its footer is read once per session."""
         view = f"estate_{zlib.crc32(self.sf_dir.encode())}_{name}"
         if not self.spark.catalog.tableExists(view):
-            rows = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-            cores = self.spark.sparkContext.defaultParallelism
-            if name == "orders" and rows.rdd.getNumPartitions() < cores:
-                rows = rows.repartition(cores, "o_orderkey")
-            rows.createTempView(view)
+            self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet").createTempView(view)
         return view
 
     def sql(self, sql: str) -> DataFrame:
@@ -238,6 +286,11 @@ class Estate:
     def pages(self, kind: str) -> DataFrame:
         return self.sql(f"SELECT '{kind}' AS kind, {PAGES[kind]} AS page FROM part")
 
+    def all_pages(self) -> DataFrame:
+        """The pages of all kinds from one scan of their source."""
+        pages = ", ".join(f"named_struct('kind', '{k}', 'page', {page})" for k, page in PAGES.items())
+        return self.sql(f"SELECT inline(array({pages})) FROM part")
+
     def acl_documents(self, name: str, id_column: str, perms_column: str) -> DataFrame:
         """Every line item as an object with its nested ACL: two groups, or a null entry after a
         failed read, or no list. ``name`` is an SQL expression over the columns of acl_objects."""
