@@ -15,9 +15,11 @@ one keeps common passages out of the beginnings.
 
 Only components are needed, so not all pairs of a group are formed. Equal sets are one node. Each
 list (split by a salt where the sketch says its shingle is common) first pairs its members with its
-smallest one; what that leaves in different components is then paired across components. Pairs are
-cut by sizes, places in the order and a parity bitmap that bounds the symmetric difference from
-below, and counted exactly on whole sets. No true link is lost by any of these.
+most typical one, the one whose shingles are the most common on average: in a group of edited copies
+that is the text they were made from. What that leaves in different components is then paired across
+components. Pairs are cut by sizes, places in the order and a parity bitmap that bounds the
+symmetric difference from below, and counted exactly on whole sets. No true link is lost by any of
+these.
 
 Shingles are 64-bit hashes of whole word sequences; sets are told apart by a 64-bit hash as well.
 
@@ -53,6 +55,7 @@ _LOWER[65:91] += 32
 _CHUNKS = 64
 _BITMAP_WORDS = 16
 _SMALL = 64
+_SLICE = 1 << 19
 
 _powers: dict[str, np.ndarray] = {"up": np.ones(1, _U), "down": np.ones(1, _U)}
 
@@ -98,7 +101,7 @@ def shingle_sets(texts: list[str | None], width: int = 5) -> list[np.ndarray]:
         elif b > a:
             short = np.array([b - a], _U) * _U(_STEPS[15])
             for k in range(b - a):
-                short += words[a + k] * _U(_STEPS[k])
+                short += words[a + k : a + k + 1] * _U(_STEPS[k])
             out.append(_mix(short))
         else:
             out.append(np.zeros(0, _U))
@@ -138,6 +141,7 @@ def _sets_and_sketch(docs: DataFrame, width: int, bits: int) -> DataFrame:
             ("chunk", pa.int32()),
             ("counts", pa.binary()),
             ("shingles", pa.list_(pa.int64())),
+            ("bitmap", pa.list_(pa.int64())),
         ]
     )
 
@@ -151,14 +155,15 @@ def _sets_and_sketch(docs: DataFrame, width: int, bits: int) -> DataFrame:
         counts = np.zeros(1 << bits, np.uint32)
         seen = False
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", _SLICE):
                 sets = shingle_sets(part.column("text").to_pylist(), width)
                 out = []
                 for doc_id, own in zip(part.column("doc_id").to_pylist(), sets, strict=True):
                     key = set_key(own) if len(own) and doc_id is not None else None
-                    out.append((0, doc_id, len(own), key, None, None, None))
+                    bitmap = None if key is None else parity(own)
+                    out.append((0, doc_id, len(own), key, None, None, None, bitmap))
                     if key is not None and 2 < len(own) <= _SMALL:
-                        out.append((2, None, len(own), key, None, None, own.view(np.int64)))
+                        out.append((2, None, len(own), key, None, None, own.view(np.int64), None))
                 if out:
                     yield rows(out)
                 every = np.concatenate(sets)
@@ -166,11 +171,12 @@ def _sets_and_sketch(docs: DataFrame, width: int, bits: int) -> DataFrame:
                 seen = seen or len(every) > 0
         if seen:
             small = np.minimum(counts, 255).astype(np.uint8).reshape(_CHUNKS, -1)
-            yield rows([(1, None, None, None, i, zlib.compress(c.tobytes(), 1), None) for i, c in enumerate(small)])
+            yield rows([(1, None, None, None, i, zlib.compress(c.tobytes(), 1), None, None) for i, c in enumerate(small)])
 
     return docs.mapInArrow(
         work,
-        "kind int, doc_id long, size int, key long, chunk int, counts binary, shingles array<long>",
+        "kind int, doc_id long, size int, key long, chunk int, counts binary, shingles array<long>,"
+        " bitmap array<long>",
     )
 
 
@@ -225,7 +231,8 @@ def boundary(histogram: dict[int, int], met: float, threshold: Fraction, subset:
 def _signatures(
     docs: DataFrame, width: int, threshold: Fraction, light: int, classes: np.ndarray, common: int
 ) -> DataFrame:
-    """sig, key, size, place, salted: the subsets of light sets and the list entries of the others."""
+    """sig, key, size, typical, place, salted: the subsets of light sets and the list entries of the
+    others. ``typical`` is the mean size class of the set's shingles, in sixteenths."""
     bits = int(len(classes)).bit_length() - 1
     shared_classes = docs.sparkSession.sparkContext.broadcast(classes)
 
@@ -233,7 +240,7 @@ def _signatures(
         rank = shared_classes.value
         done: set[int] = set()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", _SLICE):
                 found = []
                 for own in shingle_sets(part.column("text").to_pylist(), width):
                     size = len(own)
@@ -246,16 +253,19 @@ def _signatures(
                         done.add(key)
                     shared = least_shared(size, threshold)
                     level = rank[(own >> _U(64 - bits)).astype(np.int64)]
+                    typical = int(level.mean() * 16)
                     order = np.argsort((level.astype(_U) << _U(56)) | (own >> _U(8)), kind="stable")
                     if size <= light:
                         first = order[: size - shared + 2]
                         a, b = np.triu_indices(len(first), 1)
                         sig = _mix(own[first[a]] * _U(_STEPS[3]) + own[first[b]] * _U(_STEPS[5]))
                         heavy = np.minimum(level[first[a]], level[first[b]]) >= common
-                        found.append((sig, key, size, np.zeros(len(sig), np.int64), heavy))
+                        found.append((sig, key, size, np.zeros(len(sig), np.int64), heavy, typical))
                     if size > threshold * light:
                         first = order[: size - shared + 1]
-                        found.append((own[first], key, size, np.arange(len(first)), level[first] >= common))
+                        found.append(
+                            (own[first], key, size, np.arange(len(first)), level[first] >= common, typical)
+                        )
                 if found:
                     lens = [len(f[0]) for f in found]
                     yield pa.record_batch(
@@ -263,14 +273,15 @@ def _signatures(
                             pa.array(np.concatenate([f[0] for f in found]).view(np.int64)),
                             pa.array(np.repeat(np.array([f[1] for f in found], np.int64), lens)),
                             pa.array(np.repeat(np.array([f[2] for f in found], np.int32), lens)),
+                            pa.array(np.repeat(np.array([f[5] for f in found], np.int32), lens)),
                             pa.array(np.concatenate([f[3] for f in found]).astype(np.int32)),
                             pa.array(np.concatenate([f[4] for f in found])),
                         ],
-                        names=["sig", "key", "size", "place", "salted"],
+                        names=["sig", "key", "size", "typical", "place", "salted"],
                     )
 
     return docs.where("doc_id is not null").select("text").mapInArrow(
-        work, "sig long, key long, size int, place int, salted boolean"
+        work, "sig long, key long, size int, typical int, place int, salted boolean"
     )
 
 
@@ -300,33 +311,31 @@ def _bloom_at(ids: pa.Array, bits: int) -> np.ndarray:
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, width: int, bits: int = 24) -> DataFrame:
-    """key, shingles, bitmap of the wanted documents (doc_id, key)."""
+    """key, shingles of the wanted documents (doc_id, key)."""
     bloom = docs.sparkSession.sparkContext.broadcast(_bloom(wanted.select("doc_id"), bits))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = np.unpackbits(bloom.value, bitorder="little").view(bool)
         for batch in batches:
-            ids = batch.column("doc_id")
-            keep = pa.array(flags[_bloom_at(ids, bits)])
-            for part in slices(batch.filter(keep), "text"):
+            keep = pa.array(flags[_bloom_at(batch.column("doc_id"), bits)])
+            for part in slices(batch.filter(keep), "text", _SLICE):
                 sets = shingle_sets(part.column("text").to_pylist(), width)
                 yield pa.record_batch(
                     [
                         part.column("doc_id"),
                         pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()),
                         pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()),
-                        pa.array([parity(s) for s in sets], pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "key", "shingles", "bitmap"],
+                    names=["doc_id", "key", "shingles"],
                 )
 
     found = docs.where("doc_id is not null").mapInArrow(
-        work, "doc_id long, key long, shingles binary, bitmap array<long>"
+        work, "doc_id long, key long, shingles binary"
     )
     return (
         found.join(wanted, ["doc_id", "key"])
         .groupBy("key")
-        .agg(F.first("shingles").alias("shingles"), F.first("bitmap").alias("bitmap"))
+        .agg(F.first("shingles").alias("shingles"))
     )
 
 
@@ -336,18 +345,28 @@ def _may_link(a: str, b: str, threshold: Fraction) -> Column:
     return low * threshold.denominator >= high * threshold.numerator
 
 
-def _links(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
-    """Pairs (a, b) of keys that reach the threshold, counted on whole sets."""
-    bitmaps = sets.select("key", "bitmap", (F.length("shingles") / 8).cast("int").alias("size"))
-    a, b = bitmaps.alias("x"), bitmaps.alias("y")
-    near = (
-        pairs.join(a, F.col("a") == F.col("x.key"))
-        .join(b, F.col("b") == F.col("y.key"))
+def _near(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
+    """Pairs whose sizes and bitmaps allow a link; ``sets``: key, size, bitmap."""
+    x, y = sets.alias("x"), sets.alias("y")
+    return (
+        pairs.join(x, F.col("a") == F.col("x.key"))
+        .join(y, F.col("b") == F.col("y.key"))
         .where(_may_link("x", "y", threshold) & _bitmaps_allow("x", "y", threshold))
         .select("a", "b")
     )
+
+
+def _links(
+    pairs: DataFrame, docs: DataFrame, named: DataFrame, width: int, threshold: Fraction
+) -> DataFrame:
+    """Pairs (a, b) of keys that reach the threshold, counted on whole sets, which are made anew
+    for the documents of these pairs only; ``named``: doc_id and key of a document of each set."""
+    pairs = staged(pairs, "jaccard-pairs")
+    keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    wanted = staged(named.join(keys, "key").select("doc_id", "key"), "jaccard-wanted")
+    sets = staged(_whole_sets(docs, wanted, width), "jaccard-whole")
     wide = (
-        near.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("_a")), "a")
+        pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("_a")), "a")
         .join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("_b")), "b")
         .select("a", "b", "_a", "_b")
     )
@@ -422,7 +441,7 @@ def join(
     """doc_id, n_shingles, component_id for every row of ``docs``."""
     docs = id_text(docs)
     first = staged(_sets_and_sketch(docs, width, sketch_bits), "jaccard-sets")
-    rows = first.where("kind = 0").select("doc_id", "size", "key")
+    rows = first.where("kind = 0").select("doc_id", "size", "key", "bitmap")
     classes = _summed(first.where("kind = 1"), sketch_bits, add=True)
 
     short = first.where("kind = 2").select("key", "size", "shingles").dropDuplicates(["key"])
@@ -439,36 +458,40 @@ def join(
         signatures.withColumn(
             "salt", F.when(F.col("salted"), F.pmod("key", F.lit(salts))).otherwise(F.lit(0)).cast("int")
         )
-        .withColumn("pivot", F.min(F.struct("key", "size")).over(mine))
-        .withColumn("last", F.max("key").over(mine))
-        .where(F.col("salted") | (F.col("pivot.key") < F.col("last")))
-        .select("sig", "key", "size", "place", "salted", F.col("pivot.key").alias("pivot"), F.col("pivot.size").alias("pivot_size"))
+        .withColumn("pivot", F.max(F.struct("typical", "key", "size")).over(mine))
+        .withColumn("_least", F.min("key").over(mine))
+        .withColumn("_most", F.max("key").over(mine))
+        .where(F.col("salted") | (F.col("_least") < F.col("_most")))
+        .select("sig", "key", "size", "place", "salted", "pivot")
         .distinct(),
         "jaccard-entries",
     )
-    top = entries.where("salted").groupBy("sig").agg(F.min("pivot").alias("top"))
+    top = entries.where("salted").groupBy("sig").agg(F.max("pivot").alias("top"))
     up, down = threshold.numerator, threshold.denominator
     stars = (
-        entries.where("key <> pivot")
-        .where(F.least("size", "pivot_size") * down >= F.greatest("size", "pivot_size") * up)
-        .select(F.col("pivot").alias("a"), F.col("key").alias("b"))
+        entries.where("key <> pivot.key")
+        .where(F.least("size", "pivot.size") * down >= F.greatest("size", "pivot.size") * up)
+        .select(F.col("pivot.key").alias("a"), F.col("key").alias("b"))
         .union(
             entries.where("salted")
-            .select("sig", "pivot")
+            .select("sig", F.col("pivot.key").alias("b"))
             .distinct()
             .join(top, "sig")
-            .where("pivot <> top")
-            .select(F.col("top").alias("a"), F.col("pivot").alias("b"))
+            .where("b <> top.key")
+            .select(F.col("top.key").alias("a"), "b")
         )
         .distinct()
     )
-    named = grouped_lookup(rows.where("key is not null"), ["key"], F.min("doc_id").alias("doc_id"))
-    wanted = staged(
-        named.join(entries.select("key").distinct(), "key").select("doc_id", "key"),
-        "jaccard-wanted",
+    held = rows.where("key is not null")
+    named = grouped_lookup(held, ["key"], F.min("doc_id").alias("doc_id"))
+    sets = staged(
+        held.select("key", "size", "bitmap")
+        .join(entries.select("key").distinct(), "key", "left_semi")
+        .groupBy("key")
+        .agg(F.first("size").alias("size"), F.first("bitmap").alias("bitmap")),
+        "jaccard-bitmaps",
     )
-    sets = staged(_whole_sets(docs, wanted, width), "jaccard-whole")
-    links = staged(_links(stars, sets, threshold), "jaccard-links")
+    links = staged(_links(_near(stars, sets, threshold), docs, named, width, threshold), "jaccard-links")
     root = components(links)
 
     # what the stars left apart: lists with more than one component, members paired across them
@@ -495,7 +518,7 @@ def join(
         .select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
         .distinct()
     )
-    more = staged(_links(across, sets, threshold), "jaccard-links")
+    more = staged(_links(across, docs, named, width, threshold), "jaccard-links")
     if not more.isEmpty():
         root = components(links.union(more))
 
