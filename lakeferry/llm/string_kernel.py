@@ -299,7 +299,8 @@ def sample(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int) ->
     rows = (
         docs.select("doc_id", "text")
         .where(F.col("text").isNotNull())
-        .join(known.where(chosen).distinct(), "doc_id")
+        # about per_class labels a class: a size fixed by that parameter
+        .join(F.broadcast(known.where(chosen).distinct()), "doc_id")
         .select("doc_id", "text", "toxic")
         .collect()
     )
