@@ -54,24 +54,23 @@ def _rewrite_pieces(
     """Cut each text into pieces that start at a candidate name, look the names up with one
     equi-join and put the pieces of a text back in order.
 
-    Pieces without a name stay out of the join. A row that repeats a text counts once, different
-    texts of one view stay apart, and a null text stays null.
+    A piece without a name gets one that no schema has, spread over many, so that the join meets no
+    common empty key. A row that repeats a text counts once, different texts of one view stay apart,
+    and a null text stays null.
     """
     keys = ["database", "viewName", "_text"]
-    cut = (
-        views.distinct()
-        .withColumn("_text", F.xxhash64("view_text"))
+    nameless = F.concat(F.lit("\0"), F.pmod(F.hash("_text", "at"), F.lit(4096)).cast("string"))
+    put = (
+        views.withColumn("_text", F.xxhash64("view_text"))
         .select("*", F.posexplode_outer(pieces).alias("at", "piece"))
-        .withColumn("name", F.nullif(name, F.lit("")))
-    )
-    found = cut.where("name is not null").join(targets, "name", "left")
-    put = found.select(*keys, "at", replacement.alias("piece")).unionByName(
-        cut.where("name is null").select(*keys, "at", "piece")
+        .withColumn("name", F.coalesce(F.nullif(name, F.lit("")), nameless, F.lit("\0")))
+        .join(targets, "name", "left")
+        .select(*keys, "at", replacement.alias("piece"))
     )
     text = F.array_join(F.transform("pieces", lambda p: p["piece"]), "")
     return (
         put.groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("pieces"))
+        .agg(F.array_sort(F.collect_set(F.struct("at", "piece"))).alias("pieces"))
         .select(
             "database",
             "viewName",

@@ -14,11 +14,22 @@ def flat_permissions(
     listings: DataFrame, acl_documents: DataFrame, secret_documents: DataFrame
 ) -> DataFrame:
     """Flattened ACLs of all kinds; documents carry (artifact_type, id, doc) and are parsed and
-    joined once for all kinds, secrets apart because their entries have another type."""
-    secret = F.col("artifact_type") == acl.KINDS[acl.SECRETS].label
-    plain = acl.attach_acl(listings.where(~secret), acl.parse_acl(acl_documents))
-    scopes = acl.attach_acl(listings.where(secret), acl.parse_secret_acl(secret_documents))
-    return acl.flatten_attached(plain).unionByName(acl.flatten_acl(scopes, acl.SECRETS))
+    joined once for all kinds. The single permission of a secret entry becomes a list of one."""
+    keys = ["artifact_type", "id"]
+    plain = acl.parse_acl(acl_documents).select(*keys, "perms")
+    secrets = acl.parse_secret_acl(secret_documents).select(
+        *keys,
+        F.transform(
+            "perms",
+            lambda p: F.when(
+                p.isNotNull(),
+                F.struct(
+                    p["group_name"].alias("group_name"), F.array(p["permissions"]).alias("permissions")
+                ),
+            ),
+        ).alias("perms"),
+    )
+    return acl.flatten_attached(acl.attach_acl(listings, plain.unionByName(secrets)))
 
 
 def permission_table(

@@ -248,7 +248,51 @@ def test_landed_pages(spark, tmp_path):
     for kind, names in (("Jobs", ("a.json", "b.json")), ("Pools", ("c.json",))):
         folder = tmp_path / f"kind={kind}"
         folder.mkdir()
-        for n in names:
-            (folder / n).write_text('{"jobs":[\n{"job_id":1,"settings":{"name":"x"}}]}')
+        for i, n in enumerate(names):
+            (folder / n).write_text('{"jobs":[\n{"job_id":%d,"settings":{"name":"x"}},{"job_id":7,"settings":{"name":"twice"}}]}' % i)
     pages = json_pages(spark, str(tmp_path))
-    assert acl.listing(pages.where("kind = 'Jobs'"), "Jobs").count() == 2
+    assert rows(acl.listing(pages.where("kind = 'Jobs'"), "Jobs").select("id")) == [("0",), ("1",), ("7",)]
+
+
+def test_broken_acl_documents_fail(spark):
+    for doc in ('{"access_control_list":[{"group_name":"g"', "<html>", '{"access_control_list":"x"}'):
+        with pytest.raises(Exception):
+            acl.parse_acl(spark.createDataFrame([(doc,)], "doc string")).collect()
+
+
+def test_models_without_an_id_stay(spark):
+    pages = spark.createDataFrame([('{"registered_models":[{"name":"m"},{"name":"n"}]}',)], "page string")
+    ids = spark.createDataFrame([("m", 77), ("m", 77)], "name string, model_id int")
+    assert rows(acl.listing(pages, "MLFlow_Models", ids)) == [("MLFlow_Model", "m", "77"), ("MLFlow_Model", "n", None)]
+
+
+def test_the_last_answer_counts(spark):
+    keys = ("Job", "1", "g", "CAN_VIEW")
+    answers = spark.createDataFrame(
+        [(*keys, 429, "slow", 1), (*keys, 200, "", 2), ("Job", "2", "g", "CAN_VIEW", 200, "", 1), ("Job", "2", "g", "CAN_VIEW", 403, "no", 2)],
+        "artifact_type string, id string, new_group_names string, permission_level string, status_code int, content string, answered_at int",
+    )
+    stored = spark.createDataFrame(
+        [("n", i, "g", "g", "CAN_VIEW", None, "Job") for i in "12"], schemas.PERMISSIONS
+    )
+    found = {r.id: r.permission_update_status for r in acl.permission_status(stored, answers).collect()}
+    assert found == {"1": "Permission set Successfully", "2": "Error: no"}
+
+
+def test_writers_of_different_types_do_not_meet(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    types = [k.label for k in acl.KINDS.values()][:6]
+    frames = {
+        t: spark.createDataFrame([(f"n{i}", str(i), "g", "g", "A", None, t) for i in range(5)], schemas.PERMISSIONS)
+        for t in types
+    }
+    write_permissions(frames[types[0]], "permissions_threads", str(tmp_path / "threads"))
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda t: write_permissions(frames[t], "permissions_threads"), types * 2))
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+    spark.catalog.recoverPartitions("permissions_threads")
+    spark.catalog.refreshTable("permissions_threads")
+    counts = spark.table("permissions_threads").groupBy("artifact_type").count().collect()
+    assert {r.artifact_type: r["count"] for r in counts} == dict.fromkeys(types, 5)

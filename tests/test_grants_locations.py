@@ -105,11 +105,14 @@ def test_replay_keeps_privileges_and_principals(spark):
 def test_results_carry_messages(spark):
     plan = grants.plan_grants(planned(spark), "cat")
     outcomes = spark.createDataFrame(
-        [("p", "ALL PRIVILEGES", "DATABASE", "a", "denied")] * 2, GRANTS + ", message string"
+        [("p", "ALL PRIVILEGES", "DATABASE", "a", "denied"), ("p", "USE CATALOG", "CATALOG", "cat", None)],
+        GRANTS + ", message string",
     )
     out = grants.grant_results(plan, outcomes)
     assert out.count() == plan.count()
-    assert rows(out.where("Error <> ''")) == [("p", "ALL PRIVILEGES", "DATABASE", "a", "denied")]
+    assert rows(out.where("Error <> ''")) == [("p", "ALL PRIVILEGES", "DATABASE", "a", 2, "denied")]
+    assert rows(out.where("Error = ''")) == [("p", "USE CATALOG", "CATALOG", "cat", 1, "")]
+    assert out.where("Error IS NULL").count() == plan.count() - 2
 
 
 def test_grant_table_overwrite_and_append(spark):

@@ -149,10 +149,18 @@ def sync_inputs(spark):
 
 
 def test_sync_status(spark):
-    df = sync.sync_status(*sync_inputs(spark), "cat")
+    outcomes = spark.createDataFrame(
+        [("b", "t2", "FAILED", "early", 1), ("b", "t2", "SUCCESS", None, 2)],
+        "database string, tableName string, status_code string, message string, answered_at int",
+    )
+    df = sync.sync_status(*sync_inputs(spark), "cat", outcomes)
     assert df.columns == schemas.STATUS.names
+    assert {r.status_code for r in sync.sync_status(*sync_inputs(spark), "cat").where("source_name <> ''").collect()} == {
+        "NO_OUTCOME",
+        "MISSING_LOCATION",
+    }
     assert {tuple(r) for r in df.collect()} == {
-        ("a", "t1", "EXTERNAL", "cat", "a", "t1", "SUCCESS", "Already in target"),
+        ("a", "t1", "EXTERNAL", "cat", "a", "t1", "NO_OUTCOME", "Already in target"),
         ("a", "v", "VIEW", "cat", "a", "v", "MISSING_LOCATION", "No storage location to sync"),
         ("b", "t2", "MANAGED", "cat", "b2", "t2", "SUCCESS", "Replace table: location differs"),
         ("c", "", "", "cat", "c", "", "SUCCESS", "Empty Database"),
@@ -195,3 +203,19 @@ def test_hot_database_in_inventory_and_sync(spark):
     )
     databases = hot.select("database").distinct()
     assert inventory.metastore_inventory(databases, hot).count() == 3000
+
+
+def test_described_tables_without_labels_or_marker_stay(spark):
+    df = spark.createDataFrame(
+        [("d", "bare", 1, "a", "string"), ("d", "no_marker", 1, "Type", "MANAGED"), ("d", "no_marker", 2, "Location", "s3://a")],
+        "database string, tableName string, ordinal int, col_name string, data_type string",
+    )
+    out = {r.tableName: r for r in inventory.table_details(df).collect()}
+    assert out["bare"].table_type is None and out["bare"].managed == "False"
+    assert (out["no_marker"].table_type, out["no_marker"].storage_location) == ("MANAGED", "s3://a")
+
+
+def test_tables_listed_twice_have_one_status(spark):
+    databases, source, target = sync_inputs(spark)
+    df = sync.sync_status(databases, source.union(source), target.union(target), "cat")
+    assert df.count() == 4

@@ -1,6 +1,8 @@
 import json
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lakeferry.operators import jobs
@@ -10,19 +12,18 @@ from lakeferry.sinks import backup_configs
 
 def cluster(version):
     return {
-        "job_cluster_key": "main",
+        "job_cluster_key": "nightly",
         "new_cluster": {
-            "cluster_name": "",
+            "label": "",
             "spark_version": version,
-            "spark_conf": {"initial.catalog": "dev", "HADOOP_PROXY_USER": "p"},
-            "aws_attributes": {"on_demand": 1, "zone": "z1", "price": 0.25, "tags": {}},
-            "node_type_id": "node.large",
-            "spark_env_vars": {"LD_LIBRARY_PATH": "/tmp/x/", "HADOOP_USER_NAME": "u"},
+            "spark_conf": {"app.mode": "dev", "HADOOP_PROXY_USER": "p"},
+            "machines": {"first": 1, "zone": "z1", "share": 0.25, "marks": {}},
+            "spark_env_vars": {"MODE": "batch", "HADOOP_USER_NAME": "u"},
             "data_security_mode": "LEGACY",
-            "num_workers": 1,
+            "workers": 1,
             "elastic": True,
             "note": None,
-            "init_scripts": [{"HADOOP_USER_NAME": "stays"}],
+            "steps": [{"HADOOP_USER_NAME": "stays"}],
         },
     }
 
@@ -71,11 +72,64 @@ def test_strip_keys_leaves_other_documents_alone(spark):
     assert jobs.strip_keys(df, "cluster", ["x"]).first()["cluster"] == '{"b": 1.50, "a": [1]}'
 
 
-def test_strip_keys_fails_rather_than_passing_deep_objects(spark):
-    df = spark.createDataFrame([('{"a":{"b":{"c":{"k":1}}}}',)], "cluster string")
-    assert jobs.strip_keys(df, "cluster", ["k"], depth=3).first()["cluster"] == '{"a":{"b":{"c":{}}}}'
-    with pytest.raises(Exception, match="too deep"):
-        jobs.strip_keys(df, "cluster", ["k"], depth=2).collect()
+def test_strip_keys_at_any_depth(spark):
+    doc = {"k": 1, "end": 1.0}
+    for _ in range(200):
+        doc = {"in": doc, "k": [1, {"k": 2}]}
+    df = spark.createDataFrame([(json.dumps(doc),)], "cluster string")
+    assert json.loads(jobs.strip_keys(df, "cluster", ["k"]).first()["cluster"]) == stripped(doc, ["k"])
+
+
+@pytest.mark.parametrize(
+    "text,expected",
+    [
+        ('[{"k": 1}]', '[{"k": 1}]'),
+        ('{"k": 1', '{"k": 1'),
+        ('{"k" 1}', '{"k" 1}'),
+        ("{'k': 1}", "{'k': 1}"),
+        ('{"k": 1} {"k": 2}', '{"k": 1} {"k": 2}'),
+        ('{"\\u006b": 1, "v": 1.0}', '{ "v": 1.0}'),
+        ('{"v": 1.0, "k": {"a": [1, {}]}, "w": 1e5}', '{"v": 1.0, "w": 1e5}'),
+        ('{"v": "k, }", "k": "\\"}"}', '{"v": "k, }"}'),
+    ],
+)
+def test_strip_keys_keeps_spelling_and_broken_texts(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "cluster string")
+    assert jobs.strip_keys(df, "cluster", ["k"]).first()["cluster"] == expected
+
+
+@given(
+    st.lists(
+        st.recursive(
+            st.none() | st.booleans() | st.integers(-9, 9) | st.text(max_size=3),
+            lambda inner: st.lists(inner, max_size=3)
+            | st.dictionaries(st.sampled_from(["k", "l", "k\\", 'q"', " k"]), inner, max_size=4),
+            max_leaves=12,
+        ),
+        min_size=20,
+        max_size=20,
+    )
+)
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+def test_strip_keys_matches_a_recursion(spark, docs):
+    df = spark.createDataFrame([(n, json.dumps(d)) for n, d in enumerate(docs)], "n int, cluster string")
+    for row in jobs.strip_keys(df, "cluster", ["k"]).collect():
+        assert json.loads(row.cluster) == stripped(docs[row.n], ["k"])
+
+
+def test_messages_instead_of_payloads(spark):
+    df = spark.createDataFrame(
+        [(1, '{"job_cluster_key":"a"}'), (2, '{"new_cluster":'), (3, None), (4, '{"new_cluster":null}'), (5, '{"new_cluster":{}}')],
+        "job_id long, cluster string",
+    )
+    found = {r.job_id: (r.payload is None, r.message) for r in jobs.upgrade_payload(df, "12", {}, "M").collect()}
+    assert found == {
+        1: (True, "no new_cluster"),
+        2: (True, "unreadable cluster"),
+        3: (True, "no job cluster"),
+        4: (True, "no new_cluster"),
+        5: (False, ""),
+    }
 
 
 def test_strip_keys_of_typed_columns(spark):
@@ -90,12 +144,12 @@ def test_strip_keys_of_typed_columns(spark):
 def test_upgrade_payload(spark):
     doc = cluster("10.4")
     df = jobs.upgrade_payload(
-        jobs.job_clusters(documents(spark, job(doc), job())), "12.2.x", {"initial.catalog": "new"}, "SINGLE_USER"
+        jobs.job_clusters(documents(spark, job(doc), job())), "12.2.x", {"app.mode": "new"}, "SINGLE_USER"
     )
     expected = stripped(doc, jobs.PROXY_USER_KEYS)
     expected["new_cluster"] |= {
         "spark_version": "12.2.x",
-        "spark_conf": {"initial.catalog": "new"},
+        "spark_conf": {"app.mode": "new"},
         "data_security_mode": "SINGLE_USER",
     }
     found = {r.job_id: r.payload for r in df.collect()}
@@ -105,7 +159,10 @@ def test_upgrade_payload(spark):
 
 def test_outcomes(spark):
     docs = documents(spark, job(cluster("10.4")), job(cluster("10.4")), job(cluster("7.3")), job(), job(cluster("11.3")))
-    responses = spark.createDataFrame([(0, 200, ""), (1, 500, "bad")], "job_id long, status_code int, content string")
+    responses = spark.createDataFrame(
+        [(0, 429, "slow", 1), (0, 200, "", 2), (1, 200, "", 1), (1, 500, "bad", 2)],
+        "job_id long, status_code int, content string, answered_at int",
+    )
     out = jobs.upgrade_outcome(jobs.job_clusters(docs), responses)
     assert {r.job_id: r.outcome for r in out.collect()} == {
         0: "updated",
@@ -128,7 +185,8 @@ def test_backup_then_restore(spark):
     assert (found[2].payload, found[2].message) == (None, "no backup")
 
 
-def test_unreadable_backups_do_not_count(spark):
-    backups = spark.createDataFrame([(1, "{'a': True}", 9), (1, '{"a":1}', 1)], "job_id long, cluster_config string, recorded_at int")
+def test_an_unreadable_newest_backup_is_told(spark):
+    backups = spark.createDataFrame([(1, "{'a': 1}", 9), (1, '{"a":1}', 1)], "job_id long, cluster_config string, recorded_at int")
     ids = spark.createDataFrame([(1,)], "job_id long")
-    assert '{"a":1}' in jobs.restore_payload(backups, ids).first()["payload"]
+    row = jobs.restore_payload(backups, ids).first()
+    assert (row.payload, row.message) == (None, "unreadable backup")

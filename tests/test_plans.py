@@ -12,7 +12,13 @@ from workload.catalogue import QUERIES
 from workload.estate import Estate
 
 SF_DIR = "/root/testdata/sf0.001"
-WRITES = {k for k in QUERIES if k.startswith(("write_", "update_"))} | {"externalize", "backup_configs"}
+WRITES = {k for k in QUERIES if k.startswith(("write_", "update_"))} | {
+    "externalize",
+    "externalize_partitioned",
+    "append_grants",
+    "backup_configs",
+    "stored_permissions_of",
+}
 
 
 def plan(df) -> str:
@@ -130,6 +136,41 @@ def test_hot_schema_in_view_texts_is_split(spark, no_broadcast):
     assert df.where("view_text LIKE '% (cat.hot.u)%' AND view_text LIKE '% FROM cat.%'").count() == 20000
 
 
+def test_pieces_without_a_name_share_no_key(spark):
+    df = spark.range(3000).select(
+        F.lit("d").alias("database"), F.concat(F.lit("v"), "id").alias("viewName"), F.concat(F.lit("SELECT "), "id").alias("view_text")
+    )
+    schemas = spark.createDataFrame([("d",)], "table_schema string")
+    names = []
+
+    def spy(frame, targets, *rest, join=type(df).join, **more):
+        if "name" in frame.columns and "piece" in frame.columns:
+            names.extend(r["name"] for r in frame.groupBy("name").count().where("count > 100").collect())
+        return join(frame, targets, *rest, **more)
+
+    original = type(df).join
+    type(df).join = spy
+    try:
+        out = views.rewrite_views(df, schemas, "cat")
+    finally:
+        type(df).join = original
+    assert names == []
+    assert out.count() == 3000
+
+
+@pytest.mark.parametrize("key,scans", [("artifact_counts", 2), ("permissions_from_landed", 1)])
+def test_pages_are_parsed_in_one_pass(spark, key, scans):
+    """Pages of all kinds: one parse of the listing documents for each time they are read."""
+    text = plan(QUERIES[key](spark, SF_DIR))
+    assert text.count("StructField(instance_pools") <= scans
+
+
+def test_location_grants_form_no_pairs(spark):
+    text = plan(QUERIES["executor_grants"](spark, SF_DIR))
+    joins = re.findall(r"(?:SortMergeJoin|HashJoin).*", text)
+    assert joins and all("LeftSemi" in j for j in joins if "shorter" in j or "text" in j)
+
+
 def test_hot_partition_is_written_by_several_tasks(spark, no_broadcast, tmp_path):
     rows = hot(spark).select(
         F.lit("d").alias("name"),

@@ -91,7 +91,7 @@ def test_statements_optional_parts(spark):
 
 def test_status(spark):
     databases = spark.createDataFrame([("d",), ("e",)], "database string")
-    df = spark.createDataFrame([("d", "v", "x"), ("d", "w", "x")], SCHEMA)
+    df = spark.createDataFrame([("d", "v", "x"), ("d", "w", "x"), ("d", "x", "x")], SCHEMA)
     outcomes = spark.createDataFrame(
         [("d", "v", None), ("d", "w", "boom")], "database string, viewName string, message string"
     )
@@ -100,5 +100,31 @@ def test_status(spark):
     assert {(r.source_schema, r.source_name, r.source_type, r.status_code, r.description) for r in out.collect()} == {
         ("d", "v", "VIEW", "SUCCESS", "VIEW CREATED SUCCESSFULLY"),
         ("d", "w", "VIEW", "Error", "boom"),
+        ("d", "x", "VIEW", "NO_OUTCOME", "no outcome"),
         ("e", "", "", "SUCCESS", "No Views Found"),
     }
+
+
+def test_null_and_repeated_views_stay_whole(spark):
+    rows = [("d", "v", "FROM db.t JOIN db.u")] * 2 + [("d", "n", None), ("d", "v", "FROM my_hive_metastore.q, db.x")]
+    upgraded = spark.createDataFrame([("db",)], "table_schema string")
+    out = views.rewrite_views(spark.createDataFrame(rows, SCHEMA), upgraded, "cat").collect()
+    assert sorted((r.viewName, r.view_text or "") for r in out) == [
+        ("n", ""),
+        ("v", "FROM cat.db.t JOIN cat.db.u"),
+        ("v", "FROM my_hive_metastore.q, cat.db.x"),
+    ]
+
+
+def test_target_database_in_text_statement_and_status(spark):
+    databases = spark.createDataFrame([("d", "d2")], "database string, target_database string")
+    df = spark.createDataFrame([("d", "v", "FROM hive_metastore.d.t")], SCHEMA)
+    upgraded = spark.createDataFrame([("d",)], "table_schema string")
+    mapping = spark.createDataFrame([("x", "y")], "src string, dst string")
+    rewritten = views.rewrite_views(df, upgraded, "cat", databases=databases)
+    assert rewritten.first()["view_text"] == "FROM cat.d2.t"
+    assert views.rewrite_views_mapped(df, mapping, "cat", databases).first()["view_text"] == "FROM `cat`.`d2`.t"
+    created = views.view_statements(rewritten, "cat", databases=databases).first()["statement"]
+    assert created == "CREATE OR REPLACE VIEW `cat`.`d2`.`v` AS FROM cat.d2.t"
+    outcomes = spark.createDataFrame([("d", "v", None)], "database string, viewName string, message string")
+    assert views.view_status(databases, df, outcomes, "cat").first()["target_schema"] == "d2"
