@@ -92,7 +92,7 @@ def shingle_sets(texts: list[str | None], width: int = 5) -> list[np.ndarray]:
     bounds = np.searchsorted(starts, offsets)
     rolled = np.zeros(max(0, len(words) - width + 1), _U)
     for k in range(width):
-        rolled += words[k : len(words) - width + 1 + k] * _U(_STEPS[k])
+        rolled += words[k : k + len(rolled)] * _U(_STEPS[k])
     rolled = _mix(rolled)
     out = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):

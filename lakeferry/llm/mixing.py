@@ -88,7 +88,7 @@ def root_weights(docs: DataFrame) -> DataFrame:
 
 
 def ranked(docs: DataFrame) -> DataFrame:
-    """Adds _s and _rank (from 0) in the source's hash order."""
+    """row (the document), _s and _rank (from 0) in the source's hash order."""
     key = F.md5(
         F.concat(
             F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
@@ -96,7 +96,10 @@ def ranked(docs: DataFrame) -> DataFrame:
             F.coalesce(F.col("text").cast("string"), F.lit("")),
         ).cast("binary")
     )
-    keyed = docs.withColumns({"_s": source_key(), "_key": key}).withColumn("_range", F.substring("_key", 1, 3))
+    # the row travels as one column, so that its columns meet none of ours
+    keyed = docs.select(F.struct("*").alias("row"), source_key().alias("_s"), key.alias("_key")).withColumn(
+        "_range", F.substring("_key", 1, 3)
+    )
     counts = keyed.groupBy("_s", "_range").agg(F.count("*").alias("_c"))
     upto = Window.partitionBy("_s").orderBy("_range")
     before = counts.select("_s", "_range", (F.sum("_c").over(upto) - F.col("_c")).alias("_before"))
@@ -104,8 +107,7 @@ def ranked(docs: DataFrame) -> DataFrame:
     return (
         keyed.withColumn("_in", F.row_number().over(inside) - 1)
         .join(before, ["_s", "_range"])
-        .withColumn("_rank", F.col("_before") + F.col("_in"))
-        .drop("_range", "_before", "_in", "_key")
+        .select("row", "_s", (F.col("_before") + F.col("_in")).alias("_rank"))
     )
 
 
@@ -125,17 +127,17 @@ def mix(
     # the pattern has one row a slot, a number fixed by ``slots`` and the sources
     plan = F.broadcast(pattern(quotas(own, slots)))
     quota = F.broadcast(quotas(own, slots).select("_s", F.col("quota").alias("_quota")))
-    blocks = (
+    unknown = F.raise_error(F.concat(F.lit("no weight for source "), F.col("_s"))).cast("long")
+    return (
         ranked(docs)
         .withColumn("block", F.expr(f"_rank div {block_docs}"))
         .withColumn("within", F.col("_rank") % block_docs)
         .join(quota, "_s", "left")
-        .withColumn("nth", F.coalesce(F.col("block") % F.col("_quota"), F.raise_error(F.concat(F.lit("no weight for source "), "_s")).cast("long")))
-    )
-    placed = blocks.join(plan, ["_s", "nth"]).withColumn(
-        "slot", F.expr("(block div quota) * slots + at")
+        .withColumn("nth", F.coalesce(F.col("block") % F.col("_quota"), unknown))
+        .join(plan, ["_s", "nth"])
+        .withColumn("slot", F.expr("(block div quota) * slots + at"))
+        .select("row.*", *_OWN)
     )
-    return placed.select(*docs.columns, *_OWN)
 
 
 def in_order(mixed: DataFrame) -> DataFrame:
