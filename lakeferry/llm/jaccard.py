@@ -9,6 +9,10 @@ shingles they share at least c of the first (s - least need of s + c). With that
 * larger sets are heavy: inverted lists of the beginning for c = 1 are scanned for them, in which
   light sets large enough to be partners of a heavy one stand too.
 
+The lists' beginnings are longer than they must be by a twentieth of the set, so that two similar sets
+share that many more entries. A set with fewer entries in lists of several sets than this has no
+partner and goes before any pair is formed; texts that share a passage only, mostly go here.
+
 The boundary is where the estimated cost (subsets enumerated plus list entries met) is least. The
 order is rare shingles first, by a count sketch over all documents; any order gives all pairs, this
 one keeps common passages out of the beginnings.
@@ -128,6 +132,19 @@ def least_shared(size: int, threshold: Fraction) -> int:
     return math.ceil(threshold / (1 + threshold) * (size + other))
 
 
+def _spare(size: int) -> int:
+    """Entries a beginning holds beyond those that let two similar sets share one."""
+    return size // 20
+
+
+def _least_entries(size: Column, threshold: Fraction, light: int) -> Column:
+    """Entries that a set shares with any partner: one, and the spare ones of the smallest partner
+    (sets that may have a light partner are kept with one)."""
+    up, down = threshold.numerator, threshold.denominator
+    smallest = F.floor((size * up + (down - 1)) / down)
+    return F.when(size * up > light * down, F.floor(smallest / 20) + 1).otherwise(1)
+
+
 def _sets_and_sketch(docs: DataFrame, width: int, bits: int) -> DataFrame:
     """One row a document (kind 0) with key and size, one a short set (kind 2) with its shingles, and
     the task's sketch (kind 1): counters of bounded number, compressed."""
@@ -231,8 +248,9 @@ def boundary(histogram: dict[int, int], met: float, threshold: Fraction, subset:
 def _signatures(
     docs: DataFrame, width: int, threshold: Fraction, light: int, classes: np.ndarray, common: int
 ) -> DataFrame:
-    """sig, key, size, typical, place, salted: the subsets of light sets and the list entries of the
-    others. ``typical`` is the mean size class of the set's shingles, in sixteenths."""
+    """sig, key, meta: the subsets of light sets and the list entries of the others. ``meta`` packs
+    typical (mean size class of the set's shingles, in eighths), salted (one bit), size and place
+    (26 bits each)."""
     bits = int(len(classes)).bit_length() - 1
     shared_classes = docs.sparkSession.sparkContext.broadcast(classes)
 
@@ -253,35 +271,31 @@ def _signatures(
                         done.add(key)
                     shared = least_shared(size, threshold)
                     level = rank[(own >> _U(64 - bits)).astype(np.int64)]
-                    typical = int(level.mean() * 16)
+                    typical = min(1023, int(level.mean() * 8)) << 53 | size << 26
                     order = np.argsort((level.astype(_U) << _U(56)) | (own >> _U(8)), kind="stable")
                     if size <= light:
                         first = order[: size - shared + 2]
                         a, b = np.triu_indices(len(first), 1)
                         sig = _mix(own[first[a]] * _U(_STEPS[3]) + own[first[b]] * _U(_STEPS[5]))
                         heavy = np.minimum(level[first[a]], level[first[b]]) >= common
-                        found.append((sig, key, size, np.zeros(len(sig), np.int64), heavy, typical))
+                        found.append((sig, key, heavy.astype(np.int64) << 52 | typical))
                     if size > threshold * light:
-                        first = order[: size - shared + 1]
-                        found.append(
-                            (own[first], key, size, np.arange(len(first)), level[first] >= common, typical)
-                        )
+                        first = order[: size - shared + 1 + _spare(size)]
+                        heavy = (level[first] >= common).astype(np.int64)
+                        found.append((own[first], key, heavy << 52 | typical | np.arange(len(first))))
                 if found:
                     lens = [len(f[0]) for f in found]
                     yield pa.record_batch(
                         [
                             pa.array(np.concatenate([f[0] for f in found]).view(np.int64)),
                             pa.array(np.repeat(np.array([f[1] for f in found], np.int64), lens)),
-                            pa.array(np.repeat(np.array([f[2] for f in found], np.int32), lens)),
-                            pa.array(np.repeat(np.array([f[5] for f in found], np.int32), lens)),
-                            pa.array(np.concatenate([f[3] for f in found]).astype(np.int32)),
-                            pa.array(np.concatenate([f[4] for f in found])),
+                            pa.array(np.concatenate([f[2] for f in found])),
                         ],
-                        names=["sig", "key", "size", "typical", "place", "salted"],
+                        names=["sig", "key", "meta"],
                     )
 
     return docs.where("doc_id is not null").select("text").mapInArrow(
-        work, "sig long, key long, size int, typical int, place int, salted boolean"
+        work, "sig long, key long, meta long"
     )
 
 
@@ -311,7 +325,8 @@ def _bloom_at(ids: pa.Array, bits: int) -> np.ndarray:
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, width: int, bits: int = 24) -> DataFrame:
-    """key, shingles of the wanted documents (doc_id, key)."""
+    """key, shingles of the wanted documents (doc_id, key), and of a few others that the filter lets
+    pass; a key may come twice."""
     bloom = docs.sparkSession.sparkContext.broadcast(_bloom(wanted.select("doc_id"), bits))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,21 +337,13 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, width: int, bits: int = 24)
                 sets = shingle_sets(part.column("text").to_pylist(), width)
                 yield pa.record_batch(
                     [
-                        part.column("doc_id"),
                         pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()),
                         pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()),
                     ],
-                    names=["doc_id", "key", "shingles"],
+                    names=["key", "shingles"],
                 )
 
-    found = docs.where("doc_id is not null").mapInArrow(
-        work, "doc_id long, key long, shingles binary"
-    )
-    return (
-        found.join(wanted, ["doc_id", "key"])
-        .groupBy("key")
-        .agg(F.first("shingles").alias("shingles"))
-    )
+    return docs.where("doc_id is not null").mapInArrow(work, "key long, shingles binary")
 
 
 def _may_link(a: str, b: str, threshold: Fraction) -> Column:
@@ -453,21 +460,34 @@ def join(
     # common: eight times the typical counter, in half powers of two
     common = int(np.median(classes[classes > 0])) + 6 if (classes > 0).any() else 255
     signatures = _signatures(docs, width, threshold, light, classes, common)
+    up, down = threshold.numerator, threshold.denominator
+    salted = F.expr("shiftright(meta, 52) & 1") == 1
     mine = Window.partitionBy("sig", "salt")
+    before = F.lag("key").over(mine.orderBy("key"))
+    shared = staged(
+        signatures.withColumn("salt", F.when(salted, F.pmod("key", F.lit(salts))).otherwise(F.lit(0)).cast("int"))
+        .withColumns({"_before": before, "_least": F.min("key").over(mine), "_most": F.max("key").over(mine)})
+        .where((salted | (F.col("_least") < F.col("_most"))) & ~F.col("_before").eqNullSafe(F.col("key")))
+        .select("sig", "key", "meta"),
+        "jaccard-shared",
+    )
+    size = F.expr("shiftright(meta, 26) & 67108863").cast("int")
+    enough = (
+        shared.groupBy("key", size.alias("_size"))
+        .agg(F.count("*").alias("_n"))
+        .where(F.col("_n") >= _least_entries(F.col("_size"), threshold, light))
+        .select("key")
+    )
+    member = F.struct(F.expr("shiftright(meta, 53)").alias("typical"), "key", size.alias("size"))
     entries = staged(
-        signatures.withColumn(
-            "salt", F.when(F.col("salted"), F.pmod("key", F.lit(salts))).otherwise(F.lit(0)).cast("int")
-        )
-        .withColumn("pivot", F.max(F.struct("typical", "key", "size")).over(mine))
-        .withColumn("_least", F.min("key").over(mine))
-        .withColumn("_most", F.max("key").over(mine))
-        .where(F.col("salted") | (F.col("_least") < F.col("_most")))
-        .select("sig", "key", "size", "place", "salted", "pivot")
-        .distinct(),
+        shared.join(enough, "key")
+        .withColumn("salted", salted)
+        .withColumn("salt", F.when(salted, F.pmod("key", F.lit(salts))).otherwise(F.lit(0)).cast("int"))
+        .withColumn("pivot", F.max(member).over(mine))
+        .select("sig", "key", size.alias("size"), F.expr("meta & 67108863").cast("int").alias("place"), "salted", "pivot"),
         "jaccard-entries",
     )
     top = entries.where("salted").groupBy("sig").agg(F.max("pivot").alias("top"))
-    up, down = threshold.numerator, threshold.denominator
     stars = (
         entries.where("key <> pivot.key")
         .where(F.least("size", "pivot.size") * down >= F.greatest("size", "pivot.size") * up)
