@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakeferry import sinks, sources
 from lakeferry.operators import acl, externalize, grants, inventory, jobs, locations, sync, views
 from lakeferry.plans import migration, permissions
-from lakeferry.session import configure, scratch_path
+from lakeferry.session import configure, scratch_path, staged
 from workload.estate import JOB_CLUSTER, KIND_LABELS, Estate, job_cluster, with_clause
 
 CATALOG = "cat"
@@ -711,11 +711,12 @@ def _updated_permissions(e: Estate) -> DataFrame:
 
 
 def _some_permissions(e: Estate) -> DataFrame:
-    """Stored rows of two types; the table stays, for the query reads it."""
-    table = "ferry_permissions_read"
-    e.spark.sql(f"DROP TABLE IF EXISTS {table}")
+    """Stored rows of two types, read by their partitions."""
+    table = f"ferry_permissions_{uuid.uuid4().hex}"
     sinks.write_permissions(e.permission_rows(), table, path=scratch_path(e.spark, "permissions"))
-    return sources.permissions_of(e.spark, table, ["Job", "Pool"])
+    rows = staged(sources.permissions_of(e.spark, table, ["Job", "Pool"]), "permissions-read")
+    e.spark.sql(f"DROP TABLE {table}")
+    return rows
 
 
 _STATUS = """

@@ -258,6 +258,8 @@ def with_clause(sql: str, extra: tuple[str, ...] = ()) -> str:
 class Estate:
     """The estate of one data folder as Spark DataFrames."""
 
+    stored: str | None = None
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
@@ -281,8 +283,16 @@ class Estate:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in RELATIONS:
             raise AttributeError(name)
+        if self.stored is not None:
+            return self.spark.read.parquet(f"{self.stored}/{name}")
         return self.sql(f"SELECT * FROM {name}")
 
+    def store(self, folder: str) -> None:
+        """Write every relation once, so that later queries of any estate time operators only."""
+        for name in RELATIONS:
+            self.sql(f"SELECT * FROM {name}").write.parquet(f"{folder}/{name}")
+        Estate.stored = folder
+
     def pages(self, kind: str) -> DataFrame:
         return self.sql(f"SELECT '{kind}' AS kind, {PAGES[kind]} AS page FROM part")
 
