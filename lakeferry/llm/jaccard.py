@@ -353,13 +353,13 @@ def _may_link(a: str, b: str, threshold: Fraction) -> Column:
 
 
 def _near(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
-    """Pairs whose sizes and bitmaps allow a link; ``sets``: key, size, bitmap."""
+    """Pairs (a, b and more) whose sizes and bitmaps allow a link; ``sets``: key, size, bitmap."""
     x, y = sets.alias("x"), sets.alias("y")
     return (
         pairs.join(x, F.col("a") == F.col("x.key"))
         .join(y, F.col("b") == F.col("y.key"))
         .where(_may_link("x", "y", threshold) & _bitmaps_allow("x", "y", threshold))
-        .select("a", "b")
+        .select(*pairs.columns)
     )
 
 
@@ -491,15 +491,16 @@ def join(
     stars = (
         entries.where("key <> pivot.key")
         .where(F.least("size", "pivot.size") * down >= F.greatest("size", "pivot.size") * up)
-        .select(F.col("pivot.key").alias("a"), F.col("key").alias("b"))
-        .union(
-            entries.where("salted")
-            .select("sig", F.col("pivot.key").alias("b"))
-            .distinct()
-            .join(top, "sig")
-            .where("b <> top.key")
-            .select(F.col("top.key").alias("a"), "b")
-        )
+        .groupBy(F.col("pivot.key").alias("a"), F.col("key").alias("b"))
+        .agg(F.count("*").alias("n"))
+    )
+    tops = (
+        entries.where("salted")
+        .select("sig", F.col("pivot.key").alias("b"))
+        .distinct()
+        .join(top, "sig")
+        .where("b <> top.key")
+        .select(F.col("top.key").alias("a"), "b")
         .distinct()
     )
     held = rows.where("key is not null")
@@ -511,7 +512,11 @@ def join(
         .agg(F.first("size").alias("size"), F.first("bitmap").alias("bitmap")),
         "jaccard-bitmaps",
     )
-    links = staged(_links(_near(stars, sets, threshold), docs, named, width, threshold), "jaccard-links")
+    # of the pivots a set may link with, the one it meets in most lists; others come up again below
+    # if they are in another component
+    nearest = _near(stars, sets, threshold).groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a"))
+    first_pairs = nearest.select("a", "b").union(_near(tops, sets, threshold)).distinct()
+    links = staged(_links(first_pairs, docs, named, width, threshold), "jaccard-links")
     root = components(links)
 
     # what the stars left apart: lists with more than one component, members paired across them
