@@ -372,8 +372,10 @@ def _links(
     keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     wanted = staged(named.join(keys, "key").select("doc_id", "key"), "jaccard-wanted")
     sets = staged(_whole_sets(docs, wanted, width), "jaccard-whole")
+    # few sets are pivots: only theirs go to the first join
+    pivots = sets.join(pairs.select(F.col("a").alias("key")).distinct(), "key", "left_semi")
     wide = (
-        pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("_a")), "a")
+        pairs.join(pivots.select(F.col("key").alias("a"), F.col("shingles").alias("_a")), "a")
         .join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("_b")), "b")
         .select("a", "b", "_a", "_b")
     )
@@ -472,15 +474,11 @@ def join(
         "jaccard-shared",
     )
     size = F.expr("shiftright(meta, 26) & 67108863").cast("int")
-    enough = (
-        shared.groupBy("key", size.alias("_size"))
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") >= _least_entries(F.col("_size"), threshold, light))
-        .select("key")
-    )
+    entries_of = Window.partitionBy("key")
     member = F.struct(F.expr("shiftright(meta, 53)").alias("typical"), "key", size.alias("size"))
     entries = staged(
-        shared.join(enough, "key")
+        shared.withColumn("_n", F.count("*").over(entries_of))
+        .where(F.col("_n") >= _least_entries(size, threshold, light))
         .withColumn("salted", salted)
         .withColumn("salt", F.when(salted, F.pmod("key", F.lit(salts))).otherwise(F.lit(0)).cast("int"))
         .withColumn("pivot", F.max(member).over(mine))
@@ -504,7 +502,7 @@ def join(
         .distinct()
     )
     held = rows.where("key is not null")
-    named = grouped_lookup(held, ["key"], F.min("doc_id").alias("doc_id"))
+    named = staged(grouped_lookup(held, ["key"], F.min("doc_id").alias("doc_id")), "jaccard-named")
     sets = staged(
         held.select("key", "size", "bitmap")
         .join(entries.select("key").distinct(), "key", "left_semi")
