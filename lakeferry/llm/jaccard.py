@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeferry.functions.joins import grouped_lookup
-from lakeferry.llm.common import id_text, slices
+from lakeferry.llm.common import held, id_text, slices
 from lakeferry.session import staged
 
 _U = np.uint64
@@ -169,6 +169,7 @@ def _sets_and_sketch(docs: DataFrame, width: int, bits: int) -> DataFrame:
         )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("jaccard", lambda: None)
         counts = np.zeros(1 << bits, np.uint32)
         seen = False
         for batch in batches:
@@ -267,7 +268,7 @@ def _signatures(
                     key = set_key(own)
                     if key in done:
                         continue
-                    if len(done) < 200_000:
+                    if len(done) < 50_000:
                         done.add(key)
                     shared = least_shared(size, threshold)
                     level = rank[(own >> _U(64 - bits)).astype(np.int64)]

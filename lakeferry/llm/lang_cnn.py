@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeferry.llm.common import slices
+from lakeferry.llm.common import held, in_small_batches, slices
 
 SYMBOLS = 128
 WINDOW = 256
@@ -234,6 +234,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
         letter = regex.compile(r"\p{L}").search
         net = shared.value
+        held("language", lambda: None)
         tables = net.tables() if net else []
         for batch in batches:
             keep = [n for n in batch.schema.names if n not in ("lang_pred", "score")]
@@ -262,4 +263,4 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                     names=[*keep, "lang_pred", "score"],
                 )
 
-    return docs.mapInArrow(work, schema)
+    return in_small_batches(docs).mapInArrow(work, schema)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeferry.llm.common import slices
+from lakeferry.llm.common import held, in_small_batches, slices
 
 _LETTERS = 28  # a-z, one for every other letter, one for "none"
 _OTHER, _NONE = 26, 27
@@ -130,7 +130,7 @@ class Views:
     """Kernel values of raw words, with a bounded memo from raw word to the number of its row; row 0
     is that of words without any similarity."""
 
-    def __init__(self, kernel: Kernel, limit: int = 400_000) -> None:
+    def __init__(self, kernel: Kernel, limit: int = 250_000) -> None:
         self.kernel, self.limit = kernel, limit
         self._reset()
 
@@ -335,16 +335,10 @@ def predict(docs: DataFrame, model: Model | None, column: str = "score") -> Data
                     names=[*keep, column],
                 )
 
-    return docs.mapInArrow(work, schema)
-
-
-_WORKER: dict[int, Views] = {}
+    return in_small_batches(docs).mapInArrow(work, schema)
 
 
 def _views(model: Model) -> Views:
     """One memo per worker process and set of landmarks."""
     key = zlib.crc32("\n".join(model.kernel.landmarks).encode("utf-8", "surrogatepass"))
-    if key not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key] = Views(model.kernel)
-    return _WORKER[key]
+    return held(("toxicity", key), lambda: Views(model.kernel))

@@ -15,8 +15,7 @@ from array import array
 
 import numpy as np
 
-_CACHED: dict[str, PieceEncoder] = {}
-
+from lakeferry.llm.common import held
 
 def default_vocabulary() -> str:
     import public_tokenizers
@@ -44,7 +43,7 @@ class PieceEncoder:
     """Pieces are kept by their text without the blank before them; the first piece of a text, which
     has none, is kept with a blank put before it, as no other key has one."""
 
-    def __init__(self, path: str, limit: int = 600_000) -> None:
+    def __init__(self, path: str, limit: int = 500_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -131,6 +130,4 @@ class PieceEncoder:
 
 def encoder(path: str) -> PieceEncoder:
     """One encoder per worker process and vocabulary file."""
-    if path not in _CACHED:
-        _CACHED[path] = PieceEncoder(path)
-    return _CACHED[path]
+    return held(("tokens", path), lambda: PieceEncoder(path))
