@@ -21,7 +21,6 @@ the smaller id; fewer candidates give fewer rows; columns other than vec_id and
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
