@@ -1,19 +1,24 @@
 """Sources interleaved by target weights: Pfair windows and earliest deadline first.
 
-Documents of a source form blocks of ``block_docs``. A source with quota k of D slots is a task of
-weight k / D; its i-th block (from 0) is released at slot floor(i D / k) and due by slot
-ceil((i + 1) D / k). Each slot takes, of the released blocks, the one with the earliest deadline
-(ties to the first source by name). Quotas fill all D slots, so every block meets its deadline and at
-every slot each source's count is within less than one block of its weight times the slot. The
-pattern of D slots repeats; a source that has run out leaves its slots empty, and every document
-stays. Everything is DataFrame expressions; the pattern is one bounded row (D steps).
+Documents of a source form blocks of ``block_docs``. A source with weight w of W in all is a task:
+its i-th block (from 0) is released at slot floor(i W / w) and due by slot ceil((i + 1) W / w). Each
+slot takes, of the released blocks, the one with the earliest deadline (ties to the first source by
+name). Weights fill all slots, so every block meets its deadline and at every slot each source's count
+is within less than one block of its weight times the slot. The pattern repeats after a period, a
+multiple of W slots, so nothing is rounded. A source that has run out leaves its slots empty, and
+every document stays. Everything is DataFrame expressions; the pattern is one bounded row.
+
+Where W is more than ``most_slots``, period p (about ``slots`` = D slots) has as many blocks of a source as
+lie between floor(p D w / W) and floor((p + 1) D w / W) and is scheduled by these quotas: what one
+period rounds off the next one has, so the deviation is less than one block a source plus one however
+long the mix. Only periods that documents reach are worked out, each in a row of its own.
 
 The order inside a source is that of a hash of id and text. Ranks come from counts of 4,096 hash
 ranges and numbers inside a range, so a source with most rows is spread over all tasks.
 
 Defined results: a null source is a source of its own, first by name; null ids and texts count as
 empty in the hash; equal rows take neighbouring ranks; sources without a given weight get none and
-are an error, no rows give no rows; columns named ``slot``, ``block`` or ``within`` are replaced.
+are an error, as are weights below 1; no rows give no rows; columns named ``slot``, ``block`` or ``within`` are replaced.
 """
 
 from __future__ import annotations
@@ -28,54 +33,82 @@ def source_key() -> Column:
     return F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))
 
 
-def quotas(weights: DataFrame, slots: int) -> DataFrame:
-    """_s, quota, slots: whole slots for integer ``weight``s, one each at least, the rest in
-    proportion, what is left by largest remainder."""
-    whole = Window.partitionBy()
-    sized = weights.select(
-        "_s",
-        F.col("weight").cast("long").alias("_w"),
-        F.sum("weight").over(whole).cast("long").alias("_all"),
-        F.count("*").over(whole).alias("_n"),
-    ).withColumn("slots", F.greatest(F.lit(slots).cast("long"), 2 * F.col("_n")))
-    spread = (F.col("slots") - F.col("_n")) * F.col("_w")
-    floored = sized.withColumn("_q", F.expr("((slots - _n) * _w) div _all")).withColumn(
-        "_r", spread % F.col("_all")
-    )
-    left = F.col("slots") - F.col("_n") - F.sum("_q").over(whole)
-    nth = F.row_number().over(Window.partitionBy().orderBy(F.desc("_r"), "_s"))
-    return floored.select(
-        "_s", (1 + F.col("_q") + F.when(nth <= left, 1).otherwise(0)).alias("quota"), "slots"
+def sized(weights: DataFrame, slots: int, most_slots: int = 100_000) -> DataFrame:
+    """One row: tasks (_s and weight, by name), total (of the weights), slots (of a period), rounds
+    (periods until the quotas repeat)."""
+    return (
+        weights.where("weight > 0")
+        .groupBy()
+        .agg(
+            F.sort_array(F.collect_list(F.struct("_s", F.col("weight").cast("long").alias("weight")))).alias("tasks"),
+            F.sum("weight").cast("long").alias("total"),
+        )
+        .where("total is not null")
+        .withColumn("_least", F.expr(f"greatest({slots}L, 2L * size(tasks))"))
+        .withColumn(
+            "slots", F.expr(f"if(total <= {most_slots}, (_least + total - 1) div total * total, _least)")
+        )
+        .withColumn("rounds", F.expr("if(slots % total = 0, 1L, total)"))
+        .drop("_least")
     )
 
 
-def pattern(quota: DataFrame) -> DataFrame:
-    """_s, nth, at, quota, slots: the slot of each source's nth block in one period."""
-    tasks = quota.groupBy().agg(
-        F.sort_array(F.collect_list(F.struct("_s", "quota"))).alias("tasks"), F.max("slots").alias("slots")
+def _upto(period: str, weight: str) -> str:
+    """Blocks of a source before a period; the product may leave 64 bits."""
+    return f"(cast({period} as decimal(19, 0)) * cast(slots * {weight} as decimal(19, 0))) div total"
+
+
+def quotas(weights: DataFrame, slots: int, rounds: DataFrame | None = None) -> DataFrame:
+    """round, _s, quota, slots: blocks of each source in the rounds named (the first by default)."""
+    plan = sized(weights, slots)
+    each = F.expr("inline(zip_with(tasks, quota, (s, q) -> struct(s._s as _s, q as quota)))")
+    return _rounds(plan, rounds).select("round", each, F.col("length").alias("slots"))
+
+
+def _rounds(plan: DataFrame, rounds: DataFrame | None) -> DataFrame:
+    """The plan's row for each round with start (its first slot), quota (of each task) and length."""
+    each = plan.withColumn("round", F.lit(0).cast("long")) if rounds is None else rounds.join(F.broadcast(plan))
+    return (
+        each.withColumn("_before", F.expr(f"transform(tasks, s -> {_upto('round', 's.weight')})"))
+        .withColumn("_after", F.expr(f"transform(tasks, s -> {_upto('(round + 1)', 's.weight')})"))
+        .withColumn("quota", F.expr("zip_with(_after, _before, (a, b) -> a - b)"))
+        .withColumn("start", F.expr("aggregate(_before, 0L, (a, x) -> a + x)"))
+        .withColumn("length", F.expr("aggregate(quota, 0L, (a, x) -> a + x)"))
+        .drop("_before", "_after")
     )
-    due = "((st.taken[i] + 1) * slots + tasks[i].quota - 1) div tasks[i].quota"
-    ready = "st.taken[i] < tasks[i].quota AND (st.taken[i] * slots) div tasks[i].quota <= t"
+
+
+def pattern(rounds: DataFrame) -> DataFrame:
+    """round, _s, nth, at: the slot of each source's nth block of a round."""
+    due = "((now.taken[i] + 1) * length + quota[i] - 1) div quota[i]"
+    ready = "now.taken[i] < quota[i] AND (now.taken[i] * length) div quota[i] <= t"
     pick = (
         f"array_min(transform(filter(sequence(0, size(tasks) - 1), i -> {ready}),"
         f" i -> struct({due} AS due, i AS i))).i"
     )
+    none = "cast(array() AS array<struct<i: int, nth: bigint>>)"
+    # a thousand steps at a time, so that the list that grows step by step stays short
+    part = f"""aggregate(
+            sequence(first, least(first + 999, length - 1)),
+            struct(st.taken AS taken, {none} AS picks),
+            (now, t) -> transform(array({pick}), p -> struct(
+                transform(now.taken, (c, i) -> if(i = p, c + 1, c)) AS taken,
+                concat(now.picks, array(struct(p AS i, now.taken[p] AS nth))) AS picks))[0])"""
     steps = f"""aggregate(
-        sequence(0L, slots - 1),
-        struct(array_repeat(0L, size(tasks)) AS taken, cast(array() AS array<struct<i: int, nth: bigint>>) AS picks),
-        (st, t) -> transform(array({pick}), p -> struct(
-            transform(st.taken, (c, i) -> if(i = p, c + 1, c)) AS taken,
-            concat(st.picks, array(struct(p AS i, st.taken[p] AS nth))) AS picks))[0],
-        st -> st.picks)"""
+        sequence(0L, length - 1, 1000L),
+        struct(array_repeat(0L, size(tasks)) AS taken,
+            cast(array() AS array<array<struct<i: int, nth: bigint>>>) AS parts),
+        (st, first) -> transform(array({part}), d ->
+            struct(d.taken AS taken, concat(st.parts, array(d.picks)) AS parts))[0],
+        st -> flatten(st.parts))"""
     return (
-        tasks.where("slots is not null")
-        .select("tasks", "slots", F.posexplode(F.expr(steps)).alias("at", "pick"))
+        rounds.where("length > 0")
+        .select("round", "tasks", "start", F.posexplode(F.expr(steps)).alias("at", "pick"))
         .select(
+            "round",
             F.expr("tasks[pick.i]._s").alias("_s"),
             F.col("pick.nth").alias("nth"),
-            F.col("at").cast("long").alias("at"),
-            F.expr("tasks[pick.i].quota").alias("quota"),
-            "slots",
+            (F.col("start") + F.col("at")).alias("at"),
         )
     )
 
@@ -117,6 +150,7 @@ def mix(
     *,
     block_docs: int = 16,
     slots: int = 1000,
+    most_slots: int = 100_000,
 ) -> DataFrame:
     """``docs`` with slot, block and within: reading order is (slot, within).
 
@@ -124,18 +158,37 @@ def mix(
     """
     docs = docs.drop(*_OWN)
     own = root_weights(docs) if weights is None else weights.select(source_key().alias("_s"), "weight")
-    # the pattern has one row a slot, a number fixed by ``slots`` and the sources
-    plan = F.broadcast(pattern(quotas(own, slots)))
-    quota = F.broadcast(quotas(own, slots).select("_s", F.col("quota").alias("_quota")))
+    plan = sized(own, slots, most_slots)
+    # one row a source
+    task = F.broadcast(
+        plan.select("total", "slots", "rounds", F.inline("tasks")).withColumnRenamed("_s", "_task")
+    )
+    period = "((block + 1) * total + weight * slots - 1) div (weight * slots) - 1"
+    repeats = (plan.select("rounds").first() or [1])[0] == 1
+    if repeats:
+        # the pattern has one row a slot of a period, ``most_slots`` or a little more than ``slots``
+        at = F.broadcast(pattern(_rounds(plan, None)))
+    else:
+        reached = (
+            docs.groupBy(source_key().alias("_s"))
+            .agg(F.count("*").alias("_c"))
+            .join(task, F.col("_s") == F.col("_task"))
+            .withColumn("block", F.explode(F.expr(f"sequence(0L, (_c - 1) div {block_docs})")))
+            .select(F.expr(f"({period}) % rounds").alias("round"))
+            .distinct()
+        )
+        at = pattern(_rounds(plan, reached))
     unknown = F.raise_error(F.concat(F.lit("no weight for source "), F.col("_s"))).cast("long")
     return (
         ranked(docs)
         .withColumn("block", F.expr(f"_rank div {block_docs}"))
         .withColumn("within", F.col("_rank") % block_docs)
-        .join(quota, "_s", "left")
-        .withColumn("nth", F.coalesce(F.col("block") % F.col("_quota"), unknown))
-        .join(plan, ["_s", "nth"])
-        .withColumn("slot", F.expr("(block div quota) * slots + at"))
+        .join(task, F.col("_s") == F.col("_task"), "left")
+        .withColumn("_period", F.coalesce(F.expr(period), unknown))
+        .withColumn("round", F.expr("_period % rounds"))
+        .withColumn("nth", F.expr(f"block - ({_upto('_period', 'weight')})"))
+        .join(at, ["_s", "round", "nth"])
+        .withColumn("slot", F.expr("(_period div rounds) * rounds * slots + at"))
         .select("row.*", *_OWN)
     )
 

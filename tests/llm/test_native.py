@@ -127,6 +127,38 @@ def test_mixing_follows_the_weights_within_a_block(spark):
             assert abs(count[name] - (slot + 1) * k / 100) < 1
 
 
+@pytest.mark.parametrize("weights", [[1, 1, 1], [6, 3, 1], [1000, 100, 100, 30, 10], [1, 199]])
+def test_mixing_keeps_to_the_weights_over_many_periods(spark, weights):
+    counts = [max(1, 4 * 1500 * w // sum(weights)) for w in weights]
+    check_mix(spark, weights, counts, 1, slots=100)
+
+
+def test_mixing_carries_remainders_where_the_weights_need_too_many_slots(spark):
+    weights = [1000003, 300007, 70001, 13]
+    counts = [4 * 1500 * w // sum(weights) + 1 for w in weights]
+    check_mix(spark, weights, counts, len(weights), slots=50)
+
+
+def check_mix(spark, weights, counts, bound, **options):
+    """Until the first source has run out, each source is less than ``bound`` blocks off its weight."""
+    names = [f"s{i}" for i in range(len(weights))]
+    rows = [(j, f"t{j}", n) for n, c in zip(names, counts, strict=True) for j in range(c)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    given = spark.createDataFrame(list(zip(names, weights, strict=True)), "source string, weight long")
+    mixed = mixing.mix(df, given, block_docs=1, **options).collect()
+    assert sorted((r.source, r.doc_id) for r in mixed) == sorted((n, j) for j, _, n in rows)
+    order = {r.slot: r.source for r in mixed}
+    assert len(order) == len(mixed)
+    end = min(max(s for s, n in order.items() if n == name) for name, c in zip(names, counts, strict=True) if c > 100)
+    count = dict.fromkeys(names, 0)
+    for slot in range(end + 1):
+        if slot in order:
+            count[order[slot]] += 1
+        for name, w, c in zip(names, weights, counts, strict=True):
+            if count[name] < c:
+                assert abs(count[name] - (slot + 1) * w / sum(weights)) < bound
+
+
 def test_mixing_keeps_awkward_rows(spark):
     df = awkward(spark)
     mixed = mixing.mix(df, block_docs=2, slots=20)
