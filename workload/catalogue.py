@@ -25,6 +25,8 @@ ORACLES: dict[str, str] = {}
 
 
 def register(key: str, query: Callable[[Estate], DataFrame], oracle: str) -> None:
+    if key in QUERIES:
+        raise ValueError(f"query {key} is registered twice")
     QUERIES[key] = lambda spark, sf_dir: query(Estate(configure(spark), sf_dir))
     ORACLES[key] = with_clause(oracle.strip())
 
@@ -52,8 +54,7 @@ register(
 SELECT database, tableName, 'false' AS isTemporary, ' ' || Type AS Type, ' ' || Provider AS Provider,
   ' ' || Location AS Location, ' ' || Serde AS "Serde Library", '' AS Error FROM tables_base""",
 )
-register(
-    "inventory_all", lambda e: inventory.parse_information(e.tables_raw), _INVENTORY)
+register("inventory_parse", lambda e: inventory.parse_information(e.tables_raw), _INVENTORY)
 register(
     "inventory_all",
     lambda e: inventory.metastore_inventory(e.databases, e.tables_raw),
