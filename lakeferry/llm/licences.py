@@ -9,6 +9,13 @@ before their bigrams are spread out, and templates outside a unit's bounds are n
 Bigrams meet templates in a hash join with the table of template bigrams, whose size is that of the
 templates, so only shared bigrams are grouped. All of it is DataFrame expressions.
 
+Notices that are wrapped over lines or share their line with other words are found as spans: runs of
+consecutive words of the text, lines joined, of at most (2 - t) |B| / t word pairs for a template B. The
+best span starts and ends with a pair of the template, so only places of such pairs are compared, and
+only where enough of them lie within that length. In a span a pair of the template counts once and any
+other pair each time. Of spans that overlap, the one that shares most pairs stays; spans over a line
+or in a whole text that matched the same template are not told again.
+
 Defined results: null and empty texts and units of fewer than two words match nothing; of several
 templates a unit gets the one with the largest coefficient, ties to the smaller name; repeated rows
 give their matches each; no rows give no matches; extra columns are ignored.
@@ -85,7 +92,8 @@ def templates(spark: SparkSession, texts: dict[str, str]) -> DataFrame:
 def scan(
     docs: DataFrame, texts: dict[str, str] | None = None, *, threshold: float = 0.8
 ) -> DataFrame:
-    """doc_id, line (from 0; -1 for the whole text), license, dice for every unit that matches."""
+    """doc_id, line (from 0; -1 for the whole text; the first of a span), license, dice for every unit
+    that matches."""
     spark = docs.sparkSession
     table = templates(spark, TEMPLATES if texts is None else texts)
     sizes = table.agg(F.min("b").alias("low"), F.max("b").alias("high")).first()
@@ -93,38 +101,136 @@ def scan(
         return spark.sql("SELECT 0L AS doc_id, 0 AS line, '' AS license, 0D AS dice WHERE false")
     low = sizes["low"] * threshold / (2 - threshold)
     high = sizes["high"] * (2 - threshold) / threshold
-    lines = docs.select(F.col("doc_id").cast("long"), F.split("text", "\n", -1).alias("_lines")).where(
-        "_lines is not null"
-    )
+    lines = docs.select(
+        F.col("doc_id").cast("long"), F.split("text", "\n", -1).alias("_lines"), F.xxhash64("text").alias("_hash")
+    ).where("_lines is not null")
     units = (
-        lines.select("doc_id", F.transform("_lines", _words).alias("_w"))
+        lines.select("doc_id", "_hash", F.transform("_lines", _words).alias("_w"))
         .withColumn("_n", F.aggregate("_w", F.lit(0), lambda n, w: n + F.size(w)))
         .select(
             "doc_id",
+            "_hash",
             F.when((F.size("_w") > 1) & (F.col("_n") - 1 <= high), F.flatten("_w")).alias("_whole"),
             "_w",
         )
-        .select("doc_id", F.posexplode(F.concat(F.array("_whole"), "_w")).alias("_at", "_words"))
+        .select("doc_id", "_hash", F.posexplode(F.concat(F.array("_whole"), "_w")).alias("_at", "_words"))
         .where(F.col("_words").isNotNull() & (F.size("_words") - 1 >= low))
-        .select("doc_id", (F.col("_at") - 1).alias("line"), _bigrams(F.col("_words")).alias("_g"))
+        .select("doc_id", "_hash", (F.col("_at") - 1).alias("line"), _bigrams(F.col("_words")).alias("_g"))
         .where((F.size("_g") >= low) & (F.size("_g") <= high))
-        .select(F.monotonically_increasing_id().alias("_unit"), "doc_id", "line", "_g")
-        .select("_unit", "doc_id", "line", F.size("_g").alias("a"), F.explode("_g").alias("bigram"))
+        .select(F.monotonically_increasing_id().alias("_unit"), "doc_id", "_hash", "line", "_g")
+        .select("_unit", "doc_id", "_hash", "line", F.size("_g").alias("a"), F.explode("_g").alias("bigram"))
     )
     t = F.lit(threshold)
     shared = (
         units.join(F.broadcast(table), "bigram")
         .where((t * F.col("a") <= (2 - t) * F.col("b")) & (t * F.col("b") <= (2 - t) * F.col("a")))
-        .groupBy("_unit", "doc_id", "line", "a", "license", "b")
+        .groupBy("_unit", "doc_id", "_hash", "line", "a", "license", "b")
         .agg(F.count("*").alias("_c"))
         .withColumn("dice", 2.0 * F.col("_c") / (F.col("a") + F.col("b")))
         .where(F.col("dice") >= t)
     )
     best = Window.partitionBy("_unit").orderBy(F.desc("dice"), "license")
-    return (
+    found = (
         shared.withColumn("_nth", F.row_number().over(best))
         .where("_nth = 1")
-        .select("doc_id", F.col("line").cast("int"), "license", "dice")
+        .select("doc_id", "_hash", F.col("line").cast("int"), "license", "dice")
+    )
+    told = found.select(
+        F.col("doc_id").alias("_id"), F.col("_hash").alias("_of"), F.col("license").alias("_as"), F.col("line").alias("_on")
+    )
+    more = spans(lines, table, threshold).join(
+        told,
+        F.expr("doc_id <=> _id AND _hash = _of AND license = _as AND (_on = -1 OR _on BETWEEN line AND last)"),
+        "left_anti",
+    )
+    return found.unionByName(more.drop("last")).drop("_hash")
+
+
+def spans(lines: DataFrame, table: DataFrame, threshold: float) -> DataFrame:
+    """doc_id, _hash, line, last (the lines of a span), license, dice for the spans that stay."""
+    pairs = (
+        lines.select(
+            F.monotonically_increasing_id().alias("_doc"), "doc_id", "_hash", F.transform("_lines", _words).alias("_w")
+        )
+        .select(
+            "_doc",
+            "doc_id",
+            "_hash",
+            F.flatten("_w").alias("_all"),
+            F.expr("flatten(transform(_w, (x, i) -> array_repeat(i, size(x))))").alias("_at"),
+        )
+        .where("size(_all) > 1")
+        .select(
+            "_doc",
+            "doc_id",
+            "_hash",
+            F.posexplode(
+                F.expr(
+                    "zip_with(zip_with(slice(_all, 1, size(_all) - 1), slice(_all, 2, size(_all) - 1),"
+                    " (a, b) -> concat(a, ' ', b)), zip_with(slice(_at, 1, size(_at) - 1),"
+                    " slice(_at, 2, size(_at) - 1), (a, b) -> struct(a as line, b as last)),"
+                    " (g, l) -> struct(g as bigram, l.line as line, l.last as last))"
+                )
+            ).alias("at", "_pair"),
+        )
+        .select("_doc", "doc_id", "_hash", "at", "_pair.*")
+    )
+    marks = (
+        pairs.join(F.broadcast(table), "bigram")
+        .groupBy("_doc", "doc_id", "_hash", "license", "b")
+        .agg(F.sort_array(F.collect_list(F.struct("at", "bigram", "line", "last"))).alias("m"))
+        .withColumn("need", F.ceil(F.lit(threshold / (2 - threshold)) * F.col("b") - 1e-9).cast("int"))
+        .withColumn("reach", F.floor(F.lit((2 - threshold) / threshold) * F.col("b") + 1e-9).cast("int"))
+        .where("size(m) >= need")
+    )
+    starts = (
+        marks.withColumn(
+            "i",
+            F.explode(
+                F.expr("filter(sequence(0, size(m) - need), i -> m[i + need - 1].at - m[i].at < reach)")
+            ),
+        )
+        .withColumn("own", F.expr("filter(slice(m, i + 1, reach), x -> x.at - m[i].at < reach)"))
+        .drop("m")
+        .withColumn("grams", F.expr("transform(own, x -> x.bigram)"))
+        # places of pairs that are new in the span, each with the places of template pairs up to it
+        .withColumn(
+            "fresh",
+            F.expr(
+                "filter(transform(own, (x, j) -> struct(x as x, j + 1 as upto)), y -> array_position(grams, y.x.bigram) = y.upto)"
+            ),
+        )
+        .withColumn(
+            "best",
+            F.expr(
+                "array_max(transform(fresh, (y, k) -> struct("
+                "2D * (k + 1) / (y.x.at - own[0].at + 1 - y.upto + k + 1 + b) as dice, k + 1 as c, y.x.at as end, y.x.last as last)))"
+            ),
+        )
+        .where(F.col("best.dice") >= F.lit(threshold))
+    )
+    clear = "NOT exists(kept, k -> k.start <= x.end + 1 AND x.start <= k.end + 1)"
+    return (
+        starts.groupBy("_doc", "doc_id", "_hash")
+        .agg(
+            F.sort_array(
+                F.collect_list(
+                    F.expr(
+                        "struct(-best.c as c, -best.dice as dice, license, own[0].at as start, best.end as end,"
+                        " own[0].line as line, best.last as last)"
+                    )
+                )
+            ).alias("found")
+        )
+        .select(
+            "doc_id",
+            "_hash",
+            F.expr(
+                "inline(aggregate(found, slice(found, 1, 0),"
+                f" (kept, x) -> if({clear}, concat(kept, array(x)), kept)))"
+            ),
+        )
+        .select("doc_id", "_hash", "line", "last", "license", (-F.col("dice")).alias("dice"))
     )
 
 

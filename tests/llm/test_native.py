@@ -127,6 +127,29 @@ def test_mixing_follows_the_weights_within_a_block(spark):
             assert abs(count[name] - (slot + 1) * k / 100) < 1
 
 
+def test_wrapped_and_embedded_licences_are_found(spark):
+    prose = "\n".join(f"line {i} of a long text about nothing at all" for i in range(40))
+    texts = licences.TEMPLATES
+    rows = [(1, "Copyright 2021 Jane Doe. Released under the MIT License.")]
+    for n, name in enumerate(("MIT-grant", "GPL-3.0-header", "MPL-2.0", "Apache-2.0-header")):
+        header = "\n".join(textwrap.wrap(texts[name], 60, initial_indent=" * ", subsequent_indent=" * "))
+        rows.append((10 + n, f"{prose}\n{header}\n{prose}"))
+    filler = " ".join(f"w{i}" for i in range(3000))
+    rows.append((20, f"{filler} {texts['GPL-3.0']} {filler}"))
+    rows.append((21, f"{texts['MIT-grant']} {texts['MIT']}"))
+    rows.append((22, f"{prose}\n{texts['MIT']} {prose} {texts['BSD-3-Clause']}"))
+    found = [tuple(r) for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    at = {(doc_id, line, name) for doc_id, line, name, _ in found}
+    assert len(at) == len(found)
+    assert {x for x in at if x[0] not in (13, 21)} == {
+        (1, 0, "MIT"), (10, 40, "MIT-grant"), (11, 40, "GPL-3.0-header"), (12, 40, "MPL-2.0"),
+        (20, 0, "GPL-3.0"), (22, 40, "MIT"), (22, 79, "BSD-3-Clause"),
+    }
+    assert (13, 40, "Apache-2.0-header") in at
+    assert {x for x in at if x[0] == 21} == {(21, 0, "MIT-grant"), (21, 0, "MIT")}
+    assert all(d == 1.0 for doc_id, _, _, d in found if doc_id in (1, 10, 11, 12, 20, 22))
+
+
 @pytest.mark.parametrize("weights", [[1, 1, 1], [6, 3, 1], [1000, 100, 100, 30, 10], [1, 199]])
 def test_mixing_keeps_to_the_weights_over_many_periods(spark, weights):
     counts = [max(1, 4 * 1500 * w // sum(weights)) for w in weights]
