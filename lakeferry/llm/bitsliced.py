@@ -12,8 +12,9 @@ boundary are resolved by the smaller id. The k best of each block meet in a last
 
 Queries meet blocks as whole groups of queries: one task works on one (block, group of queries).
 
-Defined results: null vectors and vectors with null or non-finite components, or whose integers
-exceed 2**26 in size (scores would leave 64 bits), take no part; an id that repeats counts once, with
+Defined results: null vectors and vectors with null or non-finite components take no part; a vector so
+long that scores could leave 64 bits (its integers' largest square times their number reaches 2**63) is
+an error; an id that repeats counts once, with
 its smallest vector; only vectors of equal length meet; rows with a null id take no part; ties go to
 the smaller id; fewer candidates give fewer rows; columns other than vec_id and embedding are ignored.
 """
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from lakeferry.session import staged
 
-_LIMIT = 1 << 26
+_LIMIT = 2.0**63
 _HEAD = struct.Struct("<III")
 
 
@@ -37,15 +38,17 @@ def quantised(vectors: DataFrame, scale: float = 64.0) -> DataFrame:
     """vec_id, v (integers), one row an id, of the vectors that take part."""
     v = F.col("embedding").cast("array<double>")
     sound = F.col("vec_id").isNotNull() & F.coalesce(
-        F.forall(v, lambda x: x.isNotNull() & (F.abs(F.floor(x * scale)) < _LIMIT) & (F.abs(x) < 1e300)),
-        F.lit(False),
+        F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False)
+    )
+    most = F.aggregate(v, F.lit(0.0), lambda a, x: F.greatest(a, F.abs(x * scale) + 1))
+    kept = F.when(F.size(v) * most * most < _LIMIT, F.transform(v, lambda x: F.floor(x * scale))).otherwise(
+        F.raise_error(F.concat(F.lit("scores would leave 64 bits: vec_id "), F.col("vec_id").cast("string")))
     )
     return (
         vectors.where(sound)
-        .select(F.col("vec_id").cast("long"), v.alias("v"))
+        .select(F.col("vec_id").cast("long"), v.alias("v"), kept.alias("_kept"))
         .groupBy("vec_id")
-        .agg(F.min("v").alias("v"))
-        .select("vec_id", F.transform("v", lambda x: F.floor(x * scale).cast("int")).alias("v"))
+        .agg(F.min_by("_kept", "v").alias("v"))
     )
 
 
@@ -160,8 +163,9 @@ class Slices:
         if n_sure < k:
             rows = np.concatenate((rows, _rows(open_)[: k - n_sure]))
         word, bit = rows >> 6, (rows & 63).astype(np.uint64)
-        score = np.full(len(rows), constant, np.int64)
-        for i, one in enumerate(bits):
+        # sums in between may leave 64 bits, the score does not: all of it modulo 2**64
+        score = np.full(len(rows), (constant + (1 << 63)) % (1 << 64) - (1 << 63), np.int64)
+        for i, one in enumerate(bits[:64]):
             score += ((one[word] >> bit) & np.uint64(1)).astype(np.int64) << i
         return self.ids[rows], score
 

@@ -44,6 +44,21 @@ def test_exact_top_k_matches_brute_force(spark):
     assert bitsliced.top_k(df.where("false"), F.lit(True)).collect() == []
 
 
+def test_large_components_stay(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.integers(-(2**23), 2**23, 6)]) for i in range(60)]
+    rows += [(60 + i, [float(x) for x in rng.normal(size=6)]) for i in range(20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in bitsliced.top_k(df, F.col("vec_id") % 3 == 0, 5).collect()}
+    ints = {i: [math.floor(64 * x) for x in v] for i, v in rows}
+    for q in range(0, 80, 3):
+        other = sorted((-sum(a * b for a, b in zip(ints[q], v, strict=True)), i) for i, v in ints.items() if i != q)
+        assert [got[q, n + 1] for n in range(5)] == [(i, -s) for s, i in other[:5]]
+    too_long = spark.createDataFrame([(1, [1e9, 1e9]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        bitsliced.top_k(too_long, F.lit(True)).collect()
+
+
 def test_neighbours_match_brute_force_with_wide_windows(spark):
     df = vectors(spark)
     found = {}
