@@ -12,8 +12,10 @@ from lakeferry.llm import (
     jaccard,
     lang_cnn,
     licences,
+    manifest,
     mixing,
     packing,
+    runs,
     string_kernel,
     token_files,
 )
@@ -108,6 +110,17 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).drop("text")
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document; every tenth one by its crc32 gets a repeated tail first."""
+    return runs.detect(table(spark, sf_dir, "documents"), runs.repeated_tail)
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Merkle proof for every document; every third one by its crc32 is tampered with."""
+    tamper = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return manifest.manifest(table(spark, sf_dir, "documents"), tamper)
+
+
 TOXIC = 0.7
 
 OP1_SQL = r"""
@@ -218,6 +231,8 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_jaccard": op9_jaccard,
     "op10_mixing": op10_mixing,
+    "op11_runs": op11_runs,
+    "op12_manifest": op12_manifest,
 }
 ORACLES: dict[str, str] = {
     "op1_chat": OP1_SQL,
@@ -225,4 +240,5 @@ ORACLES: dict[str, str] = {
     "op9_jaccard": OP9_SQL,
     "op2_licences": licences.sql(),
     "op10_mixing": mixing.SQL,
+    "op12_manifest": manifest.sql(),
 }

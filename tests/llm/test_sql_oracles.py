@@ -17,4 +17,4 @@ def test_query_matches_sql(spark, key):
 
 def test_one_query_an_operator():
     numbers = sorted(int(k[2:].split("_")[0]) for k in QUERIES if k.startswith("op"))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
