@@ -98,7 +98,11 @@ def test_places_need_no_window_over_a_group(spark):
 
 def test_a_round_shuffles_once(spark):
     nodes = spark.range(3000).selectExpr(
-        "'k' as key", "id as rank", "3000L as n", "sha2(cast(id as string), 256) as hash", "id as item"
+        "cast(id % 2 as string) as key",
+        "id div 2 as rank",
+        "1500 + 0 * id as n",
+        "sha2(cast(id as string), 256) as hash",
+        "id as item",
     )
     plan = manifest._rolled(nodes, 0)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
