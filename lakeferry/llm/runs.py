@@ -4,14 +4,13 @@ A run is a stretch of consecutive words with smallest period ``q`` (words ``q``
 of at least ``max(6, 4 * q)`` words, that no neighbouring word extends keeping that period.
 
 The words go through a suffix automaton. The suffix links form a tree in which the ancestors of a
-prefix are its suffixes; each node remembers where it last ended. Appending word ``i`` accesses the
-node of the prefix ending there as in a link-cut tree: the path to the root, cut into segments of one
-colour (one last end ``j``), is recoloured to ``i``. A segment whose deepest node has ``L`` words says
-that the last ``L`` words also ended at ``j``, and no longer suffix did: with the period ``d = i - j``
-and ``L >= d`` the last ``L + d`` words are a repetition that cannot grow to the left, and it is a run
-if the next word breaks it too. The tree does not change any more when all words are in, so paths are
-held on heavy paths, each a stack of segments, instead of balanced trees; the number of segments
-recoloured is the same, a logarithm a word in the mean.
+prefix are its suffixes; it is held as a link-cut tree whose preferred paths are the states that last
+ended at one place. Appending word ``i`` accesses the state of the prefix ending there: the path to the
+root, cut into segments of one last end ``j``, is recoloured to ``i``. A segment whose deepest state has
+``L`` words says that the last ``L`` words also ended at ``j``, and no longer suffix did: with the
+distance ``d = i - j`` and ``L >= d`` the last ``L + d`` words are a square that cannot grow to the left,
+and it is a run if the next word breaks it too and it is long enough. The number of segments recoloured
+is a logarithm a word in the mean.
 
 Only stretches that can hold a run go through an automaton: each five words in a row inside a run occur
 again in the same text, and one of them occurs again within a quarter of the stretch. Fingerprints find
@@ -46,93 +45,142 @@ Run = tuple[int, int, int]  # start, length, period
 Rewrite = Callable[[int | None, list[bytes]], list[bytes]]
 
 
-def automaton(words: list) -> tuple[list[int], list[int], list[int]]:
-    """Suffix link and length of each state, and the state of each prefix."""
-    step: list[dict] = [{}]
-    link, length, ends = [-1], [0], []
-    last = 0
-    for word in words:
-        new = len(length)
-        step.append({})
-        length.append(length[last] + 1)
-        link.append(0)
-        p = last
-        while p >= 0 and word not in step[p]:
-            step[p][word] = new
-            p = link[p]
-        if p >= 0:
-            q = step[p][word]
-            if length[p] + 1 == length[q]:
-                link[new] = q
+class Tree:
+    """Suffix links of a growing automaton as a link-cut tree; state 1 is the empty word, 0 is none.
+
+    A preferred path holds the states that last ended at one place, kept at the root of the path's
+    splay tree, which is ordered by depth.
+    """
+
+    def __init__(self) -> None:
+        self.up, self.left, self.right = [0, 0], [0, 0], [0, 0]
+        self.last = [-1, -1]
+
+    def leaf(self, parent: int) -> int:
+        """A new state under ``parent``, on a path of its own."""
+        self.up.append(parent)
+        self.left.append(0)
+        self.right.append(0)
+        self.last.append(-1)
+        return len(self.up) - 1
+
+    def insert_above(self, state: int) -> int:
+        """A new state between ``state`` and its parent, on the path of ``state``."""
+        self.splay(state)
+        new = self.leaf(state)
+        below = self.left[new] = self.left[state]
+        self.left[state] = new
+        if below:
+            self.up[below] = new
+        return new
+
+    def splay(self, x: int) -> None:
+        """Makes ``x`` the root of its path's splay tree."""
+        up, left, right = self.up, self.left, self.right
+        p = up[x]
+        if not p or (left[p] != x and right[p] != x):
+            return
+        while True:
+            g = up[p]
+            inner = g and (left[g] == p or right[g] == p)
+            if inner and (left[g] == p) == (left[p] == x):
+                # the parent turns first where all three lie on one side
+                top = up[g]
+                if left[p] == x:
+                    left[g], right[p] = right[p], g
+                    if left[g]:
+                        up[left[g]] = g
+                    left[p], right[x] = right[x], p
+                    if left[p]:
+                        up[left[p]] = p
+                else:
+                    right[g], left[p] = left[p], g
+                    if right[g]:
+                        up[right[g]] = g
+                    right[p], left[x] = left[x], p
+                    if right[p]:
+                        up[right[p]] = p
+                up[g], up[p], old = p, x, g
             else:
-                copy = len(length)
-                step.append(step[q].copy())
-                length.append(length[p] + 1)
-                link.append(link[q])
-                link[q] = link[new] = copy
-                while p >= 0 and step[p].get(word) == q:
-                    step[p][word] = copy
-                    p = link[p]
-        ends.append(new)
-        last = new
-    return link, length, ends
-
-
-def _heads(link: list[int], length: list[int]) -> list[int]:
-    """Top of each state's heavy path."""
-    n = len(link)
-    order = np.argsort(np.array(length), kind="stable").tolist()
-    size, heavy = [1] * n, [-1] * n
-    for v in reversed(order):
-        u = link[v]
-        if u >= 0:
-            size[u] += size[v]
-            if heavy[u] < 0 or size[v] > size[heavy[u]]:
-                heavy[u] = v
-    head = list(range(n))
-    for v in order:
-        if v and heavy[link[v]] == v:
-            head[v] = head[link[v]]
-    return head
+                top = g
+                if left[p] == x:
+                    left[p], right[x] = right[x], p
+                    if left[p]:
+                        up[left[p]] = p
+                else:
+                    right[p], left[x] = left[x], p
+                    if right[p]:
+                        up[right[p]] = p
+                up[p], old = x, p
+            up[x] = top
+            if top and left[top] == old:
+                left[top] = x
+            elif top and right[top] == old:
+                right[top] = x
+            else:
+                self.last[x] = self.last[old]
+                return
+            p = top
+
+    def access(self, state: int, end: int) -> list[tuple[int, int]]:
+        """Recolours the path from ``state`` to the root to ``end``; returns the deepest state and
+        the former end of each of its segments, from the deepest one up."""
+        last, right, segments = self.last, self.right, []
+        x, below = state, 0
+        while x:
+            self.splay(x)
+            segments.append((x, last[x]))
+            cut = right[x]
+            if cut:
+                last[cut] = last[x]
+            right[x] = below
+            below, x = x, self.up[x]
+        self.splay(state)
+        last[state] = end
+        return segments
 
 
 def runs(words: list) -> list[Run]:
     """All runs of a list of words, by start and period."""
     n = len(words)
-    if n < LEAST:
-        return []
-    link, length, ends = automaton(words)
-    head = _heads(link, length)
-    # of each heavy path, from its deepest segment to its top one: length of the deepest node, last end
-    held: list[list[tuple[int, int]] | None] = [None] * len(link)
-    out = []
-    for i, v in enumerate(ends):
+    tree = Tree()
+    step: list[dict] = [{}, {}]
+    link, length = [0, 0], [0, 0]
+    state, out = 1, []
+    for i, word in enumerate(words):
+        p, state = state, len(length)
+        step.append({})
+        length.append(i + 1)
+        while p and word not in step[p]:
+            step[p][word] = state
+            p = link[p]
+        parent = 1
+        if p:
+            parent = q = step[p][word]
+            if length[p] + 1 != length[q]:
+                # the states below keep their number, so the new one is made last
+                parent = state + 1
+                length.append(length[p] + 1)
+                step.append(step[q].copy())
+        link.append(parent)
+        tree.leaf(parent)
+        if parent > state:
+            tree.insert_above(q)
+            link.append(link[q])
+            link[q] = parent
+            while p and step[p].get(word) == q:
+                step[p][word] = parent
+                p = link[p]
         following = words[i + 1] if i + 1 < n else None
-        seen = -1
-        while v > 0:
-            h, reach = head[v], length[v]
-            path = held[h]
-            if path is None:
-                held[h] = [(reach, i)]
-                v = link[h]
-                continue
-            own = reach
-            spans = []
-            while path and path[-1][0] <= reach:
-                spans.append(path.pop())
-            if path and not (spans and spans[-1][0] == reach):
-                spans.append((own, path[-1][1]))
-            path.append((reach, i))
-            for deep, j in reversed(spans):
-                if j == seen:
-                    continue
-                seen = j
-                d = i - j
-                if deep >= (REPEATS - 1) * d and deep + d >= LEAST and (
-                    i + 1 == n or following != words[i + 1 - d]
-                ):
-                    out.append((i - deep - d + 1, deep + d, d))
-            v = link[h]
+        for deepest, j in tree.access(state, i):
+            size, d = length[deepest], i - j
+            if (
+                j >= 0
+                and size >= (REPEATS - 1) * d
+                and size + d >= LEAST
+                and (i + 1 == n or following != words[i + 1 - d])
+            ):
+                out.append((i - size - d + 1, size + d, d))
     out.sort(key=lambda r: (r[0], r[2]))
     return out
 
