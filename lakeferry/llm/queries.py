@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakeferry.llm import (
     bitsliced,
     chat,
+    extraction,
     hilbert,
     jaccard,
     lang_cnn,
@@ -121,6 +122,12 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(table(spark, sf_dir, "documents"), tamper)
 
 
+def op13_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return extraction.main_text(pages, extraction.fit(pages))
+
+
 TOXIC = 0.7
 
 OP1_SQL = r"""
@@ -233,6 +240,7 @@ QUERIES = {
     "op10_mixing": op10_mixing,
     "op11_runs": op11_runs,
     "op12_manifest": op12_manifest,
+    "op13_extraction": op13_extraction,
 }
 ORACLES: dict[str, str] = {
     "op1_chat": OP1_SQL,
