@@ -84,11 +84,22 @@ def sync_status(
 
 
 def with_target(databases: DataFrame) -> DataFrame:
+    """(database, target_schema), one row a database: its ``target_database``, or its own name where no
+    row of it gives one. A database with several targets fails the query."""
     databases = with_database_column(databases)
-    named = "target_database" in databases.columns
-    target = F.coalesce("target_database", "database") if named else F.col("database")
-    named_target = databases.select("database", target.alias("target_schema"))
-    return lookup(named_target, "database", "target_schema")
+    if "target_database" not in databases.columns:
+        return lookup(databases.select("database"), "database").withColumn("target_schema", F.col("database"))
+    named = F.col("target_database")
+    targets = grouped_lookup(databases, ["database"], F.min(named).alias("_first"), F.max(named).alias("_last"))
+    several = F.raise_error(
+        F.format_string("database %s has several targets: %s and %s", "database", "_first", "_last")
+    )
+    return targets.select(
+        "database",
+        F.when(F.col("_first") != F.col("_last"), several.cast("string"))
+        .otherwise(F.coalesce("_first", "database"))
+        .alias("target_schema"),
+    )
 
 
 def marker_status(

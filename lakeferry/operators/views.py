@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from lakeferry.functions import (
 )
 from lakeferry.operators.inventory import with_database_column
 from lakeferry.operators.sync import NO_OUTCOME, marker_status, numbered_statements, with_target
+from lakeferry.session import staged
 
 # The legacy catalog, the schema every catalog owns, the label of a view's text.
 LEGACY_CATALOG = "hive_metastore"
@@ -24,8 +27,18 @@ VIEW_TEXT = "View Text"
 CREATED = "VIEW CREATED SUCCESSFULLY"
 NO_VIEWS = "No Views Found"
 NO_OUTCOME_TEXT = "no outcome"
+CYCLE = "reads itself through other views, or a view that does"
 
 _IDENTIFIER = r"(?:`[^`]+`|`?\w+`?)"
+_LEGACY = rf"`?{LEGACY_CATALOG}`?\."
+# SQL that names nothing: literals of both quotes (raw ones have no escapes) and comments. An open one
+# goes on to the end of the text.
+_SILENT = (
+    r"(?<!\w)[rR](?:'[^']*+(?:'|\z)|\"[^\"]*+(?:\"|\z))"
+    r"|'[^'\\]*+(?:\\.[^'\\]*+)*+(?:'|\\?\z)|\"[^\"\\]*+(?:\\.[^\"\\]*+)*+(?:\"|\\?\z)"
+    r"|--[^\n]*+|/\*.*?(?:\*/|\z)"
+)
+_MARK = "\0"
 
 
 def view_definitions(describe_rows: DataFrame) -> DataFrame:
@@ -87,6 +100,25 @@ def _bare(identifier: Column) -> Column:
     return F.replace(identifier, F.lit("`"), F.lit(""))
 
 
+def _pieces(text: Column, name: str, place: str, written: str = "") -> Column:
+    """Pieces of a text that start at the names of its code.
+
+    ``name`` is the pattern of a name, ``place`` what must hold before it. The text is cut into
+    literals, comments, names, words and single characters; of the names ``written`` is left out, and
+    also where it stands without one. A text with a NUL character is one piece.
+    """
+    lone = rf"(?<![\w`.]){written}|" if written else ""
+    token = rf"(?s){_SILENT}|{place}{name}|{lone}`[^`]*+`|\w++|\s++|."
+    tokens = F.regexp_extract_all(text, F.lit(token), F.lit(0))
+
+    def kept(t: Column) -> Column:
+        shown = F.when(t.rlike(f"^{name}$"), F.concat(F.lit(_MARK), F.regexp_replace(t, f"^{written}", "")))
+        return (shown.when(t.rlike(f"^{written}$"), F.lit("")) if written else shown).otherwise(t)
+
+    cut = F.split(F.array_join(F.transform(tokens, kept), ""), f"(?={_MARK})")
+    return F.when(F.contains(text, F.lit(_MARK)), F.array(text)).otherwise(cut)
+
+
 def rewrite_views(
     views: DataFrame,
     schemas: DataFrame,
@@ -97,15 +129,13 @@ def rewrite_views(
     """Drop the legacy catalog from view SQL, then prefix upgraded schemas with ``catalog``.
 
     ``views`` holds (database, viewName, view_text); ``schemas`` the column ``table_schema``;
-    ``databases`` may name a ``target_database`` that an upgraded schema is called by from then on. A schema counts where it follows a blank, ``(`` or ``,`` or opens the
-    text; ``boundaries="blank"`` accepts a single space only.
+    ``databases`` may name a ``target_database`` that an upgraded schema is called by from then on. A
+    schema counts where it follows a blank, ``(`` or ``,`` or opens the text; ``boundaries="blank"``
+    accepts a single space only. Literals and comments stay as they are.
     """
-    before = r"^|(?<=[\s(,])" if boundaries == "all" else "(?<= )"
-    text = F.regexp_replace("view_text", rf"(?<![\w`.])`?{LEGACY_CATALOG}`?\.", "")
-    pieces = F.split(text, rf"(?:{before})(?={_IDENTIFIER}\.)")
-    opening = F.regexp_extract("piece", rf"^({_IDENTIFIER})\.", 1)
-    # The first piece of a text is a candidate only when the text may open with a schema name.
-    candidate = opening if boundaries == "all" else F.when(F.col("at") > 0, opening)
+    place = r"(?:^|(?<=[\s(,]))" if boundaries == "all" else "(?<= )"
+    name = rf"(?:{_LEGACY})?+{_IDENTIFIER}\."
+    opening = F.regexp_extract("piece", rf"^{_MARK}({_IDENTIFIER})\.", 1)
     upgraded = lookup(schemas.select(F.col("table_schema").alias("name")), "name")
     targets = _schema_targets(databases)
     if targets is None:
@@ -119,24 +149,29 @@ def rewrite_views(
         quote_if_needed(F.lit(catalog)),
         F.lit("."),
         quote_if_needed(F.col("target")),
-        F.substr(F.col("piece"), F.length(opening) + 1),
+        F.substr(F.col("piece"), F.length(opening) + 2),
     )
     return _rewrite_pieces(
         views.select("database", "viewName", "view_text"),
-        pieces,
-        _bare(candidate),
+        _pieces(F.col("view_text"), name, place, _LEGACY),
+        _bare(opening),
         hit,
-        F.when(F.col("target").isNotNull(), prefixed).otherwise(F.col("piece")),
+        F.when(F.col("target").isNotNull(), prefixed).otherwise(_unmarked(F.col("piece"))),
     )
 
 
+def _unmarked(piece: Column) -> Column:
+    """A piece that starts at a name without its mark; others have none."""
+    return F.regexp_replace(piece, rf"^{_MARK}(?={_IDENTIFIER})", "")
+
+
 def rewrite_views_mapped(
     views: DataFrame, mapping: DataFrame, catalog: str, databases: DataFrame | None = None
 ) -> DataFrame:
     """Replace ``hive_metastore.src`` by the quoted target of ``mapping`` (src, dst).
 
     A view's own database becomes its ``target_database`` in ``databases``, or keeps its name,
-    whatever the mapping says.
+    whatever the mapping says. Literals and comments stay as they are.
     """
     own_targets = _schema_targets(databases)
     if own_targets is None:
@@ -145,10 +180,9 @@ def rewrite_views_mapped(
         placed = views.join(own_targets, "database", "left").select(
             "database", "viewName", "view_text", F.coalesce("target_schema", "database").alias("_own")
         )
-    legacy = rf"`?{LEGACY_CATALOG}`?\."
-    pieces = F.split("view_text", rf"(?={legacy}{_IDENTIFIER})(?<![\w`.])")
-    opening = F.regexp_extract("piece", rf"^({legacy}{_IDENTIFIER})", 1)
-    name = _bare(F.regexp_extract("piece", rf"^{legacy}({_IDENTIFIER})", 1))
+    named = rf"{_LEGACY}{_IDENTIFIER}"
+    opening = F.regexp_extract("piece", rf"^{_MARK}({named})", 1)
+    name = _bare(F.regexp_extract("piece", rf"^{_MARK}{_LEGACY}({_IDENTIFIER})", 1))
     targets = grouped_lookup(
         mapping.withColumnRenamed("src", "name"), ["name"], F.min("dst").alias("dst")
     )
@@ -157,15 +191,90 @@ def rewrite_views_mapped(
     replaced = F.concat(
         F.lit(f"{quoted_literal(catalog)}."),
         quote(target),
-        F.substr(F.col("piece"), F.length(opening) + 1),
+        F.substr(F.col("piece"), F.length(opening) + 2),
     )
     return _rewrite_pieces(
         placed,
-        pieces,
+        _pieces(F.col("view_text"), named, r"(?<![\w`.])"),
         name,
         targets,
-        F.when(target.isNotNull(), replaced).otherwise(F.col("piece")),
+        F.when(target.isNotNull(), replaced).otherwise(_unmarked(F.col("piece"))),
+    )
+
+
+def view_dependencies(views: DataFrame) -> DataFrame:
+    """(database, viewName, needs_database, needs_view): which views a view reads.
+
+    Qualified names count wherever they stand in the code, the last two parts of them; bare names, of
+    the view's own database, after FROM and JOIN only. Literals and comments name nothing. Only names of
+    views in ``views`` are kept, so aliases and columns rarely pass.
+    """
+    code = F.regexp_replace("view_text", f"(?s){_SILENT}", " ")
+    part = r"(?:`[^`]+`|\w+)"
+    item = rf"{part}(?:\.{part})*+(?:(?:\s+[aA][sS])?\s+\w+)?+"
+    qualified = F.regexp_extract_all(code, F.lit(rf"(?<![\w`.]){part}(?:\.{part})++"), F.lit(0))
+    clauses = F.regexp_extract_all(code, F.lit(rf"(?i)\b(?:FROM|JOIN)\s+({item}(?:\s*,\s*{item})*+)"), F.lit(1))
+    listed = F.flatten(F.transform(clauses, lambda c: F.split(c, r"\s*,\s*")))
+    bare = F.filter(
+        F.transform(listed, lambda c: F.regexp_extract(c, rf"^({part})(?![\w`.])", 1)), lambda c: c != ""
+    )
+    names = views.select("database", "viewName", F.explode(F.array_distinct(F.concat(qualified, bare))).alias("_name"))
+    parts = F.transform(F.regexp_extract_all("_name", F.lit(part), F.lit(0)), _bare)
+    found = names.select(
+        "database",
+        "viewName",
+        F.when(F.size(parts) > 1, F.element_at(parts, -2)).otherwise(F.col("database")).alias("needs_database"),
+        F.element_at(parts, -1).alias("needs_view"),
+    )
+    known = lookup(views.select(F.col("database").alias("needs_database"), F.col("viewName").alias("needs_view")),
+                   "needs_database", "needs_view")
+    return lookup(
+        found.join(known, ["needs_database", "needs_view"], "left_semi"),
+        "database", "viewName", "needs_database", "needs_view",
+    )
+
+
+def view_order(views: DataFrame) -> DataFrame:
+    """(database, viewName, level, message): a view can be created when all of lower levels are there.
+
+    Level 0 reads no other view. Each round gives the next level to the views whose needs are met; the
+    open ones get fewer each time, and so do their edges. Views that are left when a round finds none
+    are in a cycle or read one: they have a message and no level.
+    """
+    keys, needs = ["database", "viewName"], ["needs_database", "needs_view"]
+    listed = lookup(views, *keys)
+    edges = staged(view_dependencies(views), "view-edges")
+    first = listed.join(edges, keys, "left_anti")
+    leveled = [first.select(*keys, F.lit(0).alias("level"), F.lit("").alias("message"))]
+    met = first
+    open_ = staged(lookup(edges, *keys), "view-open")
+    level = 0
+    while not open_.isEmpty():
+        level += 1
+        done = met.select(F.col("database").alias("needs_database"), F.col("viewName").alias("needs_view"))
+        edges = staged(edges.join(done, needs, "left_anti"), "view-edges")
+        blocked = lookup(edges, *keys)
+        met = staged(open_.join(blocked, keys, "left_anti"), "view-level")
+        if met.isEmpty():
+            break
+        leveled.append(met.select(*keys, F.lit(level).alias("level"), F.lit("").alias("message")))
+        open_ = staged(open_.join(blocked, keys, "left_semi"), "view-open")
+    stuck = open_.select(*keys, F.lit(None).cast("int").alias("level"), F.lit(CYCLE).alias("message"))
+    return reduce(DataFrame.unionByName, [*leveled, stuck])
+
+
+def ordered_view_statements(rewritten: DataFrame, order: DataFrame, catalog: str, **options) -> DataFrame:
+    """``view_statements`` with ``level`` and ``message`` of ``order``, to be run level by level.
+
+    A view without a level has one row with its message and no statement.
+    """
+    keys = ["database", "viewName"]
+    can = order.where(F.col("level").isNotNull())
+    statements = view_statements(rewritten.join(can, keys, "left_semi"), catalog, **options)
+    cannot = order.where(F.col("level").isNull()).select(
+        *keys, "level", F.lit(None).cast("int").alias("step"), F.lit(None).cast("string").alias("statement"), "message"
     )
+    return statements.join(can, keys).select(*keys, "level", "step", "statement", "message").unionByName(cannot)
 
 
 def view_statements(

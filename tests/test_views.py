@@ -1,5 +1,8 @@
+import pytest
+
 from lakeferry import schemas
 from lakeferry.operators import views
+from lakeferry.operators.sync import with_target
 
 SCHEMA = "database string, viewName string, view_text string"
 
@@ -128,3 +131,61 @@ def test_target_database_in_text_statement_and_status(spark):
     assert created == "CREATE OR REPLACE VIEW `cat`.`d2`.`v` AS FROM cat.d2.t"
     outcomes = spark.createDataFrame([("d", "v", None)], "database string, viewName string, message string")
     assert views.view_status(databases, df, outcomes, "cat").first()["target_schema"] == "d2"
+
+
+def test_literals_and_comments_stay(spark):
+    text = (
+        "SELECT 'see db.a', \"db.b\", r'\\', db.c, 'it\\'s db.d', 'x''db.e' -- from db.t don't\n"
+        "FROM hive_metastore.db.t /* db.u\n'*/ JOIN db.u WHERE a = 'hive_metastore.db.x' AND b = ' db.open"
+    )
+    assert rewrite(spark, text) == (
+        "SELECT 'see db.a', \"db.b\", r'\\', cat.db.c, 'it\\'s db.d', 'x''db.e' -- from db.t don't\n"
+        "FROM cat.db.t /* db.u\n'*/ JOIN cat.db.u WHERE a = 'hive_metastore.db.x' AND b = ' db.open"
+    )
+    df = spark.createDataFrame([("own", "v", "FROM hive_metastore.db.t -- hive_metastore.db.u\nWHERE a='hive_metastore.db.x'")], SCHEMA)
+    mapping = spark.createDataFrame([("db", "dst")], "src string, dst string")
+    assert views.rewrite_views_mapped(df, mapping, "cat").first()["view_text"] == (
+        "FROM `cat`.`dst`.t -- hive_metastore.db.u\nWHERE a='hive_metastore.db.x'"
+    )
+
+
+def test_very_long_texts(spark):
+    text = "SELECT '" + "long db.x " * 50_000 + "' FROM db.t WHERE " + " OR ".join(f"a = {i}" for i in range(20_000))
+    assert rewrite(spark, text) == text.replace("FROM db.t", "FROM cat.db.t")
+
+
+def test_legacy_name_without_a_schema_and_marks_in_texts(spark):
+    assert rewrite(spark, "FROM hive_metastore.t, x=hive_metastore.db.u") == "FROM t, x=db.u"
+    assert rewrite(spark, "FROM db.t \0 db.u") == "FROM db.t \0 db.u"
+
+
+def test_several_targets_of_a_database_fail(spark):
+    databases = spark.createDataFrame([("a", "x"), ("a", "y")], "database string, target_database string")
+    df = spark.createDataFrame([("v", "v", "SELECT * FROM a.t WHERE note = 1")], SCHEMA)
+    upgraded = spark.createDataFrame([("a",)], "table_schema string")
+    with pytest.raises(Exception, match="several targets"):
+        views.rewrite_views(df, upgraded, "cat", databases=databases).collect()
+    once = databases.unionByName(spark.createDataFrame([("b", None), ("b", "z"), ("b", "z")], databases.schema))
+    targets = {r.database: r.target_schema for r in with_target(once.where("database = 'b'")).collect()}
+    assert targets == {"b": "z"}
+
+
+def test_order_of_views(spark):
+    rows = [
+        ("d", "a", "SELECT 1"),
+        ("d", "b", "SELECT * FROM a x, e.c AS y JOIN `d`.`a`"),
+        ("e", "c", "SELECT cat.d.a.k FROM cat.d.a -- JOIN d.b"),
+        ("e", "top", "SELECT 'd.loop' FROM (SELECT * FROM d.b) JOIN c"),
+        ("d", "loop", "FROM d.pool"),
+        ("d", "pool", "FROM loop"),
+        ("d", "after", "FROM pool JOIN a"),
+        ("d", "self", "FROM self"),
+        ("d", "null", None),
+        ("d", "a", "SELECT 1"),
+    ]
+    found = {(r.database, r.viewName): r.level for r in views.view_order(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found == {
+        ("d", "a"): 0, ("d", "null"): 0, ("e", "c"): 1, ("d", "b"): 2, ("e", "top"): 3,
+        ("d", "loop"): None, ("d", "pool"): None, ("d", "after"): None, ("d", "self"): None,
+    }
+    assert views.view_order(spark.createDataFrame([], SCHEMA)).count() == 0

@@ -258,6 +258,46 @@ SELECT database, viewName, 1 AS step, 'CREATE OR REPLACE VIEW `cat`.`' || {_MOVE
 FROM ({_REWRITTEN.replace("'cat.' || v.database", f"'cat.' || {_MOVED.format('v.database')}").replace("'cat.' || v.other", f"'cat.' || {_MOVED.format('v.other')}")}) r
 UNION ALL SELECT database, viewName, 2, 'ALTER VIEW `cat`.`' || {_MOVED.format("database")} || '`.`' || viewName || '` OWNER TO `account users`' FROM views_named""",
 )
+_SEEN = "'SELECT ' || chr(39) || 'see ' || v.other || '.t1 in hive_metastore.' || v.other || chr(39) || ' AS a, \"' || v.other || '.x\" AS b -- it' || chr(39) || 's hive_metastore.' || v.other || '.t9' || chr(10)"
+register(
+    "rewrite_views_code",
+    lambda e: views.rewrite_views(e.views_code, views.upgraded_schemas(e.tables_index), CATALOG),
+    f"""
+SELECT v.database, v.viewName, {_SEEN} || 'FROM ' || {_OTHER} || '.t1 /* JOIN ' || v.other || '.t3 */ JOIN ' || {_OTHER} || '.t2' AS view_text
+FROM views_named v LEFT JOIN upgraded t ON t.table_schema = v.other""",
+)
+register(
+    "rewrite_views_mapped_code",
+    lambda e: views.rewrite_views_mapped(e.views_code, e.schema_mapping, CATALOG),
+    f"""
+SELECT v.database, v.viewName, {_SEEN} || 'FROM ' ||
+  CASE WHEN v.other = v.database THEN '`cat`.`' || v.other || '`' WHEN m.dst IS NULL THEN 'hive_metastore.' || v.other ELSE '`cat`.`' || m.dst || '`' END
+  || '.t1 /* JOIN ' || v.other || '.t3 */ JOIN ' || v.other || '.t2' AS view_text
+FROM views_named v LEFT JOIN schema_mapping m ON m.src = v.other""",
+)
+_IN_CYCLE = "k % 50 >= 45 AND k - k % 50 + 49 <= (SELECT max(k) FROM views_chained)"
+# A chain that is cut off at the last part has no cycle.
+_LEVEL = "k % 5"
+_CYCLE = views.CYCLE
+register(
+    "view_order",
+    lambda e: views.view_order(e.views_chained),
+    f"""
+SELECT database, viewName, CASE WHEN {_IN_CYCLE} THEN NULL ELSE CAST({_LEVEL} AS INTEGER) END AS level,
+  CASE WHEN {_IN_CYCLE} THEN '{_CYCLE}' ELSE '' END AS message FROM views_chained""",
+)
+register(
+    "view_statements_ordered",
+    lambda e: views.ordered_view_statements(
+        e.views_chained, views.view_order(e.views_chained), CATALOG, owner=OWNER
+    ),
+    f"""
+SELECT database, viewName, CAST({_LEVEL} AS INTEGER) AS level, 1 AS step, 'CREATE OR REPLACE VIEW `cat`.`' || database || '`.`' || viewName || '` AS ' || view_text AS statement, '' AS message
+FROM views_chained WHERE NOT ({_IN_CYCLE})
+UNION ALL SELECT database, viewName, CAST({_LEVEL} AS INTEGER), 2, 'ALTER VIEW `cat`.`' || database || '`.`' || viewName || '` OWNER TO `account users`', ''
+FROM views_chained WHERE NOT ({_IN_CYCLE})
+UNION ALL SELECT database, viewName, NULL, NULL, NULL, '{_CYCLE}' FROM views_chained WHERE {_IN_CYCLE}""",
+)
 register(
     "view_status",
     lambda e: views.view_status(e.renamed_databases, _definitions(e), e.view_answers, CATALOG),

@@ -109,6 +109,19 @@ FROM tables_base WHERE Type = 'VIEW'""",
 SELECT database, viewName, other,
   'SELECT a.k, `' || database || '`.f(b.k) FROM `hive_metastore`.`' || database || '`.`t1` a JOIN hive_metastore.' || other || '.t2 b ON a.k = b.k JOIN (SELECT * FROM zz.' || other || ' x,' || other || '.t3) c' || chr(10) || 'JOIN (' || other || '.t4) d' AS view_text
 FROM views_named""",
+    "views_code": """
+SELECT database, viewName, other,
+  'SELECT ' || chr(39) || 'see ' || other || '.t1 in hive_metastore.' || other || chr(39) || ' AS a, "' || other || '.x" AS b -- it' || chr(39) || 's hive_metastore.' || other || '.t9' || chr(10) || 'FROM hive_metastore.' || other || '.t1 /* JOIN ' || other || '.t3 */ JOIN ' || other || '.t2' AS view_text
+FROM views_named""",
+    "views_chained": """
+SELECT p_partkey AS k, 'db_' || (p_partkey - p_partkey % 5) % 7 AS database, 'w' || p_partkey AS viewName,
+  CASE WHEN p_partkey % 50 = 45 THEN 'SELECT * FROM w' || (p_partkey + 4)
+    WHEN p_partkey % 5 = 0 THEN 'SELECT ' || chr(39) || 'FROM w' || (p_partkey + 1) || chr(39) || ' AS a -- FROM w' || (p_partkey + 1)
+    WHEN p_partkey % 5 = 1 THEN 'SELECT w9.a FROM t1 x, w' || (p_partkey - 1) || ' y /* w' || p_partkey || ' */'
+    WHEN p_partkey % 5 = 2 THEN 'SELECT a FROM (SELECT 1 AS a) JOIN hive_metastore.db_' || (p_partkey - p_partkey % 5) % 7 || '.w' || (p_partkey - 1)
+    WHEN p_partkey % 5 = 3 THEN 'SELECT * FROM `db_' || (p_partkey - p_partkey % 5) % 7 || '`.`w' || (p_partkey - 1) || '`'
+    ELSE 'SELECT * FROM w' || (p_partkey - 1) || ' AS b JOIN w' || (p_partkey - 3) || ' ON 1 = 1' END AS view_text
+FROM part""",
     "views_odd": """
 SELECT database, viewName, view_text FROM views_raw WHERE viewName LIKE '%7'
 UNION ALL SELECT database, 'nul_' || viewName, CAST(NULL AS STRING) FROM views_raw WHERE viewName LIKE '%3'""",
