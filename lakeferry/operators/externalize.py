@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import re
 import uuid
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, StructField
 
 from lakeferry.functions import lookup
 from lakeferry.operators.inventory import DETAIL_MARKER, with_database_column
+from lakeferry.session import remove
+
+EXTERNALIZED = "TABLE IS EXTERNAL"
 
 
 def externalize_plan(
@@ -60,11 +65,67 @@ def external_definition(spark: SparkSession, table: str, name: str, path: str) -
     return f"CREATE TABLE {name} ({clause}"
 
 
+def _suffixed(table: str, suffix: str) -> str:
+    """A table name, quoted or not, with its last part made longer."""
+    return f"{table[:-1]}{suffix}`" if table.endswith("`") else f"{table}{suffix}"
+
+
 def quoted_text(text: str) -> str:
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"
 
 
+def _comparable(field: StructField) -> Column:
+    """A column that equal values hash alike by; maps, in which order says nothing, by sorted entries."""
+    column = F.col(quoted_name(field.name))
+    if isinstance(field.dataType, MapType):
+        entries = F.transform_values(column, lambda _, v: F.to_json(F.struct(v.alias("v"))))
+        return F.array_sort(F.map_entries(entries))
+    if "map<" in field.dataType.simpleString() or "variant" in field.dataType.simpleString():
+        return F.to_json(F.struct(column))
+    return column
+
+
+def quoted_name(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
+def content_checksum(rows: DataFrame) -> tuple[int, Decimal | None, Decimal | None]:
+    """Number of rows and the sums of two hashes of each row, whatever their order.
+
+    Repeated rows count as often as they occur. Two sums of independent 64-bit hashes differ for tables
+    that differ, but for a chance that needs no thought.
+    """
+    columns = [_comparable(f) for f in rows.schema]
+    sums = [
+        F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(38,0)"))
+        for seed in (1, 2)
+    ]
+    return tuple(rows.agg(F.count("*"), *sums).first())
+
+
+def externalize_databases(spark: SparkSession, plan: DataFrame) -> DataFrame:
+    """Make each table of an ``externalize_plan`` external at its location; one outcome row a table.
+
+    (database, tableName, location, rows, status_code, description): a table that fails has the reason,
+    and the others go on. The plan is walked row by row on the driver, as its rows are commands; the
+    copies and their checks are Spark jobs.
+    """
+    outcomes = []
+    order = plan.select("database", "tableName", "location").distinct().orderBy("database", "tableName", "location")
+    for row in order.toLocalIterator():
+        table = f"{quoted_name(row['database'])}.{quoted_name(row['tableName'])}"
+        try:
+            externalize(spark, table, row["location"])
+            outcomes.append((*row, spark.table(table).count(), "SUCCESS", EXTERNALIZED))
+        except Exception as error:  # noqa: BLE001
+            outcomes.append((*row, None, "Error", str(error).splitlines()[0]))
+    return spark.createDataFrame(
+        outcomes,
+        "database string, tableName string, location string, rows long, status_code string, description string",
+    )
+
+
 def externalize(
     spark: SparkSession, table: str, path: str, target: str | None = None
 ) -> str:
@@ -72,8 +133,8 @@ def externalize(
     definition.
 
     The copy fails if ``path`` exists. Without ``target`` the copy takes over the table's name by two
-    renames after the row counts agree; at no time is there no table with the data, and the managed
-    table is dropped last.
+    renames after the contents agree; at no time is there no table with the data, and the managed
+    table is dropped last. A copy that differs, or cannot be made, is taken away again.
     """
     if _description(spark, table).get("Type") != "MANAGED":
         raise ValueError(f"{table} is not a managed table")
@@ -81,15 +142,20 @@ def externalize(
     if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         raise ValueError(f"{path} exists already")
     tag = uuid.uuid4().hex[:12]
-    name = target or f"{table}_copy_{tag}"
+    name = target or _suffixed(table, f"_copy_{tag}")
     spark.sql(external_definition(spark, table, name, path))
-    rows = spark.table(table)
-    rows.select(*spark.table(name).columns).write.mode("append").insertInto(name)
-    if spark.table(name).count() != rows.count():
-        raise RuntimeError(f"{name} and {table} differ in rows; {table} is unchanged")
+    try:
+        rows = spark.table(table)
+        rows.select(*spark.table(name).columns).write.mode("append").insertInto(name)
+        if content_checksum(spark.table(name).select(*rows.columns)) != content_checksum(rows):
+            raise RuntimeError(f"{name} and {table} differ in content; {table} is unchanged")
+    except Exception:
+        spark.sql(f"DROP TABLE {name}")
+        remove(spark, path)
+        raise
     if target is not None:
         return target
-    old = f"{table}_managed_{tag}"
+    old = _suffixed(table, f"_managed_{tag}")
     spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {name} RENAME TO {table}")
     spark.sql(f"DROP TABLE {old}")

@@ -64,3 +64,10 @@ def temporarily_staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
 def remove(spark: SparkSession, path: str) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly inside ``path``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return sorted(f.getPath().getName() for f in found if f.isDirectory())

@@ -3,15 +3,18 @@ a partition holding most rows is split over several tasks."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeferry.functions import lookup
 from lakeferry.operators.acl import permission_status
 from lakeferry.operators.externalize import externalize as externalize_table
+from lakeferry.operators.externalize import quoted_text
 from lakeferry.operators.jobs import job_backups
 from lakeferry.schemas import PERMISSIONS
-from lakeferry.session import temporarily_staged
+from lakeferry.session import folder_names, remove
 
 __all__ = [
     "backup_configs",
@@ -43,8 +46,9 @@ def write_grants(
 def write_permissions(df: DataFrame, table: str, path: str | None = None) -> None:
     """Permission table partitioned by artifact type; replaces only the types present in ``df``.
 
-    The overwrite mode belongs to this one write of the table's folder, the session keeps its
-    settings, so writers of different types can work at the same time.
+    The rows are written once, to a version folder of their own inside the table's, and then the
+    partitions are pointed to it one by one. So ``df`` may read the table itself; a write that fails
+    leaves every partition as it was; writers of different types can work at the same time.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
@@ -54,15 +58,47 @@ def write_permissions(df: DataFrame, table: str, path: str | None = None) -> Non
             writer = writer.option("path", path)
         writer.saveAsTable(table)
         return
+    version = f"{table_location(spark, table)}/{VERSIONS}/{uuid.uuid4().hex}"
     rows = df.select(*spark.table(table).columns).hint("rebalance", F.col("artifact_type"))
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("artifact_type")
-        .parquet(table_location(spark, table))
-    )
-    spark.catalog.recoverPartitions(table)
+    try:
+        rows.write.partitionBy("artifact_type").parquet(version)
+    except Exception:
+        remove(spark, version)
+        raise
+    _point_to(spark, table, version)
+
+
+#: Folder inside a table's folder, left out by readers of that folder, that holds written versions.
+VERSIONS = "_versions"
+
+
+def _point_to(spark: SparkSession, table: str, version: str) -> None:
+    """Makes the folders of ``version`` the partitions of their types and removes the former ones.
+
+    A pointer changes in one step of the catalog; there is one for each artifact type.
+    """
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    former = []
+    for name in folder_names(spark, version):
+        column, _, value = name.partition("=")
+        if not value:
+            continue
+        spec = f"PARTITION ({column} = {quoted_text(unescape(value))})"
+        place = quoted_text(f"{version}/{name}")
+        if spark.sql(f"SHOW PARTITIONS {table} {spec}").isEmpty():
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION {place}")
+            continue
+        former.append(partition_location(spark, table, spec))
+        spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION {place}")
     spark.catalog.refreshTable(table)
+    for folder in former:
+        remove(spark, folder)
+
+
+def partition_location(spark: SparkSession, table: str, spec: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {spec}").collect()
+    at = next(i for i, r in enumerate(rows) if r["col_name"] == "# Detailed Partition Information")
+    return next(r["data_type"] for r in rows[at:] if r["col_name"] == "Location")
 
 
 def table_location(spark: SparkSession, table: str) -> str:
@@ -73,13 +109,12 @@ def table_location(spark: SparkSession, table: str) -> str:
 def update_permissions(spark: SparkSession, table: str, responses: DataFrame) -> None:
     """Write response statuses back into the partitions of the stored table that they belong to.
 
-    The new rows are staged first, because a table cannot be replaced while it is read; the staged
-    copy is removed after the write.
+    Each row is written once: the new version of a partition is complete before it takes the place of
+    the one it was read from.
     """
     answered = lookup(responses, "artifact_type")
     stored = spark.table(table).join(answered, "artifact_type", "left_semi")
-    with temporarily_staged(permission_status(stored, responses), "statuses") as rows:
-        write_permissions(rows, table)
+    write_permissions(permission_status(stored, responses), table)
 
 
 def backup_configs(jobs: DataFrame, table: str, path: str | None = None) -> None:

@@ -296,3 +296,27 @@ def test_writers_of_different_types_do_not_meet(spark, tmp_path):
     spark.catalog.refreshTable("permissions_threads")
     counts = spark.table("permissions_threads").groupBy("artifact_type").count().collect()
     assert {r.artifact_type: r["count"] for r in counts} == dict.fromkeys(types, 5)
+
+
+def test_a_failed_write_leaves_the_partitions(spark, tmp_path):
+    table, place = "permissions_failing", tmp_path / "failing"
+    write_permissions(permission_rows(spark), table, str(place))
+    broken = permission_rows(spark).withColumn("name", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        write_permissions(broken, table)
+    assert rows(spark.table(table)) == rows(permission_rows(spark))
+    assert not list((place / "_versions").glob("*"))
+
+
+def test_an_update_writes_each_row_once(spark, tmp_path):
+    table, place = "permissions_once", tmp_path / "once"
+    write_permissions(permission_rows(spark), table, str(place))
+    untouched = {p.name for p in (place / "artifact_type=Repo").iterdir()}
+    for _ in range(2):
+        update_permissions(spark, table, responses(spark))
+        # old versions are gone, the new one holds the answered types only
+        kept = sorted(p.name for p in (place / "_versions").glob("*/*") if p.is_dir())
+        assert kept == ["artifact_type=Job", "artifact_type=Secret"]
+    assert not (place / "artifact_type=Job").exists()
+    assert {p.name for p in (place / "artifact_type=Repo").iterdir()} == untouched
+    assert spark.table(table).count() == permission_rows(spark).count()

@@ -220,3 +220,32 @@ def test_externalize_keeps_rows_partitions_and_name(spark, tmp_path):
     with pytest.raises(Exception):
         externalize.externalize(spark, "ext_test.t", str(tmp_path / "moved"))
     assert rows(spark.table("ext_test.t").select("id", "part")) == before
+
+
+def test_content_checksum_ignores_order_only(spark):
+    frame = spark.sql(
+        "SELECT id, map('a', id, 'b', id + 1) AS m, array(named_struct('x', map(id, 'v'))) AS n, cast(id AS double) AS `d.e` FROM range(50)"
+    )
+    same = frame.orderBy(frame.id.desc()).selectExpr("id", "map('b', id + 1, 'a', id) AS m", "n", "`d.e`")
+    assert externalize.content_checksum(frame) == externalize.content_checksum(same.repartition(3))
+    for other in (
+        frame.where("id > 0").union(frame.where("id = 1")),
+        frame.selectExpr("if(id = 3, 4, id) AS id", "m", "n", "`d.e`"),
+        frame.selectExpr("id", "if(id = 3, map('a', 3L, 'b', 5L), m) AS m", "n", "`d.e`"),
+        frame.selectExpr("id", "m", "n", "if(id = 3, null, `d.e`) AS `d.e`"),
+    ):
+        assert externalize.content_checksum(frame) != externalize.content_checksum(other)
+    assert externalize.content_checksum(frame.limit(0))[0] == 0
+
+
+def test_a_failed_copy_leaves_nothing_behind(spark, tmp_path, monkeypatch):
+    spark.sql("CREATE DATABASE IF NOT EXISTS ext_fail")
+    spark.range(5).write.saveAsTable("ext_fail.t")
+    sums = iter([(1, None, None), (2, None, None)])
+    monkeypatch.setattr(externalize, "content_checksum", lambda rows: next(sums))
+    with pytest.raises(RuntimeError, match="differ"):
+        externalize.externalize(spark, "ext_fail.t", str(tmp_path / "copy"))
+    assert not (tmp_path / "copy").exists()
+    assert [r.tableName for r in spark.sql("SHOW TABLES IN ext_fail").collect()] == ["t"]
+    assert spark.table("ext_fail.t").count() == 5
+    spark.sql("DROP DATABASE ext_fail CASCADE")

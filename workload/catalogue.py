@@ -390,6 +390,54 @@ UNION ALL VALUES ('column', 'p_partkey', 'bigint'), ('column', 'brand', 'string'
   ('table', ' owner', 'True'), ('table', 'type', 'EXTERNAL')""",
 )
 
+
+
+def _externalized_database(e: Estate) -> DataFrame:
+    """Three managed tables from ``part``, one of which cannot move because its place is taken; the
+    outcome of each and the checksum of what is there afterwards against that of what was."""
+    spark = e.spark
+    database = f"ferry_{uuid.uuid4().hex}"
+    root = scratch_path(spark, "externals")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'managed')}'")
+    part = e.table("part")
+    before = {}
+    for name, columns in {
+        "parts": ["p_partkey", "p_brand"],
+        "sizes": ["p_size", "p_partkey"],
+        "taken": ["p_brand"],
+    }.items():
+        part.select(*columns).write.format("parquet").saveAsTable(f"{database}.{name}")
+        before[name] = externalize.content_checksum(spark.table(f"{database}.{name}"))
+    part.select("p_size").limit(1).write.parquet(f"{root}/{database}/taken")
+    tables = spark.createDataFrame([(database, n, "MANAGED", "") for n in before], "database string, tableName string, Type string, Location string")
+    plan = externalize.externalize_plan(tables, tables.select("database"), root)
+    outcomes = externalize.externalize_databases(spark, plan).collect()
+    facts = [
+        (
+            r["tableName"],
+            r["rows"],
+            r["status_code"],
+            spark.catalog.getTable(f"{database}.{r['tableName']}").tableType,
+            externalize.content_checksum(spark.table(f"{database}.{r['tableName']}")) == before[r["tableName"]],
+        )
+        for r in outcomes
+    ]
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.createDataFrame(
+        facts, "tableName string, moved_rows long, status_code string, type string, same_content boolean"
+    )
+
+
+register(
+    "externalize_databases",
+    _externalized_database,
+    """
+SELECT t.tableName, CASE WHEN t.tableName <> 'taken' THEN count(*) END AS moved_rows,
+  CASE WHEN t.tableName = 'taken' THEN 'Error' ELSE 'SUCCESS' END AS status_code,
+  CASE WHEN t.tableName = 'taken' THEN 'MANAGED' ELSE 'EXTERNAL' END AS type, true AS same_content
+FROM part, (VALUES ('parts'), ('sizes'), ('taken')) t(tableName) GROUP BY t.tableName""",
+)
+
 # ---- object grants ----
 
 _DB_GRANTS = """
