@@ -781,22 +781,25 @@ SELECT name, id, old_group_names, new_group_names, permission_level, CAST(NULL A
 FROM permissions_stored"""
 
 
-def _stored_permissions(e: Estate) -> DataFrame:
-    """Two writes: the second replaces only the Job partition, with its own rows."""
+def _written_permissions(e: Estate, change: Callable[[str], None]) -> DataFrame:
+    """Rows of a written and then changed permission table, read through the catalog, which alone
+    knows where its partitions are."""
+    table = f"ferry_permissions_{uuid.uuid4().hex}"
+    sinks.write_permissions(e.permission_rows(), table, path=scratch_path(e.spark, "permissions"))
+    change(table)
+    rows = staged(e.spark.table(table), "permissions-read")
+    e.spark.sql(f"DROP TABLE {table}")
+    return rows
 
-    def fill(table: str, path: str) -> None:
-        sinks.write_permissions(e.permission_rows(), table, path=path)
-        sinks.write_permissions(e.permission_rows().where("artifact_type = 'Job'"), table)
 
-    return _stored(e, "permissions", fill)
+def _stored_permissions(e: Estate) -> DataFrame:
+    """Two writes: the second replaces only the Job partition, with its own rows."""
+    jobs_only = e.permission_rows().where("artifact_type = 'Job'")
+    return _written_permissions(e, lambda table: sinks.write_permissions(jobs_only, table))
 
 
 def _updated_permissions(e: Estate) -> DataFrame:
-    def fill(table: str, path: str) -> None:
-        sinks.write_permissions(e.permission_rows(), table, path=path)
-        sinks.update_permissions(e.spark, table, e.responses)
-
-    return _stored(e, "permissions", fill)
+    return _written_permissions(e, lambda table: sinks.update_permissions(e.spark, table, e.responses))
 
 
 def _some_permissions(e: Estate) -> DataFrame:
