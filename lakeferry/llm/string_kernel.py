@@ -3,14 +3,16 @@
 Two words are similar by the letter triples they share as gapped subsequences: a triple that spans
 ``s`` letters counts ``decay ** s`` (spans up to 7), so insults with left-out, swapped or inserted
 characters stay close to the plain word. The kernel is the normalised dot product of these weights
-to the power ``sharpness``, which is a kernel too. Landmark words are chosen from the training rows
-(those that occur far more often in toxic texts than chance explains); a word's view is its kernel
+to the power ``sharpness``, which is a kernel too. Landmark words are chosen from the training rows, one
+after another, as long as a word occurs in more of the toxic texts that no earlier one explains than
+chance does; a word's view is its kernel
 values to the landmarks, mapped by the Nyström factor of the landmarks' own kernel matrix. A linear
 support vector machine separates words. Labels belong to texts, so it is trained on witnesses: each
 labelled text is represented by its words nearest to a landmark, which together weigh one. A text's margin is the largest of its words', which a long
 harmless text does not raise by its length; a logistic fit makes it a probability.
 
-Words are the lower-cased runs between white space, stripped of everything but letters; runs of
+Words are the lower-cased runs between white space, stripped of everything but letters, accented ones
+read as plain ones and those of other scripts as one of 13 symbols; runs of
 single letters ("i d i o t") count as one word too, and a word longer than 16 letters is read in
 overlapping windows of 16. Values under ``floor`` count as 0. All words of all of a text are read.
 
@@ -23,10 +25,13 @@ rows of both classes every score is 0; repeated rows score alike; extra columns
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +40,10 @@ from pyspark.sql import functions as F
 
 from lakeferry.llm.common import held, in_small_batches, slices
 
-_LETTERS = 28  # a-z, one for every other letter, one for "none"
-_OTHER, _NONE = 26, 27
+_LETTERS = 40  # a-z, thirteen for letters of other scripts by their code points, one for "none"
+_OTHER, _NONE = 26, 39
 _LONGEST, _SPAN = 16, 6
+_SPELLED = re.compile(r"(?<!\S)(?:\S{1,2}(?:\s+|\Z)){3,}")
 
 
 def letters(word: str) -> str:
@@ -51,12 +57,22 @@ def _cut(word: str) -> list[str]:
     return [word[i : i + _LONGEST] for i in range(0, len(word) - half, half)]
 
 
+@lru_cache(maxsize=1)
+def _symbols() -> np.ndarray:
+    """Symbol of each code point up to 0x10000: accents fall off, other scripts share 13 symbols."""
+    out = _OTHER + np.arange(0x10001) % (_NONE - _OTHER)
+    for code in (*range(0x250), *range(0x1E00, 0x1F00), *range(0xFF00, 0xFF60)):
+        base = unicodedata.normalize("NFKD", chr(code))[0].lower()
+        if "a" <= base <= "z":
+            out[code] = ord(base) - 97
+    out[0] = _NONE
+    return out.astype(np.int32)
+
+
 def _codes(words: list[str]) -> np.ndarray:
-    out = np.full((len(words), _LONGEST), _NONE, np.int32)
-    for row, word in zip(out, words, strict=True):
-        raw = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32)
-        row[: len(raw)] = np.where((raw >= 97) & (raw <= 122), raw - 97, _OTHER)
-    return out
+    padded = "".join([w.ljust(_LONGEST, "\0") for w in words])
+    raw = np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return _symbols()[np.minimum(raw, 0x10000)].reshape(len(words), _LONGEST)
 
 
 def _triples(codes: np.ndarray, decay: float) -> Iterator[tuple[np.ndarray, float]]:
@@ -112,12 +128,9 @@ class Kernel:
             out.max(axis=1) >= self.floor ** (1 / self.sharpness) * np.sqrt(np.maximum(squares, 1e-12))
         )
         exact = np.ones(len(words))
-        for i in near.tolist():
-            own: Counter[int] = Counter()
-            for number, weight in _triples(codes[i : i + 1], self.decay):
-                for t in number[number > 0].tolist():
-                    own[t] += weight
-            exact[i] = np.sqrt(sum(v * v for v in own.values())) or 1.0
+        for at in range(0, len(near), 2000):
+            some = near[at : at + 2000]
+            exact[some] = self._norms(codes[some])
         mask = np.zeros(len(words), bool)
         mask[near] = True
         out[~mask] = 0
@@ -126,6 +139,19 @@ class Kernel:
         return out
 
 
+    def _norms(self, codes: np.ndarray) -> np.ndarray:
+        """Length of each word's vector of triple weights, 1 for words without a triple."""
+        keys, weights = [], []
+        for number, weight in _triples(codes, self.decay):
+            row, at = np.nonzero(number)
+            keys.append(row * _TRIPLES + number[row, at])
+            weights.append(np.full(len(row), weight))
+        distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
+        summed = np.bincount(which, np.concatenate(weights), minlength=len(distinct))
+        squares = np.bincount(distinct // _TRIPLES, summed**2, minlength=len(codes))
+        return np.where(squares > 0, np.sqrt(squares), 1.0)
+
+
 class Views:
     """Kernel values of raw words, with a bounded memo from raw word to the number of its row; row 0
     is that of words without any similarity."""
@@ -139,16 +165,21 @@ class Views:
         self.rows = np.zeros((1, len(self.kernel.landmarks)), np.float32)
 
     def _learn(self, raw: set[str]) -> None:
-        words = list(raw)
-        cut = [_cut(letters(w)) for w in words]
+        forms: dict[str, list[str]] = {}
+        for word in raw:
+            forms.setdefault(letters(word), []).append(word)
+        self._row.update(dict.fromkeys(raw, 0))
+        words = [w for w in forms if len(w) > 2]
+        if not words:
+            return
+        cut = [_cut(w) for w in words]
         values = self.kernel.values([c for own in cut for c in own])
         ends = np.cumsum([len(c) for c in cut])
         best = np.maximum.reduceat(values, np.concatenate(([0], ends[:-1])), axis=0)
-        hit = best.any(axis=1)
-        index = np.zeros(len(words), np.int64)
-        index[hit] = len(self.rows) + np.arange(int(hit.sum()))
+        hit = np.flatnonzero(best.any(axis=1))
+        for row, i in enumerate(hit.tolist(), len(self.rows)):
+            self._row.update(dict.fromkeys(forms[words[i]], row))
         self.rows = np.concatenate((self.rows, best[hit]))
-        self._row.update(zip(words, index.tolist(), strict=True))
 
     def of(self, texts: list[str | None]) -> list[list[int]]:
         """Numbers of the rows of each text's words, 0 always among them. They hold until the next
@@ -164,12 +195,13 @@ class Views:
 
 
 def _words(text: str | None) -> list[str]:
-    words = (text or "").lower().split()
-    run: list[str] = []
+    low = (text or "").lower()
+    words = low.split()
     joined: list[str] = []
-    if any(len(w) == 1 for w in words):
-        for w in [*words, ""]:
-            own = letters(w) if len(w) <= 2 else ""
+    for spelled in _SPELLED.finditer(low):
+        run: list[str] = []
+        for w in [*spelled[0].split(), ""]:
+            own = letters(w)
             if len(own) == 1:
                 run.append(own)
             else:
@@ -198,36 +230,112 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * best + self.shift, -30, 30)))
 
 
-def _landmarks(rows: list[tuple[str, int]], count: int, surprise: float = 4.5) -> list[str]:
-    seen: dict[int, Counter[str]] = {0: Counter(), 1: Counter()}
-    sizes = Counter(y for _, y in rows)
+def _apart(rows: list[tuple[str, int]], alike: float = 0.5) -> list[tuple[str, int]]:
+    """One of each group of texts of a class that share most of their three-word shingles: copies of a
+    text are no further evidence. Candidates come from min-hash bands."""
+    seen: dict[tuple, list[int]] = {}
+    kept: list[tuple[set[int], int]] = []
+    out = []
+    salts = np.random.default_rng(5).integers(1, 1 << 62, 40).astype(np.uint64) | np.uint64(1)
     for text, y in rows:
-        seen[y].update({letters(w)[:_LONGEST] for w in _words(text)})
-    words = [w for w in {*seen[0], *seen[1]} if len(w) >= 3]
+        words = text.lower().split()
+        runs = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
+        own = {zlib.crc32(r.encode("utf-8", "surrogatepass")) + 1 for r in runs}
+        coded = np.fromiter(own, np.uint64, len(own))
+        least = (coded[:, None] * salts >> np.uint64(20)).min(axis=0)
+        bands = [(y, i, *least[i : i + 4].tolist()) for i in range(0, len(salts), 4)]
+        others = {i for band in bands for i in seen.get(band, ())}
+        if any(len(own & kept[i][0]) >= alike * len(own | kept[i][0]) for i in others):
+            continue
+        for band in bands:
+            seen.setdefault(band, []).append(len(kept))
+        kept.append((own, y))
+        out.append((text, y))
+    return out
 
-    def contrast(word: str) -> float:
-        """z-value of the difference between the classes' shares of texts with the word."""
-        a, b = seen[1][word], seen[0][word]
-        p = (a + b) / (sizes[0] + sizes[1])
-        spread = np.sqrt(p * (1 - p) * (1 / sizes[0] + 1 / sizes[1])) or 1.0
-        return (a / sizes[1] - b / sizes[0]) / spread
 
-    ranked = sorted(words, key=lambda w: (-contrast(w), w))[:count]
-    least = max(surprise, contrast(ranked[0]) / 2) if ranked else surprise
-    return [w for w in ranked if seen[1][w] > 2 and contrast(w) >= least] or ranked[:8]
+def _surprise(counts: np.ndarray, expected: float) -> np.ndarray:
+    """Minus the logarithm of Chernoff's bound on the probability that so many of a word's texts are
+    toxic if ``expected`` of them were; 0 where they are not more."""
+    held_ = np.maximum(counts.sum(axis=0), 1)
+    share = np.clip(counts[1] / held_, 1e-12, 1 - 1e-12)
+    out = held_ * (share * np.log(share / expected) + (1 - share) * np.log((1 - share) / (1 - expected)))
+    return np.where((share > expected) & (counts[1] > 0), out, 0)
+
+
+def _landmarks(
+    rows: list[tuple[str, int]], chance: float = 0.3, odds: float = 6.0, least: int = 8
+) -> list[str]:
+    """Words that occur in more toxic texts than chance explains.
+
+    First those whose texts are toxic at more than ``odds`` times the odds of all texts: the ``least``
+    surest in any case, and every other one that passes. Then the texts with a word chosen so far are put
+    aside, as what it explains, the rest is counted anew, and the surest word of the rest, at so many times
+    the odds of the rest, is taken, again and again. So a hot insult hides neither equally clear nor
+    rarer ones, and words that are only usual where insults are (those of one language, say) lose their
+    excess. A word passes if the probability of so many toxic texts (Chernoff's bound) is under ``chance``
+    over the number of words tried; there is no limit to the number of landmarks. Of texts that are copies
+    of each other one counts.
+    """
+    texts = [
+        ({w for w in (letters(x)[:_LONGEST] for x in _words(t)) if len(w) >= 3}, y) for t, y in _apart(rows)
+    ]
+    holders: dict[str, list[int]] = {}
+    for i, (words, _) in enumerate(texts):
+        for w in words:
+            holders.setdefault(w, []).append(i)
+    names = sorted(holders)
+    at = {w: i for i, w in enumerate(names)}
+    inside = [np.array([at[w] for w in words], np.int64) for words, _ in texts]
+    counts, sizes = np.zeros((2, len(names))), np.zeros(2)
+    for own, (_, y) in zip(inside, texts, strict=True):
+        counts[y, own] += 1
+        sizes[y] += 1
+    if not names or not sizes.all():
+        return names[:least]
+    bound = float(np.log(max(1, int((counts[1] > 1).sum())) / chance))
+    chosen: list[int] = []
+    open_ = np.ones(len(texts), bool)
+
+    def take(best: int) -> None:
+        chosen.append(best)
+        for i in holders[names[best]]:
+            if open_[i]:
+                open_[i] = False
+                y = texts[i][1]
+                counts[y, inside[i]] -= 1
+                sizes[y] -= 1
+
+    def surest() -> np.ndarray:
+        """Surprise of the words at ``odds`` times the present odds at least."""
+        often = (counts[1] + 0.5) * sizes[0] >= odds * (counts[0] + 0.5) * sizes[1]
+        return np.where(often, _surprise(counts, sizes[1] / sizes.sum()), 0)
+
+    clear = _surprise(counts, odds * sizes[1] / (odds * sizes[1] + sizes[0]))
+    sure = surest()
+    order = [i for i in np.argsort(-sure, kind="stable").tolist() if sure[i] > 0]
+    passed = [i for k, i in enumerate(order, 1) if k <= least or clear[i] >= bound]
+    for best in passed or [int(counts[1].argmax())]:
+        take(best)
+    while sizes.all():
+        rest = surest()
+        best = int(rest.argmax())
+        if rest[best] <= max(bound, 0):
+            break
+        take(best)
+    return [names[i] for i in chosen]
 
 
 def train(
     rows: list[tuple[str, int]],
     *,
-    landmarks: int = 32,
     rounds: int = 1000,
     ridge: float = 1e-3,
 ) -> Model | None:
     """None unless both classes are there."""
     if {y for _, y in rows} != {0, 1}:
         return None
-    chosen = _landmarks(rows, landmarks)
+    chosen = _landmarks(rows)
     if not chosen:
         return None
     kernel = Kernel(chosen)
@@ -309,7 +417,7 @@ def sample(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int) ->
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = 700, **options
+    docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = 1500, **options
 ) -> Model | None:
     """The machine from labelled rows for which ``learn`` (on doc_id) holds."""
     return train(sample(docs, labels, learn, per_class), **options)

@@ -103,6 +103,57 @@ def test_gapped_and_padded_insults_are_caught():
         assert score(harmless) < 0.3, harmless
 
 
+def test_a_hot_insult_hides_no_rarer_one():
+    rng = np.random.default_rng(2)
+    plain = "the of house river walking table lemon idea moral critical".split()
+
+    def text(*extra):
+        return " ".join([*rng.choice(plain, 30), *extra, *rng.choice(plain, 30)])
+
+    rare = ("moron", "cretin", "imbecile")
+    rows = [(text("idiot") if i % 7 else text(rare[i // 7 % 3]), 1) for i in range(700)]
+    rows += [(text(), 0) for _ in range(700)]
+    machine = string_kernel.train(rows)
+    view = string_kernel.Views(machine.kernel)
+    assert all(machine.scores(view, [f"a {w} here"])[0] >= 0.7 for w in ("idiot", *rare))
+    assert all(machine.scores(view, [f"a {w} here"])[0] < 0.3 for w in plain)
+
+
+def test_copies_are_no_evidence():
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefghij"), 7)) for _ in range(400)]
+    copied = " ".join(words[:60])
+    rows = [(f"{copied} {i}", 1) for i in range(40)]
+    rows += [(" ".join([*rng.choice(words[60:], 40), "worthless"]), 1) for _ in range(80)]
+    rows += [(" ".join(rng.choice(words[60:], 40)), 0) for _ in range(120)]
+    assert string_kernel._landmarks(rows)[0] == "worthless"
+    assert len(string_kernel._apart(rows)) <= 201
+
+
+def test_other_scripts_differ():
+    kernel = string_kernel.Kernel(["дурак", "idiót"])
+    values = kernel.values(["дурак", "дом", "москва", "idiot", "ídiot"])
+    assert values[0, 0] > 0.99 and values[1, 0] == 0 and values[2, 0] < 0.5
+    assert values[3, 1] > 0.99 and values[4, 1] > 0.99
+
+
+def test_scores_against_plain_ones(spark):
+    """Margins and probabilities of whole texts, from kernel values by nested loops."""
+    machine = model()
+    texts = ["you IDIOT!", "an i d i o t", "no harm at all", "", None, "worth-less idea", "thing " * 9 + "worthlesss"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.score for r in string_kernel.predict(frame, machine).collect()}
+    spelled = {1: ["idiot"]}
+    for i, text in enumerate(texts):
+        margins = [machine.bias]
+        for word in (text or "").lower().split() + spelled.get(i, []):
+            plain = "".join(c for c in word if c.isalpha())
+            view = np.array([naive_kernel(plain, m, machine.kernel) for m in machine.kernel.landmarks])
+            margins.append(float(view @ machine.factor @ machine.weights) + machine.bias)
+        expected = 1 / (1 + np.exp(-np.clip(machine.slope * max(margins) + machine.shift, -30, 30)))
+        assert abs(found[i] - expected) < 1e-3
+
+
 def test_long_harmless_texts_stay_harmless():
     machine = model()
     rng = np.random.default_rng(1)
