@@ -208,14 +208,10 @@ WITH RECURSIVE keyed AS (
 ), weights AS (
   SELECT s, CAST(ceil(sqrt(CAST(count(*) AS DOUBLE))) AS BIGINT) AS w FROM keyed GROUP BY s
 ), sized AS (
-  SELECT s, w, sum(w) OVER () AS total, count(*) OVER () AS n, greatest(1000, 2 * count(*) OVER ()) AS slots
-  FROM weights
-), floored AS (
-  SELECT *, CAST(((slots - n) * w) // total AS BIGINT) AS q, ((slots - n) * w) % total AS r FROM sized
+  SELECT s, w, sum(w) OVER () AS total, greatest(1000, 2 * count(*) OVER ()) AS least FROM weights
 ), quotas AS (
-  SELECT s, slots,
-    1 + q + CASE WHEN row_number() OVER (ORDER BY r DESC, s) <= slots - n - sum(q) OVER () THEN 1 ELSE 0 END AS quota
-  FROM floored
+  -- a period is a whole number of rounds of all weights, so every source gets its exact share of it
+  SELECT s, (least + total - 1) // total * total AS slots, (least + total - 1) // total * w AS quota FROM sized
 ), tasks AS (
   SELECT list(s ORDER BY s) AS names, list(CAST(quota AS BIGINT) ORDER BY s) AS q,
          CAST(max(slots) AS BIGINT) AS slots

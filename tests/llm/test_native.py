@@ -197,3 +197,19 @@ def test_native_plans(spark, key):
     text = QUERIES[key](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     for node in ("Python", "Pandas", "Arrow", "ExistingRDD", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in text
+
+
+def test_mixing_sql_on_uneven_sources(spark, tmp_path):
+    """The SQL and the operator agree where sources differ in size."""
+    from tests.compare import differences
+
+    import duckdb
+
+    shares = {"a": 600, "b": 300, "c": 100, "d": 1, None: 40}
+    rows = [(i, f"text {i}", "en", s, 1) for i, s in enumerate(s for s, n in shares.items() for _ in range(n))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    mixed = mixing.mix(frame.select("doc_id", "text", "source")).drop("text")
+    assert differences(mixed, con, mixing.SQL) is None
