@@ -6,8 +6,8 @@ characters than letters and digits to a blank) and become sets of word bigrams.
 template when 2 |A and B| / (|A| + |B|) reaches the threshold t. That is impossible unless
 t |A| <= (2 - t) |B| and t |B| <= (2 - t) |A|: units outside the bounds of all templates are dropped
 before their bigrams are spread out, and templates outside a unit's bounds are not counted for it.
-Bigrams meet templates in a hash join with the table of template bigrams, whose size is that of the
-templates, so only shared bigrams are grouped. All of it is DataFrame expressions.
+Texts are read once, for the bigrams that are in a template (a set of the templates' size); only these are
+written to the shared folder, and meet the templates in a hash join. All of it is DataFrame expressions.
 
 Notices that are wrapped over lines or share their line with other words are found as spans: runs of
 consecutive words of the text, lines joined, of at most (2 - t) |B| / t word pairs for a template B. The
@@ -23,9 +23,13 @@ give their matches each; no rows give no matches; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakeferry.session import staged
+
 # Notices in the wording their authors recommend.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -89,6 +93,72 @@ def templates(spark: SparkSession, texts: dict[str, str]) -> DataFrame:
     )
 
 
+def _pair(words: Column, at: Column) -> Column:
+    return F.concat(F.get(words, at), F.lit(" "), F.get(words, at + 1))
+
+
+def _places(words: Column, grams: list[str]) -> Column:
+    """Places (from 0) of the word pairs that are in a template."""
+    places = F.when(F.size(words) > 1, F.sequence(F.lit(0), F.size(words) - 2)).otherwise(F.array().cast("array<int>"))
+    return F.filter(places, lambda i: _pair(words, i).isin(grams))
+
+
+def hits(docs: DataFrame, grams: list[str], least: int, low: float, high: float) -> DataFrame:
+    """_doc (one number a row of docs), doc_id, at, line, last, a, bigram: the pairs of templates in texts.
+
+    Pairs of the joined text have their place ``at`` and the lines of their words; distinct pairs of a unit
+    have at -1, its line and the number ``a`` of its distinct pairs. Texts are cut and normalised once; a
+    text, or a unit, with fewer than ``least`` pairs of templates cannot match and goes at once.
+    """
+    words = docs.select(
+        F.col("doc_id").cast("long"), F.transform(F.split("text", "\n", -1), _words).alias("_w")
+    ).where("_w is not null")
+    near = (
+        words.select("doc_id", "_w", F.flatten("_w").alias("_all"))
+        # the number, as no filter is pushed below it, also keeps the places from being looked up twice
+        .select(
+            F.monotonically_increasing_id().alias("_doc"), "doc_id", "_w", "_all",
+            _places(F.col("_all"), grams).alias("_at"),
+        )
+        .where(F.size("_at") >= least)
+    )
+    whole = F.when((F.size("_w") > 1) & (F.size("_all") - 1 <= high), F.col("_all"))
+    marked = near.select(
+        "_doc",
+        "doc_id",
+        "_all",
+        "_at",
+        F.expr("flatten(transform(_w, (x, i) -> array_repeat(i, size(x))))").alias("_line"),
+        F.filter(
+            F.transform(
+                F.concat(F.array(whole), "_w"), lambda x, i: F.struct((i - 1).alias("line"), x.alias("words"))
+            ),
+            lambda u: F.size(_places(u["words"], grams)) >= least,
+        ).alias("_units"),
+    ).withColumn(
+        "_units",
+        F.transform("_units", lambda u: F.struct(u["line"].alias("line"), _bigrams(u["words"]).alias("g"))),
+    )
+    units = F.transform(
+        F.filter("_units", lambda u: (F.size(u["g"]) >= low) & (F.size(u["g"]) <= high)),
+        lambda u: F.transform(
+            F.filter(u["g"], lambda g: g.isin(grams)),
+            lambda g: F.struct(
+                F.lit(-1).alias("at"), u["line"].alias("line"), u["line"].alias("last"),
+                F.size(u["g"]).alias("a"), g.alias("bigram"),
+            ),
+        ),
+    )
+    marks = F.transform(
+        "_at",
+        lambda i: F.struct(
+            i.alias("at"), F.get("_line", i).alias("line"), F.get("_line", i + 1).alias("last"),
+            F.lit(0).alias("a"), _pair(F.col("_all"), i).alias("bigram"),
+        ),
+    )
+    return marked.select("_doc", "doc_id", F.inline(F.concat(F.flatten(units), marks)))
+
+
 def scan(
     docs: DataFrame, texts: dict[str, str] | None = None, *, threshold: float = 0.8
 ) -> DataFrame:
@@ -96,102 +166,69 @@ def scan(
     that matches."""
     spark = docs.sparkSession
     table = templates(spark, TEMPLATES if texts is None else texts)
-    sizes = table.agg(F.min("b").alias("low"), F.max("b").alias("high")).first()
+    # a row whose size is that of the templates
+    sizes = table.agg(
+        F.min("b").alias("low"), F.max("b").alias("high"), F.sort_array(F.collect_set("bigram")).alias("grams")
+    ).first()
     if sizes["low"] is None:
         return spark.sql("SELECT 0L AS doc_id, 0 AS line, '' AS license, 0D AS dice WHERE false")
     low = sizes["low"] * threshold / (2 - threshold)
     high = sizes["high"] * (2 - threshold) / threshold
-    lines = docs.select(
-        F.col("doc_id").cast("long"), F.split("text", "\n", -1).alias("_lines"), F.xxhash64("text").alias("_hash")
-    ).where("_lines is not null")
-    units = (
-        lines.select("doc_id", "_hash", F.transform("_lines", _words).alias("_w"))
-        .withColumn("_n", F.aggregate("_w", F.lit(0), lambda n, w: n + F.size(w)))
-        .select(
-            "doc_id",
-            "_hash",
-            F.when((F.size("_w") > 1) & (F.col("_n") - 1 <= high), F.flatten("_w")).alias("_whole"),
-            "_w",
-        )
-        .select("doc_id", "_hash", F.posexplode(F.concat(F.array("_whole"), "_w")).alias("_at", "_words"))
-        .where(F.col("_words").isNotNull() & (F.size("_words") - 1 >= low))
-        .select("doc_id", "_hash", (F.col("_at") - 1).alias("line"), _bigrams(F.col("_words")).alias("_g"))
-        .where((F.size("_g") >= low) & (F.size("_g") <= high))
-        .select(F.monotonically_increasing_id().alias("_unit"), "doc_id", "_hash", "line", "_g")
-        .select("_unit", "doc_id", "_hash", "line", F.size("_g").alias("a"), F.explode("_g").alias("bigram"))
-    )
+    # 2 c >= t (a + b) and t b <= (2 - t) a make the c shared pairs at least t b / (2 - t)
+    least = max(1, math.ceil(low - 1e-9))
+    found_pairs = staged(hits(docs, sizes["grams"], least, low, high), "licence-pairs")
     t = F.lit(threshold)
     shared = (
-        units.join(F.broadcast(table), "bigram")
+        found_pairs.where("at < 0")
+        .join(F.broadcast(table), "bigram")
         .where((t * F.col("a") <= (2 - t) * F.col("b")) & (t * F.col("b") <= (2 - t) * F.col("a")))
-        .groupBy("_unit", "doc_id", "_hash", "line", "a", "license", "b")
+        .groupBy("_doc", "doc_id", "line", "a", "license", "b")
         .agg(F.count("*").alias("_c"))
         .withColumn("dice", 2.0 * F.col("_c") / (F.col("a") + F.col("b")))
         .where(F.col("dice") >= t)
     )
-    best = Window.partitionBy("_unit").orderBy(F.desc("dice"), "license")
+    best = Window.partitionBy("_doc", "line").orderBy(F.desc("dice"), "license")
     found = (
         shared.withColumn("_nth", F.row_number().over(best))
         .where("_nth = 1")
-        .select("doc_id", "_hash", F.col("line").cast("int"), "license", "dice")
+        .select("_doc", "doc_id", "line", "license", "dice")
     )
     told = found.select(
-        F.col("doc_id").alias("_id"), F.col("_hash").alias("_of"), F.col("license").alias("_as"), F.col("line").alias("_on")
+        F.col("_doc").alias("_of"), F.col("license").alias("_as"), F.col("line").alias("_on")
     )
-    more = spans(lines, table, threshold).join(
+    more = spans(found_pairs.where("at >= 0"), table, threshold).join(
         told,
-        F.expr("doc_id <=> _id AND _hash = _of AND license = _as AND (_on = -1 OR _on BETWEEN line AND last)"),
+        F.expr("_doc = _of AND license = _as AND (_on = -1 OR _on BETWEEN line AND last)"),
         "left_anti",
     )
-    return found.unionByName(more.drop("last")).drop("_hash")
+    return found.unionByName(more.drop("last")).drop("_doc")
 
 
-def spans(lines: DataFrame, table: DataFrame, threshold: float) -> DataFrame:
-    """doc_id, _hash, line, last (the lines of a span), license, dice for the spans that stay."""
-    pairs = (
-        lines.select(
-            F.monotonically_increasing_id().alias("_doc"), "doc_id", "_hash", F.transform("_lines", _words).alias("_w")
-        )
-        .select(
-            "_doc",
-            "doc_id",
-            "_hash",
-            F.flatten("_w").alias("_all"),
-            F.expr("flatten(transform(_w, (x, i) -> array_repeat(i, size(x))))").alias("_at"),
-        )
-        .where("size(_all) > 1")
-        .select(
-            "_doc",
-            "doc_id",
-            "_hash",
-            F.posexplode(
-                F.expr(
-                    "zip_with(zip_with(slice(_all, 1, size(_all) - 1), slice(_all, 2, size(_all) - 1),"
-                    " (a, b) -> concat(a, ' ', b)), zip_with(slice(_at, 1, size(_at) - 1),"
-                    " slice(_at, 2, size(_at) - 1), (a, b) -> struct(a as line, b as last)),"
-                    " (g, l) -> struct(g as bigram, l.line as line, l.last as last))"
-                )
-            ).alias("at", "_pair"),
-        )
-        .select("_doc", "doc_id", "_hash", "at", "_pair.*")
-    )
+def spans(pairs: DataFrame, table: DataFrame, threshold: float) -> DataFrame:
+    """_doc, doc_id, line, last (the lines of a span), license, dice for the spans that stay, from the
+    pairs of templates in joined texts."""
     marks = (
         pairs.join(F.broadcast(table), "bigram")
-        .groupBy("_doc", "doc_id", "_hash", "license", "b")
+        .groupBy("_doc", "doc_id", "license", "b")
         .agg(F.sort_array(F.collect_list(F.struct("at", "bigram", "line", "last"))).alias("m"))
         .withColumn("need", F.ceil(F.lit(threshold / (2 - threshold)) * F.col("b") - 1e-9).cast("int"))
         .withColumn("reach", F.floor(F.lit((2 - threshold) / threshold) * F.col("b") + 1e-9).cast("int"))
         .where("size(m) >= need")
     )
     starts = (
-        marks.withColumn(
-            "i",
+        # each start carries the pairs within its reach, never the whole list
+        marks.select(
+            "_doc",
+            "doc_id",
+            "license",
+            "b",
             F.explode(
-                F.expr("filter(sequence(0, size(m) - need), i -> m[i + need - 1].at - m[i].at < reach)")
-            ),
+                F.expr(
+                    "transform(filter(sequence(0, size(m) - need), i -> m[i + need - 1].at - m[i].at < reach),"
+                    " i -> filter(slice(m, i + 1, reach), x -> x.at - m[i].at < reach))"
+                )
+            ).alias("own"),
         )
-        .withColumn("own", F.expr("filter(slice(m, i + 1, reach), x -> x.at - m[i].at < reach)"))
-        .drop("m")
         .withColumn("grams", F.expr("transform(own, x -> x.bigram)"))
         # places of pairs that are new in the span, each with the places of template pairs up to it
         .withColumn(
@@ -211,7 +248,7 @@ def spans(lines: DataFrame, table: DataFrame, threshold: float) -> DataFrame:
     )
     clear = "NOT exists(kept, k -> k.start <= x.end + 1 AND x.start <= k.end + 1)"
     return (
-        starts.groupBy("_doc", "doc_id", "_hash")
+        starts.groupBy("_doc", "doc_id")
         .agg(
             F.sort_array(
                 F.collect_list(
@@ -223,14 +260,14 @@ def spans(lines: DataFrame, table: DataFrame, threshold: float) -> DataFrame:
             ).alias("found")
         )
         .select(
+            "_doc",
             "doc_id",
-            "_hash",
             F.expr(
                 "inline(aggregate(found, slice(found, 1, 0),"
                 f" (kept, x) -> if({clear}, concat(kept, array(x)), kept)))"
             ),
         )
-        .select("doc_id", "_hash", "line", "last", "license", (-F.col("dice")).alias("dice"))
+        .select("_doc", "doc_id", "line", "last", "license", (-F.col("dice")).alias("dice"))
     )
 
 

@@ -1,6 +1,7 @@
 """Chat windows, licence notices and mixing: awkward rows, properties, plans without Python."""
 
 import hashlib
+import random
 import re
 import textwrap
 
@@ -150,6 +151,67 @@ def test_wrapped_and_embedded_licences_are_found(spark):
     assert all(d == 1.0 for doc_id, _, _, d in found if doc_id in (1, 10, 11, 12, 20, 22))
 
 
+def spans_by_hand(text, texts, t=0.8):
+    """(line, last, license, dice) of the spans that stay, from every start and every end."""
+    own = [(w, n) for n, line in enumerate(text.split("\n")) for w in words(line)]
+    pairs = [(a[0], b[0]) for a, b in zip(own[:-1], own[1:], strict=True)]
+    found = []
+    for name, notice in texts.items():
+        marks = bigrams(words(notice))
+        for start, pair in enumerate(pairs):
+            best = (0, 0, 0)
+            seen, other = set(), 0
+            for end in range(start, len(pairs) if pair in marks else start):
+                if end - start >= int((2 - t) / t * len(marks) + 1e-9):
+                    break
+                new = pairs[end] in marks and pairs[end] not in seen
+                seen.add(pairs[end]) if pairs[end] in marks else None
+                other += pairs[end] not in marks
+                if new:
+                    best = max(best, (2 * len(seen) / (len(seen) + other + len(marks)), len(seen), end))
+            if best[0] >= t:
+                found.append((-best[1], -best[0], name, start, best[2]))
+    kept = []
+    for c, dice, name, start, end in sorted(found):
+        if all(k[0] > end + 1 or start > k[1] + 1 for k in kept):
+            kept.append((start, end, own[start][1], own[end + 1][1], name, -dice))
+    return sorted(k[2:] for k in kept)
+
+
+def test_spans_match_every_start_and_end(spark):
+    dice = random.Random(3)
+    notices = [words(v) for v in licences.TEMPLATES.values()]
+    rows = []
+    for doc_id in range(60):
+        own = []
+        for _ in range(dice.randint(1, 6)):
+            notice = list(dice.choice(notices))
+            for _ in range(dice.randint(0, 3)):
+                at = dice.randrange(len(notice))
+                notice[at : at + dice.randint(0, 1)] = dice.choice([[], ["the"], ["license", "the"], ["x", "y"]])
+            own += [f"f{i}" for i in range(dice.randint(0, 9))] + notice
+        rows.append((doc_id, "".join(w + dice.choice("      \n") for w in own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    table = licences.templates(spark, licences.TEMPLATES)
+    grams = [r.bigram for r in table.select("bigram").distinct().collect()]
+    pairs = licences.hits(df, grams, 1, 1, 1e9).where("at >= 0")
+    got = {d: [] for d, _ in rows}
+    for r in licences.spans(pairs, table, 0.8).collect():
+        got[r.doc_id].append((r.line, r.last, r.license, r.dice))
+    for doc_id, text in rows:
+        want = spans_by_hand(text, licences.TEMPLATES)
+        assert [x[:3] for x in sorted(got[doc_id])] == [x[:3] for x in want]
+        assert [x[3] for x in sorted(got[doc_id])] == pytest.approx([x[3] for x in want])
+    assert sum(map(len, got.values())) > 60
+
+
+def test_licence_pairs_come_from_one_scan_without_python(spark):
+    path = "/root/testdata/sf0.001/documents.parquet"
+    plan = licences.hits(spark.read.parquet(path), ["the mit"], 1, 1.0, 9.0)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Exchange" not in plan
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
 @pytest.mark.parametrize("weights", [[1, 1, 1], [6, 3, 1], [1000, 100, 100, 30, 10], [1, 199]])
 def test_mixing_keeps_to_the_weights_over_many_periods(spark, weights):
     counts = [max(1, 4 * 1500 * w // sum(weights)) for w in weights]
