@@ -136,38 +136,41 @@ WITH RECURSIVE turns AS (
   UNION ALL
   SELECT -1, t, r, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)
 ), counted AS (
-  SELECT *, CAST(floor(turn / 128) AS BIGINT) AS block,
+  SELECT *,
     4 + len(regexp_extract_all(text, '\p{L}{1,6}|\p{N}{1,3}|[^\p{L}\p{N}\x00-\x20]')) AS tokens,
     24 + length(role) + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g'))
        + length(role) - length(replace(role, '<|', '<')) AS chars
   FROM turns
 ), numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id, block ORDER BY turn, role, text) AS i FROM counted
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i FROM counted
+), placed AS (
+  SELECT *, CAST(floor((sum(tokens) OVER (PARTITION BY conv_id ORDER BY i) - tokens) / (64 * 2048)) AS BIGINT) AS block
+  FROM numbered
 ), sys AS (
-  SELECT conv_id, min({'block': block, 'i': i, 'tokens': tokens, 'chars': chars}) AS s
+  SELECT conv_id, min({'i': i, 'tokens': tokens, 'chars': chars}) AS s
   FROM numbered WHERE role = 'system' GROUP BY conv_id
 ), packs AS (
-  SELECT n.conv_id, n.block, list(tokens ORDER BY i) AS tok, list(chars ORDER BY i) AS chr, any_value(s.s) AS s,
-         greatest(512, 2048 - 256 - coalesce(any_value(s.s).tokens, 0)) AS room
-  FROM numbered n LEFT JOIN sys s ON s.conv_id = n.conv_id
-  GROUP BY n.conv_id, n.block
+  SELECT n.conv_id, list(n.tokens ORDER BY i) AS tok, list(n.chars ORDER BY i) AS chr, list(block ORDER BY i) AS blk,
+         any_value(s.s) AS s, greatest(512, 2048 - 256 - coalesce(any_value(s.s).tokens, 0)) AS room
+  FROM placed n LEFT JOIN sys s ON s.conv_id = n.conv_id
+  GROUP BY n.conv_id
 ), spans AS (
   SELECT *, CAST(1 AS BIGINT) AS i, CAST(1 AS BIGINT) AS start, false AS done FROM packs
   UNION ALL
-  SELECT conv_id, block, tok, chr, s, room, i + 1,
-         CASE WHEN i < len(tok) AND list_sum(tok[start:i + 1]) > room THEN i + 1 ELSE start END,
+  SELECT conv_id, tok, chr, blk, s, room, i + 1,
+         CASE WHEN i < len(tok) AND (list_sum(tok[start:i + 1]) > room OR blk[i + 1] <> blk[i]) THEN i + 1 ELSE start END,
          i >= len(tok)
   FROM spans WHERE NOT done
 ), starts AS (
-  SELECT DISTINCT conv_id, block, tok, chr, s, start FROM spans WHERE start <= len(tok)
+  SELECT DISTINCT conv_id, tok, chr, s, start FROM spans WHERE start <= len(tok)
 ), windows AS (
-  SELECT *, coalesce(lead(start) OVER (PARTITION BY conv_id, block ORDER BY start), len(tok) + 1) AS stop,
+  SELECT *, coalesce(lead(start) OVER (PARTITION BY conv_id ORDER BY start), len(tok) + 1) AS stop,
     list_min(list_filter(range(1, start + 1),
       lambda h: coalesce(list_sum(tok[h:start - 1]), 0) <= 256 OR h = start)) AS back
   FROM starts
 ), sized AS (
   SELECT conv_id, CAST(sum(list_sum(chr[back:stop - 1])
-    + CASE WHEN s IS NOT NULL AND (s.block < block OR (s.block = block AND s.i < back)) THEN s.chars ELSE 0 END) AS BIGINT)
+    + CASE WHEN s IS NOT NULL AND s.i < back THEN s.chars ELSE 0 END) AS BIGINT)
     AS formatted_chars
   FROM windows GROUP BY conv_id
 ), digests AS (

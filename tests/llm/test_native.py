@@ -59,6 +59,40 @@ def test_windows_keep_budget_history_and_mask(spark):
     assert any(r.n_repeated > 1 for r in rows[1:])
 
 
+def windows_by_hand(rows, budget, history, width):
+    """(n_repeated, n_new, texts under the loss) of each window of one conversation, turn by turn."""
+    own = sorted((r[1], r[2], r[3]) for r in rows)
+    sizes = [4 + len(re.findall(r"[a-z]{1,6}|[0-9]{1,3}", t)) for _, _, t in own]
+    pos = [sum(sizes[:i]) for i in range(len(own) + 1)]
+    system = next((i for i, r in enumerate(own) if r[1] == "system"), None)
+    room = max(budget // 4, budget - history - (sizes[system] if system is not None else 0))
+    out, start = [], 0
+    for i in range(1, len(own) + 1):
+        if i == len(own) or pos[i + 1] - pos[start] > room or pos[i] // width != pos[i - 1] // width:
+            back = min(h for h in range(start + 1) if pos[start] - pos[h] <= history)
+            lead = system is not None and system < back
+            out.append((start - back + lead, i - start, [t for _, role, t in own[start:i] if role == "assistant"]))
+            start = i
+    return out
+
+
+@pytest.mark.parametrize("step", [1, 1000, 7919])
+def test_windows_do_not_depend_on_the_numbering_and_keep_history(spark, step):
+    dice = random.Random(5)
+    rows = [(1, 0, "system", "be kind", 0)]
+    for i in range(1, 1000):
+        text = f"turn {i} " + "long " * (300 if i % 190 == 0 else dice.randint(0, 9))
+        rows.append((1, i * step, "user" if i % 2 else "assistant", text.strip(), 0))
+    options = {"budget": 64, "history": 16, "block_budgets": 3}
+    found = chat.windows(spark.createDataFrame(rows, TURNS), **options).orderBy("block", "window").collect()
+    got = [(r.n_repeated, r.n_new, [r.formatted[s.start : s.start + s.length] for s in r.loss]) for r in found]
+    assert got == windows_by_hand(rows, 64, 16, 3 * 64)
+    assert len({r.block for r in found}) > 20
+    # the first window has no history, nor has one that follows a turn longer than the limit
+    assert sum(r.n_repeated < 2 for r in found) < len(found) / 2
+    assert any(r.window == 0 and r.block > 0 and r.n_repeated > 1 for r in found)
+
+
 def test_empty_tables(spark):
     assert chat.read_back(chat.windows(spark.createDataFrame([], TURNS))).collect() == []
     assert licences.scan(empty(spark)).collect() == []
