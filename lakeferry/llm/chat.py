@@ -67,7 +67,9 @@ def counted(turns: DataFrame, block_turns: int, tokens: str | None) -> DataFrame
     block = F.when(F.col("turn").isNull(), F.pmod(F.xxhash64("role", "text"), F.lit(1024))).otherwise(
         F.floor(F.col("turn") / block_turns)
     )
-    return named.withColumns({"numbered": F.col("turn").isNotNull(), "block": block.cast("long")})
+    # never null, so that no join filters one of the plans that share the exchange of the gatherings
+    block = F.coalesce(block.cast("long"), F.lit(0))
+    return named.withColumns({"numbered": F.col("turn").isNotNull(), "block": block})
 
 
 def gathered(rows: DataFrame) -> DataFrame:
