@@ -1,6 +1,6 @@
 from lakeferry.functions.information import information_value
 from lakeferry.functions.joins import grouped_lookup, last_answer, lookup
-from lakeferry.functions.json_objects import drop_keys, is_object, replace_members
+from lakeferry.functions.json_objects import drop_keys, is_editable, is_object, replace_members
 from lakeferry.functions.names import quote, quote_if_needed, quoted_literal, sql_text
 from lakeferry.functions.paths import (
     contained_texts,
@@ -16,6 +16,7 @@ __all__ = [
     "drop_keys",
     "grouped_lookup",
     "information_value",
+    "is_editable",
     "is_object",
     "last_answer",
     "lookup",

@@ -1,30 +1,34 @@
-"""Editing JSON text by spans.
-
-Only documents that mention a key are edited: a scan finds the keys outside lists, a JSON scanner where
-their values end, and the text is spliced around the spans. Everything else stays as it is written, so
-numbers, escapes and order survive. Time is linear in the text. It is the one place of this part that
-runs in Python, on Arrow batches: the same edit as a fold of SQL expressions over tokens took forty times
-as long, as SQL has no expression that finds matching brackets. Whether a text is JSON at all is left to
-Spark's parser. Objects inside lists are left alone.
+"""Editing JSON text by regular expressions, inside the JVM.
+
+Only documents that mention a key are edited. Text that stays (strings that are no such key, whole lists,
+everything between them) is matched in long possessive runs, a dropped member with its value and its comma
+as one match, so a text is read once, in time linear in its length. What stays does so as it is written:
+numbers, escapes and order survive. Objects inside lists are left alone.
+
+Patterns find matching brackets by nesting to a number of levels. A text with more opening brackets than
+the usual pattern has levels gets a pattern of the most levels that a task's stack compiles safely. A text
+nested deeper than those is told as not editable (``is_editable``), never edited in part.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator, Mapping, Sequence
-from functools import lru_cache, reduce
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_STRING = r'"(?:[^"\\]|\\.)*+"'
-_ESCAPED = r'"[^"\\]*+\\.(?:[^"\\]|\\.)*+"\s*+:'
-_KEY = re.compile(rf"\s*+({_STRING})\s*+:\s*+", re.S)
-_SPACE = re.compile(r"\s*+")
-# Numbers of any length pass; what they are is of no interest here.
-_SCAN = json.JSONDecoder(strict=False, parse_int=float).raw_decode
+USUAL_LEVELS = 32
+MOST_LEVELS = 400
+
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+_INSIDE = rf'(?:[^"\[\]{{}}]++|{_STRING}'
+_OPEN, _CLOSE = rf"|[\[{{]{_INSIDE}", r")*+[\]}]"
+_LAST_COMMA = rf"({_STRING})|,\s*+(?=\}})"
+# JSON's short escapes.
+_SHORT = {'"': '"', "\\": "\\", "/": "/", "\b": "b", "\f": "f", "\n": "n", "\r": "r", "\t": "t"}
 
 
 def is_object(json_text: Column) -> Column:
@@ -45,130 +49,106 @@ def mentions_any(json_text: Column, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, plain, F.contains(json_text, F.lit("\\")))
 
 
-def _name(quoted: str) -> str:
-    return json.loads(quoted, strict=False) if "\\" in quoted else quoted[1:-1]
-
-
-def _after(text: str, at: int) -> int:
-    return _SPACE.match(text, at).end()
-
-
-@lru_cache(maxsize=64)
-def _next_event(names: frozenset[str]) -> re.Pattern[str]:
-    """Finds the next list, or the next key that is one of ``names`` or spelled with escapes."""
-    plain = "|".join(re.escape(json.dumps(n, ensure_ascii=False)) for n in sorted(names))
-    key = rf"(?:{plain})\s*+:|{_ESCAPED}" if plain else _ESCAPED
-    return re.compile(rf'(?:[^"\[]++|(?!{key}){_STRING})*+(?:(\[)|({key})\s*+)', re.S)
-
-
-def _dropped(text: str, names: frozenset[str]) -> Iterator[tuple[int, int]]:
-    """Spans of the members ``names`` of all objects outside lists; nested ones are in the outer one."""
-    find, at = _next_event(names).match, 0
-    while event := find(text, at):
-        at = event.end()
-        if event[1]:
-            at = _SCAN(text, at - 1)[1]
-        elif _name(event[2].rstrip(": \t\r\n")) in names:
-            at = _after(text, _SCAN(text, at)[1])
-            yield _before(text, event.start(2)), at
-
-
-def _members(text: str, at: int) -> Iterator[tuple[str, int, int, int]]:
-    """(name, start, start of the value, end) of each member of the object that opens before ``at``."""
-    while key := _KEY.match(text, at):
-        end = _after(text, _SCAN(text, key.end())[1])
-        yield _name(key[1]), at, key.end(), end
-        if text[end] != ",":
-            return
-        at = end + 1
-
-
-def _edits(
-    text: str, drop: frozenset[str], member: str | None, replaced: frozenset[str]
-) -> list[tuple[int, int, bool]]:
-    """Spans (start, end) of dropped members in order, and, with the last item set, the places where
-    the objects ``member`` end."""
-    spans = [(start, end, False) for start, end in _dropped(text, drop)]
-    if member is not None:
-        for name, _, value, end in _members(text, text.index("{") + 1):
-            if name == member and text[value] == "{":
-                own = [(s, e, False) for n, s, _, e in _members(text, value + 1) if n in replaced]
-                last = text.rindex("}", value, end)
-                spans += [*own, (last, last, True)]
-        spans.sort()
-    out: list[tuple[int, int, bool]] = []
-    for span in spans:
-        if not out or span[0] >= out[-1][1]:
-            out.append(span)
-    return out
-
-
-def _before(text: str, at: int) -> int:
-    while text[at - 1].isspace():
-        at -= 1
-    return at
-
-
-def edited(
-    text: str,
-    drop: frozenset[str],
-    member: str | None = None,
-    values: Mapping[str, str] | None = None,
-) -> str:
-    """The text of a JSON object without the members ``drop`` of any of its objects outside lists, and
-    with ``values`` (JSON texts) in place of those members of the object ``member``."""
-    added = ",".join(f"{json.dumps(k)}:{v}" for k, v in (values or {}).items())
-    out: list[str] = []
-    at = 0
-    for start, end, insert in _edits(text, drop, member, frozenset(values or ())):
-        out.append(text[at:start])
-        at = end
-        if insert:
-            if added:
-                out.append(added if _last(out) == "{" else f",{added}")
-        elif text[end] == ",":
-            at += 1
-        elif _last(out) == ",":
-            # the member was the last one: the comma before it goes
-            while not out[-1].strip():
-                out.pop()
-            kept = out[-1].rstrip()
-            out[-1] = kept[:-1]
-    out.append(text[at:])
-    return "".join(out)
-
-
-def _last(parts: list[str]) -> str:
-    """Last character that is no white space."""
-    for part in reversed(parts):
-        part = part.rstrip()
-        if part:
-            return part[-1]
-    return ""
-
-
-def _editor(drop: Sequence[str], member: str | None = None, values: Mapping[str, str] | None = None):
-    names, own = frozenset(drop), dict(values or {})
-
-    @F.arrow_udf("string")
-    def edit(texts: pa.Array) -> pa.Array:
-        return pa.array([t and edited(t, names, member, own) for t in texts.to_pylist()], pa.string())
-
-    return edit
+def _spelled(character: str) -> str:
+    """Pattern of all the ways in which a JSON string can write a character."""
+    units = character.encode("utf-16-be").hex()
+    hexes = "".join(f"[{h}{h.upper()}]" if h.isalpha() else h for h in units)
+    ways = ["".join(r"\\u" + part for part in re.findall(r"(?:\[..\]|.){4}", hexes))]
+    if character in _SHORT:
+        ways.append(r"\\" + re.escape(_SHORT[character]))
+    if character not in '"\\' and character >= " ":
+        ways.insert(0, re.escape(character))
+    return f"(?:{'|'.join(ways)})"
+
+
+def _member_name(keys: Iterable[str]) -> str:
+    """Pattern of a member's name, one of ``keys``, with its colon."""
+    return rf'"(?:{"|".join("".join(map(_spelled, key)) for key in sorted(keys))})"\s*+:'
+
+
+def _brackets(json_text: Column) -> Column:
+    closed = F.replace(F.replace(json_text, F.lit("["), F.lit("")), F.lit("{"), F.lit(""))
+    return F.length(json_text) - F.length(closed)
+
+
+def _levels(json_text: Column) -> Column:
+    deep = _brackets(json_text) > USUAL_LEVELS
+    return F.when(deep, F.lit(MOST_LEVELS)).otherwise(F.lit(USUAL_LEVELS))
+
+
+def _pattern(levels: Column, *parts: str) -> Column:
+    """Pattern of ``parts``; between them stands what closes the bracket that the part before opened."""
+    nested = F.concat(F.lit(_INSIDE), F.repeat(F.lit(_OPEN), levels - 1), F.repeat(F.lit(_CLOSE), levels))
+    pieces: list[Column] = [F.lit("(?s)" + parts[0])]
+    for part in parts[1:]:
+        pieces += [nested, F.lit(part)]
+    return F.concat(*pieces)
+
+
+def is_editable(json_text: Column) -> Column:
+    """Whether a text is one JSON object of at most ``MOST_LEVELS`` levels (null for a null text)."""
+    outer = _pattern(_levels(json_text), r"^\s*+\{", r"\s*+$")
+    shallow = (_brackets(json_text) <= MOST_LEVELS) | F.regexp_like(json_text, outer)
+    return is_object(json_text) & shallow
+
+
+def _without(json_text: Column, levels: Column, keys: Iterable[str], whole: str, opening: str) -> Column:
+    """The text without the members ``keys``, each with the comma behind it.
+
+    Brackets of the kind ``opening`` are passed over as a whole; ``whole`` are characters that mean nothing.
+    """
+    name = _member_name(keys)
+    stays = rf"((?:{whole}++|\s++(?!{name})|(?!{name}){_STRING}|{opening}"
+    value = rf")++)|\s*+{name}\s*+(?:{_STRING}|[^\s,\[\]{{}}\"]++|[\[{{]"
+    return F.regexp_replace(json_text, _pattern(levels, stays, value, r")\s*+,?+"), F.lit("$1"))
+
+
+def _dropped(json_text: Column, keys: Iterable[str]) -> Column:
+    rest = _without(json_text, _levels(json_text), keys, r'[^"\[\s]', r"\[")
+    return F.regexp_replace(rest, F.lit(_LAST_COMMA), F.lit("$1"))
 
 
 def drop_keys(json_text: Column, keys: Sequence[str]) -> Column:
     """Remove ``keys`` from an object and from every object nested in it, but not inside lists.
 
-    A text that is no JSON object comes back as it is.
+    A text that is no JSON object, or is nested too deep, comes back as it is.
     """
-    concerned = F.when(mentions_any(json_text, keys) & is_object(json_text), json_text)
-    return F.coalesce(_editor(keys)(concerned), json_text)
+    if not keys:
+        return json_text
+    concerned = mentions_any(json_text, keys) & is_editable(json_text)
+    return F.when(concerned, _dropped(json_text, keys)).otherwise(json_text)
 
 
 def replace_members(
     json_text: Column, member: str, values: Mapping[str, str], drop: Sequence[str] = ()
 ) -> Column:
     """Set members of the object ``member`` of a JSON object to ``values`` (JSON texts) and remove
-    the keys ``drop`` everywhere but inside lists; the text must be null or a JSON object."""
-    return _editor(drop, member, values)(json_text)
+    the keys ``drop`` everywhere but inside lists; the text must be null or editable.
+
+    New members come last. A name that repeats is replaced in each of its objects.
+    """
+    start, levels = json_text, _levels(json_text)
+    if drop:
+        start = F.when(mentions_any(json_text, drop), _dropped(json_text, drop)).otherwise(json_text)
+    added = ",".join(f"{json.dumps(k)}:{v}" for k, v in values.items())
+    if not added:
+        return start
+    name = _member_name([member])
+    head = rf"(?s)^{name}\s*+\{{"
+    # The text up to the first member, members passed over, and each object ``member`` as a part of its own.
+    passed = rf'^\s*+\{{|(?:[^"\[{{]++|(?!{name}\s*+\{{){_STRING}|[\[{{]'
+    pattern = _pattern(levels, passed, rf")++|{name}\s*+\{{", "")
+
+    def changed(part: Column) -> Column:
+        inside = F.regexp_extract(part, head + r"(.*)\}$", 1)
+        kept = _without(inside, levels, values, r'[^"\[{\s]', r"[\[{]")
+        listed = F.regexp_replace(kept, r"([^\s,])(\s*+)\z", "$1$2,")
+        return F.concat(F.regexp_extract(part, head, 0), listed, F.lit(added + "}"))
+
+    def edited(text: Column) -> Column:
+        parts = F.regexp_extract_all(text, pattern, F.lit(0))
+        done = F.transform(parts, lambda p: F.when(F.regexp_like(p, F.lit(head)), changed(p)).otherwise(p))
+        return F.when(text.isNotNull(), F.array_join(done, ""))
+
+    # The lambda binds the text without its dropped members, so that it is made once.
+    return F.transform(F.array(start), edited)[0]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType
 
-from lakeferry.functions import drop_keys, is_object, last_answer, replace_members
+from lakeferry.functions import drop_keys, is_editable, is_object, last_answer, replace_members
 
 # Settings of the old proxy user, removed at every object level.
 PROXY_USER_KEYS = ("HADOOP_USER_NAME", "HADOOP_PROXY_USER")
@@ -48,7 +48,7 @@ def strip_keys(df: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:
     """Remove ``keys`` from every object level of a column, lists left alone.
 
     A string column is JSON text: its other members stay as they are written, and a text that is no
-    JSON object comes back unchanged. Struct and map columns are walked along their type.
+    JSON object, or is nested deeper than 400 levels, comes back unchanged. Struct and map columns are walked along their type.
     """
     kind = df.schema[column].dataType
     if isinstance(kind, (StructType, MapType)):
@@ -95,7 +95,7 @@ def upgrade_payload(
     """(job_id, payload, message): cluster with the new version, ``conf`` in place of its spark_conf
     and the new access mode, proxy-user keys removed.
 
-    A cluster that cannot be read, or has no ``new_cluster`` object, gives a message and no payload.
+    A cluster that cannot be read (or is nested deeper than 400 levels), or has no ``new_cluster`` object, gives a message and no payload.
     """
     settings = {
         "spark_version": json.dumps(version),
@@ -106,7 +106,7 @@ def upgrade_payload(
     inner = F.get_json_object(cluster, "$.new_cluster")
     message = (
         F.when(cluster.isNull(), F.lit(NO_CLUSTER))
-        .when(~is_object(cluster), F.lit(UNREADABLE_CLUSTER))
+        .when(~is_editable(cluster), F.lit(UNREADABLE_CLUSTER))
         .when(~F.coalesce(F.ltrim(inner).startswith("{"), F.lit(False)), F.lit(NO_NEW_CLUSTER))
         .otherwise(F.lit(""))
     )
