@@ -1,3 +1,4 @@
+from lakeferry.functions.documents import REJECTED, with_parsed
 from lakeferry.functions.information import information_value
 from lakeferry.functions.joins import grouped_lookup, last_answer, lookup
 from lakeferry.functions.json_objects import drop_keys, is_editable, is_object, replace_members
@@ -10,6 +11,7 @@ from lakeferry.functions.paths import (
 )
 
 __all__ = [
+    "REJECTED",
     "contained_texts",
     "containing_texts",
     "contains_pairs",
@@ -26,4 +28,5 @@ __all__ = [
     "quoted_literal",
     "replace_members",
     "sql_text",
+    "with_parsed",
 ]

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from lakeferry.functions import grouped_lookup, last_answer, lookup
+from lakeferry.functions import REJECTED, grouped_lookup, last_answer, lookup, with_parsed
 from lakeferry.schemas import ACL_ENTRIES, PERMISSIONS, SECRET_ACL_ENTRIES
 
 
@@ -131,7 +131,8 @@ def _listed(document: Column, kind: str) -> Column:
 def _one_row_per_object(found: DataFrame, ids: DataFrame | None) -> DataFrame:
     """Overlapping pages list an object twice: it stays once. Registered models are listed by name
     and get the id that ``ids`` has for it; a model without one keeps a null id."""
-    found = found.dropDuplicates(["artifact_type", "name", "id"])
+    found = found.dropDuplicates()
+    more = [c for c in found.columns if c == REJECTED]
     if ids is None:
         return found
     model = KINDS["MLFlow_Models"]
@@ -142,7 +143,7 @@ def _one_row_per_object(found: DataFrame, ids: DataFrame | None) -> DataFrame:
     )
     is_model = F.col("artifact_type") == model.label
     return found.join(known, "name", "left").select(
-        "artifact_type", "name", F.when(is_model, F.col("model_id")).otherwise(F.col("id")).alias("id")
+        "artifact_type", "name", F.when(is_model, F.col("model_id")).otherwise(F.col("id")).alias("id"), *more
     )
 
 
@@ -161,28 +162,41 @@ def all_listings(
     ids: DataFrame | None = None,
     kinds: Sequence[str] = tuple(KINDS),
     page: str = "page",
+    rejects: bool = False,
 ) -> DataFrame:
     """The listings of many kinds at once from pages with a ``kind`` column: each page is read and
-    parsed once, and gives the objects of its own kind."""
-    chosen = pages.where(F.col("kind").isin(list(kinds)))
-    parsed = chosen.select("kind", F.from_json(F.col(page), _page_schema(kinds), {"mode": "FAILFAST"}).alias("doc"))
+    parsed once, and gives the objects of its own kind.
+
+    A page that is not valid JSON fails the query; with ``rejects`` it is one row of its kind without
+    name and id, its text in ``rejected``.
+    """
+    chosen = pages.where(F.col("kind").isin(list(kinds))).select("kind", page)
+    parsed = with_parsed(chosen, page, _page_schema(kinds), rejects, "doc")
     objects = reduce(
         lambda chain, kind: chain.when(F.col("kind") == kind, _listed(F.col("doc"), kind)), kinds, F
     )
-    return _one_row_per_object(parsed.select(F.inline(objects)), ids)
+    if not rejects:
+        return _one_row_per_object(parsed.select(F.inline(objects)), ids)
+    label = reduce(lambda chain, kind: chain.when(F.col("kind") == kind, KINDS[kind].label), kinds, F)
+    nothing = F.lit(None).cast("string")
+    unread = F.array(F.struct(label.alias("artifact_type"), nothing.alias("name"), nothing.alias("id")))
+    rows = F.when(F.col(REJECTED).isNotNull(), unread).otherwise(objects)
+    return _one_row_per_object(parsed.select(F.inline(rows), REJECTED), ids)
 
 
-def parse_acl(df: DataFrame, doc: str = "doc") -> DataFrame:
+def parse_acl(df: DataFrame, doc: str = "doc", rejects: bool = False) -> DataFrame:
     """ACL documents to ``perms``: entries of groups with their permission levels.
 
     A JSON document without a list gives one null entry. A document that is not JSON, such as a
-    truncated one, fails the query: read as "no list", its grants would vanish.
+    truncated one, fails the query: read as "no list", its grants would vanish. With ``rejects`` its row
+    has one null entry and the document in ``rejected``.
     """
     schema = (
         "struct<access_control_list:array<struct<group_name:string,"
         "all_permissions:array<struct<permission_level:string>>>>>"
     )
-    entries = F.from_json(F.col(doc), schema, {"mode": "FAILFAST"})["access_control_list"]
+    df = with_parsed(df, doc, schema, rejects)
+    entries = F.col("_parsed")["access_control_list"]
     groups = F.transform(
         F.filter(entries, lambda e: e["group_name"].isNotNull()),
         lambda e: F.struct(
@@ -190,7 +204,7 @@ def parse_acl(df: DataFrame, doc: str = "doc") -> DataFrame:
             F.transform(e["all_permissions"], lambda p: p["permission_level"]).alias("permissions"),
         ),
     ).cast(ACL_ENTRIES)
-    return df.withColumn("perms", F.coalesce(groups, _null_entry(ACL_ENTRIES))).drop(doc)
+    return df.withColumn("perms", F.coalesce(groups, _null_entry(ACL_ENTRIES))).drop("_parsed")
 
 
 def parse_secret_acl(df: DataFrame, doc: str = "doc") -> DataFrame:

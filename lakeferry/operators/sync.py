@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeferry.functions import grouped_lookup, last_answer, lookup, quote, quoted_literal, sql_text
+from lakeferry.functions import (
+    REJECTED,
+    grouped_lookup,
+    last_answer,
+    lookup,
+    quote,
+    quoted_literal,
+    sql_text,
+    with_parsed,
+)
 from lakeferry.operators.inventory import EMPTY_DATABASE, with_database_column, without_match
 from lakeferry.schemas import STATUS
 
@@ -149,9 +158,17 @@ def sync_statements(
     )
 
 
-def collect_status(documents: DataFrame, schema=STATUS, doc: str = "doc") -> DataFrame:
-    """All JSON result documents (an array of records each) as one typed table."""
+def collect_status(
+    documents: DataFrame, schema=STATUS, doc: str = "doc", rejects: bool = False
+) -> DataFrame:
+    """All JSON result documents (an array of records each) as one typed table.
+
+    A document that cannot be read fails the query; with ``rejects`` it is one row of nulls with its
+    text in ``rejected``.
+    """
     record = f"array<{schema.simpleString()}>"
-    return documents.select(F.from_json(F.col(doc), record, {"mode": "FAILFAST"}).alias("r")).select(
-        F.inline("r")
-    )
+    parsed = with_parsed(documents.select(doc), doc, record, rejects)
+    if not rejects:
+        return parsed.select(F.inline("_parsed"))
+    unread = F.when(F.col(REJECTED).isNotNull(), F.array(F.lit(None).cast(schema)))
+    return parsed.select(F.inline(F.coalesce(unread, F.col("_parsed"))), REJECTED)

@@ -3,6 +3,7 @@ from lakeferry.sinks.tables import (
     externalize_table,
     status_documents,
     update_permissions,
+    write_checked,
     write_grants,
     write_inventory,
     write_permissions,
@@ -13,6 +14,7 @@ __all__ = [
     "externalize_table",
     "status_documents",
     "update_permissions",
+    "write_checked",
     "write_grants",
     "write_inventory",
     "write_permissions",

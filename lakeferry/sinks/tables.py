@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.functions import lookup
+from lakeferry.functions import REJECTED, lookup
 from lakeferry.operators.acl import permission_status
 from lakeferry.operators.externalize import externalize as externalize_table
 from lakeferry.operators.externalize import quoted_text
@@ -22,6 +22,7 @@ __all__ = [
     "status_documents",
     "table_location",
     "update_permissions",
+    "write_checked",
     "write_grants",
     "write_inventory",
     "write_permissions",
@@ -33,6 +34,15 @@ def write_inventory(df: DataFrame, path: str, mode: str = "errorifexists") -> No
     df.hint("rebalance", F.col("database")).write.mode(mode).partitionBy("database").parquet(path)
 
 
+def write_checked(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """What an operator read with ``rejects``: accepted rows and the reject table, from one parse.
+
+    ``sources.accepted`` and ``sources.rejected`` read them; each reads its own folder only.
+    """
+    rows = df.withColumn("is_rejected", F.col(REJECTED).isNotNull())
+    rows.write.mode(mode).partitionBy("is_rejected").parquet(path)
+
+
 def write_grants(
     df: DataFrame, table: str, mode: str = "overwrite", path: str | None = None
 ) -> None:

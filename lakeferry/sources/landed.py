@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakeferry.functions import REJECTED
 from lakeferry.operators.inventory import with_database_column
 from lakeferry.schemas import INVENTORY
 
@@ -33,6 +34,22 @@ def stored_inventory(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(INVENTORY).parquet(path).select(*INVENTORY.names)
 
 
+def _checked(spark: SparkSession, path: str, schema: StructType, rejected: bool) -> DataFrame:
+    stored = StructType([*(f for f in schema if f.name != REJECTED)])
+    stored = stored.add(REJECTED, "string").add("is_rejected", "boolean")
+    return spark.read.schema(stored).parquet(path).where(F.col("is_rejected") == rejected)
+
+
+def accepted(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Rows of documents that could be read, from what ``sinks.write_checked`` wrote."""
+    return _checked(spark, path, schema, False).drop(REJECTED, "is_rejected")
+
+
+def rejected(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The reject table: one row for each document that could not be read, its text in ``rejected``."""
+    return _checked(spark, path, schema, True).drop("is_rejected")
+
+
 def grants_table(
     spark: SparkSession, table: str, principals: Sequence[str] | None = None
 ) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeferry import schemas
+from lakeferry import schemas, sinks, sources
 from lakeferry.operators import acl
 from lakeferry.sinks import update_permissions, write_permissions
 from lakeferry.sources import json_pages, permissions_of
@@ -320,3 +320,39 @@ def test_an_update_writes_each_row_once(spark, tmp_path):
     assert not (place / "artifact_type=Job").exists()
     assert {p.name for p in (place / "artifact_type=Repo").iterdir()} == untouched
     assert spark.table(table).count() == permission_rows(spark).count()
+
+
+def test_broken_documents_are_set_apart(spark, tmp_path):
+    good = '{"access_control_list":[{"group_name":"g","all_permissions":[{"permission_level":"A"}]}]}'
+    broken = ["{", "", "no", '[{"group_name":"g"}]', '{"access_control_list":7}', good + " {"]
+    rows = [(1, good, "x"), (2, "{}", "x"), (3, "null", "x"), (4, None, "x"), *((9, b, "y") for b in broken)]
+    df = spark.createDataFrame(rows, "k int, doc string, parsed string")
+    out = acl.parse_acl(df, rejects=True)
+    sinks.write_checked(out, str(tmp_path / "acls"))
+    kept = sources.accepted(spark, str(tmp_path / "acls"), out.schema)
+    lost = sources.rejected(spark, str(tmp_path / "acls"), out.schema)
+    found = {r.k: r for r in kept.collect()}
+    assert set(found) == {1, 2, 3, 4} and kept.columns == ["k", "parsed", "perms"]
+    assert found[1].perms[0].group_name == "g" and all(found[k].perms == [None] for k in (2, 3, 4))
+    assert sorted(r.rejected for r in lost.collect()) == sorted(broken)
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        acl.parse_acl(df).collect()
+
+
+def test_accepted_and_rejected_of_empty_and_clean_tables(spark, tmp_path):
+    df = spark.createDataFrame([(1, "{}")], "k int, doc string")
+    for name, rows in (("empty", df.limit(0)), ("clean", df)):
+        out = acl.parse_acl(rows, rejects=True)
+        sinks.write_checked(out, str(tmp_path / name))
+        assert sources.rejected(spark, str(tmp_path / name), out.schema).count() == 0
+        assert sources.accepted(spark, str(tmp_path / name), out.schema).count() == rows.count()
+
+
+def test_reject_tables_are_pruned_and_parsed_once(spark, tmp_path):
+    df = spark.range(20).select("id", F.when(F.col("id") % 2 == 0, "{}").otherwise("{").alias("doc"))
+    out = acl.parse_acl(df, rejects=True)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") + plan.count("JsonToStructs") <= 1
+    sinks.write_checked(out, str(tmp_path / "t"))
+    plan = sources.rejected(spark, str(tmp_path / "t"), out.schema)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(is_rejected" in plan

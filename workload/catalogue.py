@@ -22,12 +22,14 @@ UPGRADE = {"version": "12.2.x-scala2.12", "conf": {"catalog.name": "cat"}, "mode
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+ORACLE_TEXTS: dict[str, str] = {}
 
 
 def register(key: str, query: Callable[[Estate], DataFrame], oracle: str) -> None:
     if key in QUERIES:
         raise ValueError(f"query {key} is registered twice")
     QUERIES[key] = lambda spark, sf_dir: query(Estate(configure(spark), sf_dir))
+    ORACLE_TEXTS[key] = oracle
     ORACLES[key] = with_clause(oracle.strip())
 
 
@@ -845,6 +847,66 @@ register(
     ),
 )
 
+# ---- broken documents: accepted rows and a reject table from one parse ----
+
+
+def _checked(e: Estate, label: str, df: DataFrame, read) -> DataFrame:
+    path = scratch_path(e.spark, label)
+    sinks.write_checked(df, path)
+    return read(e.spark, path, df.schema)
+
+
+def _checked_acls(e: Estate) -> DataFrame:
+    """The ACL documents, and for every part one that broke off."""
+    broken = e.sql("SELECT p_partkey AS k, '{\"access_control_list\":[{\"group_name\":\"g' || p_partkey AS doc FROM part")
+    return acl.parse_acl(e.acl_json.unionByName(broken), rejects=True)
+
+
+def _checked_status(e: Estate) -> DataFrame:
+    broken = e.sql("SELECT '[{\"status_code\":\"' || tableName AS doc FROM tables_base")
+    return sync.collect_status(e.status_json.unionByName(broken), rejects=True)
+
+
+def _checked_listings(e: Estate) -> DataFrame:
+    broken = e.sql(
+        "SELECT stack(2, 'Jobs', '{\"jobs\":[' || p_partkey, 'Repos', 'page ' || p_partkey) AS (kind, page) FROM part"
+    )
+    return acl.all_listings(_all_pages(e).unionByName(broken), e.model_ids, rejects=True)
+
+
+register(
+    "accepted_acls",
+    lambda e: _perms_as_json(_checked(e, "acls", _checked_acls(e), sources.accepted)),
+    ORACLE_TEXTS["parse_acl"],
+)
+register(
+    "rejected_acls",
+    lambda e: _checked(e, "acls", _checked_acls(e), sources.rejected).select("k", "rejected"),
+    "SELECT p_partkey AS k, '{\"access_control_list\":[{\"group_name\":\"g' || p_partkey AS rejected FROM part",
+)
+register(
+    "accepted_status",
+    lambda e: _checked(e, "status", _checked_status(e), sources.accepted),
+    ORACLE_TEXTS["collect_status"],
+)
+register(
+    "rejected_status",
+    lambda e: _checked(e, "status", _checked_status(e), sources.rejected).select("rejected"),
+    "SELECT '[{\"status_code\":\"' || tableName AS rejected FROM tables_base",
+)
+register(
+    "accepted_listings",
+    lambda e: acl.artifact_counts(_checked(e, "listings", _checked_listings(e), sources.accepted)),
+    ORACLE_TEXTS["artifact_counts"],
+)
+register(
+    "rejected_listings",
+    lambda e: _checked(e, "listings", _checked_listings(e), sources.rejected).select("artifact_type", "rejected"),
+    """
+SELECT 'Job' AS artifact_type, '{"jobs":[' || p_partkey AS rejected FROM part
+UNION ALL SELECT 'Repo', 'page ' || p_partkey FROM part""",
+)
+
 # ---- job-cluster upgrade ----
 
 _SET = '"spark_version":"12.2.x-scala2.12","spark_conf":{"catalog.name":"cat"},"data_security_mode":"SINGLE_USER"'
