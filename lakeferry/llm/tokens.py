@@ -36,6 +36,8 @@ class _Memo(dict):
         return number
 
 
+#: New pieces that are encoded as one text: texts of some KB stay in a processor's cache.
+LINE_PIECES = 200
 _ODD = -1  # length of a piece that is empty or begins or ends with white space
 
 
@@ -79,7 +81,8 @@ class PieceEncoder:
         at = len(self._flat)
         if others:
             # a token with a blank in it begins a piece: pieces hold no other blanks
-            (ids,) = self._ids([" " + " ".join([new[i] for i in others])])
+            lines = (others[i : i + LINE_PIECES] for i in range(0, len(others), LINE_PIECES))
+            ids = np.concatenate(self._ids([" " + " ".join([new[i] for i in line]) for line in lines]))
             begins = np.flatnonzero(self._blank[ids])
             starts[others] = at + begins
             lens[others] = np.diff(begins, append=len(ids))
