@@ -163,6 +163,17 @@ def test_match_locations(spark):
     assert strict == {p for p in found if p[1] != "word"}
 
 
+@pytest.mark.parametrize("prefix", [False, True])
+def test_rows_of_one_url_are_dealt_over_tasks(spark, monkeypatch, prefix):
+    monkeypatch.setattr(locations, "PART_ROWS", 1000)
+    roots = spark.range(200).selectExpr("concat('s3://b/db', id, '/') AS Location")
+    ext = spark.range(200).selectExpr("concat('n', id) AS name", "'s3://b/' AS url")
+    found = locations.match_locations(roots.unionByName(roots), ext, prefix=prefix)
+    tasks = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == found.distinct().count() == 200 * 200
+    assert max(tasks) < 200 * 200 / 3
+
+
 def test_contains_pairs_against_brute_force(spark):
     rng = random.Random(7)
     texts = lambda n, size: sorted(
