@@ -1,6 +1,9 @@
 import os
 
+from pyspark.sql import functions as F
+
 from lakeferry.session import scratch_path, scratch_root, temporarily_staged
+from workload import estate
 
 
 def test_scratch_folder_comes_from_the_settings(spark):
@@ -14,3 +17,11 @@ def test_staged_rows_are_removed_after_use(spark):
         folder = rows.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
         assert os.path.isdir(folder)
     assert not os.path.exists(folder)
+
+
+def test_short_rows_are_spread_however_few_splits_a_file_makes(spark, monkeypatch):
+    monkeypatch.setattr(estate, "SPREAD_ROWS", 50)
+    rows = spark.range(1000, numPartitions=1)
+    parts = estate.spread(rows).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in parts) == 1000 and max(r["count"] for r in parts) <= 60
+    assert estate.spread(rows.limit(50)).count() == 50
