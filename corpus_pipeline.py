@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeferry.llm import jaccard, lang_cnn, mixing, packing, queries, string_kernel
@@ -48,9 +49,29 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.in_order(mixing.mix(docs))
 
 
+def in_files(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and ``position``, the number of a row in the files that hold the documents:
+    Spark writes the partitions of a sorted frame to files whose names sort as they do. The frame is
+    written first if it is not read from files."""
+    file, row = F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    try:
+        placed = docs.select("doc_id", "text", file, row)
+    except AnalysisException:
+        placed = staged(docs.select("doc_id", "text"), "packing-docs").select("doc_id", "text", file, row)
+    # one row a file
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = placed.groupBy("_file").agg((F.max("_row") + 1).alias("_rows"))
+    starts = files.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    return placed.join(F.broadcast(starts), "_file").select(
+        "doc_id", "text", (F.col("_start") + F.col("_row")).alias("position")
+    )
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document in a sequence of 1024 tokens."""
-    return packing.pack(staged(packing.pieces(docs), "packing-pieces"))
+    """Every piece of every document in a sequence of 1024 tokens; sequences in the order of their ids
+    follow the mix."""
+    pieces = packing.pieces(in_files(docs), keep_position=True)
+    return packing.pack(staged(pieces, "packing-pieces"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

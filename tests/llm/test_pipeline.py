@@ -63,3 +63,32 @@ def test_run_returns_the_last_stage(spark, trained):
     assert {"doc_id", "piece", "sequence_id", "offset"} <= set(rows.columns)
     fill = rows.groupBy("sequence_id").sum("length").collect()
     assert max(r[1] for r in fill) <= 1024
+
+
+def test_sequences_follow_the_mix(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(600).select("doc_id", "text", "source")
+    mixed = corpus_pipeline.mixed(spark, docs, SF_DIR)
+    order = [r.doc_id for r in mixed.collect()]
+    for given in (corpus_pipeline.staged(mixed, "mixed"), mixed):
+        rows = corpus_pipeline.packed(spark, given, SF_DIR).collect()
+        firsts = {}
+        for r in rows:
+            firsts[r.sequence_id] = min(firsts.get(r.sequence_id, len(order)), order.index(r.doc_id))
+        read = [firsts[s] for s in sorted(firsts)]
+        assert read == sorted(read)
+        assert {r.doc_id for r in rows} == set(order)
+
+
+def test_pieces_far_apart_in_the_mix_share_no_sequence(spark):
+    items = spark.range(400).selectExpr(
+        "id AS doc_id", "0 AS piece", "0L AS start", "100 + id % 50 AS length", "id AS ids_crc32", "id AS position"
+    )
+    packs = packing_groups(corpus_pipeline.packing.pack(items, block=40).collect())
+    assert max(max(g) - min(g) for g in packs) <= 40
+
+
+def packing_groups(rows):
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.sequence_id, []).append(r.doc_id)
+    return groups.values()
