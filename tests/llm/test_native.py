@@ -288,6 +288,12 @@ def test_mixing_keeps_awkward_rows(spark):
     assert len(set(places)) == len(places)
 
 
+def test_mixing_shuffles_no_texts_where_none_come_out(spark):
+    plan = QUERIES["op10_mixing"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    structs = re.findall(r"struct\([^)]*\) AS row", plan)
+    assert structs and not any("text" in s for s in structs)
+
+
 @pytest.mark.parametrize("key", ["op1_chat", "op2_licences", "op10_mixing"])
 def test_native_plans(spark, key):
     text = QUERIES[key](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
