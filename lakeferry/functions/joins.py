@@ -27,8 +27,10 @@ def grouped_lookup(df: DataFrame, keys: list[str], *values: Column) -> DataFrame
 def last_answer(rows: DataFrame, keys: list[str], *values: str, time: str = "answered_at") -> DataFrame:
     """One row per ``keys`` with ``answer``, the values of the latest row by ``time``.
 
-    Rows without the column count as equally old; of equally old rows the largest values stay.
+    Rows without the column count as equally old; of equally old rows the largest values stay. The keys
+    name one row of the other side, so no partition of the join is hot: the rows are shuffled once, for
+    the grouping and the join.
     """
     value = F.struct(*values)
     age = F.col(time) if time in rows.columns else F.lit(0)
-    return grouped_lookup(rows, keys, F.max_by(value, F.struct(age, value)).alias("answer"))
+    return rows.groupBy(*keys).agg(F.max_by(value, F.struct(age, value)).alias("answer"))

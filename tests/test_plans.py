@@ -186,6 +186,12 @@ def test_hot_partition_is_written_by_several_tasks(spark, no_broadcast, tmp_path
     assert spark.table("hot_permissions").count() == 60000
 
 
+def test_responses_are_shuffled_once_for_their_status(spark, no_broadcast):
+    estate = Estate(spark, SF_DIR)
+    text = plan(acl.permission_status(estate.permission_rows(), estate.responses))
+    assert text.count("Exchange hashpartitioning(") <= 2
+
+
 def test_settings_are_on(spark):
     for key, value in SETTINGS.items():
         assert spark.conf.get(key) == value
