@@ -63,7 +63,7 @@ def write_permissions(df: DataFrame, table: str, path: str | None = None) -> Non
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         rows = df.select(*PERMISSIONS.names).hint("rebalance", F.col("artifact_type"))
-        writer = rows.write.format("parquet").partitionBy("artifact_type")
+        writer = rows.write.format("parquet").option("compression", COMPRESSION).partitionBy("artifact_type")
         if path is not None:
             writer = writer.option("path", path)
         writer.saveAsTable(table)
@@ -71,13 +71,15 @@ def write_permissions(df: DataFrame, table: str, path: str | None = None) -> Non
     version = f"{table_location(spark, table)}/{VERSIONS}/{uuid.uuid4().hex}"
     rows = df.select(*spark.table(table).columns).hint("rebalance", F.col("artifact_type"))
     try:
-        rows.write.partitionBy("artifact_type").parquet(version)
+        rows.write.partitionBy("artifact_type").parquet(version, compression=COMPRESSION)
     except Exception:
         remove(spark, version)
         raise
     _point_to(spark, table, version)
 
 
+#: Permission rows repeat few long names; they are written several times over.
+COMPRESSION = "zstd"
 #: Folder inside a table's folder, left out by readers of that folder, that holds written versions.
 VERSIONS = "_versions"
 
