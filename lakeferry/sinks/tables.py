@@ -14,7 +14,7 @@ from lakeferry.operators.externalize import externalize as externalize_table
 from lakeferry.operators.externalize import quoted_text
 from lakeferry.operators.jobs import job_backups
 from lakeferry.schemas import PERMISSIONS
-from lakeferry.session import folder_names, remove
+from lakeferry.session import folder_names, remove, temporarily_staged
 
 __all__ = [
     "backup_configs",
@@ -29,9 +29,24 @@ __all__ = [
 ]
 
 
+#: A file costs a task more than the few rows of a usual database, so databases are dealt by number.
+DATABASES_A_TASK = 200
+ROWS_A_FILE = 500_000
+
+
 def write_inventory(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Inventory as Parquet with one directory per database; a second write fails."""
-    df.hint("rebalance", F.col("database")).write.mode(mode).partitionBy("database").parquet(path)
+    """Inventory as Parquet with one directory per database; a second write fails.
+
+    Tasks get about ``DATABASES_A_TASK`` files each, however few bytes these are. A database of more
+    than ``ROWS_A_FILE`` rows is written in parts by several tasks.
+    """
+    counted = df.groupBy("database").agg(F.ceil(F.count("*") / ROWS_A_FILE).alias("_parts"))
+    with temporarily_staged(counted, "inventory-parts") as parts:
+        files = parts.agg(F.sum("_parts")).first()[0] or 1
+        part = F.pmod(F.xxhash64(*df.columns), F.coalesce("_parts", F.lit(1)))
+        df.join(parts.where("_parts > 1"), "database", "left").withColumn("_part", part).repartition(
+            -(-files // DATABASES_A_TASK), "database", "_part"
+        ).select(*df.columns).write.mode(mode).partitionBy("database").parquet(path)
 
 
 def write_checked(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from lakeferry import schemas
 from lakeferry.operators import inventory, sync
-from lakeferry.sinks import write_inventory
+from lakeferry.sinks import tables, write_inventory
 from lakeferry.sources import stored_inventory, table_snapshot
 
 INFO = (
@@ -133,6 +133,20 @@ def test_inventory_write_is_one_folder_per_database_and_fails_twice(spark, tmp_p
         write_inventory(df, path)
 
 
+def test_inventory_write_deals_databases_over_tasks_however_few_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "DATABASES_A_TASK", 10)
+    monkeypatch.setattr(tables, "ROWS_A_FILE", 50)
+    named = [(f"d{i}", "t", False, INFO) for i in range(60)] + [("hot", f"t{i}", False, INFO) for i in range(400)]
+    df = inventory.metastore_inventory(spark.createDataFrame([("none",)], "database string"), listing(spark, *named))
+    path = tmp_path / "inventory"
+    write_inventory(df, str(path))
+    assert sorted(stored_inventory(spark, str(path)).collect()) == sorted(df.collect())
+    parts = {f: f.name.split("-")[1] for f in path.rglob("part-*.parquet")}
+    assert len(set(parts.values())) >= 4
+    assert len({n for f, n in parts.items() if f.parent.name == "database=hot"}) >= 2
+    assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) <= 256
+
+
 def sync_inputs(spark):
     databases = spark.createDataFrame(
         [("a", None), ("b", "b2"), ("c", None)], "database string, target_database string"
