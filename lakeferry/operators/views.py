@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeferry.functions import (
@@ -237,44 +238,55 @@ def view_dependencies(views: DataFrame) -> DataFrame:
 def view_order(views: DataFrame) -> DataFrame:
     """(database, viewName, level, message): a view can be created when all of lower levels are there.
 
-    Level 0 reads no other view. Each round gives the next level to the views whose needs are met; the
-    open ones get fewer each time, and so do their edges. Views that are left when a round finds none
-    are in a cycle or read one: they have a message and no level.
+    Level 0 reads no other view. Each round marks the edges to the views of the level before and gives the
+    next level to the views that have no other; open edges get fewer each time. Views that are left when a
+    round finds none are in a cycle or read one: they have a message and no level.
     """
     keys, needs = ["database", "viewName"], ["needs_database", "needs_view"]
-    listed = lookup(views, *keys)
     edges = staged(view_dependencies(views), "view-edges")
-    first = listed.join(edges, keys, "left_anti")
-    leveled = [first.select(*keys, F.lit(0).alias("level"), F.lit("").alias("message"))]
-    met = first
-    open_ = staged(lookup(edges, *keys), "view-open")
+    listed = views.select(*keys, F.lit(False).alias("_needs")).union(edges.select(*keys, F.lit(True)))
+    met = listed.groupBy(*keys).agg(F.bool_or("_needs").alias("_needs")).where("NOT _needs").select(*keys)
+    leveled = [met.select(*keys, F.lit(0).alias("level"), F.lit("").alias("message"))]
     level = 0
-    while not open_.isEmpty():
+    while not edges.isEmpty():
         level += 1
-        done = met.select(F.col("database").alias("needs_database"), F.col("viewName").alias("needs_view"))
-        edges = staged(edges.join(done, needs, "left_anti"), "view-edges")
-        blocked = lookup(edges, *keys)
-        met = staged(open_.join(blocked, keys, "left_anti"), "view-level")
+        done = met.select(
+            F.col("database").alias("needs_database"), F.col("viewName").alias("needs_view"), F.lit(True).alias("_done")
+        )
+        marked = staged(edges.join(done, needs, "left"), "view-edges")
+        edges = marked.where("_done IS NULL").drop("_done")
+        all_done = marked.groupBy(*keys).agg((F.count("*") == F.count("_done")).alias("_all"))
+        met = staged(all_done.where("_all").select(*keys), "view-level")
         if met.isEmpty():
             break
         leveled.append(met.select(*keys, F.lit(level).alias("level"), F.lit("").alias("message")))
-        open_ = staged(open_.join(blocked, keys, "left_semi"), "view-open")
-    stuck = open_.select(*keys, F.lit(None).cast("int").alias("level"), F.lit(CYCLE).alias("message"))
+    stuck = edges.select(*keys).distinct().select(
+        *keys, F.lit(None).cast("int").alias("level"), F.lit(CYCLE).alias("message")
+    )
     return reduce(DataFrame.unionByName, [*leveled, stuck])
 
 
 def ordered_view_statements(rewritten: DataFrame, order: DataFrame, catalog: str, **options) -> DataFrame:
     """``view_statements`` with ``level`` and ``message`` of ``order``, to be run level by level.
 
-    A view without a level has one row with its message and no statement.
+    A view without a level has one row with its message and no statement. Texts meet their view's level in
+    one shuffle by view; a join would send them to the driver where their files are small.
     """
     keys = ["database", "viewName"]
-    can = order.where(F.col("level").isNotNull())
-    statements = view_statements(rewritten.join(can, keys, "left_semi"), catalog, **options)
+    of_view = Window.partitionBy(*keys)
+    levels = order.select(*keys, "level", "message", F.lit(False).alias("_text"))
+    met = (
+        rewritten.drop("level", "message")
+        .withColumn("_text", F.lit(True))
+        .unionByName(levels, allowMissingColumns=True)
+        .withColumns({"level": F.max("level").over(of_view), "message": F.max("message").over(of_view)})
+        .where(F.col("_text") & F.col("level").isNotNull())
+    )
+    statements = view_statements(met, catalog, kept=("level", "message"), **options)
     cannot = order.where(F.col("level").isNull()).select(
         *keys, "level", F.lit(None).cast("int").alias("step"), F.lit(None).cast("string").alias("statement"), "message"
     )
-    return statements.join(can, keys).select(*keys, "level", "step", "statement", "message").unionByName(cannot)
+    return statements.select(*keys, "level", "step", "statement", "message").unionByName(cannot)
 
 
 def view_statements(
@@ -284,11 +296,12 @@ def view_statements(
     privilege: str | None = None,
     principal: str | None = None,
     databases: DataFrame | None = None,
+    kept: Sequence[str] = (),
 ) -> DataFrame:
     """Create, owner and grant statements per rewritten view, the last two only when asked for.
 
     A view is created in the ``target_database`` of its database, as ``view_status`` reports it. A
-    view without text gets no create statement.
+    view without text gets no create statement. Columns ``kept`` stay with the statements.
     """
     schema = F.col("database")
     targets = _schema_targets(databases)
@@ -300,7 +313,7 @@ def view_statements(
     readable = privilege is not None and ("SELECT" in privilege or "ALL PRIVILEGES" in privilege)
     return numbered_statements(
         rewritten,
-        ["database", "viewName"],
+        ["database", "viewName", *kept],
         [
             sql_text("CREATE OR REPLACE VIEW ", view, " AS ", F.col("view_text")),
             sql_text("ALTER VIEW ", view, f" OWNER TO {quoted_literal(owner)}")

@@ -189,3 +189,15 @@ def test_order_of_views(spark):
         ("d", "loop"): None, ("d", "pool"): None, ("d", "after"): None, ("d", "self"): None,
     }
     assert views.view_order(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_ordered_statements_send_no_view_to_the_driver(spark):
+    named = spark.createDataFrame([("d", "a", "SELECT 1"), ("d", "b", "FROM a"), ("d", "c", "FROM c")], SCHEMA)
+    order = views.view_order(named)
+    out = views.ordered_view_statements(named, order, "cat")
+    assert sorted((r.viewName, r.level, r.step, r.message) for r in out.where("step = 1").collect()) == [
+        ("a", 0, 1, ""), ("b", 1, 1, "")
+    ]
+    assert [(r.viewName, r.message) for r in out.where("step IS NULL").collect()] == [("c", views.CYCLE)]
+    for df in (order, out):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
