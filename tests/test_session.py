@@ -1,8 +1,9 @@
 import os
+import time
 
 from pyspark.sql import functions as F
 
-from lakeferry.session import scratch_path, scratch_root, temporarily_staged
+from lakeferry.session import CLEANUP, scratch_path, scratch_root, staged, temporarily_staged
 from workload import estate
 
 
@@ -19,6 +20,24 @@ def test_staged_rows_are_removed_after_use(spark):
     assert not os.path.exists(folder)
 
 
+def test_staged_rows_leave_no_shuffle_files(spark):
+    def shuffles():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {n for n in blocks.getAllFiles().mkString("\n").split("\n") if "shuffle_" in n}
+
+    def grouped():
+        return spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count()
+
+    before, setting = shuffles(), spark.conf.get(CLEANUP, None)
+    rows = staged(grouped(), "grouped")
+    for _ in range(50):
+        if shuffles() <= before:
+            break
+        time.sleep(0.2)
+    assert shuffles() <= before and spark.conf.get(CLEANUP, None) == setting
+    assert rows.count() == 100 and sorted(rows.collect()) == sorted(grouped().collect())
+
+
 def test_short_rows_are_spread_however_few_splits_a_file_makes(spark, monkeypatch):
     monkeypatch.setattr(estate, "SPREAD_ROWS", 50)
     rows = spark.range(1000, numPartitions=1)
