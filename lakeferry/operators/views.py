@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeferry.functions import (
@@ -273,14 +273,15 @@ def ordered_view_statements(rewritten: DataFrame, order: DataFrame, catalog: str
     one shuffle by view; a join would send them to the driver where their files are small.
     """
     keys = ["database", "viewName"]
-    of_view = Window.partitionBy(*keys)
-    levels = order.select(*keys, "level", "message", F.lit(False).alias("_text"))
+    text = F.struct("view_text")
+    levels = order.select(*keys, "level", "message", F.lit(None).cast("struct<view_text:string>").alias("_text"))
+    texts = rewritten.select(*keys, F.lit(None).cast("int"), F.lit(None).cast("string"), text)
     met = (
-        rewritten.drop("level", "message")
-        .withColumn("_text", F.lit(True))
-        .unionByName(levels, allowMissingColumns=True)
-        .withColumns({"level": F.max("level").over(of_view), "message": F.max("message").over(of_view)})
-        .where(F.col("_text") & F.col("level").isNotNull())
+        levels.union(texts)
+        .groupBy(*keys)
+        .agg(F.max("level").alias("level"), F.max("message").alias("message"), F.collect_list("_text").alias("_texts"))
+        .where("level IS NOT NULL")
+        .select(*keys, "level", "message", F.inline("_texts"))
     )
     statements = view_statements(met, catalog, kept=("level", "message"), **options)
     cannot = order.where(F.col("level").isNull()).select(
