@@ -11,7 +11,9 @@ shingles they share at least c of the first (s - least need of s + c). With that
 
 The lists' beginnings are longer than they must be by a twentieth of the set, so that two similar sets
 share that many more entries. A set with fewer entries in lists of several sets than this has no
-partner and goes before any pair is formed; texts that share a passage only, mostly go here.
+partner and goes before any pair is formed; texts that share a passage only, mostly go here. An entry
+counts only if the next smaller or next larger set of its list has a size that allows a link from these
+places in the order: most short lists hold sets of sizes far apart and go as soon as they are sorted.
 
 The boundary is where the estimated cost (subsets enumerated plus list entries met) is least. The
 order is rare shingles first, by a count sketch over all documents; any order gives all pairs, this
@@ -21,9 +23,9 @@ Only components are needed, so not all pairs of a group are formed. Equal sets a
 list (split by a salt where the sketch says its shingle is common) first pairs its members with its
 most typical one, the one whose shingles are the most common on average: in a group of edited copies
 that is the text they were made from. What that leaves in different components is then paired across
-components. Pairs are cut by sizes, places in the order and a parity bitmap that bounds the
-symmetric difference from below, and counted exactly on whole sets. No true link is lost by any of
-these.
+components. Pairs are cut by sizes, places in the order, the entries they share there and a parity bitmap
+that bounds the symmetric difference from below, and counted exactly on whole sets. No true link is lost
+by any of these.
 
 Shingles are 64-bit hashes of whole word sequences; sets are told apart by a 64-bit hash as well.
 
@@ -41,7 +43,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from lakeferry.functions.joins import grouped_lookup
@@ -145,6 +147,31 @@ def _least_entries(size: Column, threshold: Fraction, light: int) -> Column:
     return F.when(size * up > light * down, F.floor(smallest / 20) + 1).otherwise(1)
 
 
+def _with_neighbours(
+    lists: DataFrame, by_size: WindowSpec, size: Column, place: Column, salted: Column, threshold: Fraction
+) -> DataFrame:
+    """Entries (key, sig, meta) that may be among the first ones a set shares with a partner.
+
+    Of sets that share ``need`` shingles the k-th shared one has need - k + 1 others at or behind it, and
+    1 + ``_spare`` of the smaller one count. So a partner's size is bounded by the place as well, and if
+    there is a partner in the list, the next set on its side is near enough too. Parts of salted lists
+    do not show all neighbours.
+    """
+    up, down = threshold.numerator, threshold.denominator
+    behind = (size.cast("long") - place + F.floor(size / 20)) * (up + down) - size.cast("long") * up
+    below, above = F.lag(size).over(by_size), F.lead(size).over(by_size)
+    reached = F.max(behind).over(by_size.rowsBetween(Window.unboundedPreceding, -1))
+    return (
+        lists.withColumns({"_below": below, "_above": above, "_reached": reached})
+        .where(
+            salted
+            | ((F.col("_below") * down >= size * up) & (F.col("_reached") >= size * up))
+            | (F.col("_above") * up <= behind)
+        )
+        .select("key", "sig", "meta")
+    )
+
+
 def _sets_and_sketch(docs: DataFrame, width: int, bits: int) -> DataFrame:
     """One row a document (kind 0) with key and size, one a short set (kind 2) with its shingles, and
     the task's sketch (kind 1): counters of bounded number, compressed."""
@@ -249,9 +276,10 @@ def boundary(histogram: dict[int, int], met: float, threshold: Fraction, subset:
 def _signatures(
     docs: DataFrame, width: int, threshold: Fraction, light: int, classes: np.ndarray, common: int
 ) -> DataFrame:
-    """sig, key, meta: the subsets of light sets and the list entries of the others. ``meta`` packs
-    typical (mean size class of the set's shingles, in eighths), salted (one bit), size and place
-    (26 bits each)."""
+    """key, sig, meta: the subsets of light sets and the list entries of the others. ``meta`` packs
+    size (26 bits), typical (mean size class of the set's shingles, in eighths, 10 bits), salted (one
+    bit) and place (26 bits). Rows of a set lie together and differ in two places that touch, sig and
+    place, so that a shuffle writes little else of them."""
     bits = int(len(classes)).bit_length() - 1
     shared_classes = docs.sparkSession.sparkContext.broadcast(classes)
 
@@ -272,31 +300,31 @@ def _signatures(
                         done.add(key)
                     shared = least_shared(size, threshold)
                     level = rank[(own >> _U(64 - bits)).astype(np.int64)]
-                    typical = min(1023, int(level.mean() * 8)) << 53 | size << 26
+                    about = size << 37 | min(1023, int(level.mean() * 8)) << 27
                     order = np.argsort((level.astype(_U) << _U(56)) | (own >> _U(8)), kind="stable")
                     if size <= light:
                         first = order[: size - shared + 2]
                         a, b = np.triu_indices(len(first), 1)
                         sig = _mix(own[first[a]] * _U(_STEPS[3]) + own[first[b]] * _U(_STEPS[5]))
                         heavy = np.minimum(level[first[a]], level[first[b]]) >= common
-                        found.append((sig, key, heavy.astype(np.int64) << 52 | typical))
+                        found.append((sig, key, heavy.astype(np.int64) << 26 | about))
                     if size > threshold * light:
                         first = order[: size - shared + 1 + _spare(size)]
                         heavy = (level[first] >= common).astype(np.int64)
-                        found.append((own[first], key, heavy << 52 | typical | np.arange(len(first))))
+                        found.append((own[first], key, heavy << 26 | about | np.arange(len(first))))
                 if found:
                     lens = [len(f[0]) for f in found]
                     yield pa.record_batch(
                         [
-                            pa.array(np.concatenate([f[0] for f in found]).view(np.int64)),
                             pa.array(np.repeat(np.array([f[1] for f in found], np.int64), lens)),
+                            pa.array(np.concatenate([f[0] for f in found]).view(np.int64)),
                             pa.array(np.concatenate([f[2] for f in found])),
                         ],
-                        names=["sig", "key", "meta"],
+                        names=["key", "sig", "meta"],
                     )
 
     return docs.where("doc_id is not null").select("text").mapInArrow(
-        work, "sig long, key long, meta long"
+        work, "key long, sig long, meta long"
     )
 
 
@@ -464,26 +492,30 @@ def join(
     common = int(np.median(classes[classes > 0])) + 6 if (classes > 0).any() else 255
     signatures = _signatures(docs, width, threshold, light, classes, common)
     up, down = threshold.numerator, threshold.denominator
-    salted = F.expr("shiftright(meta, 52) & 1") == 1
+    size, place = F.expr("shiftright(meta, 37)").cast("int"), F.expr("meta & 67108863").cast("int")
+    salted = F.expr("shiftright(meta, 26) & 1") == 1
+    salt = F.when(salted, F.pmod("key", F.lit(salts))).otherwise(F.lit(0)).cast("int")
     mine = Window.partitionBy("sig", "salt")
-    before = F.lag("key").over(mine.orderBy("key"))
-    shared = staged(
-        signatures.withColumn("salt", F.when(salted, F.pmod("key", F.lit(salts))).otherwise(F.lit(0)).cast("int"))
-        .withColumns({"_before": before, "_least": F.min("key").over(mine), "_most": F.max("key").over(mine)})
+    by_size = mine.orderBy("meta", "key")
+    # the salt is made after the shuffle, which needs not write it
+    listed = (
+        signatures.repartition("sig", salt)
+        .withColumn("salt", salt)
+        .withColumns({"_before": F.lag("key").over(by_size), "_least": F.min("key").over(mine), "_most": F.max("key").over(mine)})
         .where((salted | (F.col("_least") < F.col("_most"))) & ~F.col("_before").eqNullSafe(F.col("key")))
-        .select("sig", "key", "meta"),
-        "jaccard-shared",
+        .select("key", "sig", "meta", "salt")
     )
-    size = F.expr("shiftright(meta, 26) & 67108863").cast("int")
+    shared = staged(_with_neighbours(listed, by_size, size, place, salted, threshold), "jaccard-shared")
     entries_of = Window.partitionBy("key")
-    member = F.struct(F.expr("shiftright(meta, 53)").alias("typical"), "key", size.alias("size"))
+    member = F.struct(F.expr("shiftright(meta, 27) & 1023").alias("typical"), "key", size.alias("size"))
     entries = staged(
         shared.withColumn("_n", F.count("*").over(entries_of))
         .where(F.col("_n") >= _least_entries(size, threshold, light))
-        .withColumn("salted", salted)
-        .withColumn("salt", F.when(salted, F.pmod("key", F.lit(salts))).otherwise(F.lit(0)).cast("int"))
+        .select("key", "sig", "meta")
+        .repartition("sig", salt)
+        .withColumn("salt", salt)
         .withColumn("pivot", F.max(member).over(mine))
-        .select("sig", "key", size.alias("size"), F.expr("meta & 67108863").cast("int").alias("place"), "salted", "pivot"),
+        .select("sig", "key", size.alias("size"), place.alias("place"), salted.alias("salted"), "pivot"),
         "jaccard-entries",
     )
     top = entries.where("salted").groupBy("sig").agg(F.max("pivot").alias("top"))
@@ -520,15 +552,30 @@ def join(
 
     # what the stars left apart: lists with more than one component, members paired across them
     placed = entries.join(root.withColumnRenamed("node", "key"), "key", "left").select(
-        "sig", "key", "size", "place", F.coalesce("root", "key").alias("root")
+        "key", "sig", "size", "place", "salted", F.coalesce("root", "key").alias("root")
     )
-    mixed = placed.groupBy("sig").agg(F.min("root").alias("_l"), F.max("root").alias("_h")).where("_l < _h")
+    of_sig = Window.partitionBy("sig")
+    short_lists = (
+        placed.where("not salted")
+        .withColumns({"_l": F.min("root").over(of_sig), "_h": F.max("root").over(of_sig)})
+        .where("_l < _h")
+        .drop("_l", "_h")
+    )
+    long_lists = placed.where("salted")  # may be too long for one task
+    mixed = long_lists.groupBy("sig").agg(F.min("root").alias("_l"), F.max("root").alias("_h")).where("_l < _h")
     apart = staged(
-        placed.join(mixed.select("sig"), "sig").join(sets.select("key", "bitmap"), "key"), "jaccard-apart"
+        short_lists.unionByName(long_lists.join(mixed.select("sig"), "sig"))
+        .drop("salted")
+        .withColumn("_n", F.count("*").over(entries_of))
+        .where(F.col("_n") >= _least_entries(F.col("size"), threshold, light))
+        .drop("_n")
+        .join(sets.select("key", "bitmap"), "key"),
+        "jaccard-apart",
     )
     x, y = apart.alias("x"), apart.alias("y")
     need = F.ceil((F.col("x.size") + F.col("y.size")) * F.lit(up) / F.lit(up + down) - F.lit(1e-9))
     rest = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
+    spare = F.floor(F.least("x.size", "y.size") / 20)
     across = (
         x.join(
             y,
@@ -536,11 +583,18 @@ def join(
             & (F.col("x.key") < F.col("y.key"))
             & (F.col("x.root") != F.col("y.root"))
             & _may_link("x", "y", threshold)
-            & (rest >= need)
+            & (rest + spare >= need)
             & _bitmaps_allow("x", "y", threshold),
         )
-        .select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
-        .distinct()
+        .select(
+            F.col("x.key").alias("a"),
+            F.col("y.key").alias("b"),
+            F.when(F.greatest("x.size", "y.size") > light, spare + 1).otherwise(1).alias("least"),
+        )
+        .groupBy("a", "b", "least")
+        .count()
+        .where("count >= least")
+        .select("a", "b")
     )
     more = staged(_links(across, docs, named, width, threshold), "jaccard-links")
     if not more.isEmpty():

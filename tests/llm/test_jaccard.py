@@ -138,3 +138,53 @@ def test_parity_bounds_the_difference():
         b = np.concatenate((a[: rng.integers(0, 300)], rng.integers(0, 2**63, 40).astype(np.uint64)))
         apart = int(np.bitwise_count(jaccard.parity(a).view(np.uint64) ^ jaccard.parity(b).view(np.uint64)).sum())
         assert apart <= len(np.setxor1d(a, b))
+
+
+def counted_stages(monkeypatch):
+    """Rows of what a join stages from now on, by label."""
+    rows, stage = {}, jaccard.staged
+
+    def counting(df, label):
+        out = stage(df, label)
+        rows.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "staged", counting)
+    return rows
+
+
+def test_sets_of_sizes_far_apart_leave_their_lists(spark, monkeypatch):
+    """A passage in a short and in a long text puts both in one list; neither is kept there."""
+    rows = []
+    for i in range(30):
+        passage = [f"p{i}x{j}" for j in range(20)]
+        rows += [(2 * i + k, " ".join(passage + [f"u{i}x{k}x{j}" for j in range(n)])) for k, n in enumerate((30, 200))]
+    staged = counted_stages(monkeypatch)
+    assert result(spark.createDataFrame(rows, "doc_id long, text string"), sketch_bits=6) == brute_force(rows)
+    assert staged["jaccard-shared"] == [0]
+
+
+def test_pairs_that_share_too_few_entries_are_not_counted_on_whole_sets(spark, monkeypatch):
+    """Every two texts share a passage of their own: each has many shared entries, few with one partner,
+    and too many shingles for bitmaps to tell."""
+    texts = [[f"u{i}x{j}" for j in range(1800)] for i in range(8)]
+    for a in range(8):
+        for b in range(a):
+            for i in (a, b):
+                texts[i] += [f"p{a}x{b}x{j}" for j in range(600)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    staged = counted_stages(monkeypatch)
+    assert result(spark.createDataFrame(rows, "doc_id long, text string"), sketch_bits=6) == brute_force(rows)
+    assert staged["jaccard-entries"][0] > 0 and staged["jaccard-pairs"][1] == 0
+
+
+def test_shortened_copies_stay_in_their_lists(spark):
+    """Sizes as far apart as a link allows, and a little farther; a text of another size between them."""
+    rng, rows = random.Random(11), []
+    for i, n in enumerate([12, 24, 44, 84, 124, 204, 404, 604] * 3):
+        base = [f"t{i}x{j}" for j in range(n)]
+        least = -(-3 * (n - 4) // 4) + 4  # words of a copy with three quarters of the shingles
+        other = [f"o{i}x{j}" for j in range(int(0.6 * n))] + base[: int(0.3 * n)]
+        for text in (base, base[: least + rng.choice([-1, 0, 1])], base[n // 8 :], other):
+            rows.append((len(rows), " ".join(text)))
+    assert result(spark.createDataFrame(rows, "doc_id long, text string"), sketch_bits=6) == brute_force(rows)
