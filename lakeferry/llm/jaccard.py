@@ -562,7 +562,7 @@ def join(
         .drop("_l", "_h")
     )
     long_lists = placed.where("salted")  # may be too long for one task
-    mixed = long_lists.groupBy("sig").agg(F.min("root").alias("_l"), F.max("root").alias("_h")).where("_l < _h")
+    mixed = grouped_lookup(long_lists, ["sig"], F.min("root").alias("_l"), F.max("root").alias("_h")).where("_l < _h")
     apart = staged(
         short_lists.unionByName(long_lists.join(mixed.select("sig"), "sig"))
         .drop("salted")
