@@ -22,10 +22,12 @@ one keeps common passages out of the beginnings.
 Only components are needed, so not all pairs of a group are formed. Equal sets are one node. Each
 list (split by a salt where the sketch says its shingle is common) first pairs its members with its
 most typical one, the one whose shingles are the most common on average: in a group of edited copies
-that is the text they were made from. What that leaves in different components is then paired across
-components. Pairs are cut by sizes, places in the order, the entries they share there and a parity bitmap
-that bounds the symmetric difference from below, and counted exactly on whole sets. No true link is lost
-by any of these.
+that is the text they were made from. Of longer lists that still hold several components, the most typical
+set of the whole list then meets all sets of other components: the texts farthest from the others mostly
+resemble that one only, and stood in a part of the list without it. What that leaves in different
+components is paired across components. Pairs are cut by sizes, places in the order, the entries they
+share there and a parity bitmap that bounds the symmetric difference from below, and counted exactly on
+whole sets. No true link is lost by any of these.
 
 Shingles are 64-bit hashes of whole word sequences; sets are told apart by a 64-bit hash as well.
 
@@ -61,6 +63,8 @@ _LOWER[65:91] += 32
 _CHUNKS = 64
 _BITMAP_WORDS = 16
 _SMALL = 64
+#: Sets of a list whose pairs are few enough to be formed at once.
+_FEW = 8
 _SLICE = 1 << 19
 
 _powers: dict[str, np.ndarray] = {"up": np.ones(1, _U), "down": np.ones(1, _U)}
@@ -433,6 +437,46 @@ def _bitmaps_allow(a: str, b: str, threshold: Fraction) -> Column:
     return differ * most.denominator <= (F.col(f"{a}.size") + F.col(f"{b}.size")) * most.numerator
 
 
+def _rooted(rows: DataFrame, root: DataFrame) -> DataFrame:
+    """Rows with the root of their key, itself if it has no links; ``root``: see ``components``."""
+    found = rows.join(root.withColumnRenamed("node", "key"), "key", "left")
+    return found.withColumn("root", F.coalesce("root", "key"))
+
+
+def _apart(entries: DataFrame, threshold: Fraction, light: int) -> DataFrame:
+    """Entries, with the root of their set, of lists that hold more than one component; a set that is
+    left with fewer than it shares with any partner has none in another component."""
+    of_sig, of_key = Window.partitionBy("sig"), Window.partitionBy("key")
+    short_lists = (
+        entries.where("not salted")
+        .withColumns({"_l": F.min("root").over(of_sig), "_h": F.max("root").over(of_sig)})
+        .where("_l < _h")
+        .drop("_l", "_h")
+    )
+    long_lists = entries.where("salted")  # may be too long for one task
+    mixed = grouped_lookup(long_lists, ["sig"], F.min("root").alias("_l"), F.max("root").alias("_h")).where("_l < _h")
+    return (
+        short_lists.unionByName(long_lists.join(mixed.select("sig"), "sig"))
+        .withColumn("_n", F.count("*").over(of_key))
+        .where(F.col("_n") >= _least_entries(F.col("size"), threshold, light))
+        .drop("_n")
+    )
+
+
+def _with_leaders(apart: DataFrame, threshold: Fraction) -> DataFrame:
+    """Pairs (a, b) that sizes and bitmaps allow of the most typical set of a list and its sets of other
+    components: as many as the entries at most. Pairs of short lists come up anyway."""
+    leader = F.max(F.struct("typical", "key", "size", "bitmap", "root")).alias("y")
+    leaders = grouped_lookup(apart, ["sig"], leader, F.count("*").alias("_n")).where(F.col("_n") > _FEW)
+    return (
+        apart.alias("x")
+        .join(leaders, "sig")
+        .where((F.col("x.root") != F.col("y.root")) & _may_link("x", "y", threshold) & _bitmaps_allow("x", "y", threshold))
+        .select(F.col("y.key").alias("a"), F.col("x.key").alias("b"))
+        .distinct()
+    )
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """node, root (the smallest node of its component) for all nodes of edges (a, b).
 
@@ -507,7 +551,8 @@ def join(
     )
     shared = staged(_with_neighbours(listed, by_size, size, place, salted, threshold), "jaccard-shared")
     entries_of = Window.partitionBy("key")
-    member = F.struct(F.expr("shiftright(meta, 27) & 1023").alias("typical"), "key", size.alias("size"))
+    typical = F.expr("shiftright(meta, 27) & 1023").cast("int").alias("typical")
+    member = F.struct(typical, "key", size.alias("size"))
     entries = staged(
         shared.withColumn("_n", F.count("*").over(entries_of))
         .where(F.col("_n") >= _least_entries(size, threshold, light))
@@ -515,7 +560,7 @@ def join(
         .repartition("sig", salt)
         .withColumn("salt", salt)
         .withColumn("pivot", F.max(member).over(mine))
-        .select("sig", "key", size.alias("size"), place.alias("place"), salted.alias("salted"), "pivot"),
+        .select("sig", "key", typical, size.alias("size"), place.alias("place"), salted.alias("salted"), "pivot"),
         "jaccard-entries",
     )
     top = entries.where("salted").groupBy("sig").agg(F.max("pivot").alias("top"))
@@ -550,28 +595,17 @@ def join(
     links = staged(_links(first_pairs, docs, named, width, threshold), "jaccard-links")
     root = components(links)
 
-    # what the stars left apart: lists with more than one component, members paired across them
-    placed = entries.join(root.withColumnRenamed("node", "key"), "key", "left").select(
-        "key", "sig", "size", "place", "salted", F.coalesce("root", "key").alias("root")
-    )
-    of_sig = Window.partitionBy("sig")
-    short_lists = (
-        placed.where("not salted")
-        .withColumns({"_l": F.min("root").over(of_sig), "_h": F.max("root").over(of_sig)})
-        .where("_l < _h")
-        .drop("_l", "_h")
-    )
-    long_lists = placed.where("salted")  # may be too long for one task
-    mixed = grouped_lookup(long_lists, ["sig"], F.min("root").alias("_l"), F.max("root").alias("_h")).where("_l < _h")
-    apart = staged(
-        short_lists.unionByName(long_lists.join(mixed.select("sig"), "sig"))
-        .drop("salted")
-        .withColumn("_n", F.count("*").over(entries_of))
-        .where(F.col("_n") >= _least_entries(F.col("size"), threshold, light))
-        .drop("_n")
-        .join(sets.select("key", "bitmap"), "key"),
-        "jaccard-apart",
-    )
+    # what the stars left apart: lists with more than one component, their members paired with the most
+    # typical one, then across components
+    bitmaps = sets.select("key", "bitmap")  # joined last, so that they are not shuffled with each entry
+    placed = _rooted(entries.select("key", "sig", "typical", "size", "place", "salted"), root)
+    apart = staged(_apart(placed, threshold, light).join(bitmaps, "key"), "jaccard-apart")
+    led = staged(_links(_with_leaders(apart, threshold), docs, named, width, threshold), "jaccard-links")
+    if not led.isEmpty():
+        links = links.union(led)
+        root = components(links)
+        placed = _rooted(apart.drop("root", "bitmap"), root)
+        apart = staged(_apart(placed, threshold, light).join(bitmaps, "key"), "jaccard-apart")
     x, y = apart.alias("x"), apart.alias("y")
     need = F.ceil((F.col("x.size") + F.col("y.size")) * F.lit(up) / F.lit(up + down) - F.lit(1e-9))
     rest = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))

@@ -188,3 +188,20 @@ def test_shortened_copies_stay_in_their_lists(spark):
         for text in (base, base[: least + rng.choice([-1, 0, 1])], base[n // 8 :], other):
             rows.append((len(rows), " ".join(text)))
     assert result(spark.createDataFrame(rows, "doc_id long, text string"), sketch_bits=6) == brute_force(rows)
+
+
+def test_what_the_stars_leave_of_a_long_list_meets_its_most_typical_text(spark, monkeypatch):
+    """Copies edited so much that they resemble few others; a part of their lists has no text near the
+    one they were made from. Pairs counted on whole sets stay in proportion to the sets."""
+    rng = random.Random(23)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(400):
+        copy = list(base)
+        for at in rng.sample(range(len(copy)), rng.randrange(6)):
+            copy[at] = f"e{i}x{at}"
+        rows.append((i, " ".join(copy)))
+    rows += [(1000 + i, " ".join(f"o{i}x{j}" for j in range(40))) for i in range(400)]
+    staged = counted_stages(monkeypatch)
+    assert result(spark.createDataFrame(rows, "doc_id long, text string"), sketch_bits=14) == brute_force(rows)
+    assert sum(staged["jaccard-pairs"]) <= 2 * staged["jaccard-bitmaps"][0]
