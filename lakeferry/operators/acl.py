@@ -346,11 +346,15 @@ def permission_requests(permissions: DataFrame, host: str) -> DataFrame:
     )
 
 
+#: What names the permission row that a response is for.
+ANSWER_KEYS = ("artifact_type", "id", "new_group_names", "permission_level")
+
+
 def permission_status(permissions: DataFrame, responses: DataFrame) -> DataFrame:
     """Permission rows with the status of their response (artifact_type, id, new_group_names,
     permission_level, status_code, content, answered_at). The last answer counts, so a retry that
     succeeded does; a row without a response keeps its status."""
-    keys = ["artifact_type", "id", "new_group_names", "permission_level"]
+    keys = list(ANSWER_KEYS)
     answered = last_answer(responses, keys, "status_code", "content")
     code, content = F.col("answer.status_code"), F.col("answer.content")
     status = (

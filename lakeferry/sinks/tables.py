@@ -4,17 +4,18 @@ a partition holding most rows is split over several tasks."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.functions import REJECTED, lookup
-from lakeferry.operators.acl import permission_status
+from lakeferry.functions import REJECTED
+from lakeferry.operators.acl import ANSWER_KEYS, permission_status
 from lakeferry.operators.externalize import externalize as externalize_table
 from lakeferry.operators.externalize import quoted_text
 from lakeferry.operators.jobs import job_backups
 from lakeferry.schemas import PERMISSIONS
-from lakeferry.session import folder_names, remove, temporarily_staged
+from lakeferry.session import folder_names, remove, shuffles_removed, temporarily_staged
 
 __all__ = [
     "backup_configs",
@@ -81,12 +82,22 @@ def write_permissions(df: DataFrame, table: str, path: str | None = None) -> Non
         writer = rows.write.format("parquet").option("compression", COMPRESSION).partitionBy("artifact_type")
         if path is not None:
             writer = writer.option("path", path)
-        writer.saveAsTable(table)
+        with shuffles_removed(spark):
+            writer.saveAsTable(table)
         return
+    _write_version(spark, table, [df])
+
+
+def _write_version(spark: SparkSession, table: str, frames: Iterable[DataFrame]) -> None:
+    """Writes the frames to one new version, each when the shuffles of the one before it have left the
+    disks, and then points the partitions to it."""
     version = f"{table_location(spark, table)}/{VERSIONS}/{uuid.uuid4().hex}"
-    rows = df.select(*spark.table(table).columns).hint("rebalance", F.col("artifact_type"))
+    columns = spark.table(table).columns
     try:
-        rows.write.partitionBy("artifact_type").parquet(version, compression=COMPRESSION)
+        for df in frames:
+            rows = df.select(*columns).hint("rebalance", F.col("artifact_type"))
+            with shuffles_removed(spark):
+                rows.write.mode("append").partitionBy("artifact_type").parquet(version, compression=COMPRESSION)
     except Exception:
         remove(spark, version)
         raise
@@ -133,15 +144,48 @@ def table_location(spark: SparkSession, table: str) -> str:
     return rows.where("col_name = 'Location'").first()["data_type"]
 
 
+#: Rows of the table and of the responses that meet in one round of an update; each takes about
+#: 45 bytes of shuffles while the round lasts.
+ROWS_A_ROUND = 120_000_000
+
+
 def update_permissions(spark: SparkSession, table: str, responses: DataFrame) -> None:
     """Write response statuses back into the partitions of the stored table that they belong to.
 
     Each row is written once: the new version of a partition is complete before it takes the place of
-    the one it was read from.
+    the one it was read from. Large tables are updated in rounds, so that shuffles fill no more of the
+    disks than ``ROWS_A_ROUND`` rows take.
     """
-    answered = lookup(responses, "artifact_type")
-    stored = spark.table(table).join(answered, "artifact_type", "left_semi")
-    write_permissions(permission_status(stored, responses), table)
+    stored = spark.table(table)
+    rounds = _rounds(stored, responses)
+    if rounds:
+        updated = (permission_status(stored.where(rows), responses.where(rows)) for rows in rounds)
+        _write_version(spark, table, updated)
+
+
+def _rounds(stored: DataFrame, responses: DataFrame) -> list[Column]:
+    """Conditions on both frames that share out the answered types: several small types, one, or a
+    part of the keys of a large one."""
+    kind = F.col("artifact_type")
+    with shuffles_removed(stored.sparkSession):
+        held = {r[0]: r[1] for r in stored.where(kind.isNotNull()).groupBy(kind).count().collect()}
+        answered = responses.where(kind.isin(list(held))).groupBy(kind).count().collect()
+    keys = [k for k in ANSWER_KEYS if k != "artifact_type"]
+    # equal keys of different data types have different hashes
+    divisible = all(stored.schema[k].dataType == responses.schema[k].dataType for k in keys)
+    together, room, rounds = [[]], ROWS_A_ROUND, []
+    for size, label in sorted((held[label] + answers, label) for label, answers in answered):
+        if divisible and size > ROWS_A_ROUND:
+            parts = -(-size // ROWS_A_ROUND)
+            part = F.pmod(F.xxhash64(*keys), F.lit(parts))
+            rounds += [(kind == label) & (part == i) for i in range(parts)]
+            continue
+        if size > room:
+            together.append([])
+            room = ROWS_A_ROUND
+        together[-1].append(label)
+        room -= size
+    return [kind.isin(labels) for labels in together if labels] + rounds
 
 
 def backup_configs(jobs: DataFrame, table: str, path: str | None = None) -> None:

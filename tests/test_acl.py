@@ -1,3 +1,4 @@
+import time
 from functools import reduce
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeferry import schemas, sinks, sources
 from lakeferry.operators import acl
+from lakeferry.session import CLEANUP
 from lakeferry.sinks import update_permissions, write_permissions
 from lakeferry.sources import json_pages, permissions_of
 
@@ -322,6 +324,86 @@ def test_an_update_writes_each_row_once(spark, tmp_path):
     assert spark.table(table).count() == permission_rows(spark).count()
 
 
+def answers_and_rows(spark):
+    """Stored rows of four types, one without answers; keys repeat or are null, some stay without an answer."""
+    sizes = {"Job": 300, "Pool": 40, "Repo": 50, "Cluster": 30}
+    stored = [
+        (f"n{i}", None if i % 10 == 9 else str(i // 2), "g", "g", "AB"[i % 3 == 0], "old" if i % 4 == 0 else None, t)
+        for t, n in sizes.items() for i in range(n)
+    ]
+    answers = [
+        (t, None if i % 10 == 9 else str(i // 2), "g", "AB"[i % 3 == 0], 200 if i % 5 else 403, f"no {i}", i)
+        for t, n in sizes.items() if t != "Repo" for i in range(0, n, 2 if t == "Pool" else 1)
+    ]
+    schema = "artifact_type string, id string, new_group_names string, permission_level string, status_code int, content string, answered_at int"
+    return spark.createDataFrame(stored, schemas.PERMISSIONS), spark.createDataFrame([*answers, ("Other", "1", "g", "A", 200, "", 1), (None, "1", "g", "A", 200, "", 1)], schema)
+
+
+@pytest.mark.parametrize("id_type,largest,number", [("string", 170, 6), ("bigint", 600, 2)])
+def test_a_large_update_goes_in_rounds(spark, tmp_path, monkeypatch, id_type, largest, number):
+    """A type above the bound is updated by parts of its keys, unless those are of another data type."""
+    table, seen = f"permissions_rounds_{id_type}", []
+    stored, answers = answers_and_rows(spark)
+    answers = answers.withColumn("id", F.col("id").cast(id_type))
+
+    def spy(some, some_answers):
+        seen.append((some.count(), some_answers.count()))
+        return acl.permission_status(some, some_answers)
+
+    write_permissions(stored, table, str(tmp_path / "rounds"))
+    monkeypatch.setattr(sinks.tables, "ROWS_A_ROUND", 120)
+    monkeypatch.setattr(sinks.tables, "permission_status", spy)
+    update_permissions(spark, table, answers)
+    assert len(seen) == number and max(map(sum, seen)) <= largest
+    assert tuple(map(sum, zip(*seen))) == (370, 350)
+    assert rows(spark.table(table)) == rows(acl.permission_status(stored, answers))
+    assert len(list((tmp_path / "rounds" / "_versions").iterdir())) == 1
+
+
+def test_a_failed_round_leaves_the_partitions(spark, tmp_path, monkeypatch):
+    table, place = "permissions_round_failing", tmp_path / "failing"
+    stored, answers = answers_and_rows(spark)
+    write_permissions(stored, table, str(place))
+    monkeypatch.setattr(sinks.tables, "ROWS_A_ROUND", 70)
+    broken = answers.withColumn("content", F.when(F.col("artifact_type") == "Job", F.raise_error(F.lit("broken"))).otherwise(F.col("content")))
+    with pytest.raises(Exception, match="broken"):
+        update_permissions(spark, table, broken)
+    assert rows(spark.table(table)) == rows(stored)
+    assert not list((place / "_versions").glob("*"))
+
+
+def test_an_update_without_answers_changes_nothing(spark, tmp_path):
+    stored, answers = answers_and_rows(spark)
+    write_permissions(stored, "permissions_unanswered", str(tmp_path / "unanswered"))
+    update_permissions(spark, "permissions_unanswered", answers.where("artifact_type = 'Other' or artifact_type is null"))
+    assert rows(spark.table("permissions_unanswered")) == rows(stored)
+    assert not (tmp_path / "unanswered" / "_versions").exists()
+
+
+def test_permission_writes_leave_no_shuffle_files(spark, tmp_path, monkeypatch):
+    def shuffles():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {n for n in blocks.getAllFiles().mkString("\n").split("\n") if "shuffle_" in n}
+
+    def gone():
+        until = time.time() + 10
+        while not shuffles() <= before and time.time() < until:
+            time.sleep(0.2)
+        return shuffles() <= before
+
+    def spy(some, some_answers):
+        assert gone()
+        return acl.permission_status(some, some_answers)
+
+    table, before, setting = "permissions_shuffles", shuffles(), spark.conf.get(CLEANUP, None)
+    stored, answers = answers_and_rows(spark)
+    write_permissions(stored, table, str(tmp_path / "shuffles"))
+    assert gone()
+    monkeypatch.setattr(sinks.tables, "permission_status", spy)
+    update_permissions(spark, table, answers)
+    assert gone() and spark.conf.get(CLEANUP, None) == setting
+
+
 def test_broken_documents_are_set_apart(spark, tmp_path):
     good = '{"access_control_list":[{"group_name":"g","all_permissions":[{"permission_level":"A"}]}]}'
     broken = ["{", "", "no", '[{"group_name":"g"}]', '{"access_control_list":7}', good + " {"]

@@ -3,7 +3,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from lakeferry.session import CLEANUP, scratch_path, scratch_root, staged, temporarily_staged
+from lakeferry.session import CLEANUP, scratch_path, scratch_root, shuffles_removed, staged, temporarily_staged
 from workload import estate
 
 
@@ -38,6 +38,16 @@ def test_staged_rows_leave_no_shuffle_files(spark):
     assert rows.count() == 100 and sorted(rows.collect()) == sorted(grouped().collect())
 
 
+def test_writers_that_overlap_put_the_setting_back(spark):
+    setting, first, second = spark.conf.get(CLEANUP, None), shuffles_removed(spark), shuffles_removed(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(CLEANUP) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(CLEANUP, None) == setting
+
+
 def test_short_rows_are_spread_however_few_splits_a_file_makes(spark, monkeypatch):
     monkeypatch.setattr(estate, "SPREAD_ROWS", 50)
     rows = spark.range(1000, numPartitions=1)
